@@ -1,5 +1,12 @@
 from lodestar.operators.aggregate import distinct_rows, group_count, having_more_than, is_empty
-from lodestar.operators.joins import ColumnCollisionError, JoinStep, join_chain, left_join
+from lodestar.operators.joins import (
+    ColumnCollisionError,
+    JoinStep,
+    broadcast_if_small,
+    chain_output_columns,
+    join_chain,
+    left_join,
+)
 from lodestar.operators.projection import (
     cast_keys,
     rename_columns,
@@ -12,7 +19,9 @@ from lodestar.operators.sort import sort_rows, sort_within_partitions
 __all__ = [
     "ColumnCollisionError",
     "JoinStep",
+    "broadcast_if_small",
     "cast_keys",
+    "chain_output_columns",
     "common_value_type",
     "distinct_rows",
     "group_count",

@@ -25,13 +25,30 @@ carry a checked unique id) and every right side is deduplicated, a join of
 sets is already a set, so the final distinct - a shuffle of the widest frame
 of the job - is skipped and only the (small) right sides are deduplicated.
 
+Branches. A step may carry its own ``branch`` of steps whose keys all come
+from the step's table (a snowflake arm, e.g. caregiver -> address and
+caregiver -> contact). The arm is joined first, at the size of the dimension,
+and the chain then joins the result once: ``(L ⟕ B) ⟕ C`` equals
+``L ⟕ (B ⟕ C)`` when C's key comes from B, so the rows are the same while the
+wide chain frame is shuffled once instead of once per arm table.
+
+Broadcasts. A step may mark one side as expected small (``broadcast="left"``
+for a dimension-only prefix in front of a fact table, ``"right"`` for a small
+dimension). That side is broadcast only after a bounded count proves it has
+at most ``max_broadcast_rows`` rows and ``max_broadcast_bytes`` bytes of
+values; otherwise the join is left to Spark (a sort-merge join, with AQE
+splitting skewed partitions). Unmarked steps are
+left to Spark's own size estimate and AQE's runtime conversion.
+
 Null keys never match. In a left join Spark hashes every null key to the same
 shuffle partition, so a frame where many rows lack the key (e.g. after an
 earlier left join found nothing) would pile them into one task. For integer
 keys the chain joins on a 64-bit surrogate that equals the key when present
 and, when the key is null, a hashed value below the 32-bit range that no
 right-side key can equal; the null rows then spread over all partitions and
-still find no partner.
+still find no partner. A key that an earlier inner step already matched can
+not be null, so it is joined as itself; its hash partitioning then carries on
+to the final distinct, which needs no shuffle of its own.
 """
 
 from __future__ import annotations
@@ -39,29 +56,49 @@ from __future__ import annotations
 from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ByteType, IntegerType, ShortType
+from pyspark.sql.types import BinaryType, ByteType, IntegerType, ShortType, StringType
 
 _HOWS = ("inner", "left")
+_SIDES = (None, "left", "right")
 _NARROW_INT = (ByteType, IntegerType, ShortType)
 _SURROGATE = "__lodestar_join_key"
 _NULL_SPREAD = 1 << 16
 
+# Largest side that a marked step broadcasts: rows, and bytes of column data.
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
+
+# Bytes per value of the fixed-width types (16 for any other type).
+_FIXED_WIDTH = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "date": 4, "float": 4,
+                "long": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8}
+
 
 @dataclass(frozen=True)
 class JoinStep:
     table: str
     on: tuple[str, ...]
     how: str = "inner"
+    branch: tuple["JoinStep", ...] = ()
+    broadcast: str | None = None
 
     def __post_init__(self) -> None:
         if isinstance(self.on, str):
             object.__setattr__(self, "on", (self.on,))
+        object.__setattr__(self, "branch", tuple(self.branch))
         if self.how not in _HOWS:
             raise ValueError(f"join type {self.how!r} not in {_HOWS}")
         if not self.on:
             raise ValueError(f"step {self.table!r} has no key")
+        if self.broadcast not in _SIDES:
+            raise ValueError(f"broadcast side {self.broadcast!r} not in {_SIDES}")
+        if self.broadcast == "left" and self.how != "inner":
+            raise ValueError("only an inner join can broadcast its left side")
+        for sub in self.branch:
+            if sub.how == "inner" and self.how != "inner":
+                raise ValueError(f"inner branch step {sub.table!r} under a left join "
+                                 f"would drop rows of the chain")
 
 
 class ColumnCollisionError(ValueError):
@@ -82,6 +119,32 @@ def _spreadable(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> bool:
             and isinstance(right.schema[k].dataType, _NARROW_INT))
 
 
+def _value_bytes(df: DataFrame) -> Column:
+    """Bytes of one row's values: octet length for text and binary, the fixed width otherwise."""
+    parts = []
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (StringType, BinaryType)):
+            parts.append(F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)))
+        else:
+            parts.append(F.lit(_FIXED_WIDTH.get(f.dataType.typeName(), 16)))
+    return sum(parts[1:], parts[0]) if parts else F.lit(0)
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                       max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """``(broadcast(df), True)`` when ``df`` is within both bounds, else ``(df, False)``.
+
+    One bounded job reads at most ``max_rows + 1`` rows and returns their count
+    and value bytes; only those two numbers reach the driver. Beyond either
+    bound the frame is returned unchanged and Spark plans a shuffle join.
+    """
+    row = (df.limit(max_rows + 1)
+           .agg(F.count(F.lit(1)).alias("n"), F.sum(_value_bytes(df)).alias("b")).first())
+    n, b = int(row["n"]), int(row["b"] or 0)
+    small = n <= max_rows and b <= max_bytes
+    return (F.broadcast(df), True) if small else (df, False)
+
+
 def left_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
               spread_null_keys: bool = True) -> DataFrame:
     """``left`` LEFT JOIN ``right`` USING ``keys``; null left keys do not gather in one task.
@@ -100,10 +163,30 @@ def left_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
     return lhs.join(rhs, _SURROGATE, "left").select(*left.columns, *extra)
 
 
+def step_columns(columns: Mapping[str, Sequence[str]], step: JoinStep) -> list[str]:
+    """Columns a step adds to the chain: its table's non-keys, then its branch's."""
+    added = [c for c in columns[step.table] if c not in step.on]
+    for sub in step.branch:
+        added += step_columns(columns, sub)
+    return added
+
+
+def chain_output_columns(columns: Mapping[str, Sequence[str]], base: str,
+                         steps: Sequence[JoinStep]) -> list[str]:
+    """Output column order of a chain, from the tables' column lists alone."""
+    order = list(columns[base])
+    for st in steps:
+        order += step_columns(columns, st)
+    return order
+
+
 def join_chain(tables: Mapping[str, DataFrame], base: str, steps: Sequence[JoinStep], *,
                dedup: bool = True, base_unique: bool = False,
                distinct_after: Collection[str] = (), semi_for_key_only: bool = True,
-               spread_null_keys: bool = True) -> DataFrame:
+               spread_null_keys: bool = True,
+               max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+               max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+               _known_not_null: Collection[str] = ()) -> DataFrame:
     """Fold ``steps`` over ``tables[base]``; see the module docstring.
 
     ``dedup=False`` returns the bag (no distinct, no semi-join rewrite).
@@ -111,27 +194,50 @@ def join_chain(tables: Mapping[str, DataFrame], base: str, steps: Sequence[JoinS
     df = tables[base]
     order = list(df.columns)
     dedup_right = dedup and base_unique
+    not_null = set(_known_not_null)
     for step in steps:
-        right = tables[step.table]
         keys = list(step.on)
         _check_keys(df, keys, "left", step.table)
+        right = tables[step.table]
+        if step.branch:
+            arm_keys = {k for sub in step.branch for k in sub.on}
+            shadowed = sorted(arm_keys & set(order))
+            if shadowed:
+                raise ColumnCollisionError(
+                    f"branch of {step.table!r} joins on {shadowed}, which the chain already has")
+            right = join_chain(tables, step.table, step.branch, dedup=False,
+                               spread_null_keys=spread_null_keys,
+                               max_broadcast_rows=max_broadcast_rows,
+                               max_broadcast_bytes=max_broadcast_bytes)
         _check_keys(right, keys, "right", step.table)
         extra = [c for c in right.columns if c not in keys]
         clash = [c for c in extra if c in order]
         if clash:
             raise ColumnCollisionError(f"joining {step.table!r} repeats columns {clash}")
 
+        if step.broadcast == "left":
+            df, _ = broadcast_if_small(df.select(*order), max_broadcast_rows,
+                                       max_broadcast_bytes)
+
         if dedup and semi_for_key_only and step.how == "inner" and not extra:
-            df = df.join(right.select(*keys).distinct(), keys, "left_semi")
+            right = right.select(*keys).distinct()
+            if step.broadcast == "right":
+                right, _ = broadcast_if_small(right, max_broadcast_rows, max_broadcast_bytes)
+            df = df.join(right, keys, "left_semi")
         else:
             right = right.select(*keys, *extra)
             if dedup_right:
                 right = right.distinct()
+            if step.broadcast == "right":
+                right, _ = broadcast_if_small(right, max_broadcast_rows, max_broadcast_bytes)
             if step.how == "left":
-                df = left_join(df.select(*order), right, keys, spread_null_keys)
+                spread = spread_null_keys and not set(keys) <= not_null
+                df = left_join(df.select(*order), right, keys, spread)
             else:
                 df = df.join(right, keys, "inner")
             order += extra
+        if step.how == "inner":
+            not_null.update(keys)
         df = df.select(*order)
         if dedup and step.table in distinct_after:
             df = df.distinct()

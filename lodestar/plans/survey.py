@@ -37,8 +37,10 @@ SURVEY_SOURCES: tuple[TableSpec, ...] = (
 
 SURVEY_BASE = "pca"
 SURVEY_CHAIN: tuple[JoinStep, ...] = (
-    JoinStep("correction_sites", ("facility_name",), "inner"),
-    JoinStep("survey", ("facility_id",), "inner"),
+    # Sites and surveys are dimensions; a facility may hold a large share of
+    # the answers, so a (size-checked) broadcast keeps its rows off one task.
+    JoinStep("correction_sites", ("facility_name",), "inner", broadcast="right"),
+    JoinStep("survey", ("facility_id",), "inner", broadcast="right"),
 )
 
 ID_COL = "participant_id"

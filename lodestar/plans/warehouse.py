@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lodestar.operators.aggregate import group_count, having_more_than, is_empty
-from lodestar.operators.joins import JoinStep, join_chain
+from lodestar.operators.joins import JoinStep, chain_output_columns, join_chain
 from lodestar.operators.sort import sort_rows
 from lodestar.sources.files import materialize, write_csv, write_parquet
 from lodestar.sources.specs import Col, TableSpec, cols
@@ -87,15 +87,19 @@ WAREHOUSE_CHAIN: tuple[JoinStep, ...] = (
     JoinStep("orgprg", ("orgid",), "inner"),
     JoinStep("prg", ("programid",), "inner"),
     JoinStep("prsprg", ("programid",), "inner"),
-    JoinStep("orgprgchdj", ("orgprogramid",), "inner"),
+    # org/program dimensions in front of the child fact table: broadcast when small.
+    JoinStep("orgprgchdj", ("orgprogramid",), "inner", broadcast="left"),
     JoinStep("inmapp", ("applicationid",), "inner"),
     JoinStep("inmappchdj", ("childid", "applicationid"), "inner"),
-    JoinStep("inm", ("inmateid",), "inner"),
+    JoinStep("inm", ("inmateid",), "inner", broadcast="right"),
     JoinStep("prs", ("prisonid",), "inner"),
-    JoinStep("crg", ("caregiverid",), "left"),
-    JoinStep("adrcrg", ("addressid",), "left"),
-    JoinStep("cntcrg", ("contactid",), "left"),
-    JoinStep("chd", ("childid",), "left"),
+    # Address and contact hang off the caregiver: joined to it first, so the
+    # wide chain frame makes one left join for all three tables.
+    JoinStep("crg", ("caregiverid",), "left", broadcast="right", branch=(
+        JoinStep("adrcrg", ("addressid",), "left"),
+        JoinStep("cntcrg", ("contactid",), "left"),
+    )),
+    JoinStep("chd", ("childid",), "left", broadcast="right"),
 )
 
 FLAT_COLUMNS = (
@@ -144,11 +148,7 @@ def chain_columns(specs: Sequence[TableSpec] = WAREHOUSE_SOURCES,
                   base: str = WAREHOUSE_BASE,
                   steps: Sequence[JoinStep] = WAREHOUSE_CHAIN) -> list[str]:
     """Output column order of the chain, from the specs alone."""
-    by_name = {s.name: s for s in specs}
-    order = list(by_name[base].output_columns)
-    for st in steps:
-        order += [c for c in by_name[st.table].output_columns if c not in st.on]
-    return order
+    return chain_output_columns({s.name: s.output_columns for s in specs}, base, steps)
 
 
 Reader = Callable[[TableSpec], DataFrame]

@@ -6,6 +6,10 @@ On a cluster the deployment owns the session; jobs only take a
 * AQE on, with partition coalescing and skew-join splitting (Spark 4
   defaults, stated so a cluster profile cannot silently drop them);
 * ANSI mode on, so key casts are strict;
+* ``requireAllClusterKeysForCoPartition`` off: the warehouse chain joins on
+  ``applicationid`` and then on ``(childid, applicationid)``; with this off
+  the second join reuses the first one's partitioning and only the new
+  table is shuffled, not the wide chain frame;
 * the UI off.
 """
 
@@ -30,6 +34,7 @@ def local_session(cores: int | str | None = None, shuffle_partitions: int | None
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.ansi.enabled", "true")
+        .config("spark.sql.requireAllClusterKeysForCoPartition", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("LODESTAR_DRIVER_MEMORY", "16g"))
         .getOrCreate()
