@@ -30,6 +30,7 @@ from lodestar.sources.files import (
     read_csv,
     write_csv,
 )
+from lodestar.streaming.uploads import ingest_uploads
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -176,6 +177,16 @@ def q_csv_ingest(spark, sf_dir):
     return out.drop(S.ID_COL)
 
 
+def q_survey_upload_stream(spark, sf_dir):
+    """The uploaded survey CSV, split into several files, ingested by the streaming pick-up."""
+    fx = Fixtures(spark, sf_dir)
+    root = _stage_root(spark, "uploads")
+    write_csv(fx.survey_csv_frame().repartition(4), f"{root}/upload")
+    out = ingest_uploads(spark, f"{root}/upload", f"{root}/{S.INPUT_TABLE}",
+                         checkpoint=f"{root}/checkpoint", files_per_batch=2)
+    return out.drop(S.ID_COL)
+
+
 def q_assign_ids(spark, sf_dir):
     return S.prepare(Fixtures(spark, sf_dir).survey_csv_frame())
 
@@ -230,6 +241,7 @@ QUERIES: dict[str, Query] = {
     "parquet_roundtrip": q_parquet_roundtrip,
     "csv_export": q_csv_export,
     "csv_ingest": q_csv_ingest,
+    "survey_upload_stream": q_survey_upload_stream,
     "assign_ids": q_assign_ids,
     "survey_join": q_survey_join,
     "survey_melt": q_survey_melt,
@@ -405,6 +417,8 @@ ORACLES: dict[str, str] = {
     "parquet_roundtrip": _with("SELECT * FROM inmappchdj", "inmappchdj"),
     "csv_export": _with(f"SELECT {_FLAT_NULLIF} FROM joined", "joined"),
     "csv_ingest": _with("SELECT facility_name, pca_1, pca_2, pca_10 FROM survey_wide", "survey_wide"),
+    "survey_upload_stream": _with(
+        "SELECT facility_name, pca_1, pca_2, pca_10 FROM survey_wide", "survey_wide"),
     "survey_join": _with("SELECT * FROM survey_joined", "survey_joined"),
     "survey_melt": _with("SELECT * FROM survey_long", "survey_long"),
     "warehouse_pipeline": _with(
