@@ -6,6 +6,7 @@ from lodestar.operators.joins import (
     chain_output_columns,
     join_chain,
     left_join,
+    small_enough,
 )
 from lodestar.operators.projection import (
     cast_keys,
@@ -33,6 +34,7 @@ __all__ = [
     "select_by_pattern",
     "select_columns",
     "sort_rows",
+    "small_enough",
     "sort_within_partitions",
     "unpivot_values",
 ]

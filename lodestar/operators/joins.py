@@ -37,7 +37,8 @@ for a dimension-only prefix in front of a fact table, ``"right"`` for a small
 dimension). That side is broadcast only after a bounded count proves it has
 at most ``max_broadcast_rows`` rows and ``max_broadcast_bytes`` bytes of
 values; otherwise the join is left to Spark (a sort-merge join, with AQE
-splitting skewed partitions). Unmarked steps are
+splitting skewed partitions). All marked sides of a chain are counted in one
+job. Unmarked steps are
 left to Spark's own size estimate and AQE's runtime conversion.
 
 Null keys never match. In a left join Spark hashes every null key to the same
@@ -53,8 +54,9 @@ to the final distinct, which needs no shuffle of its own.
 
 from __future__ import annotations
 
-from collections.abc import Collection, Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -130,18 +132,31 @@ def _value_bytes(df: DataFrame) -> Column:
     return sum(parts[1:], parts[0]) if parts else F.lit(0)
 
 
+def small_enough(frames: Sequence[DataFrame], max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                 max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> list[bool]:
+    """For each frame, whether it has at most ``max_rows`` rows and ``max_bytes`` value bytes.
+
+    All frames are counted in one job: a union of one global aggregate per
+    frame, each computed partially inside its scan tasks, so only one row per
+    task and one row per frame move; nothing is gathered into a single task.
+    """
+    if not frames:
+        return []
+    sized = [df.agg(F.count(F.lit(1)).alias("n"), F.sum(_value_bytes(df)).alias("b"))
+             .select(F.lit(i).alias("tag"), "n", "b") for i, df in enumerate(frames)]
+    found = {r["tag"]: (int(r["n"]), int(r["b"] or 0))
+             for r in reduce(DataFrame.unionAll, sized).collect()}
+    return [found[i][0] <= max_rows and found[i][1] <= max_bytes for i in range(len(frames))]
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                        max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
     """``(broadcast(df), True)`` when ``df`` is within both bounds, else ``(df, False)``.
 
-    One bounded job reads at most ``max_rows + 1`` rows and returns their count
-    and value bytes; only those two numbers reach the driver. Beyond either
-    bound the frame is returned unchanged and Spark plans a shuffle join.
+    Beyond either bound the frame is returned unchanged and Spark plans a
+    shuffle join.
     """
-    row = (df.limit(max_rows + 1)
-           .agg(F.count(F.lit(1)).alias("n"), F.sum(_value_bytes(df)).alias("b")).first())
-    n, b = int(row["n"]), int(row["b"] or 0)
-    small = n <= max_rows and b <= max_bytes
+    small = small_enough([df], max_rows, max_bytes)[0]
     return (F.broadcast(df), True) if small else (df, False)
 
 
@@ -185,16 +200,39 @@ def join_chain(tables: Mapping[str, DataFrame], base: str, steps: Sequence[JoinS
                distinct_after: Collection[str] = (), semi_for_key_only: bool = True,
                spread_null_keys: bool = True,
                max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-               max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
-               _known_not_null: Collection[str] = ()) -> DataFrame:
+               max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Fold ``steps`` over ``tables[base]``; see the module docstring.
 
     ``dedup=False`` returns the bag (no distinct, no semi-join rewrite).
+
+    The chain is built once with every marked side hinted for broadcast, and
+    the marked sides are then checked together in one job. Only if one of
+    them is too big is the chain built again, with that hint left out.
     """
+    opts = dict(dedup=dedup, base_unique=base_unique, distinct_after=set(distinct_after),
+                semi_for_key_only=semi_for_key_only, spread_null_keys=spread_null_keys)
+    marked: list[DataFrame] = []
+
+    def optimistic(df: DataFrame) -> DataFrame:
+        marked.append(df)
+        return F.broadcast(df)
+
+    chain = _fold(tables, base, steps, optimistic, **opts)
+    verdicts = small_enough(marked, max_broadcast_rows, max_broadcast_bytes)
+    if all(verdicts):
+        return chain
+    it = iter(verdicts)
+    return _fold(tables, base, steps, lambda df: F.broadcast(df) if next(it) else df, **opts)
+
+
+def _fold(tables: Mapping[str, DataFrame], base: str, steps: Sequence[JoinStep],
+          hint: Callable[[DataFrame], DataFrame], *, dedup: bool, base_unique: bool,
+          distinct_after: Collection[str], semi_for_key_only: bool,
+          spread_null_keys: bool) -> DataFrame:
     df = tables[base]
     order = list(df.columns)
     dedup_right = dedup and base_unique
-    not_null = set(_known_not_null)
+    not_null: set[str] = set()
     for step in steps:
         keys = list(step.on)
         _check_keys(df, keys, "left", step.table)
@@ -205,10 +243,9 @@ def join_chain(tables: Mapping[str, DataFrame], base: str, steps: Sequence[JoinS
             if shadowed:
                 raise ColumnCollisionError(
                     f"branch of {step.table!r} joins on {shadowed}, which the chain already has")
-            right = join_chain(tables, step.table, step.branch, dedup=False,
-                               spread_null_keys=spread_null_keys,
-                               max_broadcast_rows=max_broadcast_rows,
-                               max_broadcast_bytes=max_broadcast_bytes)
+            right = _fold(tables, step.table, step.branch, hint, dedup=False, base_unique=False,
+                          distinct_after=(), semi_for_key_only=False,
+                          spread_null_keys=spread_null_keys)
         _check_keys(right, keys, "right", step.table)
         extra = [c for c in right.columns if c not in keys]
         clash = [c for c in extra if c in order]
@@ -216,29 +253,29 @@ def join_chain(tables: Mapping[str, DataFrame], base: str, steps: Sequence[JoinS
             raise ColumnCollisionError(f"joining {step.table!r} repeats columns {clash}")
 
         if step.broadcast == "left":
-            df, _ = broadcast_if_small(df.select(*order), max_broadcast_rows,
-                                       max_broadcast_bytes)
+            df = hint(df)
 
         if dedup and semi_for_key_only and step.how == "inner" and not extra:
             right = right.select(*keys).distinct()
             if step.broadcast == "right":
-                right, _ = broadcast_if_small(right, max_broadcast_rows, max_broadcast_bytes)
-            df = df.join(right, keys, "left_semi")
+                right = hint(right)
+            df = df.join(right, keys, "left_semi").select(*order)
         else:
             right = right.select(*keys, *extra)
             if dedup_right:
                 right = right.distinct()
             if step.broadcast == "right":
-                right, _ = broadcast_if_small(right, max_broadcast_rows, max_broadcast_bytes)
+                right = hint(right)
             if step.how == "left":
                 spread = spread_null_keys and not set(keys) <= not_null
-                df = left_join(df.select(*order), right, keys, spread)
+                df = left_join(df, right, keys, spread)
+                order += extra
             else:
-                df = df.join(right, keys, "inner")
-            order += extra
+                # USING puts the keys first; restore the chain order.
+                order += extra
+                df = df.join(right, keys, "inner").select(*order)
         if step.how == "inner":
             not_null.update(keys)
-        df = df.select(*order)
         if dedup and step.table in distinct_after:
             df = df.distinct()
 

@@ -91,13 +91,17 @@ class Fixtures:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._bases: dict[str, DataFrame] = {}
         self._sources: dict[str, Callable[[], DataFrame]] = {
             "lineitem_orders_customer": self._lineitem_orders_customer,
             "orders_customer_nation": self._orders_customer_nation,
         }
 
     def base(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """One scan per table: later uses share the frame (and its file listing)."""
+        if name not in self._bases:
+            self._bases[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._bases[name]
 
     def source(self, name: str) -> DataFrame:
         if name in self._sources:

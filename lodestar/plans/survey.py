@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
-from lodestar.functions.ids import assert_unique, assign_ids
+from lodestar.functions.ids import assert_unique, assign_ids, id_stats
 from lodestar.functions.patterns import ANSWER_PATTERN, matching_columns
 from lodestar.operators.joins import JoinStep, join_chain
 from lodestar.operators.reshape import unpivot_values
@@ -87,13 +87,19 @@ def ingest(spark: SparkSession, csv_path: str, out_path: str,
     return out
 
 
-def survey_join(tables: Mapping[str, DataFrame], base_unique: bool = False) -> DataFrame:
+def survey_join(tables: Mapping[str, DataFrame], base_unique: bool | None = None) -> DataFrame:
     """``pca`` x ``correction_sites`` x ``survey`` with set semantics.
 
-    ``base_unique=True`` is for answers whose ids were checked unique: then
-    only the dimensions are deduplicated and the wide result needs no
-    distinct.
+    When the answers' ids are unique, the answer rows are a set, and joining
+    them to deduplicated dimensions gives a set again: only the (small)
+    dimensions are deduplicated and the joined frame - answers times surveys
+    per facility - needs no distinct. ``base_unique=True`` asserts that
+    (ids already checked, as in the pipeline); ``None`` checks it with one
+    aggregation over the answers; ``False`` always applies the final distinct.
     """
+    if base_unique is None:
+        stats = id_stats(tables[SURVEY_BASE], ID_COL).first()
+        base_unique = stats["n_rows"] == stats["n_distinct"]
     return join_chain(tables, SURVEY_BASE, SURVEY_CHAIN, base_unique=base_unique)
 
 

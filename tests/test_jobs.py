@@ -107,3 +107,16 @@ def test_extract_writes_and_reads_back(spark, workdir):
     out = W.extract(spark, [spec], lambda s: s.apply(src), workdir)
     assert [tuple(r) for r in out["org"].collect()] == [(1,)]
     assert out["org"].schema["orgid"].dataType.typeName() == "integer"
+
+
+def test_survey_join_dedups_when_ids_repeat(spark):
+    answers = spark.createDataFrame([("p1", "North", 1), ("p1", "North", 1), ("p2", "North", 2)],
+                                    "participant_id string, facility_name string, pca_1 int")
+    tables = {"pca": answers,
+              "correction_sites": spark.createDataFrame([("North", 5), ("North", 5)],
+                                                        "facility_name string, facility_id int"),
+              "survey": spark.createDataFrame([(5, 70)], "facility_id int, survey_id int")}
+    assert sorted(tuple(r) for r in S.survey_join(tables).collect()) == [
+        ("p1", "North", 1, 5, 70), ("p2", "North", 2, 5, 70)]
+    unique = tables | {"pca": answers.distinct()}
+    assert S.survey_join(unique).count() == 2
