@@ -22,7 +22,6 @@ from lodestar.functions.ids import assert_unique, assign_ids, id_stats
 from lodestar.functions.patterns import ANSWER_PATTERN, matching_columns
 from lodestar.operators.joins import JoinStep, join_chain
 from lodestar.operators.reshape import unpivot_values
-from lodestar.operators.sort import sort_rows
 from lodestar.plans.warehouse import Reader, extract
 from lodestar.sources.files import materialize, read_csv, write_parquet
 from lodestar.sources.specs import TableSpec, cols
@@ -105,10 +104,26 @@ def survey_join(tables: Mapping[str, DataFrame], base_unique: bool | None = None
 
 def melt(joined: DataFrame, value_type: DataType | str | None = None,
          pattern: str = ANSWER_PATTERN, sort: bool = True) -> DataFrame:
-    """Long responses ``participant_id, survey_id, item_id, response``, no missing."""
+    """Long responses ``participant_id, survey_id, item_id, response``, no missing.
+
+    With ``sort`` the result is in total order of ``participant_id, item_id``
+    (then ``survey_id, response``, so ties have a fixed order). The order is
+    made on the wide rows, before the unpivot multiplies them: the wide frame
+    is range-partitioned on ``participant_id``, so every participant's rows
+    sit in one partition and the partitions follow each other in id order;
+    the long rows are then only sorted inside their partition. That shuffles
+    the wide rows once instead of the (items times more) long rows. One
+    participant's rows are its answers times the surveys of its facility, so
+    no range partition holds more than that for any one id.
+    """
     items = matching_columns(joined.columns, pattern)
+    if sort:
+        joined = joined.repartitionByRange(F.col(ID_COL).asc_nulls_first())
     long = unpivot_values(joined, MELT_IDS, items, ITEM_COL, RESPONSE_COL, value_type)
-    return sort_rows(long, MELT_ORDER) if sort else long
+    if sort:
+        order = [*MELT_ORDER, *[c for c in long.columns if c not in MELT_ORDER]]
+        long = long.sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in order])
+    return long
 
 
 def run_pipeline(spark: SparkSession, csv_path: str, dims_reader: Reader, root: str,

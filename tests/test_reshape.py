@@ -64,3 +64,13 @@ def test_property_long_rows_equal_wide_cells_minus_nulls(spark, data):
     df = spark.createDataFrame(wide, "participant_id string, survey_id int, pca_1 int, pca_2 int, pca_3 int")
     out = S.melt(df, sort=False)
     assert out.count() == sum(v is not None for r in data for v in r)
+
+
+def test_melt_is_totally_ordered_across_partitions(spark):
+    wide = spark.range(3000).selectExpr(
+        "cast(id * 7919 % 3001 as string) as participant_id", "cast(id % 5 as int) as survey_id",
+        "cast(id % 4 as int) as pca_1", "if(id % 3 = 0, null, cast(id % 6 as int)) as pca_10",
+        "cast(id % 2 as int) as pca_2").repartition(13)
+    got = [tuple(r) for r in S.melt(wide).collect()]
+    assert got == sorted(got, key=lambda r: (r[0], r[2], r[1], r[3]))
+    assert len(got) == 3000 * 3 - 1000
