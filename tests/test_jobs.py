@@ -120,3 +120,19 @@ def test_survey_join_dedups_when_ids_repeat(spark):
         ("p1", "North", 1, 5, 70), ("p2", "North", 2, 5, 70)]
     unique = tables | {"pca": answers.distinct()}
     assert S.survey_join(unique).count() == 2
+
+
+def test_normalize_prunes_year_partitions_of_written_join(spark, workdir):
+    cols = W.chain_columns()
+    data = [tuple((i if c.endswith("id") else f"v{i}") if c != "program_year" else 2022 + i % 2
+                  for c in cols) for i in range(6)]
+    ddl = ", ".join(f"{c} {'int' if c.endswith('id') or c == 'program_year' else 'string'}"
+                    for c in cols)
+    joined = spark.createDataFrame(data, ddl)
+    path = W.write_parquet(joined, f"{workdir}/join", partition_by=("program_year",))
+    back = W.read_joined(spark, path, joined.schema)
+    assert back.columns == cols
+    out = W.normalize(back, "children", 2023)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(program_year" in plan and "= 2023)" in plan
+    assert sorted(r.childid for r in out.collect()) == [1, 3, 5]
