@@ -3,6 +3,7 @@ from lodestar.functions.ids import (
     assert_unique,
     assign_ids,
     id_stats,
+    with_row_index,
 )
 from lodestar.functions.patterns import ANSWER_PATTERN, matching_columns
 
@@ -13,4 +14,5 @@ __all__ = [
     "assign_ids",
     "id_stats",
     "matching_columns",
+    "with_row_index",
 ]

@@ -53,3 +53,35 @@ def assert_unique(df: DataFrame, id_col: str = "participant_id") -> int:
             f"{id_col}: {n_rows} rows but {n_distinct} distinct non-null ids"
         )
     return n_rows
+
+
+_POSITION_BITS = 33  # monotonically_increasing_id: partition index above, position below
+
+
+def with_row_index(df: DataFrame, name: str = "index") -> DataFrame:
+    """Prepend ``name``: 0-based row number in the frame's partition order (B2 option).
+
+    Distributed: one job counts the rows of each partition (one row per
+    partition reaches the driver), the running offsets go back as a small
+    table, broadcast (its size is the partition count), and each row adds its
+    position inside its partition. No window over the whole frame, no
+    single-task step. The frame must have a fixed partitioning and order
+    between the two passes, e.g. a parquet scan (as in the CSV export, which
+    reads the written flat table).
+    """
+    if name in df.columns:
+        raise ValueError(f"column {name!r} already exists")
+    mid = F.monotonically_increasing_id()
+    tagged = df.select(F.shiftright(mid, _POSITION_BITS).alias("__part"),
+                       (mid - F.shiftleft(F.shiftright(mid, _POSITION_BITS), _POSITION_BITS))
+                       .alias("__pos"), *df.columns)
+    counts = sorted((int(r["__part"]), int(r["n"])) for r in
+                    tagged.groupBy("__part").agg(F.count(F.lit(1)).alias("n")).collect())
+    offsets, total = [], 0
+    for part, n in counts:
+        offsets.append((part, total))
+        total += n
+    spark = df.sparkSession
+    table = spark.createDataFrame(offsets or [(0, 0)], "__part long, __offset long")
+    return (tagged.join(F.broadcast(table), "__part", "left")
+            .select((F.col("__offset") + F.col("__pos")).alias(name), *df.columns))

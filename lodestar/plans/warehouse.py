@@ -216,9 +216,9 @@ def check_duplicates(caregiver_to_children: DataFrame,
     return reports
 
 
-def export_csv(flat: DataFrame, path: str) -> str:
-    """J11."""
-    return write_csv(flat, path)
+def export_csv(flat: DataFrame, path: str, row_index: str | None = None) -> str:
+    """J11; ``row_index`` adds a leading global row number (see ``write_csv``)."""
+    return write_csv(flat, path, row_index)
 
 
 def read_joined(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

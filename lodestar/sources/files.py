@@ -103,14 +103,19 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
     return reader.csv(path)
 
 
-def write_csv(df: DataFrame, path: str) -> str:
+def write_csv(df: DataFrame, path: str, row_index: str | None = None) -> str:
     """CSV export with a header.
 
     Quotes inside values are doubled and values with the delimiter, a quote
     or a line break are quoted, as pandas does; null and empty string are both
     written as an empty field. Spark writes a folder of part files, one per
-    task, so the export scales with the data.
+    task, so the export scales with the data. ``row_index`` names a leading
+    0-based row-number column (pandas writes its index unless told not to);
+    off by default.
     """
+    if row_index is not None:
+        from lodestar.functions.ids import with_row_index
+        df = with_row_index(df, row_index)
     (df.write.mode("overwrite").option("header", True).option("escape", '"')
      .option("emptyValue", "").option("nullValue", "").csv(path))
     return path

@@ -33,3 +33,23 @@ def test_existing_id_column_rejected(spark):
     df = spark.createDataFrame([("a",)], "participant_id string")
     with pytest.raises(ValueError):
         assign_ids(df)
+
+
+def test_with_row_index_is_global_and_dense(spark, workdir):
+    from lodestar.functions.ids import with_row_index
+    src = spark.range(1000).selectExpr("cast(id as int) as v").repartition(7)
+    src.write.parquet(f"{workdir}/src")
+    df = spark.read.parquet(f"{workdir}/src")
+    out = with_row_index(df)
+    assert out.columns == ["index", "v"]
+    got = [tuple(r) for r in out.collect()]
+    assert [i for i, _ in got] == list(range(1000))
+    assert sorted(v for _, v in got) == list(range(1000))
+
+
+def test_csv_export_with_row_index(spark, workdir):
+    from lodestar.sources.files import read_csv, write_csv
+    df = spark.createDataFrame([("a",), ("b",), ("c",)], "x string")
+    path = write_csv(df, f"{workdir}/csv", row_index="index")
+    back = read_csv(spark, path, schema="index long, x string")
+    assert sorted(tuple(r) for r in back.collect()) == [(0, "a"), (1, "b"), (2, "c")]
