@@ -17,6 +17,7 @@ normalized table reads only the files of its year.
 from __future__ import annotations
 
 import logging
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -155,17 +156,23 @@ Reader = Callable[[TableSpec], DataFrame]
 
 
 def extract(spark: SparkSession, specs: Iterable[TableSpec], reader: Reader,
-            out_root: str) -> dict[str, DataFrame]:
+            out_root: str, concurrent_jobs: int = 4) -> dict[str, DataFrame]:
     """Read every spec through ``reader``, write it, return the read-back tables.
 
     ``reader(spec)`` returns the spec's rows (e.g. ``jdbc_reader`` pushes the
     spec into the database query; for a DataFrame source use ``spec.apply``).
+    The tables are independent, so up to ``concurrent_jobs`` of them are
+    extracted at once, each as its own Spark job: a small dimension read by a
+    single task no longer leaves the rest of the cluster waiting.
     """
-    out = {}
-    for spec in specs:
+    specs = list(specs)
+
+    def one(spec: TableSpec) -> tuple[str, DataFrame]:
         df = reader(spec).select(*spec.output_columns)
-        out[spec.name] = materialize(spark, df, f"{out_root}/{spec.name}")
-    return out
+        return spec.name, materialize(spark, df, f"{out_root}/{spec.name}")
+
+    with ThreadPoolExecutor(max_workers=max(1, min(concurrent_jobs, len(specs) or 1))) as pool:
+        return dict(pool.map(one, specs))
 
 
 def denormalize(tables: Mapping[str, DataFrame], base: str = WAREHOUSE_BASE,
@@ -232,13 +239,13 @@ def read_joined(spark: SparkSession, path: str, schema: StructType) -> DataFrame
 
 def run_pipeline(spark: SparkSession, reader: Reader, root: str,
                  specs: Sequence[TableSpec] = WAREHOUSE_SOURCES,
-                 year: int = DEFAULT_YEAR) -> dict[str, str]:
+                 year: int = DEFAULT_YEAR, concurrent_jobs: int = 4) -> dict[str, str]:
     """Extract -> join -> flat selection -> normalized tables, via parquet.
 
     Returns the dataset path of every output.
     """
     paths: dict[str, str] = {}
-    tables = extract(spark, specs, reader, f"{root}/extract")
+    tables = extract(spark, specs, reader, f"{root}/extract", concurrent_jobs)
     for spec in specs:
         paths[spec.name] = f"{root}/extract/{spec.name}"
 
@@ -248,8 +255,13 @@ def run_pipeline(spark: SparkSession, reader: Reader, root: str,
                                       partition_by=("program_year",))
     joined = read_joined(spark, paths[JOIN_TABLE], schema)
 
-    paths[FLAT_TABLE] = write_parquet(select_total(joined), f"{root}/{FLAT_TABLE}")
+    # The flat and normalized tables only read the written wide table: publish
+    # them as concurrent jobs.
+    outputs = {FLAT_TABLE: select_total(joined)}
     for entity in NORMALIZED:
-        name = NORMALIZED_TABLE.format(entity)
-        paths[name] = write_parquet(normalize(joined, entity, year), f"{root}/{name}")
+        outputs[NORMALIZED_TABLE.format(entity)] = normalize(joined, entity, year)
+    with ThreadPoolExecutor(max_workers=concurrent_jobs) as pool:
+        done = pool.map(lambda kv: (kv[0], write_parquet(kv[1], f"{root}/{kv[0]}")),
+                        outputs.items())
+        paths.update(done)
     return paths
