@@ -85,23 +85,27 @@ FIXTURE_SURVEY_DIMS: tuple[TableSpec, ...] = (
 ALL_FIXTURES = {s.name: s for s in (*FIXTURE_WAREHOUSE, SURVEY_WIDE, *FIXTURE_SURVEY_DIMS)}
 
 
+# Relation handles of the benchmark tables, shared by all queries of one application.
+_SCANS: dict[tuple[str, str], DataFrame] = {}
+
+
 class Fixtures:
     """Lazy access to the benchmark tables and the specs above for one data folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
-        self._bases: dict[str, DataFrame] = {}
         self._sources: dict[str, Callable[[], DataFrame]] = {
             "lineitem_orders_customer": self._lineitem_orders_customer,
             "orders_customer_nation": self._orders_customer_nation,
         }
 
     def base(self, name: str) -> DataFrame:
-        """One scan per table: later uses share the frame (and its file listing)."""
-        if name not in self._bases:
-            self._bases[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-        return self._bases[name]
+        """One scan per table and application: later uses share the frame and its file listing."""
+        key = (self.spark.sparkContext.applicationId, f"{self.sf_dir}/{name}.parquet")
+        if key not in _SCANS:
+            _SCANS[key] = self.spark.read.parquet(key[1])
+        return _SCANS[key]
 
     def source(self, name: str) -> DataFrame:
         if name in self._sources:
