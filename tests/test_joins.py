@@ -159,3 +159,22 @@ def test_property_stepwise_distinct_equals_final_distinct(spark, base, right, ke
     # inner + distinct == semi + distinct
     inner = join_chain(tables, "b", steps, semi_for_key_only=False)
     assert rows(inner) == rows(final)
+
+
+def test_oversized_marked_side_falls_back_to_shuffle_join(spark):
+    dims = frame(spark, [(1, 100), (2, 101)], "orgid int, orgprogramid int")
+    fact = spark.range(3000).selectExpr("cast(100 + id % 3 as int) as orgprogramid",
+                                        "cast(id as int) as applicationid")
+    tables = {"d": dims, "f": fact}
+    steps = [JoinStep("f", ("orgprogramid",), broadcast="left")]
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = join_chain(tables, "d", steps, max_broadcast_rows=1)
+        plan = big._jdf.queryExecution().executedPlan().toString()
+        assert "BuildLeft" not in plan and "SortMergeJoin" in plan
+        small = join_chain(tables, "d", steps)
+        assert "BuildLeft" in small._jdf.queryExecution().executedPlan().toString()
+        assert rows(big) == rows(small) and len(rows(big)) == 2000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
