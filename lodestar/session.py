@@ -10,6 +10,10 @@ On a cluster the deployment owns the session; jobs only take a
   ``applicationid`` and then on ``(childid, applicationid)``; with this off
   the second join reuses the first one's partitioning and only the new
   table is shuffled, not the wide chain frame;
+* ``forceOptimizeSkewedJoin`` on: the chain's final distinct reuses the last
+  join's partitioning, and by default AQE would then not split a hot join
+  key (splitting breaks that partitioning). Forced, AQE splits the hot key
+  and pays one extra shuffle only when it actually finds skew;
 * the UI off.
 """
 
@@ -25,7 +29,7 @@ from lodestar.sources.files import ensure_checkpoint_dir
 def local_session(cores: int | str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "lodestar") -> SparkSession:
     cores = cores or os.environ.get("LODESTAR_CPUS", "8")
-    parts = shuffle_partitions or int(cores) if str(cores).isdigit() else 8
+    parts = shuffle_partitions or (int(cores) if str(cores).isdigit() else 8)
     spark = (
         SparkSession.builder.master(f"local[{cores}]").appName(app_name)
         .config("spark.ui.enabled", "false")
@@ -33,6 +37,7 @@ def local_session(cores: int | str | None = None, shuffle_partitions: int | None
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.sql.requireAllClusterKeysForCoPartition", "false")
         .config("spark.sql.session.timeZone", "UTC")

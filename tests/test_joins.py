@@ -178,3 +178,33 @@ def test_oversized_marked_side_falls_back_to_shuffle_join(spark):
         assert rows(big) == rows(small) and len(rows(big)) == 2000
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+def test_hot_left_join_key_is_split_by_aqe(spark):
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.enabled": "true",
+             "spark.sql.adaptive.skewJoin.enabled": "true",
+             "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+             "spark.sql.shuffle.partitions": "16"}
+    prev = {k: spark.conf.get(k, None) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        # One child id holds 40% of the rows.
+        left = spark.range(400_000).selectExpr(
+            "cast(id as int) as applicationid",
+            "cast(if(id % 5 < 2, 7, id % 20000) as int) as childid")
+        right = spark.range(20000).selectExpr("cast(id as int) as childid", "concat('c', id) as name")
+        out = join_chain({"l": left, "r": right}, "l", [JoinStep("r", ("childid",), "left")])
+        qe = out._jdf.queryExecution()
+        assert qe.executedPlan().execute().count() == 400_000
+        assert "SortMergeJoin(skew=true)" in qe.executedPlan().toString()
+    finally:
+        for k, v in prev.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
