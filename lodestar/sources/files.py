@@ -33,9 +33,15 @@ def checkpoint_root(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession, local_parent: str = "/tmp") -> str:
-    """Return the shared folder; create a local one only if none is set."""
+    """Return the shared folder; create one only for a local session that has none.
+
+    On a cluster a machine-local folder would not be shared by the executors,
+    so an unset ``spark.checkpoint.dir`` is an error there.
+    """
     root = checkpoint_root(spark)
     if root is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lodestar-ckpt-",
                                                              dir=local_parent))
         root = checkpoint_root(spark)
