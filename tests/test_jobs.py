@@ -136,3 +136,12 @@ def test_normalize_prunes_year_partitions_of_written_join(spark, workdir):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(program_year" in plan and "= 2023)" in plan
     assert sorted(r.childid for r in out.collect()) == [1, 3, 5]
+
+
+def test_previews_are_bounded_reads(spark):
+    # Previews are a limit on the job's DataFrame; which rows is undefined.
+    from lodestar.plans.fixtures import Fixtures
+    joined = W.denormalize(Fixtures(spark, "/root/testdata/sf0.001").tables())
+    head = joined.limit(5)
+    assert head.columns == W.chain_columns()
+    assert len(head.collect()) == 5
