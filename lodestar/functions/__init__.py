@@ -1,6 +1,7 @@
 from lodestar.functions.ids import (
     IdCollisionError,
     assert_unique,
+    assign_hash_ids,
     assign_ids,
     id_stats,
     with_row_index,
@@ -11,6 +12,7 @@ __all__ = [
     "ANSWER_PATTERN",
     "IdCollisionError",
     "assert_unique",
+    "assign_hash_ids",
     "assign_ids",
     "id_stats",
     "matching_columns",

@@ -11,23 +11,69 @@ data back before checking or joining on the ids.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ID_PATTERN = r"^[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$"
 
+_POSITION_BITS = 33  # monotonically_increasing_id: partition index above, position below
+
+# Fixed values: (start, length) of the five hex groups of a UUID-shaped id.
+_UUID_GROUPS = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
+
 
 def uuid_column() -> Column:
     return F.expr("uuid()")
 
 
-def assign_ids(df: DataFrame, id_col: str = "participant_id") -> DataFrame:
-    """Append ``id_col`` holding a random v4 UUID string per row."""
+def assign_ids(df: DataFrame, id_col: str = "participant_id", mode: str = "random") -> DataFrame:
+    """Append ``id_col`` with one id per row.
+
+    ``mode="random"``: a random v4 UUID string, as the jobs this re-expresses
+    do. ``mode="hash"``: an id that a rerun over the same rows reproduces
+    (``assign_hash_ids``).
+    """
     if id_col in df.columns:
         raise ValueError(f"column {id_col!r} already exists")
+    if mode == "hash":
+        return assign_hash_ids(df, id_col)
+    if mode != "random":
+        raise ValueError(f"id mode {mode!r} not in ('random', 'hash')")
     return df.withColumn(id_col, uuid_column())
 
 
+def assign_hash_ids(df: DataFrame, id_col: str = "participant_id") -> DataFrame:
+    """Append ``id_col``: SHA-256 of the row's values and its occurrence number, UUID-shaped.
+
+    Identical rows get occurrence numbers ``0..c-1``, so they get different
+    ids, and the same multiset of rows gets the same ids whatever its
+    partitioning. The numbering never gathers a group of identical rows into
+    one task: rows are counted per (row hash, input partition); a running sum
+    over those counts - at most one row per input partition for any row hash -
+    gives each partition's offset; a row's number is its offset plus its
+    position among the identical rows of its own input partition. The input
+    must keep its partitioning between passes, e.g. a file scan (as for an
+    uploaded survey file).
+    """
+    if id_col in df.columns:
+        raise ValueError(f"column {id_col!r} already exists")
+    cols = df.columns
+    mid = F.monotonically_increasing_id()
+    tagged = df.select(*cols, F.sha2(F.to_json(F.struct(*cols)), 256).alias("__h"),
+                       F.shiftright(mid, _POSITION_BITS).alias("__part"))
+    counts = tagged.groupBy("__h", "__part").agg(F.count(F.lit(1)).alias("__n"))
+    offsets = counts.select(
+        "__h", "__part",
+        (F.sum("__n").over(Window.partitionBy("__h").orderBy("__part")) - F.col("__n"))
+        .alias("__off"))
+    numbered = tagged.withColumn(
+        "__pos", F.row_number().over(Window.partitionBy("__h", "__part").orderBy("__h")) - 1)
+    occurrence = (F.col("__off") + F.col("__pos")).cast("string")
+    h = F.sha2(F.concat_ws(":", F.col("__h"), occurrence), 256)
+    shaped = F.concat_ws("-", *[F.substring(h, start, n) for start, n in _UUID_GROUPS])
+    return numbered.join(offsets, ["__h", "__part"]).select(*cols, shaped.alias(id_col))
+
+
 class IdCollisionError(ValueError):
     pass
 
@@ -55,9 +101,6 @@ def assert_unique(df: DataFrame, id_col: str = "participant_id") -> int:
     return n_rows
 
 
-_POSITION_BITS = 33  # monotonically_increasing_id: partition index above, position below
-
-
 def with_row_index(df: DataFrame, name: str = "index") -> DataFrame:
     """Prepend ``name``: 0-based row number in the frame's partition order (B2 option).
 

@@ -58,12 +58,13 @@ FINAL_TABLE = "pca_final"
 
 
 def prepare(raw: DataFrame, answer_type: DataType | str | None = "int",
-            pattern: str = ANSWER_PATTERN) -> DataFrame:
+            pattern: str = ANSWER_PATTERN, id_mode: str = "random") -> DataFrame:
     """J12 transform: id per row, facility renamed, answer columns by pattern.
 
     Output: ``participant_id, facility_name, <answers in file order>``. With
     ``answer_type`` the answers are cast (strictly, under ANSI mode); a CSV
-    read without a schema has string columns.
+    read without a schema has string columns. ``id_mode="hash"`` gives ids
+    that a rerun over the same file reproduces (see ``assign_hash_ids``).
     """
     answers = matching_columns(raw.columns, pattern)
     if FACILITY_COL not in raw.columns:
@@ -72,16 +73,16 @@ def prepare(raw: DataFrame, answer_type: DataType | str | None = "int",
     def answer(c: str):
         return (F.col(c).cast(answer_type) if answer_type is not None else F.col(c)).alias(c)
 
-    return assign_ids(raw, ID_COL).select(
+    return assign_ids(raw, ID_COL, id_mode).select(
         ID_COL, F.col(FACILITY_COL).alias(FACILITY_NAME), *[answer(c) for c in answers])
 
 
 def ingest(spark: SparkSession, csv_path: str, out_path: str,
            schema: StructType | str | None = None, answer_type: DataType | str | None = "int",
-           multi_line: bool = False) -> DataFrame:
+           multi_line: bool = False, id_mode: str = "random") -> DataFrame:
     """Read the CSV, assign ids, write; check id uniqueness on the written data."""
     raw = read_csv(spark, csv_path, schema, multi_line)
-    out = materialize(spark, prepare(raw, answer_type), out_path)
+    out = materialize(spark, prepare(raw, answer_type, id_mode=id_mode), out_path)
     assert_unique(out, ID_COL)
     return out
 

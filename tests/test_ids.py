@@ -53,3 +53,26 @@ def test_csv_export_with_row_index(spark, workdir):
     path = write_csv(df, f"{workdir}/csv", row_index="index")
     back = read_csv(spark, path, schema="index long, x string")
     assert sorted(tuple(r) for r in back.collect()) == [(0, "a"), (1, "b"), (2, "c")]
+
+
+def test_hash_ids_are_unique_and_reproducible(spark, workdir):
+    from lodestar.functions.ids import assign_hash_ids
+    rows = [("North", "1"), ("North", "1"), ("North", "1"), ("South", None), ("South", None), ("East", "2")]
+    spark.createDataFrame(rows * 50, "FACILITY string, pca_1 string").repartition(5) \
+        .write.parquet(f"{workdir}/a")
+    spark.createDataFrame(list(reversed(rows * 50)), "FACILITY string, pca_1 string").coalesce(1) \
+        .write.parquet(f"{workdir}/b")
+    a = assign_hash_ids(spark.read.parquet(f"{workdir}/a"))
+    b = assign_hash_ids(spark.read.parquet(f"{workdir}/b"))
+    assert a.columns == ["FACILITY", "pca_1", "participant_id"]
+    assert assert_unique(a) == 300
+    got_a = sorted(tuple(r) for r in a.collect())
+    assert got_a == sorted(tuple(r) for r in b.collect())       # other partitioning, same ids
+    assert got_a == sorted(tuple(r) for r in assign_hash_ids(spark.read.parquet(f"{workdir}/a")).collect())
+    assert all(len(r[2]) == 36 for r in got_a)
+
+
+def test_id_mode_validation(spark):
+    df = spark.createDataFrame([("a",)], "FACILITY string")
+    with pytest.raises(ValueError):
+        assign_ids(df, mode="sequential")
