@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from lodestar.llm import mixing, warc
+from lodestar.llm import minhash, mixing, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
     "op3_mix_sources": mixing.op3_mix_sources,
+    "op8_minhash": minhash.op8_minhash,
 }
 
 ORACLES = {
