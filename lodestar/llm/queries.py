@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from lodestar.llm import minhash, mixing, warc
+from lodestar.llm import minhash, mixing, substring, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
     "op3_mix_sources": mixing.op3_mix_sources,
     "op8_minhash": minhash.op8_minhash,
+    "op10_substring": substring.op10_substring,
 }
 
 ORACLES = {
     "op1_warc": warc.OP1_SQL,
     "op3_mix_sources": mixing.OP3_SQL,
+    "op10_substring": substring.OP10_SQL,
 }
