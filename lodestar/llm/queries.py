@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from lodestar.llm import minhash, mixing, rules, substring, warc
+from lodestar.llm import minhash, mixing, packing, rules, substring, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
     "op3_mix_sources": mixing.op3_mix_sources,
+    "op5_packing": packing.op5_packing,
     "op7_quality_rules": rules.op7_quality_rules,
     "op8_minhash": minhash.op8_minhash,
     "op10_substring": substring.op10_substring,
