@@ -9,12 +9,14 @@
    posterior of the similarity (uniform prior) is Beta(1 + m, 1 + n - m); the
    pair is dropped as soon as P(similarity >= threshold) < ``miss``.
 4. Survivors are verified exactly on the full shingle sets.
-5. The verified links give components. Members of a bucket that are not in the
-   component of its smallest node are compared with the other members of other
-   components, in blocks: first their best partner in each component, then all
-   that are still apart. Pairs inside a component need no look: a link there
-   changes nothing. So no pair of a bucket is lost, and none is emitted twice
-   for copies.
+5. The verified links give components. In buckets that still hold members
+   outside the component of their smallest node, these outsiders are compared
+   with all members of other components, in blocks: pruned as above, survivors
+   verified exactly on the spot, and one link to each component goes out.
+   Pairs inside a component need no look: a link there changes nothing. So no
+   pair of a bucket is lost, and none goes out for copies.
+
+Buckets with the same members (a group of near copies has many) are one.
 
 Defined cases: texts without words (null, empty) have an empty set, link with
 nothing and are kept; texts of fewer than ``width`` words have their whole word
@@ -172,29 +174,39 @@ def _verify(percent: int):
                 p, q = (np.frombuffer(s.as_buffer(), U64) for s in (x, y))
                 both = len(np.intersect1d(p, q, assume_unique=True))
                 keep.append(100 * both >= percent * (len(p) + len(q) - both))
-            yield (pa.RecordBatch.from_arrays([rb.column("a"), rb.column("b")], ["a", "b"])
+            yield (pa.RecordBatch.from_arrays([rb.column("a"), rb.column("b")], ["u", "v"])
                    .filter(pa.array(keep, pa.bool_())))
     return f
 
 
-def _across(least: np.ndarray, batch: int, n: int, bands: int, rows: int, best: bool):
-    """Pairs of one block of a bucket: outsiders (``out``) with members of other components."""
+def _across(least: np.ndarray, batch: int, n: int, percent: int):
+    """One block of a bucket: links of outsiders (``out``) with members of other components."""
     def f(table: pa.Table) -> pa.Table:
         node, comp = (table.column(c).to_numpy() for c in ("node", "comp"))
         out = table.column("out").to_numpy(zero_copy_only=False)
         sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint32).reshape(-1, n)
-        left, right = np.flatnonzero(out), np.flatnonzero(~out)
-        pairs = []
-        for i in left:
+        sets = [np.frombuffer(s, U64) for s in table.column("shingles").to_pylist()]
+        size = np.array([len(s) for s in sets])
+        starts = np.cumsum(size) - size
+        values, code = np.unique(np.concatenate(sets), return_inverse=True)
+        mark = np.zeros(len(values), np.int32)
+        right, links = np.flatnonzero(~out), []
+        for i in np.flatnonzero(out):
             js = right[comp[right] != comp[i]]
             js = js[survives(np.broadcast_to(sig[i], (len(js), n)), sig[js], least, batch)]
-            if best and len(js):  # the most similar one of each component
-                score = (sig[js] == sig[i]).sum(1)
-                js = js[np.lexsort((node[js], -score, comp[js]))]
-                js = js[np.r_[True, comp[js][1:] != comp[js][:-1]]]
-            pairs += [(min(node[i], node[j]), max(node[i], node[j])) for j in js if node[i] != node[j]]
-        a, b = zip(*sorted(set(pairs))) if pairs else ((), ())
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+            if not len(js):
+                continue
+            own = code[starts[i]:starts[i] + size[i]]
+            mark[own] = 1
+            both = (np.add.reduceat(mark[code], starts)[js] if len(js) > 32 else
+                    np.array([mark[code[starts[j]:starts[j] + size[j]]].sum() for j in js]))
+            mark[own] = 0
+            js = js[100 * both >= percent * (size[i] + size[js] - both)]
+            js = js[np.lexsort((node[js], comp[js]))]
+            js = js[np.r_[True, comp[js][1:] != comp[js][:-1]]] if len(js) else js
+            links += [(node[i], node[j]) for j in js]
+        u, v = zip(*links) if links else ((), ())
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
     return f
 
 
@@ -216,55 +228,54 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = stage(spark, signed.where("node IS NOT NULL").groupBy("node")
                   .agg(F.first("sig").alias("sig")), root, "nodes")
     bucket = nodes.mapInArrow(_bands(bands, rows), "bucket long, node long")
-    firsts = (bucket.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("first"))
-              .where("size > 1"))
-    firsts = stage(spark, firsts, root, "firsts")
+    firsts = (bucket.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("first"),
+                                           F.bit_xor(F.xxhash64("node")).alias("print"))
+              .where("size > 1").groupBy("size", "first", "print").agg(F.min("bucket").alias("bucket")))
+    firsts = stage(spark, firsts.drop("print"), root, "firsts")
     members = stage(spark, bucket.join(firsts, "bucket"), root, "members")
 
-    def verified(pairs: DataFrame, name: str) -> DataFrame:
-        """Of (a, b), those whose full sets are similar enough."""
-        side = lambda c: nodes.select(F.col("node").alias(c), F.col("sig").alias(f"sig_{c}"))
-        looked = stage(spark, pairs.join(side("a"), "a").join(side("b"), "b")
-                       .mapInArrow(_look(least, batch, n), "a long, b long"), root, f"{name}-looked")
-        wanted = looked.select(F.col("a").alias("node")).union(looked.select("b")).distinct()
+    def sets_of(wanted: DataFrame, name: str) -> DataFrame:
+        """(node, shingles) of the nodes in ``wanted``, from a text of each."""
         chosen = (signed.join(wanted, "node", "left_semi").groupBy("node")
-                  .agg(F.min("id").alias("id")).select("id").distinct())
+                  .agg(F.min("id").alias("id")).select(F.col("id").alias("chosen")).distinct())
         chosen = small(stage(spark, chosen, root, f"{name}-chosen"), MAX_BROADCAST_NODES)
-        chosen = chosen.withColumnRenamed("id", "chosen")
         found = (texts.join(chosen, texts["id"].eqNullSafe(chosen["chosen"]), "left_semi")
                  .mapInArrow(_sets(width), "node long, shingles binary")
                  .where("node IS NOT NULL").groupBy("node").agg(F.first("shingles").alias("shingles")))
-        sets = stage(spark, found, root, f"{name}-sets")
-        side = lambda c: sets.select(F.col("node").alias(c), F.col("shingles").alias(f"set_{c}"))
-        return stage(spark, looked.join(side("a"), "a").join(side("b"), "b")
-                     .mapInArrow(_verify(percent), "a long, b long"), root, f"{name}-links")
-
-    star = members.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-    links = verified(star, "star").select(F.col("a").alias("u"), F.col("b").alias("v"))
+        return stage(spark, found, root, f"{name}-sets")
+
+    star = (members.where("node <> first")
+            .select(F.col("first").alias("a"), F.col("node").alias("b")).distinct())
+    side = lambda df, old, c: df.select(F.col("node").alias(c), F.col(old).alias(f"{old[:3]}_{c}"))
+    looked = stage(spark, star.join(side(nodes, "sig", "a"), "a").join(side(nodes, "sig", "b"), "b")
+                   .mapInArrow(_look(least, batch, n), "a long, b long"), root, "looked")
+    sets = sets_of(looked.select(F.col("a").alias("node")).union(looked.select("b")).distinct(), "star")
+    links = (looked.join(side(sets.withColumnRenamed("shingles", "set"), "set", "a"), "a")
+             .join(side(sets.withColumnRenamed("shingles", "set"), "set", "b"), "b")
+             .mapInArrow(_verify(percent), "u long, v long"))
+    links = stage(spark, links, root, "star-links")
     labels = stage(spark, components(spark, links, root, "star-cc"), root, "star-labels")
 
-    for best in (True, False):
-        name = "best" if best else "rest"
-        label = labels.withColumnRenamed("component", "comp")
-        here = (members.where("size > 2").join(label, "node", "left")
-                .withColumn("comp", F.coalesce("comp", "node")))
-        heads = label.select(F.col("node").alias("first"), F.col("comp").alias("first_comp"))
-        here = (here.join(heads, "first", "left")
-                .withColumn("first_comp", F.coalesce("first_comp", "first")).where("node <> first"))
-        outside = here.where("comp <> first_comp")
-        open_buckets = outside.groupBy("bucket").agg(F.count("*").alias("n_out"))
-        rest = stage(spark, here.join(open_buckets, "bucket").join(nodes, "node"), root, f"{name}-open")
-        blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-        right = rest.select("bucket", F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block"),
-                            "node", "comp", "sig", F.lit(False).alias("out"))
-        left = rest.where("comp <> first_comp").select(
-            "bucket", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"),
-            "node", "comp", "sig", F.lit(True).alias("out"))
-        pairs = (right.union(left).groupBy("bucket", "block")
-                 .applyInArrow(_across(least, batch, n, bands, rows, best), "a long, b long").distinct())
-        more = verified(pairs, name).select(F.col("a").alias("u"), F.col("b").alias("v"))
-        links = links.union(more)
-        labels = stage(spark, components(spark, links, root, f"{name}-cc"), root, f"{name}-labels")
+    label = labels.withColumnRenamed("component", "comp")
+    heads = label.select(F.col("node").alias("first"), F.col("comp").alias("first_comp"))
+    here = (members.where("size > 2 AND node <> first").join(label, "node", "left")
+            .join(heads, "first", "left")
+            .withColumn("comp", F.coalesce("comp", "node"))
+            .withColumn("out", F.col("comp") != F.coalesce("first_comp", "first")))
+    open_ = here.groupBy("bucket").agg(F.max("out").alias("open")).where("open").select("bucket")
+    here = stage(spark, here.join(open_, "bucket"), root, "open")
+    sets = sets_of(here.select("node").distinct(), "open")
+    full = here.join(nodes, "node").join(sets, "node")
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    cols = ["bucket", "block", "node", "comp", "sig", "shingles"]
+    right = (full.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+             .select(*cols, F.lit(False).alias("out")))
+    left = (full.where("out").withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+            .select(*cols, F.lit(True).alias("out")))
+    more = (right.union(left).groupBy("bucket", "block")
+            .applyInArrow(_across(least, batch, n, percent), "u long, v long").distinct())
+    links = links.union(stage(spark, more, root, "open-links"))
+    labels = stage(spark, components(spark, links, root, "cc"), root, "labels")
 
     roots = (signed.join(labels, "node", "left")
              .withColumn("component", F.coalesce("component", "node")))
