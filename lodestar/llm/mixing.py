@@ -5,13 +5,14 @@ range-sorted by source and key, so a hot source spreads over many partitions;
 per-partition totals give each partition its offset, a running sum inside the
 partition does the rest, and together they are the distributed prefix sums of
 the sizes. Each source is cut where the prefix sum meets its budget: whole
-epochs first, then the prefix of the key order. The cut of a source is one
-key, so the decision goes back to the documents through a table of one row a
+epochs first, then the prefix of the key order, the document at the cut in
+part, so the words taken meet the budget exactly (rounded down). The cut of a
+source is one key, so the decision goes back to the documents through a table of one row a
 source, and no text is shuffled.
 
 Defined cases: null and empty texts have size 0 and take 0; the null source is
 a source and comes last; rows with one id share a key and are taken together
-(null ids too); sources without words have target 0; an empty table gives an
+(null ids too; at the cut each in the same proportion); sources without words have target 0; an empty table gives an
 empty result; other columns of the input are passed through untouched.
 """
 
@@ -22,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodestar.llm._common import fresh, n_words, scratch, shuffle_partitions, small, stage
+from lodestar.llm._common import fresh, n_words, scratch, shuffle_partitions, small, stage, words
 
 #: Sources up to this many rows (about 100 bytes each) are broadcast to the documents.
 MAX_BROADCAST_SOURCES = 100_000
@@ -39,7 +40,8 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], max_epochs: int,
     Weights go to the sources in code-point order, repeating. Shares follow the
     weights, no target exceeds ``max_epochs`` times its source, and the excess
     is shared again by weight. With the sources sorted by cap per weight, the
-    capped ones are a prefix, so one running sum finds the level of the rest.
+    capped ones are a prefix, so one running sum finds the level of the rest: of
+    the levels that their own source's cap allows, the first, which is the largest.
     The windows run over one row a source.
     """
     by_name = Window.orderBy(F.col("source").isNull(), "source")
@@ -56,7 +58,7 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], max_epochs: int,
          .withColumn("left_w", F.sum("w").over(everything)
                      - F.coalesce(F.sum("w").over(before), F.lit(0.0)))
          .withColumn("level", (F.col("total") - F.col("capped")) / F.col("left_w"))
-         .withColumn("level", F.min(F.when(F.col("ratio") >= F.col("level"), F.col("level")))
+         .withColumn("level", F.max(F.when(F.col("ratio") >= F.col("level"), F.col("level")))
                      .over(everything))
          .withColumn("target", F.least("cap", F.coalesce(F.col("level") * F.col("w"), "cap")))
          .withColumn("epochs", F.when(F.col("source_size") > 0,
@@ -70,9 +72,10 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 source_col: str = "source", weights: Sequence[float] = (5.0, 2.0, 1.0),
                 max_epochs: int = 3, fraction: float = 1.0, seed: str = "mix",
                 out: str = "mix") -> tuple[DataFrame, str]:
-    """``docs`` with one more column, a struct (size, source_size, target, copies, taken), and its name.
+    """``docs`` with one more column, a struct (size, source_size, target, copies, part, taken), and its name.
 
-    ``copies`` is how often the mix takes the document, ``taken`` its words.
+    ``copies`` is how often the mix takes the whole document, ``part`` how many words it takes once
+    more at the cut, ``taken`` the words in all.
     """
     spark = docs.sparkSession
     root = scratch(spark, "mix")
@@ -95,12 +98,14 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                                F.col("p.source").eqNullSafe(F.col("t.source")))
               .select("p.source", "pid", "begin", "rem"))
     so_far = Window.partitionBy("pid", "source").orderBy("key")
-    marks = (runs.alias("r").withColumn("run", F.sum("size").over(so_far))
-             .join(begins.alias("b"), (F.col("r.pid") == F.col("b.pid"))
-                   & F.col("r.source").eqNullSafe(F.col("b.source")))
-             .where((F.col("rem") > 0)
-                    & (F.col("begin") + F.col("run") - F.col("size") / 2 <= F.col("rem"))))
-    cuts = marks.groupBy(F.col("r.source").alias("source")).agg(F.max("key").alias("cut"))
+    sums = (runs.alias("r").withColumn("run", F.sum("size").over(so_far))
+            .join(begins.alias("b"), (F.col("r.pid") == F.col("b.pid"))
+                  & F.col("r.source").eqNullSafe(F.col("b.source")))
+            .select(F.col("r.source").alias("source"), "key", "size", "rem",
+                    (F.col("begin") + F.col("run")).alias("run")))
+    cuts = (sums.where(F.col("run") > F.col("rem")).groupBy("source")
+            .agg(F.min(F.struct("key", "size", (F.col("rem") - F.col("run") + F.col("size"))
+                                .alias("part"))).alias("cut")))
     plan = stage(spark, targets.alias("t").join(
         cuts.alias("c"), F.col("t.source").eqNullSafe(F.col("c.source")), "left")
         .select("t.source", "source_size", "target", "epochs", "cut"), root, "plan")
@@ -108,23 +113,35 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     name, p = fresh(docs, out), fresh(docs, "mix_plan")
     plan = small(plan.select(F.struct("*").alias(p)), MAX_BROADCAST_SOURCES)
     joined = docs.join(plan, docs[source_col].cast("string").eqNullSafe(F.col(f"{p}.source")), "left")
-    size = n_words(docs[text_col])
-    copies = F.col(f"{p}.epochs") + F.coalesce(
-        (random_key(docs[id_col], seed) <= F.col(f"{p}.cut")).cast("long"), F.lit(0))
+    size, key, cut = n_words(docs[text_col]), random_key(docs[id_col], seed), F.col(f"{p}.cut")
+    copies = F.col(f"{p}.epochs") + F.coalesce((key < cut["key"]).cast("long"), F.lit(0))
+    part = F.when((key == cut["key"]) & (cut["size"] > 0),
+                  F.floor(size * cut["part"] / cut["size"])).otherwise(0)
     return joined.select(
         *[docs[c] for c in docs.columns],
         F.struct(size.alias("size"), F.col(f"{p}.source_size").alias("source_size"),
-                 F.col(f"{p}.target").alias("target"), copies.alias("copies"),
-                 (size * copies).alias("taken")).alias(name)), name
+                 F.col(f"{p}.target").alias("target"), copies.alias("copies"), part.alias("part"),
+                 (size * copies + part).alias("taken")).alias(name)), name
 
 
-def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: every document repeated as often as it is taken, columns as in ``docs``."""
-    takes, name = mix_sources(docs, **options)
+def mixed(docs: DataFrame, text_col: str = "text", chars_col: str | None = "n_chars",
+          **options) -> DataFrame:
+    """The mix itself: every document as often as it is taken, columns as in ``docs``.
+
+    The last copy of a document at its source's cut has its first ``part``
+    words, joined by one space, and ``chars_col``, if there, counts them.
+    """
+    takes, name = mix_sources(docs, text_col=text_col, **options)
     again = fresh(takes, "mix_copy")
-    return (takes.where(F.col(f"{name}.copies") > 0)
-            .withColumn(again, F.explode(F.sequence(F.lit(1).cast("long"), F.col(f"{name}.copies"))))
-            .select(*docs.columns))
+    copies, part = F.col(f"{name}.copies"), F.col(f"{name}.part")
+    n = copies + (part > 0).cast("long")
+    takes = takes.where(n > 0).withColumn(again, F.explode(F.sequence(F.lit(1).cast("long"), n)))
+    cut = F.col(again) > copies
+    text = F.when(cut, F.array_join(F.slice(words(F.col(text_col)), F.lit(1), part.cast("int")), " "))
+    new = {text_col: F.coalesce(text, F.col(text_col)), chars_col: F.coalesce(
+        F.length(text), F.col(chars_col)).cast(docs.schema[chars_col].dataType)
+        if chars_col in docs.columns else None}
+    return takes.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
 
 
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,17 +172,19 @@ l AS (
   FROM w),
 t AS (
   SELECT source, source_size,
-         least(cap, (SELECT min(lev) FROM l WHERE ratio >= lev) * w) AS target FROM l),
+         least(cap, (SELECT max(lev) FROM l WHERE ratio >= lev) * w) AS target FROM l),
 e AS (
   SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS epochs
   FROM t),
 r AS (
   SELECT d.doc_id, d.size, e.source_size, e.target, e.epochs,
          e.target - e.epochs * e.source_size AS rem,
-         (sum(d.size) OVER (PARTITION BY d.source ORDER BY d.k))::DOUBLE AS run
+         (sum(d.size) OVER (PARTITION BY d.source ORDER BY d.k))::DOUBLE AS run,
+         (sum(d.size) OVER (PARTITION BY d.source, d.k))::DOUBLE AS tie
   FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source)
 SELECT doc_id, size, source_size, target,
-       (size * (epochs + CASE WHEN rem > 0 AND run - size / 2.0::DOUBLE <= rem
-                              THEN 1 ELSE 0 END))::BIGINT AS taken
+       (size * epochs + CASE WHEN run <= rem THEN size
+                             WHEN tie > 0 AND run - tie <= rem THEN floor(size * (rem - run + tie) / tie)
+                             ELSE 0 END)::BIGINT AS taken
 FROM r
 """
