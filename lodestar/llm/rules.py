@@ -126,7 +126,9 @@ def quality(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_co
     verdict = F.struct(*[c.alias(k) for k, c in counts.items()], F.col(rep).alias("n_repeat_words"),
                        F.col(score).alias("score"), failed.alias("base_failed"),
                        (~failed & (F.col(score) >= threshold)).alias("kept"))
-    return df.select(*[df[c] for c in docs.columns], verdict.alias(name)), name
+    # The explode of one element keeps a filter on the verdict above these expressions; pushed below,
+    # it would hold each of them many times over.
+    return df.select(*[df[c] for c in docs.columns], F.explode(F.array(verdict)).alias(name)), name
 
 
 def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
