@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from lodestar.llm import minhash, mixing, packing, rules, substring, warc
+from lodestar.llm import lm, minhash, mixing, packing, rules, substring, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
+    "op2_lm_score": lm.op2_lm_score,
     "op3_mix_sources": mixing.op3_mix_sources,
     "op5_packing": packing.op5_packing,
     "op7_quality_rules": rules.op7_quality_rules,
