@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from lodestar.llm import lm, minhash, mixing, packing, rules, substring, warc
+from lodestar.llm import embeddings, lm, minhash, mixing, packing, rules, substring, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
     "op2_lm_score": lm.op2_lm_score,
     "op3_mix_sources": mixing.op3_mix_sources,
     "op5_packing": packing.op5_packing,
+    "op6_embedding_dedup": embeddings.op6_embedding_dedup,
     "op7_quality_rules": rules.op7_quality_rules,
     "op8_minhash": minhash.op8_minhash,
     "op10_substring": substring.op10_substring,
@@ -17,5 +18,6 @@ QUERIES = {
 ORACLES = {
     "op1_warc": warc.OP1_SQL,
     "op3_mix_sources": mixing.OP3_SQL,
+    "op6_embedding_dedup": embeddings.OP6_SQL,
     "op10_substring": substring.OP10_SQL,
 }
