@@ -21,7 +21,7 @@ sequences do not add up over the groups.
 
 Defined cases: null and empty texts are the end id alone; pieces of equal
 length are interchangeable; rows that repeat are packed each on its own; null
-ids are allowed; very long texts are encoded in parts; an empty table gives an
+ids are allowed; a very long text is encoded on its own; an empty table gives an
 empty result; other columns are ignored. The tokenizer file's path is a
 parameter; it is read on the executors.
 """
@@ -29,43 +29,111 @@ parameter; it is read on the executors.
 from __future__ import annotations
 
 import bisect
+import os
+import re
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.llm._common import scratch, stage
-from lodestar.llm._hashing import pieces as parts_of
 
 CAPACITY = 2048
 #: A sequence of the first round stays closed if it is at least this full.
 CLOSED = 0.998
+#: Sentence marks that are encoded apart from the word before them.
+MARKS = ".,;:!?"
+#: Lower-case Latin letters, and a test for words of such letters in either case.
+LOWER = "".join(map(chr, [*range(0x61, 0x7B), *range(0xDF, 0xF7), *range(0xF8, 0x100)]))
+LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
 
 
 # ---------------------------------------------------------------- tokenising
 
 
-class WordIds(dict):
-    """Word to its ids as little-endian uint32 bytes; emptied when it holds ``limit`` words."""
+class WordIds:
+    """Encodes each distinct word once: words map to their ids as uint32 bytes.
+
+    Two generations of at most ``limit`` words each bound the memory (about
+    200 bytes a word): when the young one is full it becomes the old one, and a
+    word found in the old one moves back, so frequent words stay.
+
+    A word of Latin letters only is one pre-token, so its ids come from the
+    tokenizer's model alone; whether that holds for this tokenizer is tried out
+    on all the letters when it is loaded.
+    """
 
     def __init__(self, path: str, limit: int = 400_000):
         from tokenizers import Tokenizer
-        super().__init__()
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
-
-    def encode(self, words: list[bytes]) -> bytes:
-        new = list({w for w in words if w not in self})
-        if len(self) + len(new) > self.limit:
-            self.clear()
-            new = list(set(words))
-        if new:
-            texts = [w.decode("utf-8", "replace") for w in new]
-            found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-            self.update(zip(new, (np.array(e.ids, "<u4").tobytes() for e in found)))
-        return b"".join(map(self.__getitem__, words))
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.letters = str.maketrans({c: self._mapped(c) for c in LOWER})
+        trial = [LOWER, LOWER.upper().replace("SS", ""), "straße", "El", "Ça"]
+        self.plain = all(self._model_ids(w) == self._ids([w])[0] for w in trial)
+
+    def _mapped(self, letter: str) -> str:
+        """How the tokenizer's model sees a letter."""
+        pre = self.tokenizer.pre_tokenizer
+        found = pre.pre_tokenize_str(letter) if pre else [(letter, None)]
+        return "".join(p for p, _ in found)
+
+    def _model_ids(self, word: str) -> bytes:
+        found = self.model.tokenize(word.lower().translate(self.letters))
+        return array("I", [t.id for t in found]).tobytes()
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes()
+                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words."""
+        if len(self.young) > self.limit:
+            self.old, self.young = self.young, {}
+        found = list(map(self.young.get, words))
+        missing = [w for w, v in zip(words, found) if v is None]
+        if missing:
+            self._learn(missing)
+            found = list(map(self.young.__getitem__, words))
+        return found
+
+    def _learn(self, words: list[str]) -> None:
+        """Take words from the old generation, or encode them.
+
+        The tokenizer never joins a letter or digit and the sentence marks
+        after it, so a word that ends in marks is put together from two parts.
+        """
+        young, old, new, joined = self.young, self.old, {"": None}, []
+        for w in words:
+            v = old.get(w)
+            if v is not None:
+                young[w] = v
+            elif w and w[-1] in MARKS and (stem := w.rstrip(MARKS))[-1:].isalnum() and stem[-1].isascii():
+                marks = w[len(stem):]
+                joined.append((w, stem, marks))
+                for p in (stem, marks):
+                    if p not in young:
+                        if (v := old.get(p)) is None:
+                            new[p] = None
+                        else:
+                            young[p] = v
+            else:
+                new[w] = None
+        rest = []
+        for p in new:
+            if self.plain and LATIN(p):
+                young[p] = self._model_ids(p)
+            else:
+                rest.append(p)
+        young.update(zip(rest, self._ids(rest)))
+        for w, stem, marks in joined:
+            young[w] = young[stem] + young[marks]
 
 
 @lru_cache(maxsize=1)
@@ -73,36 +141,75 @@ def _word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
-def token_ids(text: bytes | None, path: str, end_id: int = 0) -> bytes:
-    """Ids of a text and the end id, as little-endian uint32 bytes."""
-    ids = _word_ids(path)
-    return b"".join(ids.encode(p.split()) for p in parts_of(text or b"")) + np.uint32(end_id).tobytes()
+def word_codes(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(distinct words, the word at each place, first place of each text) of large strings without nulls."""
+    split = pc.ascii_split_whitespace(texts)
+    bounds = split.offsets.to_numpy().astype(np.int64)
+    coded = split.values.slice(bounds[0], bounds[-1] - bounds[0]).dictionary_encode()
+    words, code = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+    if "" in words:  # white space at either end of a text leaves an empty word
+        empty = code == words.index("")
+        gone = np.r_[0, np.cumsum(empty)]
+        return words, code[~empty], (bounds - bounds[0]) - gone[bounds - bounds[0]]
+    return words, code, bounds - bounds[0]
+
+
+def token_ids(texts: pa.Array, path: str, end_id: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts (large strings without nulls), each ended by the end id, and where each begins.
+
+    White space, distinct words and the gathering of ids are array work; only
+    a distinct word is a Python object.
+    """
+    plain = pc.and_(pc.string_is_ascii(texts), pc.invert(pc.match_substring(texts, "<")))
+    words, code, bounds = word_codes(pc.if_else(plain, pc.ascii_lower(texts), texts))
+    blobs = _word_ids(path).encode(words)
+    size = np.array([len(b) for b in blobs], np.int64) // 4
+    values = np.frombuffer(b"".join(blobs), np.uint32)
+    n = size[code]
+    before = np.r_[0, np.cumsum(n)]
+    ids = values[np.repeat((np.cumsum(size) - size)[code] - before[:-1], n) + np.arange(before[-1])]
+    begin = before[bounds]  # without the end ids
+    out = np.full(len(ids) + len(texts), end_id, np.uint32)
+    out[np.arange(len(ids)) + np.repeat(np.arange(len(texts)), np.diff(begin))] = ids
+    return out, begin + np.arange(len(begin))
+
+
+def text_slices(texts: pa.Array, most: int = 1 << 22):
+    """(first row, row after the last, texts) of about ``most`` bytes of text; nulls are empty texts.
+
+    Each is a copy of its own: some string kernels misread arrays that are cut out of others.
+    """
+    size = np.asarray(pc.fill_null(pc.binary_length(texts), 0)).astype(np.int64).cumsum()
+    begin = 0
+    while begin < len(texts):
+        end = int(np.searchsorted(size, (size[begin - 1] if begin else 0) + most)) + 1
+        end = min(end, len(texts))
+        own = texts.take(pa.array(np.arange(begin, end))).cast(pa.large_string())
+        yield begin, end, pc.fill_null(own, "")
+        begin = end
 
 
 def _tokenise(path: str, end_id: int, capacity: int, keep_ids: bool):
     def f(batches):
-        import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         for rb in batches:
-            of, piece, start, length, crc, blobs = [], [], [], [], [], []
-            for i, t in enumerate(rb.column("text").cast(pa.large_binary())):
-                ids = token_ids(t.as_py(), path, end_id)
-                for k, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    blob = ids[at:at + 4 * capacity]
-                    of.append(i)
-                    piece.append(k)
-                    start.append(at // 4)
-                    length.append(len(blob) // 4)
-                    crc.append(zlib.crc32(blob))
-                    if keep_ids:
-                        blobs.append(np.frombuffer(blob, "<u4").astype(np.int32))
-            cols = [rb.column("id").take(pa.array(of, pa.int64())), pa.array(piece, pa.int32()),
-                    pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
-            names = ["id", "piece", "start", "length", "ids_crc32"]
-            if keep_ids:
-                cols.append(pa.array(blobs, pa.list_(pa.int32())))
-                names.append("ids")
-            yield pa.RecordBatch.from_arrays(cols, names)
+            for b, e, texts in text_slices(rb.column("text")):
+                ids, begin = token_ids(texts, path, end_id)
+                per = -(-np.diff(begin) // capacity)
+                of = np.repeat(np.arange(e - b), per)
+                piece = np.arange(len(of)) - np.repeat(np.cumsum(per) - per, per)
+                at = begin[of] + piece * capacity
+                to = np.minimum(at + capacity, begin[of + 1])
+                raw = memoryview(ids.astype("<u4").tobytes())
+                crc = [zlib.crc32(raw[4 * i:4 * j]) for i, j in zip(at.tolist(), to.tolist())]
+                cols = [rb.column("id").take(pa.array(of + b)), pa.array(piece.astype(np.int32)),
+                        pa.array(piece * capacity), pa.array(to - at), pa.array(crc, pa.int64())]
+                names = ["id", "piece", "start", "length", "ids_crc32"]
+                if keep_ids:
+                    cols.append(pa.ListArray.from_arrays(np.r_[at, len(ids)].astype(np.int32),
+                                                         pa.array(ids.view(np.int32))))
+                    names.append("ids")
+                yield pa.RecordBatch.from_arrays(cols, names)
     return f
 
 

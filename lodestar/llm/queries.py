@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lodestar.llm import embeddings, lm, minhash, mixing, packing, rules, substring, warc
+from lodestar.llm import embeddings, lm, minhash, mixing, packing, rules, substring, toxicity, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_embedding_dedup": embeddings.op6_embedding_dedup,
     "op7_quality_rules": rules.op7_quality_rules,
     "op8_minhash": minhash.op8_minhash,
+    "op9_toxicity": toxicity.op9_toxicity,
     "op10_substring": substring.op10_substring,
 }
 
