@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from lodestar.llm import embeddings, lm, minhash, mixing, packing, rules, substring, toxicity, warc
+from lodestar.llm import embeddings, kneser_ney, lm, minhash, mixing, packing, rules, substring, toxicity, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
     "op2_lm_score": lm.op2_lm_score,
     "op3_mix_sources": mixing.op3_mix_sources,
+    "op4_kneser_ney": kneser_ney.op4_kneser_ney,
     "op5_packing": packing.op5_packing,
     "op6_embedding_dedup": embeddings.op6_embedding_dedup,
     "op7_quality_rules": rules.op7_quality_rules,

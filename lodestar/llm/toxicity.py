@@ -3,15 +3,16 @@
 A word's vector is the mean of the embeddings of its character n-grams (3 to 5
 characters of ``<word>``, hashed to ``2**BITS`` rows), so an unseen misspelling
 shares most of its vectors with the word it hides. A segment of ``SEGMENT``
-words is the mean of its words, and a linear softmax over two classes gives its
-score; a text scores as its most toxic segment, so a long text does not dilute
+words is the mean over that many places, with a repeated word once and nothing
+in the other places (so neither a mild word said often nor a short last segment
+weighs more), and a linear softmax over two classes gives its score; a text scores as its most toxic segment, so a long text does not dilute
 a short insult. Embeddings and softmax are trained jointly, in numpy, by
 Adagrad: first on all segments of the sample, then on each toxic text's most
 toxic segments against the others' most toxic ones. Last, a logistic curve is fitted to
 the texts' scores, weighted to the labels' true shares.
 
-The model is fitted on a bounded sample of labelled texts, at most ``per_class``
-of each class and ``max_bytes`` of text, in the order of a hash of the id.
+The model is fitted on a bounded sample of labelled texts, at most ``most``
+(toxic, other) texts and ``max_bytes`` of text, in the order of a hash of the id.
 As both layers are linear, a text needs one number per n-gram row, which is all
 that is broadcast (1 MiB). Every text is scored whole.
 
@@ -46,7 +47,7 @@ def ngrams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     size = np.array([len(w) for w in words], np.int64) + 2
     chars = np.frombuffer("".join(f"<{w}>" for w in words).encode("utf-32-le"), "<u4").astype(U64)
     ends = np.repeat(np.cumsum(size), size)
-    word = np.repeat(np.arange(len(words)), size)
+    word = np.repeat(np.arange(len(words), dtype=np.int32), size)
     of, row = [], []
     for n in SIZES:
         k = len(chars) - n + 1
@@ -57,8 +58,8 @@ def ngrams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
             h = h * U64(0x100000001B3) + chars[j:j + k]
         inside = np.arange(k) + n <= ends[:k]
         of.append(word[:k][inside])
-        row.append((mix(h[inside]) >> U64(64 - BITS)).astype(np.int64))
-    return (np.concatenate(of), np.concatenate(row)) if of else (np.empty(0, np.int64),) * 2
+        row.append((mix(h[inside]) >> U64(64 - BITS)).astype(np.int32))
+    return (np.concatenate(of), np.concatenate(row)) if of else (np.empty(0, np.int32),) * 2
 
 
 def word_values(words: list[str], table: np.ndarray) -> np.ndarray:
@@ -69,7 +70,7 @@ def word_values(words: list[str], table: np.ndarray) -> np.ndarray:
 
 
 def segments(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-    """(distinct words, word of each place, segment of each place, text of each segment).
+    """(distinct words, and for each word of each segment its number and the segment's; text of each segment).
 
     Every text has at least one segment.
     """
@@ -78,15 +79,15 @@ def segments(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray, np.nda
     per = np.maximum(-(-n // SEGMENT), 1)
     first = np.cumsum(per) - per
     place = np.arange(len(code)) - np.repeat(bounds[:-1], n)
-    return words, code, np.repeat(first, n) + place // SEGMENT, np.repeat(np.arange(len(texts)), per)
+    both = np.unique((np.repeat(first, n) + place // SEGMENT) * len(words) + code)
+    return words, both % max(len(words), 1), both // max(len(words), 1), np.repeat(np.arange(len(texts)), per)
 
 
 def segment_means(value: np.ndarray, code: np.ndarray, seg: np.ndarray, count: int) -> np.ndarray:
-    total = np.bincount(seg, weights=value[code], minlength=count)
-    return total / np.maximum(np.bincount(seg, minlength=count), 1)
+    return np.bincount(seg, weights=value[code], minlength=count) / SEGMENT
 
 
-def train(texts: list[str], toxic: np.ndarray, share: float, epochs: int = 6, rate: float = 0.2,
+def train(texts: list[str], toxic: np.ndarray, share: float, epochs: int = 10, rate: float = 0.2,
           seed: int = 9) -> tuple[np.ndarray, float, float, float]:
     """(value of each n-gram row, bias, slope, intercept); ``share`` is the labels' share of toxic texts."""
     rng = np.random.default_rng(seed)
@@ -96,14 +97,14 @@ def train(texts: list[str], toxic: np.ndarray, share: float, epochs: int = 6, ra
     g_emb, g_out, g_bias = np.full(1 << BITS, 1e-8), np.full((DIM, 2), 1e-8), np.full(2, 1e-8)
     words, code, seg, doc = segments(pa.array(texts, pa.large_string()))
     of, row = ngrams(words)
-    start = np.searchsorted(of, np.arange(len(words) + 1)) if (np.diff(of) >= 0).all() else None
-    if start is None:
-        order = np.argsort(of, kind="stable")
-        of, row = of[order], row[order]
-        start = np.searchsorted(of, np.arange(len(words) + 1))
+    order = np.argsort(of, kind="stable")
+    of, row = of[order], row[order]
+    start = np.searchsorted(of, np.arange(len(words) + 1))
     at = np.searchsorted(seg, np.arange(len(doc) + 1))
     label = toxic[doc].astype(np.int64)
 
+    even = label.mean() / max(1 - label.mean(), 1e-9)  # as many clean segments as toxic texts have
+
     def logits() -> np.ndarray:
         value = word_mean(emb @ (out[:, 1] - out[:, 0]))
         return segment_means(value, code, seg, len(doc)) + bias[1] - bias[0]
@@ -116,7 +117,7 @@ def train(texts: list[str], toxic: np.ndarray, share: float, epochs: int = 6, ra
         return np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
 
     for epoch in range(epochs):
-        chosen = np.arange(len(doc))
+        chosen = np.flatnonzero(rng.random(len(doc)) < np.where(label == 1, 1.0, even))
         if epoch >= 2:  # the most toxic segments of each text: two where it is toxic, four where not
             z = logits()
             order = np.lexsort((-z, doc))
@@ -128,7 +129,7 @@ def train(texts: list[str], toxic: np.ndarray, share: float, epochs: int = 6, ra
             w = code[places]
             grams = ranges(start[w], start[w + 1])
             per_word = start[w + 1] - start[w]
-            weight = np.repeat(1 / (per_word * np.maximum(np.bincount(who, minlength=len(batch)), 1)[who]), per_word)
+            weight = np.repeat(1 / (per_word * SEGMENT), per_word)
             owner, rows = np.repeat(who, per_word), row[grams]
             x = np.stack([np.bincount(owner, weights=emb[rows, d] * weight, minlength=len(batch))
                           for d in range(DIM)], 1)
@@ -166,14 +167,13 @@ def train(texts: list[str], toxic: np.ndarray, share: float, epochs: int = 6, ra
 def _score(model):
     def f(batches):
         for rb in batches:
-            texts = pc.fill_null(rb.column("text").cast(pa.large_string()), "")
             out = [np.empty(0)]
-            for b, e in text_slices(texts):
+            for b, e, texts in text_slices(rb.column("text")):
                 if model.value is None:
                     out.append(np.zeros(e - b))
                     continue
                 table, bias, slope, intercept = model.value
-                words, code, seg, doc = segments(texts.slice(b, e - b))
+                words, code, seg, doc = segments(texts)
                 z = np.full(e - b, -np.inf)
                 np.maximum.at(z, doc, segment_means(word_values(words, table), code, seg, len(doc)) + bias)
                 out.append(1 / (1 + np.exp(-np.clip(slope * z + intercept, -40, 40))))
@@ -184,7 +184,7 @@ def _score(model):
 
 
 def sample(docs: DataFrame, labels: DataFrame, root: str, id_col: str, text_col: str,
-           per_class: int, max_bytes: int) -> tuple[list[str], np.ndarray, float]:
+           most: tuple[int, int], max_bytes: int) -> tuple[list[str], np.ndarray, float]:
     """Texts and classes of the sample, and the share of toxic ones among all usable labels."""
     spark = docs.sparkSession
     known = (labels.toDF("id", "toxic").where("id IS NOT NULL AND toxic IS NOT NULL").groupBy("id")
@@ -192,7 +192,8 @@ def sample(docs: DataFrame, labels: DataFrame, root: str, id_col: str, text_col:
     share = known.agg(F.avg(F.col("toxic").cast("double"))).first()[0]
     if not share or share == 1:
         return [], np.empty(0, bool), 0.0
-    ids = [known.where(F.col("toxic") == t).orderBy(F.xxhash64("id"), "id").limit(per_class) for t in (True, False)]
+    ids = [known.where(F.col("toxic") == t).orderBy(F.xxhash64("id"), "id").limit(n)
+           for t, n in zip((True, False), most)]
     ids = stage(spark, ids[0].union(ids[1]), root, "ids")
     text = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     found = text.join(F.broadcast(ids), "id").where("text IS NOT NULL")
@@ -206,7 +207,7 @@ def sample(docs: DataFrame, labels: DataFrame, root: str, id_col: str, text_col:
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str = "doc_id",
-             text_col: str = "text", per_class: int = 1500, max_bytes: int = 12 << 20,
+             text_col: str = "text", most: tuple[int, int] = (1500, 4500), max_bytes: int = 16 << 20,
              threshold: float = 0.3) -> DataFrame:
     """(id, held_out, score, predicted), a row per row of ``docs``.
 
@@ -215,7 +216,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str =
     """
     spark = docs.sparkSession
     own = labels.toDF("id", "toxic").where(~F.coalesce(held_out, F.lit(False)))
-    texts, toxic, share = sample(docs, own, scratch(spark, "toxicity"), id_col, text_col, per_class, max_bytes)
+    texts, toxic, share = sample(docs, own, scratch(spark, "toxicity"), id_col, text_col, most, max_bytes)
     model = train(texts, toxic, share) if toxic.any() and not toxic.all() else None
     sent = spark.sparkContext.broadcast(model)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
