@@ -33,19 +33,27 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 
 
-def _ngrams(ws: Column, bits: int) -> list[Column]:
-    """Bucket numbers of the n-grams by kind, arrays of int; kinds have their own ranges."""
-    n = 1 << bits
-    bucket = lambda kind, *of: (F.pmod(F.xxhash64(*of), F.lit(n)) + kind * n).cast("int")
-    return [F.transform(ws, lambda w: bucket(0, w)),
-            F.zip_with(ws, F.slice(ws, F.lit(2), F.greatest(F.size(ws) - 1, F.lit(0))),
-                       lambda a, b: F.when(b.isNotNull(), bucket(1, a, b))),
-            F.transform(ws, lambda w: bucket(2, F.substring(w, -3, 3)))]
+def _pairwise(hashes: Column, apart: int) -> Column:
+    """Hashes of the elements that stand ``apart`` places from each other."""
+    n = F.greatest(F.size(hashes) - apart, F.lit(0))
+    return F.zip_with(F.slice(hashes, F.lit(1), n), F.slice(hashes, F.lit(1 + apart), n),
+                      lambda a, b: F.xxhash64(a, b))
+
 
+def _with_hashes(docs: DataFrame, text_col: str) -> tuple[DataFrame, str, str, str]:
+    """``docs`` plus the words of the text, their hashes, and the hashes of neighbouring pairs; the names."""
+    ws, h, h2 = fresh(docs, "words"), fresh(docs, "hashes"), fresh(docs, "pairs")
+    df = docs.withColumn(ws, words(F.col(text_col).cast("string")))
+    df = df.withColumn(h, F.transform(F.col(ws), lambda w: F.xxhash64(w)))
+    return df.withColumn(h2, _pairwise(F.col(h), 1)), ws, h, h2
 
-def _with_words(docs: DataFrame, text_col: str) -> tuple[DataFrame, str]:
-    ws = fresh(docs, "words")
-    return docs.withColumn(ws, words(F.col(text_col).cast("string"))), ws
+
+def _buckets(bits: int, ws: Column, h: Column, h2: Column):
+    """(array, bucket of an element) for each kind of n-gram; kinds have their own ranges."""
+    n = 1 << bits
+    low = lambda kind, x: (x.bitwiseAND(F.lit(n - 1)) + kind * n).cast("int")
+    return [(h, lambda x: low(0, x)), (h2, lambda x: low(1, x)),
+            (ws, lambda w: low(2, F.xxhash64(F.right(w, F.lit(3)))))]
 
 
 def ratios(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str, bits: int,
@@ -54,10 +62,10 @@ def ratios(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str, bits
     ids = trusted.toDF("id").where("id IS NOT NULL").distinct()
     ids = ids.orderBy(F.xxhash64("id"), "id").limit(max_trusted)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    rows, ws = _with_words(rows.join(F.broadcast(ids.withColumn("t", F.lit(1))), "id", "left"), "text")
-    grams = F.concat(*_ngrams(F.col(ws), bits))
+    rows, *names = _with_hashes(rows.join(F.broadcast(ids.withColumn("t", F.lit(1))), "id", "left"), "text")
+    grams = F.concat(*[F.transform(a, f) for a, f in _buckets(bits, *map(F.col, names))])
     counts = (rows.select(F.coalesce("t", F.lit(0)).alias("t"), F.explode(grams).alias("bucket"))
-              .where("bucket IS NOT NULL").groupBy("bucket")
+              .groupBy("bucket")
               .agg(F.count("*").alias("raw"), F.sum("t").alias("good")))
     counts = stage(docs.sparkSession, counts, scratch(docs.sparkSession, "rules"), "counts")
     n = 1 << bits
@@ -82,18 +90,16 @@ def base_counts(ws: Column, text: Column) -> dict[str, Column]:
             "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long")}
 
 
-def _repeated(df: DataFrame, ws: str, out: str) -> DataFrame:
-    """``df`` plus ``out``: words in windows of WINDOW words that are found twice or more.
+def _repeated(df: DataFrame, h2: str, out: str) -> DataFrame:
+    """``df`` plus ``out``: words in windows of WINDOW (8) words that are found twice or more.
 
-    Window hashes are sorted with their places; equal neighbours are repeats.
-    The sorted places of those tell the covered words. Texts without repeats
-    (most) stop after one distinct.
+    Hashes of pairs give those of four and of eight words. They are sorted with
+    their places; equal neighbours are repeats, and the sorted places of those
+    tell the covered words. Texts without repeats (most) stop after one distinct.
     """
-    h, win, srt, at = (fresh(df, c) for c in ("h", "win", "srt", "at"))
+    h4, win, srt, at = (fresh(df, c) for c in ("h4", "win", "srt", "at"))
     col = F.col
-    df = df.withColumn(h, F.transform(col(ws), lambda w: F.xxhash64(w)))
-    df = df.withColumn(win, F.when(F.size(h) >= WINDOW, F.transform(
-        F.sequence(F.lit(1), F.size(h) - (WINDOW - 1)), lambda i: F.xxhash64(F.slice(col(h), i, WINDOW)))))
+    df = df.withColumn(h4, _pairwise(col(h2), 2)).withColumn(win, _pairwise(col(h4), 4))
     df = df.withColumn(srt, F.when(F.size(F.array_distinct(col(win))) < F.size(win), F.sort_array(
         F.transform(col(win), lambda x, i: F.struct(x.alias("x"), i.alias("i"))))))
     n = F.size(srt)
@@ -103,7 +109,7 @@ def _repeated(df: DataFrame, ws: str, out: str) -> DataFrame:
     gaps = F.zip_with(col(at), F.slice(col(at), F.lit(2), F.size(at) - 1),
                       lambda a, b: F.least(F.coalesce(b - a, F.lit(WINDOW)), F.lit(WINDOW)))
     total = F.aggregate(gaps, F.lit(0), lambda s, g: s + g)
-    return df.withColumn(out, F.coalesce(total, F.lit(0)).cast("long")).drop(h, win, srt, at)
+    return df.withColumn(out, F.coalesce(total, F.lit(0)).cast("long")).drop(h4, win, srt, at)
 
 
 def quality(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -112,12 +118,12 @@ def quality(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_co
     """``docs`` with one more column, a struct of the counts, score, base_failed and kept; and its name."""
     table = ratios(docs, trusted, id_col, text_col, bits, max_trusted, prior)
     model = F.split(F.lit(",".join(f"{x:.5g}" for x in table)), ",").cast("array<double>")
-    df, ws = _with_words(docs, text_col)
+    df, ws, h, h2 = _with_hashes(docs, text_col)
     rep, score = fresh(df, "rep"), fresh(df, "score")
-    df = _repeated(df, ws, rep)
-    add = lambda s, g: s + F.when(g.isNotNull(), F.get(model, g)).otherwise(0.0)
-    grams = _ngrams(F.col(ws), bits)
-    total = sum((F.aggregate(g, F.lit(0.0), add) for g in grams), F.lit(0.0))
+    df = _repeated(df, h2, rep)
+    adding = lambda f: lambda s, x: s + F.get(model, f(x))
+    total = sum((F.aggregate(a, F.lit(0.0), adding(f))
+                 for a, f in _buckets(bits, F.col(ws), F.col(h), F.col(h2))), F.lit(0.0))
     n = F.greatest(3 * F.size(ws) - 1, F.lit(1))
     df = df.withColumn(score, F.round(total / n, 9))
     counts = base_counts(F.col(ws), F.col(text_col).cast("string"))
