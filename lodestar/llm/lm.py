@@ -252,7 +252,10 @@ class Model:
         a, b = w[:-1], w[1:]
         seen = (q[a] > 0) & (c > 0)
         p2 = np.where(seen, (c - DISCOUNT) / TOPS[q[a]], 0.0)
-        return np.log10(np.minimum(p2 + (1 - np.where(q[a] > 0, r[a], 0.0)) * p1[b], 1.0))
+        taken = np.where(q[a] > 0, r[a], 0.0)
+        # a context that its pairs fill leaves one part in SHARES to other words
+        p2 = np.where(taken == 1, p2 * (1 - 1 / SHARES), p2)
+        return np.log10(np.minimum(p2 + np.maximum(1 - taken, 1 / SHARES) * p1[b], 1.0))
 
 
 def train(texts: DataFrame, root: str, head: int = 200_000,
@@ -284,10 +287,10 @@ def train(texts: DataFrame, root: str, head: int = 200_000,
         parts[r["kind"] - 10][r["bucket"]] = bytes(r["bits"])
     for r in shares.toLocalIterator():
         parts[2][r["bucket"]] = bytes(r["bits"])
-    top = vocab.orderBy(F.desc("c"), "h").limit(head).toPandas() if head else None
-    keys = top["h"].to_numpy().astype(np.int64).view(U64) if head else np.empty(0, U64)
+    top = vocab.orderBy(F.desc("c"), "h").limit(head).toArrow() if head else None
+    keys = top.column("h").to_numpy().view(U64) if head else np.empty(0, U64)
     order = np.argsort(keys)
-    counts = top["c"].to_numpy().astype(np.int64)[order] if head else np.empty(0, np.int64)
+    counts = top.column("c").to_numpy()[order] if head else np.empty(0, np.int64)
     model = Model(buckets, int(n), int(v), float(mass), (keys[order].tobytes(), counts.tobytes()), parts)
     return model, vocab
 
