@@ -38,7 +38,7 @@ from lodestar.llm.packing import text_slices, word_codes
 
 BITS = 17
 DIM = 8
-SEGMENT = 16
+SEGMENT = 8
 SIZES = (3, 4, 5)
 
 
@@ -62,11 +62,15 @@ def ngrams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(of), np.concatenate(row)) if of else (np.empty(0, np.int32),) * 2
 
 
-def word_values(words: list[str], table: np.ndarray) -> np.ndarray:
-    """Mean over each word's n-grams of ``table``."""
-    of, row = ngrams(words)
-    n = np.maximum(np.bincount(of, minlength=len(words)), 1)
-    return np.bincount(of, weights=table[row], minlength=len(words)) / n
+def word_values(words: list[str], table: np.ndarray, chunk: int = 1 << 14) -> np.ndarray:
+    """Mean over each word's n-grams of ``table``, some words at a time."""
+    out = [np.empty(0)]
+    for at in range(0, len(words), chunk):
+        some = words[at:at + chunk]
+        of, row = ngrams(some)
+        n = np.maximum(np.bincount(of, minlength=len(some)), 1)
+        out.append(np.bincount(of, weights=table[row], minlength=len(some)) / n)
+    return np.concatenate(out)
 
 
 def segments(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
@@ -168,7 +172,7 @@ def _score(model):
     def f(batches):
         for rb in batches:
             out = [np.empty(0)]
-            for b, e, texts in text_slices(rb.column("text")):
+            for b, e, texts in text_slices(rb.column("text"), 1 << 21):
                 if model.value is None:
                     out.append(np.zeros(e - b))
                     continue
