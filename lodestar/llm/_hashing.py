@@ -11,6 +11,7 @@ from __future__ import annotations
 import functools
 
 import numpy as np
+import pyarrow.compute as pc
 import xxhash
 
 U64 = np.uint64
@@ -22,7 +23,7 @@ BASE2 = 0xC2B2AE3D27D4EB4F | 1
 class WordHashes(dict):
     """Word to 64-bit hash; emptied when it holds ``limit`` words, so its memory is bounded."""
 
-    def __init__(self, limit: int = 300_000):
+    def __init__(self, limit: int = 200_000):
         super().__init__()
         self.limit = limit
 
@@ -37,6 +38,17 @@ class WordHashes(dict):
 WORD_HASHES = WordHashes()
 
 
+def slices(batches, column: str = "text", most: int = 1 << 22):
+    """The rows of Arrow record batches in batches of about ``most`` bytes of text: bounds what a task copies."""
+    for rb in batches:
+        size = np.asarray(pc.fill_null(pc.binary_length(rb.column(column)), 0)).astype(np.int64).cumsum()
+        begin = 0
+        while begin < rb.num_rows:
+            end = int(np.searchsorted(size, (size[begin - 1] if begin else 0) + most)) + 1
+            yield rb.slice(begin, end - begin)
+            begin = end
+
+
 def pieces(text: bytes, most: int = 1 << 22):
     """``text`` cut at white space into parts of about ``most`` bytes: bounds the word list of a long text."""
     begin, n = 0, len(text)

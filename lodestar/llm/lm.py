@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from lodestar.llm._common import scratch, shuffle_partitions, stage
-from lodestar.llm._hashing import U64, mix, word_hashes
+from lodestar.llm._hashing import U64, mix, slices, word_hashes
 
 END = U64(xxhash.xxh3_64_intdigest(b"\n"))
 BASE = 1.5
@@ -156,7 +156,7 @@ def _count(buckets: int, batch_tokens: int):
 
     def f(batches):
         held, n = [], 0
-        for rb in batches:
+        for rb in slices(batches):
             for t in rb.column("text").cast(pa.large_binary()):
                 held.append(tokens(t.as_py()))
                 n += len(held[-1])
@@ -338,7 +338,7 @@ def _score(model, batch_tokens: int):
 
     def f(batches):
         m, rids, held, n = model.value, [], [], 0
-        for rb in batches:
+        for rb in slices(batches):
             for rid, t in zip(rb.column("rid").to_pylist(), rb.column("text").cast(pa.large_binary())):
                 rids.append(rid)
                 held.append(tokens(t.as_py()))

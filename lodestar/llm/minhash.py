@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.llm._common import fresh, scratch, small, stage
-from lodestar.llm._hashing import U64, mix, rolling, word_hashes
+from lodestar.llm._hashing import U64, mix, rolling, slices, word_hashes
 from lodestar.llm.components import components
 
 #: Nodes (8 bytes each) up to which the list of texts to verify is broadcast.
@@ -112,7 +112,7 @@ def survives(a: np.ndarray, b: np.ndarray, least: np.ndarray, batch: int) -> np.
 
 def _sign(width: int, n: int):
     def f(batches):
-        for rb in batches:
+        for rb in slices(batches):
             texts = rb.column("text").cast(pa.large_binary()).to_pylist()
             sets = [shingles(t, width) for t in texts]
             full = [s for s in sets if len(s)]
@@ -156,7 +156,7 @@ def _look(least: np.ndarray, batch: int, n: int):
 
 def _sets(width: int):
     def f(batches):
-        for rb in batches:
+        for rb in slices(batches):
             texts = rb.column("text").cast(pa.large_binary()).to_pylist()
             blobs = [shingles(t, width).tobytes() for t in texts]
             nodes = [xxhash.xxh3_64_intdigest(s) - (1 << 63) if s else None for s in blobs]

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.llm._common import fresh, scratch, shuffle_partitions, stage
-from lodestar.llm._hashing import BASE, BASE2, U64, mix, rolling, word_hashes
+from lodestar.llm._hashing import BASE, BASE2, U64, mix, rolling, slices, word_hashes
 
 #: Bytes of the table of intervals up to which it is broadcast to the documents.
 MAX_BROADCAST_BYTES = 16 << 20
@@ -182,7 +182,7 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _kept(batches):
     """(text, spans) to the number of words, of removed words, and the text that stays."""
-    for rb in batches:
+    for rb in slices(batches):
         n_words, n_removed, kept = [], [], []
         for text, spans in zip(rb.column("text").cast(pa.large_binary()), rb.column("spans")):
             text, spans = text.as_py() or b"", spans.as_py()
