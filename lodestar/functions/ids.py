@@ -68,10 +68,13 @@ def assign_hash_ids(df: DataFrame, id_col: str = "participant_id") -> DataFrame:
         .alias("__off"))
     numbered = tagged.withColumn(
         "__pos", F.row_number().over(Window.partitionBy("__h", "__part").orderBy("__h")) - 1)
-    occurrence = (F.col("__off") + F.col("__pos")).cast("string")
+    # A left join and a check: should the input be partitioned differently in the two passes, rows
+    # must not vanish silently.
+    offset = F.coalesce("__off", F.raise_error(F.lit("the input changed its partitioning between passes")))
+    occurrence = (offset + F.col("__pos")).cast("string")
     h = F.sha2(F.concat_ws(":", F.col("__h"), occurrence), 256)
     shaped = F.concat_ws("-", *[F.substring(h, start, n) for start, n in _UUID_GROUPS])
-    return numbered.join(offsets, ["__h", "__part"]).select(*cols, shaped.alias(id_col))
+    return numbered.join(offsets, ["__h", "__part"], "left").select(*cols, shaped.alias(id_col))
 
 
 class IdCollisionError(ValueError):

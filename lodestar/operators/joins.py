@@ -34,8 +34,8 @@ wide chain frame is shuffled once instead of once per arm table.
 
 Broadcasts. A step may mark one side as expected small (``broadcast="left"``
 for a dimension-only prefix in front of a fact table, ``"right"`` for a small
-dimension). That side is broadcast only after a bounded count proves it has
-at most ``max_broadcast_rows`` rows and ``max_broadcast_bytes`` bytes of
+dimension). That side is broadcast only after counting it (one pass over the
+side, partial in its scan tasks) proves it has at most ``max_broadcast_rows`` rows and ``max_broadcast_bytes`` bytes of
 values; otherwise the join is left to Spark (a sort-merge join, with AQE
 splitting skewed partitions). All marked sides of a chain are counted in one
 job. Unmarked steps are
@@ -197,19 +197,26 @@ def chain_output_columns(columns: Mapping[str, Sequence[str]], base: str,
 
 def join_chain(tables: Mapping[str, DataFrame], base: str, steps: Sequence[JoinStep], *,
                dedup: bool = True, base_unique: bool = False,
-               distinct_after: Collection[str] = (), semi_for_key_only: bool = True,
-               spread_null_keys: bool = True,
+               distinct_after: Collection[str] = (), unique_from: str | None = None,
+               semi_for_key_only: bool = True, spread_null_keys: bool = True,
                max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Fold ``steps`` over ``tables[base]``; see the module docstring.
 
     ``dedup=False`` returns the bag (no distinct, no semi-join rewrite).
 
+    ``unique_from`` names the step after which the frame is made a set, while it
+    is narrow; the tables after it are deduplicated at their own size, joins of
+    sets are sets, and the wide result needs no distinct.
+
     The chain is built once with every marked side hinted for broadcast, and
     the marked sides are then checked together in one job. Only if one of
     them is too big is the chain built again, with that hint left out.
     """
+    if unique_from is not None and unique_from not in [s.table for s in steps]:
+        raise KeyError(f"no step {unique_from!r} in the chain")
     opts = dict(dedup=dedup, base_unique=base_unique, distinct_after=set(distinct_after),
+                unique_from=unique_from,
                 semi_for_key_only=semi_for_key_only, spread_null_keys=spread_null_keys)
     marked: list[DataFrame] = []
 
@@ -227,7 +234,7 @@ def join_chain(tables: Mapping[str, DataFrame], base: str, steps: Sequence[JoinS
 
 def _fold(tables: Mapping[str, DataFrame], base: str, steps: Sequence[JoinStep],
           hint: Callable[[DataFrame], DataFrame], *, dedup: bool, base_unique: bool,
-          distinct_after: Collection[str], semi_for_key_only: bool,
+          distinct_after: Collection[str], unique_from: str | None, semi_for_key_only: bool,
           spread_null_keys: bool) -> DataFrame:
     df = tables[base]
     order = list(df.columns)
@@ -244,7 +251,7 @@ def _fold(tables: Mapping[str, DataFrame], base: str, steps: Sequence[JoinStep],
                 raise ColumnCollisionError(
                     f"branch of {step.table!r} joins on {shadowed}, which the chain already has")
             right = _fold(tables, step.table, step.branch, hint, dedup=False, base_unique=False,
-                          distinct_after=(), semi_for_key_only=False,
+                          distinct_after=(), unique_from=None, semi_for_key_only=False,
                           spread_null_keys=spread_null_keys)
         _check_keys(right, keys, "right", step.table)
         extra = [c for c in right.columns if c not in keys]
@@ -276,7 +283,9 @@ def _fold(tables: Mapping[str, DataFrame], base: str, steps: Sequence[JoinStep],
                 df = df.join(right, keys, "inner").select(*order)
         if step.how == "inner":
             not_null.update(keys)
-        if dedup and step.table in distinct_after:
+        if dedup and step.table == unique_from:
+            df, dedup_right = df.distinct(), True
+        elif dedup and step.table in distinct_after:
             df = df.distinct()
 
     if dedup and not dedup_right:

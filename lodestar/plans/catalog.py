@@ -13,10 +13,12 @@ session's checkpoint folder.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lodestar.functions.ids import assign_ids, id_stats
+from lodestar.functions.ids import ID_PATTERN, assign_ids, id_stats
 from lodestar.operators.aggregate import distinct_rows, group_count
 from lodestar.operators.joins import JoinStep, join_chain, left_join
 from lodestar.operators.projection import cast_keys, select_by_pattern, select_columns
@@ -52,10 +54,9 @@ def _survey_answers(fx: Fixtures) -> DataFrame:
     return select_by_pattern(fx.table("survey_wide"), leading=(S.ID_COL, S.FACILITY_NAME))
 
 
-def _survey_joined(fx: Fixtures) -> DataFrame:
-    tables = {S.SURVEY_BASE: _survey_answers(fx),
-              "correction_sites": fx.table("correction_sites"), "survey": fx.table("survey")}
-    return S.survey_join(tables)
+def _survey_tables(fx: Fixtures) -> dict[str, DataFrame]:
+    return {S.SURVEY_BASE: _survey_answers(fx),
+            "correction_sites": fx.table("correction_sites"), "survey": fx.table("survey")}
 
 
 def _write_survey_csv(spark: SparkSession, fx: Fixtures, root: str) -> str:
@@ -131,7 +132,8 @@ def q_group_count(spark, sf_dir):
 
 
 def q_id_uniqueness(spark, sf_dir):
-    return id_stats(assign_ids(Fixtures(spark, sf_dir).survey_csv_frame(), S.ID_COL), S.ID_COL)
+    rows = assign_ids(Fixtures(spark, sf_dir).survey_csv_frame(), S.ID_COL)
+    return id_stats(materialize(spark, rows, f"{_stage_root(spark, 'ids')}/rows"), S.ID_COL)
 
 
 def q_denormalized_join(spark, sf_dir):
@@ -188,30 +190,82 @@ def q_survey_upload_stream(spark, sf_dir):
 
 
 def q_assign_ids(spark, sf_dir):
-    return S.prepare(Fixtures(spark, sf_dir).survey_csv_frame())
+    """Random ids on the written rows: their form, and whether each is the only one of its kind."""
+    root = _stage_root(spark, "ids")
+    rows = materialize(spark, S.prepare(Fixtures(spark, sf_dir).survey_csv_frame()), f"{root}/ids")
+    often = rows.groupBy(S.ID_COL).agg(F.count("*").alias("times"))
+    rows = rows.join(often, S.ID_COL)
+    return rows.select(S.FACILITY_NAME, "pca_1", "pca_2", "pca_10",
+                       F.length(S.ID_COL).alias("id_length"),
+                       F.col(S.ID_COL).rlike(ID_PATTERN).alias("is_v4"),
+                       (F.col("times") == 1).alias("is_unique"))
+
+
+def q_assign_hash_ids(spark, sf_dir):
+    """Hash ids on two writes of the same rows in different partitionings: equal ids, row by row."""
+    root = _stage_root(spark, "hash-ids")
+    frame = Fixtures(spark, sf_dir).survey_csv_frame()
+    ids = []
+    for name, df in (("a", frame), ("b", frame.repartition(7))):
+        written = materialize(spark, df, f"{root}/rows-{name}")
+        ids.append(materialize(spark, S.prepare(written, id_mode="hash"), f"{root}/ids-{name}"))
+    other = ids[1].select(S.ID_COL, F.struct(S.FACILITY_NAME, "pca_1", "pca_2", "pca_10").alias("other"))
+    both = ids[0].join(other, S.ID_COL, "left")
+    same = F.struct(S.FACILITY_NAME, "pca_1", "pca_2", "pca_10").eqNullSafe(F.col("other"))
+    return both.select(S.FACILITY_NAME, "pca_1", "pca_2", "pca_10", same.alias("is_reproduced"))
+
+
+def q_csv_ingest_quoted(spark, sf_dir):
+    """A survey file with an ignored text column full of commas, quotes and line breaks."""
+    root = _stage_root(spark, "csv-quoted")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    quoted = F.concat(F.lit('a "quoted", line\n'), F.col("text"))
+    raw = docs.select(F.col("source").alias(S.FACILITY_COL), quoted.alias("comment"),
+                      F.col("doc_id").alias("pca_1"), F.col("n_chars").alias("pca_2"))
+    path = write_csv(raw, f"{root}/pca_input_data")
+    return S.ingest(spark, path, f"{root}/{S.INPUT_TABLE}").drop(S.ID_COL)
+
+
+def q_csv_export_blanks(spark, sf_dir):
+    """Values with blanks, quotes and line breaks through the CSV export and back."""
+    root = _stage_root(spark, "csv-blanks")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = docs.select("doc_id", F.concat(F.lit("  "), "source", F.lit(" ")).alias("source"),
+                       F.concat(F.lit("\t"), "text", F.lit(" q, ")).alias("text"))
+    return read_csv(spark, W.export_csv(rows, f"{root}/rows"), schema=rows.schema)
 
 
 def q_survey_join(spark, sf_dir):
-    return _survey_joined(Fixtures(spark, sf_dir))
+    return S.survey_join(_survey_tables(Fixtures(spark, sf_dir)))
 
 
 def q_survey_melt(spark, sf_dir):
-    return S.melt(_survey_joined(Fixtures(spark, sf_dir)))
+    return S.melt_of_tables(_survey_tables(Fixtures(spark, sf_dir)))
 
 
 def q_warehouse_pipeline(spark, sf_dir):
+    """Every published table: its name, row count, and a checksum of the keys in it."""
     fx = Fixtures(spark, sf_dir)
     root = _stage_root(spark, "warehouse")
     paths = W.run_pipeline(spark, fx.read_spec, root, specs=FIXTURE_WAREHOUSE)
-    return spark.read.parquet(paths[W.NORMALIZED_TABLE.format("children_to_inmate")])
+    published = [(W.FLAT_TABLE, F.length("child_first_name"))] + [
+        (W.NORMALIZED_TABLE.format(entity), F.col(key)) for entity, key in _ENTITY_KEYS.items()]
+    parts = [spark.read.parquet(paths[name]).agg(
+        F.lit(name).alias("table_name"), F.count("*").alias("n_rows"),
+        F.sum(key.cast("long")).alias("key_sum")) for name, key in published]
+    return reduce(DataFrame.unionAll, parts)
 
 
 def q_survey_pipeline(spark, sf_dir):
+    """One line per participant, the sorted surveys, items and responses; then the random id goes."""
     fx = Fixtures(spark, sf_dir)
     root = _stage_root(spark, "survey")
     csv_path = _write_survey_csv(spark, fx, root)
     paths = S.run_pipeline(spark, csv_path, fx.read_spec, root, dims=FIXTURE_SURVEY_DIMS)
-    return spark.read.parquet(paths[S.FINAL_TABLE]).drop(S.ID_COL)
+    long = spark.read.parquet(paths[S.FINAL_TABLE])
+    line = F.concat_ws(":", "survey_id", S.ITEM_COL, S.RESPONSE_COL)
+    return (long.groupBy(S.ID_COL).agg(F.array_join(F.array_sort(F.collect_list(line)), " ")
+                                       .alias("answers")).select("answers"))
 
 
 QUERIES: dict[str, Query] = {
@@ -243,6 +297,9 @@ QUERIES: dict[str, Query] = {
     "csv_ingest": q_csv_ingest,
     "survey_upload_stream": q_survey_upload_stream,
     "assign_ids": q_assign_ids,
+    "assign_hash_ids": q_assign_hash_ids,
+    "csv_ingest_quoted": q_csv_ingest_quoted,
+    "csv_export_blanks": q_csv_export_blanks,
     "survey_join": q_survey_join,
     "survey_melt": q_survey_melt,
     "warehouse_pipeline": q_warehouse_pipeline,
@@ -263,7 +320,8 @@ FIXTURE_SQL: dict[str, str] = {
                   "CAST(l_orderkey AS INT) AS applicationid, CAST(l_partkey AS INT) AS childid "
                   "FROM lineitem JOIN orders ON o_orderkey = l_orderkey "
                   "JOIN customer ON c_custkey = o_custkey",
-    "inmapp": "SELECT CAST(o_orderkey AS INT) AS applicationid, CAST(o_custkey AS INT) AS caregiverid, "
+    "inmapp": "SELECT CAST(o_orderkey AS INT) AS applicationid, "
+              "CAST(CASE WHEN o_orderpriority <> '5-LOW' THEN o_custkey END AS INT) AS caregiverid, "
               "CAST(o_orderkey % 10 AS INT) AS inmateid FROM orders WHERE o_orderstatus = 'F'",
     "inmappchdj": "SELECT CAST(l_orderkey AS INT) AS applicationid, CAST(l_partkey AS INT) AS childid, "
                   "l_linestatus AS message_to_child, l_returnflag AS parent_nickname "
@@ -272,15 +330,14 @@ FIXTURE_SQL: dict[str, str] = {
            "s_name AS inmate_first_name, CAST(s_nationkey AS VARCHAR) AS inmate_last_name FROM supplier",
     "prs": "SELECT CAST(n_nationkey AS INT) AS prisonid FROM nation",
     "crg": "SELECT CAST(c_custkey AS INT) AS caregiverid, CAST(c_nationkey AS INT) AS addressid, "
-           "CAST(c_custkey AS INT) AS contactid, c_name AS caregiver_first_name, "
-           "c_mktsegment AS caregiver_last_name FROM customer WHERE c_acctbal > 0",
+           "CAST(CASE WHEN c_mktsegment <> 'HOUSEHOLD' THEN c_custkey END AS INT) AS contactid, "
+           "c_name AS caregiver_first_name, c_mktsegment AS caregiver_last_name FROM customer",
     "adrcrg": "SELECT CAST(n_nationkey AS INT) AS addressid, n_name AS caregiver_address1, "
               "CAST(NULL AS VARCHAR) AS caregiver_address2, n_name AS caregiver_city, "
               "CAST(n_regionkey AS VARCHAR) AS caregiver_stateid, "
               "CAST(n_nationkey AS VARCHAR) AS caregiver_zipcode FROM nation",
     "cntcrg": "SELECT CAST(c_custkey AS INT) AS contactid, c_name AS caregiver_email, "
-              "CAST(c_custkey AS VARCHAR) AS caregiver_phone FROM customer "
-              "WHERE c_mktsegment <> 'HOUSEHOLD'",
+              "CAST(c_custkey AS VARCHAR) AS caregiver_phone FROM customer",
     "chd": "SELECT CAST(p_partkey AS INT) AS childid, p_name AS child_first_name, "
            "p_brand AS child_last_name FROM part WHERE p_size < 25",
     "survey_wide": "SELECT CAST(o_orderkey AS VARCHAR) AS participant_id, n_name AS facility_name, "
@@ -292,7 +349,7 @@ FIXTURE_SQL: dict[str, str] = {
                    "JOIN nation ON c_nationkey = n_nationkey",
     "correction_sites": "SELECT n_name AS facility_name, CAST(n_nationkey AS INT) AS facility_id "
                         "FROM nation WHERE n_regionkey <> 4",
-    "survey": "SELECT CAST(s_nationkey AS INT) AS facility_id, CAST(s_suppkey AS INT) AS survey_id "
+    "survey": "SELECT CAST(s_nationkey AS INT) AS facility_id, CAST(s_suppkey % 4 AS INT) AS survey_id "
               "FROM supplier",
 }
 
@@ -350,10 +407,21 @@ def _mentions(sql: str, name: str) -> bool:
     return re.search(rf"\b(FROM|JOIN)\s+{re.escape(name)}\b", sql) is not None
 
 
+# The columns of the published tables and a key of each.
+_ENTITY_KEYS = {"caregiver": "caregiverid", "children": "childid", "inmate": "inmateid",
+                "caregiver_to_children": "childid", "children_to_inmate": "inmateid"}
 _C2I = ("childid, child_first_name, child_last_name, inmateid, inmate_first_name, "
         "inmate_last_name, message_to_child, parent_nickname, program_year")
 _C2C = ("caregiverid, caregiver_first_name, caregiver_last_name, childid, child_first_name, "
         "child_last_name, program_year")
+_ENTITY_SQL = {
+    "caregiver": "caregiverid, caregiver_first_name, caregiver_last_name, caregiver_address1, "
+                 "caregiver_address2, caregiver_city, caregiver_stateid, caregiver_zipcode, "
+                 "caregiver_email, caregiver_phone, program_year",
+    "children": "childid, child_first_name, child_last_name, program_year",
+    "inmate": "inmateid, prisonid, inmate_first_name, inmate_last_name, program_year",
+    "caregiver_to_children": _C2C, "children_to_inmate": _C2I,
+}
 _FLAT = ", ".join(W.FLAT_COLUMNS)
 _FLAT_NULLIF = ", ".join(f"NULLIF({c}, '') AS {c}" for c in W.FLAT_COLUMNS)
 
@@ -422,9 +490,23 @@ ORACLES: dict[str, str] = {
     "survey_join": _with("SELECT * FROM survey_joined", "survey_joined"),
     "survey_melt": _with("SELECT * FROM survey_long", "survey_long"),
     "warehouse_pipeline": _with(
-        f"SELECT DISTINCT {_C2I} FROM joined WHERE program_year = 2023", "joined"),
-    "survey_pipeline": _with("SELECT survey_id, item_id, response FROM survey_long", "survey_long"),
+        " UNION ALL ".join(
+            [f"SELECT '{W.FLAT_TABLE}' AS table_name, count(*) AS n_rows, "
+             "CAST(sum(length(child_first_name)) AS BIGINT) AS key_sum FROM joined"]
+            + [f"SELECT '{W.NORMALIZED_TABLE.format(e)}', count(*), CAST(sum({k}) AS BIGINT) "
+               f"FROM (SELECT DISTINCT {_ENTITY_SQL[e]} FROM joined WHERE program_year = 2023)"
+               for e, k in _ENTITY_KEYS.items()]), "joined"),
+    "survey_pipeline": _with(
+        "SELECT string_agg(line, ' ' ORDER BY line) AS answers FROM (SELECT participant_id, "
+        "survey_id || ':' || item_id || ':' || response AS line FROM survey_long) "
+        "GROUP BY participant_id", "survey_long"),
+    "assign_ids": _with(
+        "SELECT facility_name, pca_1, pca_2, pca_10, 36 AS id_length, TRUE AS is_v4, TRUE AS is_unique "
+        "FROM survey_wide", "survey_wide"),
+    "assign_hash_ids": _with(
+        "SELECT facility_name, pca_1, pca_2, pca_10, TRUE AS is_reproduced FROM survey_wide", "survey_wide"),
+    "csv_ingest_quoted": "SELECT source AS facility_name, CAST(doc_id AS INT) AS pca_1, "
+                         "CAST(n_chars AS INT) AS pca_2 FROM documents",
+    "csv_export_blanks": "SELECT doc_id, '  ' || source || ' ' AS source, "
+                         "chr(9) || text || ' q, ' AS text FROM documents",
 }
-
-# Not SQL-comparable: random ids.
-NO_ORACLE = ("assign_ids",)

@@ -4,8 +4,9 @@ The benchmark data (``region nation customer supplier part orders lineitem``)
 has none of the warehouse or survey tables, so each one is declared as a
 ``TableSpec`` over a benchmark table (or a join of them) with the same output
 columns and types as the real extraction. Every spec reads its whole source
-table; the filters only create rows without a left-join partner, the way the
-real source filters (``status = 1``) do.
+table; filters stand only where the real extraction has one (``status = 1``).
+Left-join keys are null on some rows, so those find no partner, and a facility
+has at most four surveys, so the survey output grows with the answers.
 """
 
 from __future__ import annotations
@@ -31,7 +32,8 @@ FIXTURE_WAREHOUSE: tuple[TableSpec, ...] = (
               (Col("c_nationkey + 100", "orgprogramid", "int"),
                Col("l_orderkey", "applicationid", "int"), Col("l_partkey", "childid", "int"))),
     TableSpec("inmapp", "orders",
-              (Col("o_orderkey", "applicationid", "int"), Col("o_custkey", "caregiverid", "int"),
+              (Col("o_orderkey", "applicationid", "int"),
+               Col("CASE WHEN o_orderpriority <> '5-LOW' THEN o_custkey END", "caregiverid", "int"),
                Col("o_orderkey % 10", "inmateid", "int")),
               where="o_orderstatus = 'F'"),
     TableSpec("inmappchdj", "lineitem",
@@ -45,9 +47,8 @@ FIXTURE_WAREHOUSE: tuple[TableSpec, ...] = (
     TableSpec("prs", "nation", (Col("n_nationkey", "prisonid", "int"),)),
     TableSpec("crg", "customer",
               (Col("c_custkey", "caregiverid", "int"), Col("c_nationkey", "addressid", "int"),
-               Col("c_custkey", "contactid", "int"), Col("c_name", "caregiver_first_name"),
-               Col("c_mktsegment", "caregiver_last_name")),
-              where="c_acctbal > 0"),
+               Col("CASE WHEN c_mktsegment <> 'HOUSEHOLD' THEN c_custkey END", "contactid", "int"),
+               Col("c_name", "caregiver_first_name"), Col("c_mktsegment", "caregiver_last_name"))),
     TableSpec("adrcrg", "nation",
               (Col("n_nationkey", "addressid", "int"), Col("n_name", "caregiver_address1"),
                Col("NULL", "caregiver_address2", "string"), Col("n_name", "caregiver_city"),
@@ -55,8 +56,7 @@ FIXTURE_WAREHOUSE: tuple[TableSpec, ...] = (
                Col("n_nationkey", "caregiver_zipcode", "string"))),
     TableSpec("cntcrg", "customer",
               (Col("c_custkey", "contactid", "int"), Col("c_name", "caregiver_email"),
-               Col("c_custkey", "caregiver_phone", "string")),
-              where="c_mktsegment <> 'HOUSEHOLD'"),
+               Col("c_custkey", "caregiver_phone", "string"))),
     TableSpec("chd", "part",
               (Col("p_partkey", "childid", "int"), Col("p_name", "child_first_name"),
                Col("p_brand", "child_last_name")),
@@ -79,33 +79,29 @@ FIXTURE_SURVEY_DIMS: tuple[TableSpec, ...] = (
               (Col("n_name", "facility_name"), Col("n_nationkey", "facility_id", "int")),
               where="n_regionkey <> 4"),
     TableSpec("survey", "supplier",
-              (Col("s_nationkey", "facility_id", "int"), Col("s_suppkey", "survey_id", "int"))),
+              (Col("s_nationkey", "facility_id", "int"), Col("s_suppkey % 4", "survey_id", "int"))),
 )
 
 ALL_FIXTURES = {s.name: s for s in (*FIXTURE_WAREHOUSE, SURVEY_WIDE, *FIXTURE_SURVEY_DIMS)}
 
 
-# Relation handles of the benchmark tables, shared by all queries of one application.
-_SCANS: dict[tuple[str, str], DataFrame] = {}
-
-
 class Fixtures:
     """Lazy access to the benchmark tables and the specs above for one data folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._scans: dict[str, DataFrame] = {}
         self._sources: dict[str, Callable[[], DataFrame]] = {
             "lineitem_orders_customer": self._lineitem_orders_customer,
             "orders_customer_nation": self._orders_customer_nation,
         }
 
     def base(self, name: str) -> DataFrame:
-        """One scan per table and application: later uses share the frame and its file listing."""
-        key = (self.spark.sparkContext.applicationId, f"{self.sf_dir}/{name}.parquet")
-        if key not in _SCANS:
-            _SCANS[key] = self.spark.read.parquet(key[1])
-        return _SCANS[key]
+        """One scan per table: later uses of this object share the frame and its file listing."""
+        if name not in self._scans:
+            self._scans[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._scans[name]
 
     def source(self, name: str) -> DataFrame:
         if name in self._sources:

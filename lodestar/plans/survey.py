@@ -16,11 +16,11 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StructType
+from pyspark.sql.types import DataType, StringType, StructType
 
 from lodestar.functions.ids import assert_unique, assign_ids, id_stats
 from lodestar.functions.patterns import ANSWER_PATTERN, matching_columns
-from lodestar.operators.joins import JoinStep, join_chain
+from lodestar.operators.joins import JoinStep, join_chain, small_enough
 from lodestar.operators.reshape import unpivot_values
 from lodestar.plans.warehouse import Reader, extract
 from lodestar.sources.files import materialize, read_csv, write_parquet
@@ -57,29 +57,53 @@ FINAL_TABLE = "pca_final"
 # --------------------------------------------------------------------------
 
 
-def prepare(raw: DataFrame, answer_type: DataType | str | None = "int",
+def common_type(df: DataFrame, columns: Sequence[str]) -> str:
+    """The narrowest of int, bigint, double and string that holds every value of the text columns.
+
+    One distributed pass that counts, per column, the values each type can read.
+    """
+    kinds = ("int", "bigint", "double")
+    if not columns:
+        return "string"
+    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(columns)],
+                    *[F.count(F.col(f"`{c}`").try_cast(k)).alias(f"{k}{i}")
+                      for i, c in enumerate(columns) for k in kinds]).first()
+    return next((k for k in kinds if all(counts[f"{k}{i}"] == counts[f"n{i}"]
+                                         for i in range(len(columns)))), "string")
+
+
+def answer_type_of(raw: DataFrame, pattern: str = ANSWER_PATTERN) -> str | None:
+    """The common type of the answers if all are text, else None (they have types already)."""
+    answers = matching_columns(raw.columns, pattern)
+    text = all(isinstance(raw.schema[c].dataType, StringType) for c in answers)
+    return common_type(raw, answers) if text else None
+
+
+def prepare(raw: DataFrame, answer_type: DataType | str | None = None,
             pattern: str = ANSWER_PATTERN, id_mode: str = "random") -> DataFrame:
     """J12 transform: id per row, facility renamed, answer columns by pattern.
 
-    Output: ``participant_id, facility_name, <answers in file order>``. With
-    ``answer_type`` the answers are cast (strictly, under ANSI mode); a CSV
-    read without a schema has string columns. ``id_mode="hash"`` gives ids
-    that a rerun over the same file reproduces (see ``assign_hash_ids``).
+    Output: ``participant_id, facility_name, <answers in file order>``. Answers
+    are cast strictly (under ANSI mode) to ``answer_type``; with None, text
+    answers get the one type that holds all of them (``common_type``) and
+    typed ones stay. ``id_mode="hash"`` gives ids that a rerun over the same
+    file reproduces (see ``assign_hash_ids``).
     """
     answers = matching_columns(raw.columns, pattern)
     if FACILITY_COL not in raw.columns:
         raise KeyError(f"survey file lacks column {FACILITY_COL!r}")
+    kind = answer_type if answer_type is not None else answer_type_of(raw, pattern)
 
     def answer(c: str):
-        return (F.col(c).cast(answer_type) if answer_type is not None else F.col(c)).alias(c)
+        return (F.col(c).cast(kind) if kind is not None else F.col(c)).alias(c)
 
     return assign_ids(raw, ID_COL, id_mode).select(
         ID_COL, F.col(FACILITY_COL).alias(FACILITY_NAME), *[answer(c) for c in answers])
 
 
 def ingest(spark: SparkSession, csv_path: str, out_path: str,
-           schema: StructType | str | None = None, answer_type: DataType | str | None = "int",
-           multi_line: bool = False, id_mode: str = "random") -> DataFrame:
+           schema: StructType | str | None = None, answer_type: DataType | str | None = None,
+           multi_line: bool = True, id_mode: str = "random") -> DataFrame:
     """Read the CSV, assign ids, write; check id uniqueness on the written data."""
     raw = read_csv(spark, csv_path, schema, multi_line)
     out = materialize(spark, prepare(raw, answer_type, id_mode=id_mode), out_path)
@@ -87,7 +111,8 @@ def ingest(spark: SparkSession, csv_path: str, out_path: str,
     return out
 
 
-def survey_join(tables: Mapping[str, DataFrame], base_unique: bool | None = None) -> DataFrame:
+def survey_join(tables: Mapping[str, DataFrame], base_unique: bool | None = None,
+                order: bool = False) -> DataFrame:
     """``pca`` x ``correction_sites`` x ``survey`` with set semantics.
 
     When the answers' ids are unique, the answer rows are a set, and joining
@@ -96,7 +121,14 @@ def survey_join(tables: Mapping[str, DataFrame], base_unique: bool | None = None
     per facility - needs no distinct. ``base_unique=True`` asserts that
     (ids already checked, as in the pipeline); ``None`` checks it with one
     aggregation over the answers; ``False`` always applies the final distinct.
+
+    ``order`` range-partitions the answers by id before the joins, so broadcast
+    joins hand on partitions in id order and the melt need not shuffle the
+    joined rows (``sort="local"``).
     """
+    if order:
+        answers = tables[SURVEY_BASE].repartitionByRange(F.col(ID_COL).asc_nulls_first())
+        tables = {**tables, SURVEY_BASE: answers}
     if base_unique is None:
         stats = id_stats(tables[SURVEY_BASE], ID_COL).first()
         base_unique = stats["n_rows"] == stats["n_distinct"]
@@ -104,21 +136,21 @@ def survey_join(tables: Mapping[str, DataFrame], base_unique: bool | None = None
 
 
 def melt(joined: DataFrame, value_type: DataType | str | None = None,
-         pattern: str = ANSWER_PATTERN, sort: bool = True) -> DataFrame:
+         pattern: str = ANSWER_PATTERN, sort: bool | str = True) -> DataFrame:
     """Long responses ``participant_id, survey_id, item_id, response``, no missing.
 
     With ``sort`` the result is in total order of ``participant_id, item_id``
     (then ``survey_id, response``, so ties have a fixed order). The order is
-    made on the wide rows, before the unpivot multiplies them: the wide frame
-    is range-partitioned on ``participant_id``, so every participant's rows
-    sit in one partition and the partitions follow each other in id order;
-    the long rows are then only sorted inside their partition. That shuffles
-    the wide rows once instead of the (items times more) long rows. One
-    participant's rows are its answers times the surveys of its facility, so
-    no range partition holds more than that for any one id.
+    made on the wide rows, before the unpivot multiplies them: they are
+    range-partitioned on ``participant_id``, and the long rows are then only
+    sorted inside their partition. ``sort="local"`` leaves out the range
+    partitioning: for rows that come in id ranges already (``survey_join`` with
+    ``order``), or for writing files that are sorted inside.
     """
+    if sort not in (True, False, "local"):
+        raise ValueError(f"sort {sort!r} not in (True, False, 'local')")
     items = matching_columns(joined.columns, pattern)
-    if sort:
+    if sort is True:
         joined = joined.repartitionByRange(F.col(ID_COL).asc_nulls_first())
     long = unpivot_values(joined, MELT_IDS, items, ITEM_COL, RESPONSE_COL, value_type)
     if sort:
@@ -127,18 +159,36 @@ def melt(joined: DataFrame, value_type: DataType | str | None = None,
     return long
 
 
+def melt_of_tables(tables: Mapping[str, DataFrame], base_unique: bool | None = None) -> DataFrame:
+    """J14 and J15 in one go, in total order, shuffling the answers and not the joined rows.
+
+    That holds while the dimensions can be broadcast; beyond the bound the
+    joins shuffle, and the joined rows are range-partitioned instead.
+    """
+    dims = [tables[s.table].distinct() for s in SURVEY_CHAIN]
+    if all(small_enough(dims)):
+        return melt(survey_join(tables, base_unique, order=True), sort="local")
+    return melt(survey_join(tables, base_unique))
+
+
 def run_pipeline(spark: SparkSession, csv_path: str, dims_reader: Reader, root: str,
                  dims: Sequence[TableSpec] = SURVEY_SOURCES,
                  schema: StructType | str | None = None,
-                 answer_type: DataType | str | None = "int") -> dict[str, str]:
-    """Ingest and extract -> join -> melt, each stage through parquet."""
+                 answer_type: DataType | str | None = None, multi_line: bool = True,
+                 id_mode: str = "random") -> dict[str, str]:
+    """Ingest and extract -> join -> melt, each stage through parquet.
+
+    The answers are range-partitioned by id before the join is written, and
+    each file of the long table is sorted inside.
+    """
     paths = {INPUT_TABLE: f"{root}/{INPUT_TABLE}"}
-    answers = ingest(spark, csv_path, paths[INPUT_TABLE], schema, answer_type)
+    answers = ingest(spark, csv_path, paths[INPUT_TABLE], schema, answer_type, multi_line, id_mode)
     tables = {SURVEY_BASE: answers, **extract(spark, dims, dims_reader, f"{root}/extract")}
     for spec in dims:
         paths[spec.name] = f"{root}/extract/{spec.name}"
 
-    joined = materialize(spark, survey_join(tables, base_unique=True), f"{root}/{JOIN_TABLE}")
+    joined = materialize(spark, survey_join(tables, base_unique=True, order=True),
+                         f"{root}/{JOIN_TABLE}")
     paths[JOIN_TABLE] = f"{root}/{JOIN_TABLE}"
-    paths[FINAL_TABLE] = write_parquet(melt(joined), f"{root}/{FINAL_TABLE}")
+    paths[FINAL_TABLE] = write_parquet(melt(joined, sort="local"), f"{root}/{FINAL_TABLE}")
     return paths

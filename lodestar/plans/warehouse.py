@@ -175,9 +175,20 @@ def extract(spark: SparkSession, specs: Iterable[TableSpec], reader: Reader,
         return dict(pool.map(one, specs))
 
 
+#: The last join that can repeat rows of the chain by more than a dimension does.
+WAREHOUSE_SET_FROM = "inmappchdj"
+
+
 def denormalize(tables: Mapping[str, DataFrame], base: str = WAREHOUSE_BASE,
                 steps: Sequence[JoinStep] = WAREHOUSE_CHAIN, **kw) -> DataFrame:
-    """The join chain with set semantics (flagship)."""
+    """The join chain with set semantics (flagship).
+
+    The rows become a set after the child fact table is joined, when the frame
+    is keys and two texts; the dimensions after it are deduplicated at their
+    own size, so the wide frame needs no distinct.
+    """
+    if any(s.table == WAREHOUSE_SET_FROM for s in steps):
+        kw.setdefault("unique_from", WAREHOUSE_SET_FROM)
     return join_chain(tables, base, steps, **kw)
 
 

@@ -16,7 +16,9 @@ import tempfile
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -56,6 +58,17 @@ def new_stage_root(spark: SparkSession, label: str = "run") -> str:
     return f"{root}/lodestar/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def path_exists(spark: SparkSession, pattern: str) -> bool:
+    """Whether any file or folder matches a path pattern, in any store that Spark reads."""
+    try:
+        listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(pattern)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return not listed.select("path").limit(1).isEmpty()
+
+
 # --------------------------------------------------------------------------
 # parquet
 
@@ -93,20 +106,38 @@ def materialize(spark: SparkSession, df: DataFrame, path: str,
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
-             multi_line: bool = False) -> DataFrame:
+             multi_line: bool = True) -> DataFrame:
     """CSV with a header row; empty fields read as null.
 
-    With no ``schema`` every column is a string and only the header line is
-    read to name them; the caller casts what it needs. No ``inferSchema``:
-    that would be an extra full pass over the data. ``multi_line`` allows
-    quoted line breaks but makes each file a single task, so it is off by
-    default.
+    Columns are found by their name in the header. With a ``schema`` its columns
+    are selected by name, in its order, and cast strictly (under ANSI mode);
+    a column that the header lacks is an error. Without one every column is
+    text and only the header line is read to name them; the caller casts what
+    it needs. No ``inferSchema``: that would be an extra full pass.
+
+    Files of one folder must have the same header; another one fails the read
+    and names the file. Quoted line breaks are read as part of the value.
+    ``multi_line=False`` splits large files over tasks instead; it is for files
+    without quoted line breaks, and then every line is checked in full (no
+    column pruning), so a broken row fails the read.
     """
-    reader = (spark.read.option("header", True).option("escape", '"')
-              .option("multiLine", multi_line).option("mode", "FAILFAST"))
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.csv(path)
+    reader = csv_options(spark.read, multi_line)
+    if not multi_line:
+        reader = reader.option("columnPruning", False)
+    raw = reader.csv(path)
+    if schema is None:
+        return raw
+    fields = spark.createDataFrame([], schema).schema.fields
+    missing = [f.name for f in fields if f.name not in raw.columns]
+    if missing:
+        raise KeyError(f"CSV header of {path} lacks columns {missing}")
+    return raw.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in fields])
+
+
+def csv_options(reader, multi_line: bool = True):
+    """Options of a CSV reader, batch or streaming: header checked in every file, broken rows fail."""
+    return (reader.option("header", True).option("escape", '"').option("mode", "FAILFAST")
+            .option("multiLine", multi_line).option("enforceSchema", False))
 
 
 def write_csv(df: DataFrame, path: str, row_index: str | None = None) -> str:
@@ -114,7 +145,7 @@ def write_csv(df: DataFrame, path: str, row_index: str | None = None) -> str:
 
     Quotes inside values are doubled and values with the delimiter, a quote
     or a line break are quoted, as pandas does; null and empty string are both
-    written as an empty field. Spark writes a folder of part files, one per
+    written as an empty field; blanks at either end of a value stay. Spark writes a folder of part files, one per
     task, so the export scales with the data. ``row_index`` names a leading
     0-based row-number column (pandas writes its index unless told not to);
     off by default.
@@ -123,5 +154,6 @@ def write_csv(df: DataFrame, path: str, row_index: str | None = None) -> str:
         from lodestar.functions.ids import with_row_index
         df = with_row_index(df, row_index)
     (df.write.mode("overwrite").option("header", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .option("emptyValue", "").option("nullValue", "").csv(path))
     return path

@@ -12,26 +12,30 @@ Streaming query over the folder:
   to its own folder ``batch=<id>`` with ``overwrite``. A batch that is
   retried after a failure rewrites only its own folder, so the output never
   holds the same answers twice, even though the ids are random;
-* the ids of each written batch are read back and checked unique;
+* the ids are read back and checked unique, over all batches;
+* every file's header is checked against the schema; a file with other columns
+  or another order fails its batch and is named;
 * ``availableNow`` processes everything present and then stops, which is what
   an upload button needs; ``processing_time`` keeps the query running.
 
-The checkpoint goes under the session's shared checkpoint folder unless the
-caller names one. The CSV source needs a schema: pass it, or let
-``header_schema`` take the column names from the header line of one file
-(all columns as text; the answers are cast by ``prepare``).
+The checkpoint belongs to the output (``<out_path>`` + ``_checkpoint``) unless the
+caller names one, so a second call goes on where the first one stopped. The CSV
+source needs a schema: pass it, or let ``header_schema`` take the column names
+from the header line (all columns as text). Answers are cast to one type for
+all batches: the one given, else the one of the answers written before, else
+the one that holds all answers now in the folder.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import DataType, StringType, StructField, StructType
 
 from lodestar.functions.ids import assert_unique
-from lodestar.plans.survey import ID_COL, prepare
-from lodestar.sources.files import new_stage_root, read_csv
+from lodestar.functions.patterns import matching_columns
+from lodestar.plans.survey import ID_COL, answer_type_of, prepare
+from lodestar.sources.files import csv_options, path_exists, read_csv
 
 BATCH_DIR = "batch"
 
@@ -42,14 +46,20 @@ def header_schema(spark: SparkSession, sample_path: str) -> StructType:
     return StructType([StructField(n, StringType(), True) for n in names])
 
 
+def _answer_type(spark: SparkSession, upload_dir: str, out_path: str) -> DataType | str | None:
+    if path_exists(spark, f"{out_path}/{BATCH_DIR}=*"):
+        written = spark.read.parquet(out_path)
+        return written.schema[matching_columns(written.columns)[0]].dataType
+    return answer_type_of(read_csv(spark, upload_dir))
+
+
 def survey_upload_stream(spark: SparkSession, upload_dir: str, out_path: str,
-                         schema: StructType, *, answer_type: DataType | str | None = "int",
+                         schema: StructType, *, answer_type: DataType | str,
                          checkpoint: str | None = None, files_per_batch: int | None = None,
                          processing_time: str | None = None) -> StreamingQuery:
     """Start the pick-up query; returns the running ``StreamingQuery``."""
-    checkpoint = checkpoint or new_stage_root(spark, "survey-uploads-checkpoint")
-    reader = (spark.readStream.schema(schema).option("header", True).option("escape", '"')
-              .option("mode", "FAILFAST"))
+    checkpoint = checkpoint or f"{out_path.rstrip('/')}_checkpoint"
+    reader = csv_options(spark.readStream.schema(schema))
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     stream = reader.csv(upload_dir)
@@ -66,20 +76,24 @@ def survey_upload_stream(spark: SparkSession, upload_dir: str, out_path: str,
 
 
 def ingest_uploads(spark: SparkSession, upload_dir: str, out_path: str,
-                   schema: StructType | None = None, **kw) -> DataFrame:
+                   schema: StructType | None = None, answer_type: DataType | str | None = None,
+                   **kw) -> DataFrame:
     """Process every file now in ``upload_dir`` and return all answers written so far.
 
     The result has the batch columns (``participant_id, facility_name,
     <answers>``); the ``batch`` folder level is not a column.
     """
+    some = path_exists(spark, f"{upload_dir}/*")
     if schema is None:
         schema = header_schema(spark, upload_dir)
-    query = survey_upload_stream(spark, upload_dir, out_path, schema, **kw)
+    if answer_type is None:
+        answer_type = _answer_type(spark, upload_dir, out_path) if some else "string"
+    query = survey_upload_stream(spark, upload_dir, out_path, schema, answer_type=answer_type, **kw)
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-    try:
-        written = spark.read.parquet(out_path)
-    except AnalysisException:  # no file has arrived yet
-        return prepare(spark.createDataFrame([], schema), kw.get("answer_type", "int"))
-    return written.drop(BATCH_DIR)
+    if not path_exists(spark, f"{out_path}/{BATCH_DIR}=*"):  # no file has arrived yet
+        return prepare(spark.createDataFrame([], schema), answer_type)
+    written = spark.read.parquet(out_path).drop(BATCH_DIR)
+    assert_unique(written, ID_COL)
+    return written

@@ -1,5 +1,7 @@
 """CSV and parquet sources and sinks."""
 
+import pytest
+
 from lodestar.sources.files import materialize, read_csv, write_csv, write_parquet
 from lodestar.sources.jdbc import JdbcConnection, JdbcPartitioning, jdbc_read_options
 from lodestar.sources.specs import TableSpec, cols
@@ -25,6 +27,41 @@ def test_csv_roundtrip_quotes_commas_line_breaks(spark, workdir):
     assert '"has ""quotes"""' in text
 
 
+def _file(path, text):
+    with open(path, "w", newline="") as fh:
+        fh.write(text)
+    return path
+
+
+def test_csv_quoted_line_breaks_in_an_ignored_column(spark, workdir):
+    path = _file(f"{workdir}/in.csv", 'FACILITY,comment,pca_1,pca_2\nSouth,"line one\nline two",3,4\n')
+    rows = read_csv(spark, path).select("FACILITY", "pca_1", "pca_2").collect()
+    assert [tuple(r) for r in rows] == [("South", "3", "4")]
+    with pytest.raises(Exception):  # without multi_line the broken rows are noticed, not shifted
+        read_csv(spark, path, multi_line=False).select("FACILITY", "pca_1").collect()
+
+
+def test_csv_columns_by_header_name(spark, workdir):
+    path = _file(f"{workdir}/in.csv", "pca_2,FACILITY,pca_1\n20,A,10\n")
+    df = read_csv(spark, path, schema="FACILITY string, pca_1 int, pca_2 int")
+    assert [tuple(r) for r in df.collect()] == [("A", 10, 20)]
+    with pytest.raises(KeyError):
+        read_csv(spark, path, schema="FACILITY string, pca_9 int")
+
+
+def test_csv_folder_with_another_header_fails(spark, workdir):
+    _file(f"{workdir}/a.csv", "FACILITY,pca_1,pca_2\nA,1,2\n")
+    _file(f"{workdir}/b.csv", "FACILITY,pca_2,pca_1\nB,2,1\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, workdir).collect()
+
+
+def test_csv_keeps_blanks(spark, workdir):
+    df = spark.createDataFrame([("  Ann ", " q,"), ("\tx", "y ")], "a string, b string")
+    back = read_csv(spark, write_csv(df, f"{workdir}/out"), schema=df.schema)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+
+
 def test_csv_without_schema_reads_strings(spark, workdir):
     path = f"{workdir}/in.csv"
     with open(path, "w") as fh:

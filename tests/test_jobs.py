@@ -145,3 +145,23 @@ def test_previews_are_bounded_reads(spark):
     head = joined.limit(5)
     assert head.columns == W.chain_columns()
     assert len(head.collect()) == 5
+
+
+@pytest.mark.parametrize("values,kind", [(("1", None, "3"), "int"), (("1", "5000000000"), "bigint"),
+                                         (("2.5", "3"), "double"), (("Yes", "1"), "string"), ((None,), "int")])
+def test_answer_type_is_inferred(spark, values, kind):
+    raw = spark.createDataFrame([("N", v, "7") for v in values], "FACILITY string, pca_1 string, pca_2 string")
+    out = S.prepare(raw)
+    assert {out.schema[c].dataType.simpleString() for c in ("pca_1", "pca_2")} == {kind}
+    assert out.count() == len(values)
+
+
+def test_normalized_order_and_duplicate_check(spark):
+    """J7's row order (G1) and the emptiness check of the duplicate reports."""
+    from lodestar.plans.fixtures import Fixtures
+    joined = W.denormalize(Fixtures(spark, "/root/testdata/sf0.001").tables())
+    c2c = W.normalize(joined, "caregiver_to_children")
+    keys = [tuple(r[c] for c in ("childid", "child_first_name", "child_last_name")) for r in c2c.collect()]
+    assert keys == sorted(keys, key=lambda k: [(v is not None, v) for v in k]) and len(keys) > 1
+    found = W.check_duplicates(c2c)
+    assert set(found) == set(W.DUPLICATE_CHECKS)

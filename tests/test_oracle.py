@@ -2,27 +2,20 @@
 
 import pytest
 
+from lodestar.plans.catalog import ORACLES, QUERIES
 from tests.oracle import compare, duck
 
 SF = "/root/testdata/sf0.001"
 
-
-def _registry():
-    from __spark_entry__ import oracle_sql, queries
-    return queries(), oracle_sql()
-
-
-QUERIES, ORACLES = _registry()
-
-
 @pytest.fixture(scope="module")
 def con():
     return duck(SF)
 
 
-def test_every_query_has_an_oracle_or_a_reason():
-    from lodestar.plans.catalog import NO_ORACLE
-    assert set(QUERIES) == set(ORACLES) | set(NO_ORACLE)
+def test_every_query_has_an_oracle_and_is_registered():
+    from __spark_entry__ import oracle_sql, queries
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -31,11 +24,6 @@ def test_query_matches_oracle(spark, con, name):
     assert not problems, problems
 
 
-def test_assign_ids_rows_only(spark):
-    df = QUERIES["assign_ids"](spark, SF)
-    assert df.count() == df.select("participant_id").distinct().count() > 0
-
-
 def test_entry_flagship(spark):
     from __spark_entry__ import entry
     df = entry(spark)

@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from lodestar.functions.ids import assert_unique
 from lodestar.streaming import header_schema, ingest_uploads
 
@@ -41,3 +43,24 @@ def test_no_uploads_gives_empty_table(spark, workdir):
     out = ingest_uploads(spark, up, f"{workdir}/o", schema, checkpoint=f"{workdir}/ck2")
     assert out.columns == ["participant_id", "facility_name", "pca_1"]
     assert out.count() == 0
+
+
+def test_second_call_with_defaults_takes_no_file_again(spark, workdir):
+    up, out = f"{workdir}/uploads", f"{workdir}/answers"
+    os.makedirs(up)
+    _upload(up, "a.csv", [("North", 1, 2, 9.5)])
+    _upload(up, "b.csv", [("South", 2.5, 3, 1.0)])
+    first = sorted(map(tuple, ingest_uploads(spark, up, out, files_per_batch=1).collect()))
+    second = sorted(map(tuple, ingest_uploads(spark, up, out).collect()))
+    assert first == second and [r[1:] for r in sorted(first, key=lambda r: r[1])] == [
+        ("North", 1.0, 2.0), ("South", 2.5, 3.0)]
+
+
+def test_other_header_order_fails(spark, workdir):
+    up = f"{workdir}/uploads"
+    os.makedirs(up)
+    _upload(up, "a.csv", [("North", 1, 2, 9.5)])
+    with open(f"{up}/b.csv", "w") as fh:
+        fh.write("FACILITY,pca_2,pca_1,pca_total\nSouth,2,1,0.5\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        ingest_uploads(spark, up, f"{workdir}/answers", answer_type="int")
