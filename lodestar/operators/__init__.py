@@ -2,7 +2,6 @@ from lodestar.operators.aggregate import distinct_rows, group_count, having_more
 from lodestar.operators.joins import (
     ColumnCollisionError,
     JoinStep,
-    broadcast_if_small,
     chain_output_columns,
     join_chain,
     left_join,
@@ -20,7 +19,6 @@ from lodestar.operators.sort import sort_rows, sort_within_partitions
 __all__ = [
     "ColumnCollisionError",
     "JoinStep",
-    "broadcast_if_small",
     "cast_keys",
     "chain_output_columns",
     "common_value_type",

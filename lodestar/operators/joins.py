@@ -149,17 +149,6 @@ def small_enough(frames: Sequence[DataFrame], max_rows: int = DEFAULT_MAX_BROADC
     return [found[i][0] <= max_rows and found[i][1] <= max_bytes for i in range(len(frames))]
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                       max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> tuple[DataFrame, bool]:
-    """``(broadcast(df), True)`` when ``df`` is within both bounds, else ``(df, False)``.
-
-    Beyond either bound the frame is returned unchanged and Spark plans a
-    shuffle join.
-    """
-    small = small_enough([df], max_rows, max_bytes)[0]
-    return (F.broadcast(df), True) if small else (df, False)
-
-
 def left_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
               spread_null_keys: bool = True) -> DataFrame:
     """``left`` LEFT JOIN ``right`` USING ``keys``; null left keys do not gather in one task.

@@ -22,6 +22,7 @@ from lodestar.functions.ids import assert_unique, assign_ids, id_stats
 from lodestar.functions.patterns import ANSWER_PATTERN, matching_columns
 from lodestar.operators.joins import JoinStep, join_chain, small_enough
 from lodestar.operators.reshape import unpivot_values
+from lodestar.operators.sort import sort_within_partitions
 from lodestar.plans.warehouse import Reader, extract
 from lodestar.sources.files import materialize, read_csv, write_parquet
 from lodestar.sources.specs import TableSpec, cols
@@ -155,7 +156,7 @@ def melt(joined: DataFrame, value_type: DataType | str | None = None,
     long = unpivot_values(joined, MELT_IDS, items, ITEM_COL, RESPONSE_COL, value_type)
     if sort:
         order = [*MELT_ORDER, *[c for c in long.columns if c not in MELT_ORDER]]
-        long = long.sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in order])
+        long = sort_within_partitions(long, order)
     return long
 
 

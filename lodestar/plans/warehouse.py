@@ -175,6 +175,14 @@ def extract(spark: SparkSession, specs: Iterable[TableSpec], reader: Reader,
         return dict(pool.map(one, specs))
 
 
+#: Large source tables and the column their extraction is split on.
+FACT_SPLITS = {"orgprgchdj": "applicationid", "inmapp": "applicationid", "inmappchdj": "applicationid"}
+
+#: Settings that the jobs' plans rely on at scale (see ``lodestar.session``).
+EXPECTED_SETTINGS = {"spark.sql.adaptive.enabled": "true",
+                     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+                     "spark.sql.requireAllClusterKeysForCoPartition": "false"}
+
 #: The last join that can repeat rows of the chain by more than a dimension does.
 WAREHOUSE_SET_FROM = "inmappchdj"
 
@@ -248,6 +256,14 @@ def read_joined(spark: SparkSession, path: str, schema: StructType) -> DataFrame
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
+def check_settings(spark: SparkSession) -> list[str]:
+    """Settings that differ from ``EXPECTED_SETTINGS``; each is logged. Results do not depend on them."""
+    off = [k for k, v in EXPECTED_SETTINGS.items() if str(spark.conf.get(k)).lower() != v]
+    for k in off:
+        log.warning("%s is %s; the join plans expect %s", k, spark.conf.get(k), EXPECTED_SETTINGS[k])
+    return off
+
+
 def run_pipeline(spark: SparkSession, reader: Reader, root: str,
                  specs: Sequence[TableSpec] = WAREHOUSE_SOURCES,
                  year: int = DEFAULT_YEAR, concurrent_jobs: int = 4) -> dict[str, str]:
@@ -255,6 +271,7 @@ def run_pipeline(spark: SparkSession, reader: Reader, root: str,
 
     Returns the dataset path of every output.
     """
+    check_settings(spark)
     paths: dict[str, str] = {}
     tables = extract(spark, specs, reader, f"{root}/extract", concurrent_jobs)
     for spec in specs:

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -73,11 +73,6 @@ def path_exists(spark: SparkSession, pattern: str) -> bool:
 # parquet
 
 
-def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
-    df = spark.read.parquet(path)
-    return df.select(*columns) if columns else df
-
-
 def read_tables(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
     """Lazy scans of a named set of parquet datasets (A4)."""
     return {name: spark.read.parquet(p) for name, p in paths.items()}

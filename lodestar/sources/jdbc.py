@@ -76,8 +76,39 @@ def read_jdbc(spark: SparkSession, conn: JdbcConnection, spec: TableSpec,
     return reader.load().select(*spec.output_columns)
 
 
+def bounds_sql(spec: TableSpec, column: str) -> str:
+    """One query for the smallest and largest value of an output column of a spec."""
+    if column not in spec.output_columns:
+        raise ValueError(f"partition column {column!r} not in {spec.name}")
+    return f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM ({spec.to_sql()}) AS {spec.name}_bounds"
+
+
+def derive_partitioning(spark: SparkSession, conn: JdbcConnection, spec: TableSpec, column: str,
+                        num_partitions: int) -> JdbcPartitioning | None:
+    """Range partitioning over the column's actual range; None for an empty table."""
+    reader = spark.read.format("jdbc").options(**conn.options())
+    row = reader.option("query", bounds_sql(spec, column)).load().first()
+    if row is None or row["lo"] is None:
+        return None
+    return JdbcPartitioning(column, int(row["lo"]), int(row["hi"]) + 1, num_partitions)
+
+
 def jdbc_reader(spark: SparkSession, conn: JdbcConnection,
-                partitions: dict[str, JdbcPartitioning] | None = None):
-    """A ``reader(spec) -> DataFrame`` for ``lodestar.plans.extract``."""
-    partitions = partitions or {}
-    return lambda spec: read_jdbc(spark, conn, spec, partitions.get(spec.name))
+                partitions: dict[str, JdbcPartitioning] | None = None,
+                split_on: dict[str, str] | None = None, num_partitions: int = 64):
+    """A ``reader(spec) -> DataFrame`` for ``lodestar.plans.extract``.
+
+    ``split_on`` names an integer column per large table (the warehouse's fact
+    tables are ``plans.warehouse.FACT_SPLITS``); such a table is read by
+    ``num_partitions`` range queries over the bounds that one MIN/MAX query
+    gives, unless ``partitions`` states its partitioning. Other tables are read
+    by one query, in one task.
+    """
+    partitions, split_on = partitions or {}, split_on or {}
+
+    def read(spec: TableSpec) -> DataFrame:
+        how = partitions.get(spec.name)
+        if how is None and spec.name in split_on:
+            how = derive_partitioning(spark, conn, spec, split_on[spec.name], num_partitions)
+        return read_jdbc(spark, conn, spec, how)
+    return read

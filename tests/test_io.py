@@ -92,3 +92,15 @@ def test_jdbc_options_single_query_and_partitioned():
     assert part["dbtable"] == f"({spec.to_sql()}) AS inmapp_src"
     assert (part["partitionColumn"], part["numPartitions"]) == ("applicationid", "64")
     assert "query" not in part
+
+
+def test_jdbc_bounds_query_and_fact_splits():
+    from lodestar.plans.warehouse import FACT_SPLITS, WAREHOUSE_SOURCES
+    from lodestar.sources.jdbc import bounds_sql
+    specs = {x.name: x for x in WAREHOUSE_SOURCES}
+    for name, column in FACT_SPLITS.items():
+        sql = bounds_sql(specs[name], column)
+        assert sql == (f"SELECT MIN({column}) AS lo, MAX({column}) AS hi "
+                       f"FROM ({specs[name].to_sql()}) AS {name}_bounds")
+    with pytest.raises(ValueError):
+        bounds_sql(specs["inmapp"], "nowhere")

@@ -7,9 +7,9 @@ from hypothesis import strategies as st
 from lodestar.operators.joins import (
     ColumnCollisionError,
     JoinStep,
-    broadcast_if_small,
     chain_output_columns,
     join_chain,
+    small_enough,
     left_join,
 )
 
@@ -119,14 +119,11 @@ def test_branch_key_shadowed_by_chain_raises(spark):
         join_chain({"c": chain, "crg": crg, "adr": adr}, "c", steps)
 
 
-def test_broadcast_if_small_checks_rows_and_bytes(spark):
+def test_small_enough_checks_rows_and_bytes(spark):
     df = spark.range(100).selectExpr("cast(id as int) as k", "repeat('x', 10) as s")
-    _, small = broadcast_if_small(df, max_rows=100, max_bytes=10_000)
-    assert small
-    _, too_many = broadcast_if_small(df, max_rows=99)
-    assert not too_many
-    _, too_big = broadcast_if_small(df, max_rows=1000, max_bytes=100 * 14 - 1)
-    assert not too_big
+    assert small_enough([df], max_rows=100, max_bytes=10_000) == [True]
+    assert small_enough([df], max_rows=99) == [False]
+    assert small_enough([df], max_rows=1000, max_bytes=100 * 14 - 1) == [False]
 
 
 def test_broadcast_left_prefix_plan(spark):
@@ -208,3 +205,17 @@ def test_hot_left_join_key_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_unique_from_equals_stepwise_distinct_with_repeated_rows(spark):
+    """Repeated fact and dimension rows: a set after the named step, and deduplicated tables after it."""
+    facts = frame(spark, [(1, 5), (1, 5), (2, 6), (3, None), (3, None)], "k int, d int")
+    child = frame(spark, [(1, "a"), (1, "a"), (1, "b"), (2, "c"), (3, "e")], "k int, t string")
+    dim = frame(spark, [(5, "x"), (5, "x"), (5, "y"), (6, "z")], "d int, n string")
+    steps = [JoinStep("child", ("k",)), JoinStep("dim", ("d",), "left")]
+    tables = {"facts": facts, "child": child, "dim": dim}
+    want = join_chain(tables, "facts", steps, distinct_after=("child", "dim"))
+    got = join_chain(tables, "facts", steps, unique_from="child")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    with pytest.raises(KeyError):
+        join_chain(tables, "facts", steps, unique_from="nowhere")
