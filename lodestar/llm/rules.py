@@ -8,8 +8,7 @@ groups are the buckets, so what is shuffled and kept is bounded by them
 whatever the corpus. A text's score is the mean over its n-grams of
 ``log(p_trusted / p_raw)``; every text is kept or not by one fixed threshold.
 
-Trusted documents are at most ``max_trusted`` ids (those with the smallest
-hashes), 8 bytes each, which bounds the broadcast; the raw side is every
+Trusted documents are at most ``max_trusted`` ids (chosen by hash), 8 bytes each, which bounds the broadcast; the raw side is every
 document. Both counts of a bucket are raised by ``prior`` occurrences at the
 raw rate, so n-grams that are too rare to tell count about 0, and without
 trusted documents all scores are 0.
@@ -27,7 +26,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm._common import fresh, scratch, stage, words
+from lodestar.llm._common import fresh, hash_sample, scratch, stage, words
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -60,7 +59,7 @@ def ratios(docs: DataFrame, trusted: DataFrame, id_col: str, text_col: str, bits
            max_trusted: int, prior: float) -> list[float]:
     """log(p_trusted / p_raw) of each of the 3 * 2**bits buckets; ``trusted`` has one column of ids."""
     ids = trusted.toDF("id").where("id IS NOT NULL").distinct()
-    ids = ids.orderBy(F.xxhash64("id"), "id").limit(max_trusted)
+    ids = hash_sample(ids, max_trusted)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     rows, *names = _with_hashes(rows.join(F.broadcast(ids.withColumn("t", F.lit(1))), "id", "left"), "text")
     grams = F.concat(*[F.transform(a, f) for a, f in _buckets(bits, *map(F.col, names))])

@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodestar.llm._common import scratch, stage
+from lodestar.llm._common import hash_sample, scratch, stage
 from lodestar.llm._hashing import U64, mix
 from lodestar.llm.packing import text_slices, word_codes
 
@@ -196,8 +196,7 @@ def sample(docs: DataFrame, labels: DataFrame, root: str, id_col: str, text_col:
     share = known.agg(F.avg(F.col("toxic").cast("double"))).first()[0]
     if not share or share == 1:
         return [], np.empty(0, bool), 0.0
-    ids = [known.where(F.col("toxic") == t).orderBy(F.xxhash64("id"), "id").limit(n)
-           for t, n in zip((True, False), most)]
+    ids = [hash_sample(known.where(F.col("toxic") == t), n) for t, n in zip((True, False), most)]
     ids = stage(spark, ids[0].union(ids[1]), root, "ids")
     text = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     found = text.join(F.broadcast(ids), "id").where("text IS NOT NULL")
