@@ -7,6 +7,8 @@ exactly those six bytes. ``bytes.lower()`` changes A-Z only.
 
 from __future__ import annotations
 
+import ctypes
+import sys
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +16,19 @@ from pyspark.sql import functions as F
 
 from lodestar.sources.files import ensure_checkpoint_dir, materialize
 
+def return_large_blocks(least: int = 1 << 20) -> None:
+    """Let this process give freed blocks of at least ``least`` bytes back to the system at once.
+
+    By default glibc raises its limit to 32 MB after the first large free and
+    keeps smaller blocks, so Python workers, which live on between tasks,
+    would hold the largest arrays they ever had. Has no effect elsewhere.
+    """
+    if sys.platform == "linux" and hasattr(libc := ctypes.CDLL(None), "mallopt"):
+        libc.mallopt(-3, least)  # M_MMAP_THRESHOLD
+
+
+return_large_blocks()
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 

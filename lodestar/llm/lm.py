@@ -19,7 +19,7 @@ where counts are quantised ones from the filter, r(h) is the share that the
 pairs in the filter take of h (a third filter, in sixteenths, rounded up) and
 ``P1(w) = (c(w) + 0.1) / (sum of c + 0.1 (V + 1))``.
 
-The base score needs exact counts: those of the ``head`` most frequent words
+The base score needs exact counts: those of at most ``head`` words, the most frequent ones,
 are broadcast (16 bytes each), the other words' are joined by hash, and what
 travels for them is a row for each such word of a document.
 
@@ -37,7 +37,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -259,7 +259,7 @@ class Model:
 
 
 def train(texts: DataFrame, root: str, head: int = 200_000,
-          batch_tokens: int = 1 << 21) -> tuple[Model, DataFrame]:
+          batch_tokens: int = 1 << 20) -> tuple[Model, DataFrame]:
     """The model of the ``text`` column, and the exact vocabulary (h, c)."""
     spark = texts.sparkSession
     buckets = 4 * shuffle_partitions(spark)
@@ -287,10 +287,14 @@ def train(texts: DataFrame, root: str, head: int = 200_000,
         parts[r["kind"] - 10][r["bucket"]] = bytes(r["bits"])
     for r in shares.toLocalIterator():
         parts[2][r["bucket"]] = bytes(r["bits"])
-    top = vocab.orderBy(F.desc("c"), "h").limit(head).toArrow() if head else None
-    keys = top.column("h").to_numpy().view(U64) if head else np.empty(0, U64)
+    # the counts from the top on that together belong to at most ``head`` words: one row a count
+    often = vocab.groupBy("c").agg(F.count("*").alias("n"))
+    cut = (often.withColumn("above", F.sum("n").over(Window.orderBy(F.desc("c")))).where(F.col("above") <= head)
+           .agg(F.min("c")).first()[0])
+    top = vocab.where(F.col("c") >= (cut if cut is not None else n + 1)).toArrow()
+    keys = top.column("h").to_numpy().view(U64)
     order = np.argsort(keys)
-    counts = top.column("c").to_numpy()[order] if head else np.empty(0, np.int64)
+    counts = top.column("c").to_numpy()[order]
     model = Model(buckets, int(n), int(v), float(mass), (keys[order].tobytes(), counts.tobytes()), parts)
     return model, vocab
 
@@ -361,7 +365,7 @@ def scored(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "t
     root = scratch(spark, "lm")
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(held_out, F.lit(False)).alias("held_out"),
                        F.col(text_col).cast("string").alias("text"))
-    model, vocab = train(rows.where(~F.col("held_out")), root, head, 2 * batch_tokens)
+    model, vocab = train(rows.where(~F.col("held_out")), root, head, batch_tokens)
     sent = spark.sparkContext.broadcast(model)
     keyed = rows.withColumn("rid", F.monotonically_increasing_id())
     # ids are kept beside the number of the row by the same pass

@@ -68,7 +68,7 @@ class WordIds:
     on all the letters when it is loaded.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 250_000):
         from tokenizers import Tokenizer
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
         self.young: dict[str, bytes] = {}
