@@ -9,10 +9,11 @@ Training, on the documents that are not held out:
    ``1 + floor(log(c) / log(1.5))`` and its n-gram is put into the bucket's part
    of a Bloom filter once for each level up to its own, so repeated membership
    probes, until the first miss, give the level back.
-3. A filter has a fixed number of bits. A bucket that has more items than its
-   part holds at ``PROBES`` hashes an item leaves out its rarest n-grams, and
-   the model backs off for these. The filters are the only model that travels:
-   ``FILTER_BYTES`` in all, whatever the corpus.
+3. A bucket's part has ``ITEM`` bits for each counted item (and a least size),
+   so no n-gram is left out and the filters grow with the corpus. Up to
+   ``MAX_BROADCAST`` bytes in all they are broadcast. Beyond, the parts stay rows
+   on the shared folder: texts are dealt to batches, a batch's distinct n-grams
+   go to their buckets, and the levels found there come back to the batch.
 
 The model interpolates: ``P(w | h) = (c(h,w) - 0.75) / c(h) + (1 - r(h)) P1(w)``,
 where counts are quantised ones from the filter, r(h) is the share that the
@@ -36,6 +37,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -51,9 +53,12 @@ SHARES = 16
 PROBES = 6
 #: Odd multiplier that tells the levels of a key apart.
 LEVELS = 0x9E3779B97F4A7C15
-#: Bytes of the filters of words, pairs and shares.
-WORDS, PAIRS, SHARE = 1 << 23, 1 << 24, 1 << 22
-FILTER_BYTES = WORDS + PAIRS + SHARE
+#: Bits of a filter for each item.
+ITEM = 16
+#: Least bytes of the filters of words, pairs and shares.
+LEAST = (1 << 23, 1 << 24, 1 << 22)
+#: Bytes up to which the filters are broadcast.
+MAX_BROADCAST = sum(LEAST)
 SENT = "bucket int, kind int, ones binary, keys binary, counts binary"
 
 
@@ -71,6 +76,8 @@ def counts_of_levels(most: int = 110) -> np.ndarray:
 
 
 MEANS = counts_of_levels()
+#: Highest level of words, pairs and shares.
+MOST = (109, 109, SHARES)
 TOPS = BASE ** np.arange(110.0)
 
 
@@ -94,6 +101,11 @@ def _bits(key: np.ndarray, q: int, size: int):
         yield ((h + U64(i) * step) % U64(size)).astype(np.int64)
 
 
+def bits_for(q: np.ndarray, kind: int, buckets: int) -> int:
+    """Bits (whole bytes) of a bucket's part that holds levels 1..q of every key."""
+    return 8 * max(LEAST[kind] // buckets, 8, -(-ITEM * int(q.sum()) // 8))
+
+
 def fill(key: np.ndarray, q: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """A filter of ``size`` bits with (key, 1..q), and which keys are in it (the most frequent that fit)."""
     room = int(size * math.log(2) / PROBES)
@@ -108,18 +120,26 @@ def fill(key: np.ndarray, q: np.ndarray, size: int) -> tuple[np.ndarray, np.ndar
     return np.packbits(bits, bitorder="little"), kept
 
 
-def probe(bitmap: np.ndarray, key: np.ndarray, part: np.ndarray, size: int, most: int = 109) -> np.ndarray:
-    """The level of each key in its part (of ``size`` bits): probes j = 1, 2, ... until the first miss."""
+def probe(bitmap: np.ndarray, key: np.ndarray, part: np.ndarray, size: int | np.ndarray,
+          most: int = 109) -> np.ndarray:
+    """The level of each key in its part: probes j = 1, 2, ... until the first miss.
+
+    All parts have ``size`` bits, or part i has ``size[i]``.
+    """
     out = np.zeros(len(key), np.int64)
     alive = np.arange(len(key))
-    base = part.astype(np.int64) * size
+    part = part.astype(np.int64)
+    if np.ndim(size):
+        base, size = (np.cumsum(size) - size)[part], size[part].astype(U64)
+    else:
+        base, size = part * size, np.full(len(key), size, U64)
     for j in range(1, most + 1):
         hit = alive
         # bit after bit: most misses show at the first ones
         h = mix(key[hit] + U64(LEVELS * j & (1 << 64) - 1))
         step = mix(h) | U64(1)
         for i in range(PROBES):
-            at = base[hit] + ((h + U64(i) * step) % U64(size)).astype(np.int64)
+            at = base[hit] + ((h + U64(i) * step) % size[hit]).astype(np.int64)
             ok = (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
             hit, h, step = hit[ok], h[ok], step[ok]
         out[hit] = j
@@ -195,16 +215,15 @@ def _added(kind, bucket, keys, values, bits) -> pa.Table:
 
 
 def _add_up(buckets: int):
-    """One bucket and kind: words and their counts, or contexts and what their pairs in the filter take."""
+    """One bucket and kind: words and their counts, or contexts and what their pairs take."""
     def f(key: tuple, table: pa.Table) -> pa.Table:
         bucket, kind = key[0].as_py(), key[1].as_py()
         keys, counts = _total(table)
-        size = 8 * ((WORDS, PAIRS)[kind] // buckets)
-        bits, kept = fill(keys, level(counts), size)
+        q = level(counts)
+        bits, _ = fill(keys, q, bits_for(q, kind, buckets))
         if kind == 0:
-            # the sign of the value tells whether the word is in the filter
-            return _added(0, bucket, keys, np.where(kept, counts, -counts).astype(float), bits)
-        first, taken = keys[kept] >> U64(32), MEANS[level(counts[kept])] - DISCOUNT
+            return _added(0, bucket, keys, counts.astype(float), bits)
+        first, taken = keys >> U64(32), MEANS[q] - DISCOUNT
         at = np.flatnonzero(np.r_[True, first[1:] != first[:-1]]) if len(first) else np.empty(0, np.int64)
         return _added(1, bucket, first[at], np.add.reduceat(taken, at) if len(at) else taken, bits)
     return f
@@ -212,28 +231,27 @@ def _add_up(buckets: int):
 
 def _shares(buckets: int):
     def f(key: tuple, table: pa.Table) -> pa.Table:
-        keys = table.column("key").to_numpy().astype(U64)
-        bits, _ = fill(keys, table.column("q").to_numpy().astype(np.int64), 8 * (SHARE // buckets))
+        keys, q = table.column("key").to_numpy().astype(U64), table.column("q").to_numpy().astype(np.int64)
+        bits, _ = fill(keys, q, bits_for(q, 2, buckets))
         return pa.table({"bucket": pa.array([key[0].as_py()], pa.int32()),
                          "bits": pa.array([bits.tobytes()], pa.binary())})
     return f
 
 
 class Model:
-    """The filters and what else scoring needs; its size does not depend on the corpus."""
+    """What scoring needs; the filters only if they are broadcast (``parts``: kind, then bucket, to bytes)."""
 
     def __init__(self, buckets: int, n: int, v: int, mass: float, head: tuple[bytes, bytes],
-                 parts: dict[int, dict[int, bytes]]):
+                 parts: dict[int, dict[int, bytes]] | None):
         self.buckets, self.n, self.v, self.mass, self.head = buckets, n, v, mass, head
         self.filters = {}
-        for kind, total in ((0, WORDS), (1, PAIRS), (2, SHARE)):
-            each = total // buckets
-            self.filters[kind] = b"".join(parts[kind].get(b, b"").ljust(each, b"\0") for b in range(buckets))
+        for kind, own in (parts or {}).items():
+            each = [own.get(b, bytes(8)) for b in range(buckets)]
+            self.filters[kind] = b"".join(each), 8 * np.array([len(x) for x in each], np.int64)
 
-    def _level(self, kind: int, key: np.ndarray, most: int = 109) -> np.ndarray:
-        bitmap = np.frombuffer(self.filters[kind], np.uint8)
-        part = mix(key) % U64(self.buckets)
-        return probe(bitmap, key, part, 8 * (len(bitmap) // self.buckets), most)
+    def level(self, kind: int, key: np.ndarray) -> np.ndarray:
+        bitmap, size = self.filters[kind]
+        return probe(np.frombuffer(bitmap, np.uint8), key, mix(key) % U64(self.buckets), size, MOST[kind])
 
     def head_counts(self, words: np.ndarray) -> np.ndarray:
         """Exact counts of the words in the head, -1 for others."""
@@ -241,14 +259,18 @@ class Model:
         at = np.minimum(np.searchsorted(keys, words), max(len(keys) - 1, 0))
         return np.where(keys[at] == words, counts[at], -1) if len(keys) else np.full(len(words), -1)
 
-    def log10(self, t: np.ndarray) -> np.ndarray:
-        """log10 P of each token after the first of a token sequence (texts joined at their ends)."""
+    def log10(self, t: np.ndarray, find=None) -> np.ndarray:
+        """log10 P of each token after the first of a token sequence (texts joined at their ends).
+
+        ``find`` gives the levels of keys of a kind; by default they are probed in the broadcast filters.
+        """
+        find = find or self.level
         words, w = np.unique(t, return_inverse=True)
-        q = self._level(0, words)
+        q = find(0, words)
         p1 = (MEANS[q] + 0.1) / (self.mass + 0.1 * (self.v + 1))
-        r = self._level(2, words >> U64(32), SHARES) / SHARES
+        r = find(2, words >> U64(32)) / SHARES
         keys, inverse = np.unique(pairs(t), return_inverse=True)
-        c = MEANS[self._level(1, keys)][inverse]
+        c = MEANS[find(1, keys)][inverse]
         a, b = w[:-1], w[1:]
         seen = (q[a] > 0) & (c > 0)
         p2 = np.where(seen, (c - DISCOUNT) / TOPS[q[a]], 0.0)
@@ -258,17 +280,25 @@ class Model:
         return np.log10(np.minimum(p2 + np.maximum(1 - taken, 1 / SHARES) * p1[b], 1.0))
 
 
-def train(texts: DataFrame, root: str, head: int = 200_000,
-          batch_tokens: int = 1 << 20) -> tuple[Model, DataFrame]:
-    """The model of the ``text`` column, and the exact vocabulary (h, c)."""
+def train(texts: DataFrame, root: str, head: int = 200_000, batch_tokens: int = 1 << 20) -> tuple[Model, DataFrame]:
+    """The model of the ``text`` column with its filters, and the exact vocabulary (h, c)."""
+    return _train(texts, root, head, batch_tokens, None)[:2]
+
+
+def _train(texts: DataFrame, root: str, head: int, batch_tokens: int,
+           max_broadcast: int | None) -> tuple[Model, DataFrame, DataFrame]:
+    """The model, the exact vocabulary (h, c), and the filters' parts (kind, bucket, bits).
+
+    Beyond ``max_broadcast`` bytes of parts the model has no filters.
+    """
     spark = texts.sparkSession
     buckets = 4 * shuffle_partitions(spark)
     sent = texts.select("text").mapInArrow(_count(buckets, batch_tokens), SENT)
     added = stage(spark, sent.groupBy("bucket", "kind").applyInArrow(_add_up(buckets), ADDED), root, "added")
-    vocab = added.where("kind = 0").select(F.col("key").alias("h"), F.abs("value").cast("long").alias("c"))
+    vocab = added.where("kind = 0").select(F.col("key").alias("h"), F.col("value").cast("long").alias("c"))
     n, v = vocab.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
 
-    inside = added.where("kind = 0 AND value > 0")
+    inside = added.where("kind = 0")
     q = F.floor(F.log(F.col("value")) / math.log(BASE) + 1e-9).cast("int") + 1
     mean = F.element_at(F.array(*[F.lit(float(x)) for x in MEANS[1:90]]), q)
     mass = inside.agg(F.coalesce(F.sum(mean), F.lit(0.0))).first()[0]
@@ -282,11 +312,14 @@ def train(texts: DataFrame, root: str, head: int = 200_000,
     shares = stage(spark, dealt.groupBy("bucket").applyInArrow(_shares(buckets), "bucket int, bits binary"),
                    root, "shares")
 
-    parts: dict[int, dict[int, bytes]] = {0: {}, 1: {}, 2: {}}
-    for r in added.where("kind >= 10").select("kind", "bucket", "bits").toLocalIterator():
-        parts[r["kind"] - 10][r["bucket"]] = bytes(r["bits"])
-    for r in shares.toLocalIterator():
-        parts[2][r["bucket"]] = bytes(r["bits"])
+    filters = (added.where("kind >= 10").select((F.col("kind") - 10).alias("kind"), "bucket", "bits")
+               .union(shares.select(F.lit(2).alias("kind"), "bucket", "bits")))
+    size = filters.agg(F.coalesce(F.sum(F.octet_length("bits")), F.lit(0))).first()[0]
+    parts: dict[int, dict[int, bytes]] | None = None
+    if max_broadcast is None or size <= max_broadcast:
+        parts = {0: {}, 1: {}, 2: {}}
+        for r in filters.toLocalIterator():
+            parts[r["kind"]][r["bucket"]] = bytes(r["bits"])
     # the counts from the top on that together belong to at most ``head`` words: one row a count
     often = vocab.groupBy("c").agg(F.count("*").alias("n"))
     cut = (often.withColumn("above", F.sum("n").over(Window.orderBy(F.desc("c")))).where(F.col("above") <= head)
@@ -296,7 +329,7 @@ def train(texts: DataFrame, root: str, head: int = 200_000,
     order = np.argsort(keys)
     counts = top.column("c").to_numpy()[order]
     model = Model(buckets, int(n), int(v), float(mass), (keys[order].tobytes(), counts.tobytes()), parts)
-    return model, vocab
+    return model, vocab, filters
 
 
 def _bucket_of(buckets: int):
@@ -309,37 +342,40 @@ def _bucket_of(buckets: int):
     return f
 
 
-def _score(model, batch_tokens: int):
-    """Rows (rid, text) to scores, the base score of head words, and the other words with their numbers."""
-    names = ["rid", "n_tokens", "n_head", "base_head", "score", "words", "times"]
-
-    def flush(m, rids, held):
-        n = np.array([len(t) - 1 for t in held])
-        starts = np.cumsum(n) - n
-        # the end of a text is the token before the next one's first word
-        flat = np.concatenate([held[0], *(t[1:] for t in held[1:])])
-        score = np.add.reduceat(m.log10(flat), starts)
-        doc, tok = np.repeat(np.arange(len(held)), n), flat[1:]
-        words, inverse = np.unique(tok, return_inverse=True)
-        c = m.head_counts(words)
-        log = np.where(c >= 0, np.log10((np.maximum(c, 0) + 0.1) / (m.n + 0.1 * (m.v + 1))), 0.0)
-        base = np.add.reduceat(log[inverse], starts)
-        known = np.add.reduceat((c[inverse] > 0).astype(np.int64), starts)
-        rest = np.flatnonzero(c[inverse] < 0)
-        out_w: list = [[] for _ in held]
-        out_n: list = [[] for _ in held]
-        if len(rest):
-            both, times = np.unique(doc[rest] * len(words) + inverse[rest], return_counts=True)
-            d = both // len(words)
-            w = words[both % len(words)].view(np.int64)
-            cut = np.searchsorted(d, np.arange(len(held) + 1))
-            for i in range(len(held)):
-                out_w[i], out_n[i] = w[cut[i]:cut[i + 1]], times[cut[i]:cut[i + 1]].astype(np.int32)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(rids, pa.int64()), pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(base),
-             pa.array(score), pa.array(out_w, pa.list_(pa.int64())), pa.array(out_n, pa.list_(pa.int32()))],
-            names)
+NAMES = ["rid", "n_tokens", "n_head", "base_head", "score", "words", "times"]
+
+
+def _score_texts(m: Model, rids: list, held: list, find=None) -> pa.RecordBatch:
+    """Scores, the base score of head words, and the other words with their numbers, of token sequences."""
+    n = np.array([len(t) - 1 for t in held])
+    starts = np.cumsum(n) - n
+    # the end of a text is the token before the next one's first word
+    flat = np.concatenate([held[0], *(t[1:] for t in held[1:])])
+    score = np.add.reduceat(m.log10(flat, find), starts)
+    doc, tok = np.repeat(np.arange(len(held)), n), flat[1:]
+    words, inverse = np.unique(tok, return_inverse=True)
+    c = m.head_counts(words)
+    log = np.where(c >= 0, np.log10((np.maximum(c, 0) + 0.1) / (m.n + 0.1 * (m.v + 1))), 0.0)
+    base = np.add.reduceat(log[inverse], starts)
+    known = np.add.reduceat((c[inverse] > 0).astype(np.int64), starts)
+    rest = np.flatnonzero(c[inverse] < 0)
+    out_w: list = [[] for _ in held]
+    out_n: list = [[] for _ in held]
+    if len(rest):
+        both, times = np.unique(doc[rest] * len(words) + inverse[rest], return_counts=True)
+        d = both // len(words)
+        w = words[both % len(words)].view(np.int64)
+        cut = np.searchsorted(d, np.arange(len(held) + 1))
+        for i in range(len(held)):
+            out_w[i], out_n[i] = w[cut[i]:cut[i + 1]], times[cut[i]:cut[i + 1]].astype(np.int32)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(rids, pa.int64()), pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(base),
+         pa.array(score), pa.array(out_w, pa.list_(pa.int64())), pa.array(out_n, pa.list_(pa.int32()))],
+        NAMES)
 
+
+def _score(model, batch_tokens: int):
+    """Rows (rid, text) to the columns of ``_score_texts``, with the broadcast filters."""
     def f(batches):
         m, rids, held, n = model.value, [], [], 0
         for rb in slices(batches):
@@ -348,15 +384,95 @@ def _score(model, batch_tokens: int):
                 held.append(tokens(t.as_py()))
                 n += len(held[-1])
                 if n >= batch_tokens:
-                    yield flush(m, rids, held)
+                    yield _score_texts(m, rids, held)
                     rids, held, n = [], [], 0
         if held:
-            yield flush(m, rids, held)
+            yield _score_texts(m, rids, held)
+    return f
+
+
+def _number(batch_bytes: int):
+    """Rows with ``batch``, the number of their batch's first row; a batch ends at ``batch_bytes`` of text."""
+    def f(batches):
+        first, n = None, 0
+        for rb in slices(batches):
+            sizes = pc.fill_null(pc.binary_length(rb.column("text")), 0).to_pylist()
+            own = []
+            for rid, size in zip(rb.column("rid").to_pylist(), sizes):
+                first, n = (rid, 0) if first is None or n >= batch_bytes else (first, n)
+                own.append(first)
+                n += size + 8
+            yield pa.RecordBatch.from_arrays([*rb.columns, pa.array(own, pa.int64())], [*rb.schema.names, "batch"])
+    return f
+
+
+def _ask(buckets: int, batch_tokens: int):
+    """The distinct n-grams of batches, packed: rows (batch, bucket, kind, keys)."""
+    def flush(batch, held):
+        words = np.unique(np.concatenate(held))
+        rows = []
+        for kind, keys in ((0, words), (1, np.unique(np.concatenate([pairs(t) for t in held]))),
+                           (2, np.unique(words >> U64(32)))):
+            b = (mix(keys) % U64(buckets)).astype(np.int64)
+            order = np.argsort(b, kind="stable")
+            b, keys = b[order], keys[order]
+            cuts = np.flatnonzero(np.r_[True, b[1:] != b[:-1]])
+            rows += [(batch, int(b[i]), kind, keys[i:j].tobytes()) for i, j in zip(cuts, np.r_[cuts[1:], len(b)])]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int32(), pa.binary()))],
+            ["batch", "bucket", "kind", "keys"])
+
+    def f(batches):
+        batch, held, n = None, [], 0
+        for rb in slices(batches):
+            for own, t in zip(rb.column("batch").to_pylist(), rb.column("text").cast(pa.large_binary())):
+                if held and (own != batch or n >= batch_tokens):
+                    yield flush(batch, held)
+                    held, n = [], 0
+                batch = own
+                held.append(tokens(t.as_py()))
+                n += len(held[-1])
+        if held:
+            yield flush(batch, held)
+    return f
+
+
+def _answer(asked: pa.Table, part: pa.Table) -> pa.Table:
+    """The levels of the keys asked of one bucket and kind."""
+    levels = []
+    bits = part.column("bits")[0].as_py() if part.num_rows else bytes(8)
+    bitmap = np.frombuffer(bits, np.uint8)
+    for kind, keys in zip(asked.column("kind").to_pylist(), asked.column("keys")):
+        key = np.frombuffer(keys.as_buffer(), U64)
+        q = probe(bitmap, key, np.zeros(len(key), np.int64), 8 * len(bitmap), MOST[kind])
+        levels.append(q.astype(np.uint8).tobytes())
+    return pa.table([asked.column("batch"), asked.column("kind"), asked.column("keys"), pa.array(levels, pa.binary())],
+                    ["batch", "kind", "keys", "levels"])
+
+
+def _score_batch(model):
+    """A batch's texts and the levels of its n-grams to the columns of ``_score_texts``, id and held_out."""
+    def f(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        kinds, known = answers.column("kind").to_numpy(), {}
+        for kind in range(3):
+            own = answers.filter(pa.array(kinds == kind))
+            keys = np.frombuffer(b"".join(own.column("keys").to_pylist()), U64)
+            levels = np.frombuffer(b"".join(own.column("levels").to_pylist()), np.uint8)
+            keys, at = np.unique(keys, return_index=True)
+            known[kind] = keys, levels[at].astype(np.int64)
+
+        def find(kind: int, key: np.ndarray) -> np.ndarray:
+            keys, levels = known[kind]
+            return levels[np.searchsorted(keys, key)]
+
+        held = [tokens(t.as_py()) for t in rows.column("text").cast(pa.large_binary())]
+        out = pa.Table.from_batches([_score_texts(model.value, rows.column("rid").to_pylist(), held, find)])
+        return out.append_column("id", rows.column("id")).append_column("held_out", rows.column("held_out"))
     return f
 
 
 def scored(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text",
-           head: int = 200_000, batch_tokens: int = 1 << 20) -> DataFrame:
+           head: int = 200_000, batch_tokens: int = 1 << 20, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score), a row per row of ``docs``.
 
     ``held_out`` is a boolean column of ``docs``; the other rows are learnt from.
@@ -365,7 +481,7 @@ def scored(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "t
     root = scratch(spark, "lm")
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(held_out, F.lit(False)).alias("held_out"),
                        F.col(text_col).cast("string").alias("text"))
-    model, vocab = train(rows.where(~F.col("held_out")), root, head, batch_tokens)
+    model, vocab, filters = _train(rows.where(~F.col("held_out")), root, head, batch_tokens, max_broadcast)
     sent = spark.sparkContext.broadcast(model)
     keyed = rows.withColumn("rid", F.monotonically_increasing_id())
     # ids are kept beside the number of the row by the same pass
@@ -387,9 +503,21 @@ def scored(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "t
                 [*out.schema.names, "id", "held_out"])
 
     ids = to_arrow_type(rows.schema["id"].dataType)
-    base = stage(spark, keyed.mapInArrow(
-        with_ids, "rid long, n_tokens long, n_head long, base_head double, score double, words array<long>, "
-        f"times array<int>, id {kind}, held_out boolean"), root, "scores")
+    schema = ("rid long, n_tokens long, n_head long, base_head double, score double, words array<long>, "
+              f"times array<int>, id {kind}, held_out boolean")
+    if model.filters:
+        base = keyed.mapInArrow(with_ids, schema)
+    else:
+        dealt = stage(spark, keyed.select("rid", "id", "held_out", "text").mapInArrow(
+            _number(4 * batch_tokens), f"rid long, id {kind}, held_out boolean, text string, batch long"),
+            root, "batches")
+        asked = dealt.select("batch", "text").mapInArrow(
+            _ask(model.buckets, batch_tokens), "batch long, bucket int, kind int, keys binary")
+        answers = stage(spark, asked.groupBy("bucket", "kind").cogroup(filters.groupBy("bucket", "kind")).applyInArrow(
+            _answer, "batch long, kind int, keys binary, levels binary"), root, "levels")
+        base = (dealt.groupBy("batch").cogroup(answers.groupBy("batch"))
+                .applyInArrow(_score_batch(sent), schema))
+    base = stage(spark, base, root, "scores")
     total = model.n + 0.1 * (model.v + 1)
     tail = (base.select("rid", F.explode(F.arrays_zip("words", "times")).alias("w"))
             .select("rid", F.col("w.words").alias("h"), F.col("w.times").alias("times")))

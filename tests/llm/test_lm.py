@@ -5,6 +5,8 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,6 +66,35 @@ def test_full_filter_keeps_the_most_frequent():
     assert kept.sum() == 100 and kept[4900:].all()
 
 
+def test_no_ngram_is_left_out_of_an_overfull_filter():
+    """More words, pairs and shares in one bucket than its share of 28 MiB held: all have their level."""
+    rng = np.random.default_rng(4)
+    n = 2_200_000  # one bucket of eight held 1.94M pair, 0.97M word and 0.48M share items
+    keys = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+    ones = pa.table({"ones": [keys.tobytes()], "keys": [b""], "counts": [b""]})
+    for kind in (0, 1):
+        out = lm._add_up(8)((pa.scalar(0), pa.scalar(kind)), ones)
+        bits = np.frombuffer(out.filter(pc.equal(out["kind"], kind + 10))["bits"][0].as_py(), np.uint8)
+        assert (lm.probe(bits, keys, np.zeros(len(keys), np.int64), 8 * len(bits)) >= 1).all()
+        assert len(bits) == max(lm.LEAST[kind] // 8, 2 * len(keys))
+    some = keys[:600_000]
+    out = lm._shares(8)((pa.scalar(0),), pa.table({"key": some.view(np.int64), "q": np.full(len(some), 1, np.int32)}))
+    bits = np.frombuffer(out["bits"][0].as_py(), np.uint8)
+    assert (lm.probe(bits, some, np.zeros(len(some), np.int64), 8 * len(bits)) >= 1).all()
+
+
+@pytest.mark.parametrize("which", ["sf", "edge"])
+def test_joined_filters_score_as_broadcast_ones(spark, which):
+    docs = sf_docs(spark) if which == "sf" else edge_docs(spark)
+    held = F.crc32(F.col("doc_id").cast("string")) % 10 == 0
+    both = [sorted(map(tuple, lm.scored(docs, held, batch_tokens=3000, max_broadcast=b).collect()), key=str)
+            for b in (1 << 30, 0)]
+    assert len(both[0]) == len(both[1])
+    for a, b in zip(*both):
+        assert a[:5] == b[:5] and a[5:] == pytest.approx(b[5:])
+    assert lm.scored(no_docs(spark), held, max_broadcast=-1).collect() == []
+
+
 def test_levels_stand_for_counts():
     c = np.arange(1, 5000)
     q = lm.level(c)
