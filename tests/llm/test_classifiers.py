@@ -73,6 +73,15 @@ def test_kneser_ney_quality(spark):
     assert kept[1] > 0.99 and kept[0] < 0.4
 
 
+def test_kneser_ney_quality_of_small_input(spark):
+    small = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{small}/labels.parquet")
+    rows = kn.op4_kneser_ney(spark, small).join(labels, "doc_id").select("quality", "threshold", "kept").collect()
+    kept = {q: np.mean([r["kept"] for r in rows if r["quality"] == q]) for q in (0, 1)}
+    assert all(r["threshold"] is not None for r in rows)
+    assert kept[1] > 0.98 and kept[0] < 0.4
+
+
 def test_kneser_ney_defined_cases(spark):
     docs = edge_docs(spark)
     none = kn.judged(docs, spark.createDataFrame([], "i long")).collect()
