@@ -12,7 +12,10 @@ toxic segments against the others' most toxic ones. Last, a logistic curve is fi
 the texts' scores, weighted to the labels' true shares.
 
 The model is fitted on a bounded sample of labelled texts, at most ``most``
-(toxic, other) texts and ``max_bytes`` of text, in the order of a hash of the id.
+(toxic, other) texts and ``max_bytes`` of text, split between the classes as
+``most`` is, in the order of a hash of the id. Texts above 1/64 of their class's
+bytes (64 KiB of toxic ones) come after the others, the shortest first, and none
+gives more than its first 1/16 in characters, so no long text ends the sample.
 As both layers are linear, a text needs one number per n-gram row, which is all
 that is broadcast (1 MiB). Every text is scored whole.
 
@@ -199,12 +202,16 @@ def sample(docs: DataFrame, labels: DataFrame, root: str, id_col: str, text_col:
     ids = [hash_sample(known.where(F.col("toxic") == t), n) for t, n in zip((True, False), most)]
     ids = stage(spark, ids[0].union(ids[1]), root, "ids")
     text = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    found = text.join(F.broadcast(ids), "id").where("text IS NOT NULL")
-    sizes = found.groupBy("id").agg(F.max(F.octet_length("text")).alias("bytes"))
-    so_far = Window.orderBy(F.xxhash64("id"), "id")
-    fit = stage(spark, sizes.withColumn("sum", F.sum("bytes").over(so_far)).where(F.col("sum") <= max_bytes)
+    room = F.when(F.col("toxic"), max_bytes * most[0] // sum(most)).otherwise(max_bytes * most[1] // sum(most))
+    begin = F.left("text", F.greatest((room / 16).cast("int"), F.lit(1)))
+    found = stage(spark, text.join(F.broadcast(ids), "id").where("text IS NOT NULL")
+                  .withColumn("text", begin).groupBy("id", "toxic").agg(F.max("text").alias("text")), root, "texts")
+    sizes = found.select("id", "toxic", F.octet_length("text").alias("bytes"))
+    long = F.when(F.col("bytes") > room / 64, F.col("bytes")).otherwise(0)
+    so_far = Window.partitionBy("toxic").orderBy(long, F.xxhash64("id"), "id")
+    fit = stage(spark, sizes.withColumn("sum", F.sum("bytes").over(so_far)).where(F.col("sum") <= room)
                 .select("id"), root, "fit")
-    rows = found.join(F.broadcast(fit), "id").groupBy("id", "toxic").agg(F.max("text").alias("text"))
+    rows = found.join(F.broadcast(fit), "id", "left_semi")
     rows = sorted(rows.collect(), key=lambda r: r["id"])  # at most max_bytes of text
     return [r["text"] for r in rows], np.array([r["toxic"] for r in rows], bool), float(share)
 

@@ -47,6 +47,32 @@ def test_toxicity_defined_cases(spark):
     assert tox.toxicity(no_docs(spark), labels, held).collect() == []
 
 
+def first_hashed(spark, n, where="true"):
+    return spark.range(n).where(where).orderBy(F.xxhash64("id")).first()["id"]
+
+
+def test_toxicity_sample_goes_on_after_a_long_text(spark):
+    word = lambda i: "idiot" if i % 2 else "lovely"
+    firsts = {first_hashed(spark, 400, f"id % 2 = {k}") for k in (0, 1)}
+    rows = [(i, " ".join([f"w{i} this {word(i)} person k{i % 7}"] * (2000 if i in firsts else 1))) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "i long, t int")
+    got = tox.toxicity(docs, labels, F.lit(False), max_bytes=40_000).collect()
+    assert len(rows[min(firsts)][1]) > 40_000
+    assert np.mean([r["predicted"] == r["id"] % 2 for r in got]) > 0.95
+
+
+def test_kneser_ney_sample_goes_on_after_a_long_text(spark):
+    held = F.pmod(F.xxhash64(F.lit("held out"), "id"), F.lit(kn.HELD)) == 0
+    first = spark.range(300).where(~held).orderBy(F.xxhash64("id")).first()["id"]
+    rng = np.random.default_rng(4)
+    rows = [(i, "en", " ".join(f"w{k}" for k in rng.integers(0, 40, 9000 if i == first else 60))) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    got = kn.judged(docs, docs.select("doc_id"), max_bytes=20_000).collect()
+    assert len(rows[first][2]) > 20_000
+    assert all(1 < r["perplexity"] < 100 and r["threshold"] is not None for r in got)
+
+
 def test_kneser_ney_adds_up(spark):
     model = kn.train(sf_docs(spark).select("text").limit(40), scratch(spark, "test"))
     words = np.unique(model.word.keys)
