@@ -11,8 +11,10 @@
 4. Survivors are verified exactly on the full shingle sets.
 5. The verified links give components. In buckets that still hold members
    outside the component of their smallest node, these outsiders are compared
-   with all members of other components, in blocks: pruned as above, survivors
-   verified exactly on the spot, and one link to each component goes out.
+   with all members of other components, a block of outsiders with a block of
+   members at a time: pruned as above by signatures alone, then the survivors'
+   sets join their pair of blocks, are verified exactly, and one link of an
+   outsider to each component goes out.
    Pairs inside a component need no look: a link there changes nothing. So no
    pair of a bucket is lost, and none goes out for copies.
 
@@ -42,7 +44,7 @@ from lodestar.llm.components import components
 
 #: Nodes (8 bytes each) up to which the list of texts to verify is broadcast.
 MAX_BROADCAST_NODES = 1_000_000
-#: Rows of a block in the comparison inside a bucket.
+#: Rows of a block, of outsiders or of members, in the comparison inside a bucket.
 BLOCK = 1024
 
 
@@ -179,23 +181,58 @@ def _verify(percent: int):
     return f
 
 
-def _across(least: np.ndarray, batch: int, n: int, percent: int):
-    """One block of a bucket: links of outsiders (``out``) with members of other components."""
-    def f(table: pa.Table) -> pa.Table:
+def _dealt(here: DataFrame) -> DataFrame:
+    """Members of open buckets dealt to (bucket, bl, br): a block of outsiders (``left``) and one of members.
+
+    ``here`` has the columns bucket, size, n_out, node, comp and out.
+    """
+    nl, nr = (F.ceil(F.col(c) / BLOCK).cast("int") for c in ("n_out", "size"))
+    block = lambda m: F.pmod(F.xxhash64("node"), m).cast("int")
+    every = lambda m: F.explode(F.sequence(F.lit(0), m - 1))
+    cols = ["bucket", "bl", "br", "node", "comp"]
+    left = here.where("out").withColumn("bl", block(nl)).withColumn("br", every(nr))
+    right = here.withColumn("br", block(nr)).withColumn("bl", every(nl))
+    return left.select(*cols, F.lit(True).alias("left")).union(right.select(*cols, F.lit(False).alias("left")))
+
+
+MET = "bucket long, bl int, br int, node long, comp long, partners binary"
+
+
+def _meet(least: np.ndarray, batch: int, n: int):
+    """Two blocks of a bucket: the nodes of pairs whose signatures survive, outsiders with their partners."""
+    def f(key: tuple, table: pa.Table) -> pa.Table:
         node, comp = (table.column(c).to_numpy() for c in ("node", "comp"))
-        out = table.column("out").to_numpy(zero_copy_only=False)
+        left = table.column("left").to_numpy(zero_copy_only=False)
         sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint32).reshape(-1, n)
+        right, partners, used = np.flatnonzero(~left), {}, {}
+        for i in np.flatnonzero(left):
+            js = right[comp[right] != comp[i]]
+            js = js[survives(np.broadcast_to(sig[i], (len(js), n)), sig[js], least, batch)]
+            if len(js):
+                partners[node[i]] = node[js].tobytes()
+                used[node[i]] = comp[i]
+                used.update(zip(node[js], comp[js]))
+        own = [pa.array([k.as_py()] * len(used), t) for k, t in zip(key, (pa.int64(), pa.int32(), pa.int32()))]
+        return pa.table([*own, pa.array(list(used), pa.int64()), pa.array(list(used.values()), pa.int64()),
+                         pa.array([partners.get(x) for x in used], pa.binary())],
+                        ["bucket", "bl", "br", "node", "comp", "partners"])
+    return f
+
+
+def _across(percent: int):
+    """The nodes of ``_meet`` with their sets: exact links of outsiders, one to each component."""
+    def f(table: pa.Table) -> pa.Table:
+        node, comp = (table.column(c).to_numpy() for c in ("node", "comp"))
         sets = [np.frombuffer(s, U64) for s in table.column("shingles").to_pylist()]
         size = np.array([len(s) for s in sets])
         starts = np.cumsum(size) - size
         values, code = np.unique(np.concatenate(sets), return_inverse=True)
         mark = np.zeros(len(values), np.int32)
-        right, links = np.flatnonzero(~out), []
-        for i in np.flatnonzero(out):
-            js = right[comp[right] != comp[i]]
-            js = js[survives(np.broadcast_to(sig[i], (len(js), n)), sig[js], least, batch)]
-            if not len(js):
+        order, links = np.argsort(node), []
+        for i, partners in enumerate(table.column("partners").to_pylist()):
+            if partners is None:
                 continue
+            js = order[np.searchsorted(node, np.frombuffer(partners, np.int64), sorter=order)]
             own = code[starts[i]:starts[i] + size[i]]
             mark[own] = 1
             both = (np.add.reduceat(mark[code], starts)[js] if len(js) > 32 else
@@ -262,18 +299,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .join(heads, "first", "left")
             .withColumn("comp", F.coalesce("comp", "node"))
             .withColumn("out", F.col("comp") != F.coalesce("first_comp", "first")))
-    open_ = here.groupBy("bucket").agg(F.max("out").alias("open")).where("open").select("bucket")
+    open_ = here.groupBy("bucket").agg(F.count_if("out").alias("n_out")).where("n_out > 0")
     here = stage(spark, here.join(open_, "bucket"), root, "open")
-    sets = sets_of(here.select("node").distinct(), "open")
-    full = here.join(nodes, "node").join(sets, "node")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    cols = ["bucket", "block", "node", "comp", "sig", "shingles"]
-    right = (full.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-             .select(*cols, F.lit(False).alias("out")))
-    left = (full.where("out").withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
-            .select(*cols, F.lit(True).alias("out")))
-    more = (right.union(left).groupBy("bucket", "block")
-            .applyInArrow(_across(least, batch, n, percent), "u long, v long").distinct())
+    met = stage(spark, _dealt(here).join(nodes, "node").groupBy("bucket", "bl", "br")
+                .applyInArrow(_meet(least, batch, n), MET), root, "open-met")
+    sets = sets_of(met.select("node").distinct(), "open")
+    more = (met.join(sets, "node").groupBy("bucket", "bl", "br")
+            .applyInArrow(_across(percent), "u long, v long").distinct())
     links = links.union(stage(spark, more, root, "open-links"))
     labels = stage(spark, components(spark, links, root, "cc"), root, "labels")
 

@@ -52,6 +52,32 @@ def test_components(spark, which):
     assert sorted(map(tuple, got), key=str) == brute(rows_of(docs))
 
 
+def test_blocks_of_outsiders_are_bounded(spark, monkeypatch):
+    """400 outsiders of 401 members: no pair of blocks holds them all, and every pair meets."""
+    monkeypatch.setattr(minhash, "BLOCK", 16)
+    here = (spark.range(401).selectExpr("7L AS bucket", "401L AS size", "400L AS n_out", "id AS node", "id AS comp",
+                                        "id > 0 AS out"))
+    rows = minhash._dealt(here).collect()
+    groups = defaultdict(lambda: (set(), set()))
+    for r in rows:
+        groups[r["bl"], r["br"]][r["left"]].add(r["node"])
+    assert max(len(s) for g in groups.values() for s in g) < 3 * 16
+    assert {(a, b) for m, o in groups.values() for a in o for b in m} == {
+        (a, b) for a in range(1, 401) for b in range(401)}
+
+
+def test_template_texts_in_small_blocks(spark, monkeypatch):
+    """Texts that share half of their shingles, a few of them near copies of each other."""
+    monkeypatch.setattr(minhash, "BLOCK", 16)
+    rng = np.random.default_rng(6)
+    same = [f"t{i}" for i in range(140)]
+    own = [[f"o{rng.integers(1 << 40)}" for _ in range(60)] for _ in range(100)]
+    rows = [(i, " ".join(same + own[i % 90 if i >= 90 else i] + [f"e{i}"] * (i % 3))) for i in range(110)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = minhash.near_duplicates(docs).select("id", "n_shingles", "component_id", "kept").collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows)
+
+
 def test_chain_of_edits_in_one_bucket(spark):
     """Many variants of one text, some linked only through others: outsiders of a bucket are not lost."""
     rng = np.random.default_rng(3)
