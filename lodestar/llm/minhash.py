@@ -23,10 +23,12 @@ Buckets with the same members (a group of near copies has many) are one.
 Defined cases: texts without words (null, empty) have an empty set, link with
 nothing and are kept; texts of fewer than ``width`` words have their whole word
 sequence as one shingle; very long texts are hashed in parts; rows that repeat
-a doc_id share its component; a row with a null id takes the smallest id of its
-component (null if there is none) and is kept only then; an empty table gives
-an empty result; other columns are ignored by ``near_duplicates`` and passed
-through by ``deduplicated``. Ids must be of an orderable type.
+a doc_id with another text are linked by their texts only, and all rows of a
+component with its smallest id are ``kept`` (``deduplicated`` keeps one of
+them); a row with a null id takes the smallest id of its component (null if
+there is none) and is ``kept`` only then (``deduplicated`` keeps it always); an
+empty table gives an empty result; other columns are ignored by
+``near_duplicates`` and passed through by ``deduplicated``. Ids must be of an orderable type.
 """
 
 from __future__ import annotations
@@ -247,18 +249,16 @@ def _across(percent: int):
     return f
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
-                    percent: int = 75, bands: int = 32, rows: int = 4, batch: int = 16,
-                    miss: float = 1e-6) -> DataFrame:
-    """(id, n_shingles, component_id, kept), a row per row of ``docs``.
+def _roots(texts: DataFrame, width: int = 5, percent: int = 75, bands: int = 32, rows: int = 4,
+           batch: int = 16, miss: float = 1e-6) -> DataFrame:
+    """(id, n, node, component), a row per row of ``texts`` (id, text); node and component are null without words.
 
     ``bands * rows`` hashes a signature; with the defaults a pair at the
     threshold meets in a bucket with probability 0.999995.
     """
-    spark = docs.sparkSession
+    spark = texts.sparkSession
     root, n = scratch(spark, "minhash"), bands * rows
     least = prune_table(n, batch, percent / 100, miss)
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     id_type = texts.schema["id"].dataType.simpleString()
     signed = stage(spark, texts.mapInArrow(
         _sign(width, n), f"id {id_type}, n long, node long, sig binary"), root, "signed")
@@ -309,8 +309,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = links.union(stage(spark, more, root, "open-links"))
     labels = stage(spark, components(spark, links, root, "cc"), root, "labels")
 
-    roots = (signed.join(labels, "node", "left")
-             .withColumn("component", F.coalesce("component", "node")))
+    return (signed.join(labels, "node", "left")
+            .select("id", "n", "node", F.coalesce("component", "node").alias("component")))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """(id, n_shingles, component_id, kept), a row per row of ``docs``; options as for ``_roots``."""
+    roots = _roots(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), **options)
     least_id = roots.where("component IS NOT NULL").groupBy("component").agg(F.min("id").alias("least"))
     full = roots.join(least_id, "component", "left")
     own = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("least"))
@@ -318,12 +323,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                        F.col("id").eqNullSafe(own).alias("kept"))
 
 
-def deduplicated(docs: DataFrame, **options) -> DataFrame:
-    """One document of each component (its smallest id), columns as in ``docs``; null ids stay."""
-    id_col = options.get("id_col", "doc_id")
-    gone = near_duplicates(docs, **options).where(~F.col("kept") & F.col("id").isNotNull())
-    gone = gone.select(F.col("id").alias(fresh(docs, "gone"))).distinct()
-    return docs.join(gone, docs[id_col] == gone[gone.columns[0]], "left_anti")
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One row of each component (of those with its smallest id, the first), columns as in ``docs``.
+
+    Rows go one by one, so another text under the id of a dropped row stays.
+    Rows with a null id stay.
+    """
+    spark, row = docs.sparkSession, fresh(docs, "row")
+    numbered = stage(spark, docs.withColumn(row, F.monotonically_increasing_id()), scratch(spark, "dedup"), "rows")
+    roots = _roots(numbered.select(F.col(row).alias("id"), F.col(text_col).alias("text")), **options)
+    own = numbered.select(F.col(row).alias("id"), F.col(id_col).alias("own")).where("own IS NOT NULL")
+    found = stage(spark, roots.where("component IS NOT NULL").select("id", "component").join(own, "id"),
+                  scratch(spark, "dedup"), "found")
+    first = found.groupBy("component").agg(F.min(F.struct("own", "id")).alias("first"))
+    gone = (found.join(first, "component").where(F.col("id") != F.col("first.id"))
+            .select(F.col("id").alias(row)))
+    return numbered.join(gone, row, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

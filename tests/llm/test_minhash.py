@@ -8,7 +8,7 @@ import pytest
 from lodestar.llm import minhash
 from lodestar.llm.components import components
 from lodestar.llm._common import scratch
-from tests.llm.common import Union, edge_docs, no_docs, rows_of, sf_docs, words
+from tests.llm.common import Union, edge_docs, no_docs, numbered, rows_of, sf_docs, words
 
 
 def sets(rows):
@@ -101,6 +101,14 @@ def test_deduplicated_keeps_columns_and_clean_documents(spark):
     assert ids == sorted([1, 2, 3, None, None, 4, 6, 9, 10, 11, 12], key=str)
 
 
+def test_deduplicated_drops_rows_not_ids(spark):
+    x, y = numbered(50, "x"), numbered(50, "y")
+    keep = lambda rows: sorted(map(tuple, minhash.deduplicated(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()))
+    assert keep([(5, x), (5, y), (3, y)]) == [(3, y), (5, x)]
+    assert keep([(5, x), (5, x), (6, x), (1, "")]) == [(1, ""), (5, x)]
+
+
 def test_empty(spark):
     assert minhash.near_duplicates(no_docs(spark)).collect() == []
     assert minhash.deduplicated(no_docs(spark)).collect() == []
