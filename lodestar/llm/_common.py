@@ -7,6 +7,7 @@ exactly those six bytes. ``bytes.lower()`` changes A-Z only.
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import sys
 import uuid
@@ -48,9 +49,26 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/lodestar-llm/{label}-{uuid.uuid4().hex[:12]}"
 
 
+@contextlib.contextmanager
+def shuffles_let_go(spark: SparkSession):
+    """Spark deletes the shuffle files of executions in this block when each is done.
+
+    Without it they stay until the driver happens to collect its garbage. For
+    executions whose result is written, so that nobody reads their shuffles again.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def stage(spark: SparkSession, df: DataFrame, root: str, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage, survives lost executors."""
-    return materialize(spark, df, f"{root}/{name}")
+    with shuffles_let_go(spark):
+        return materialize(spark, df, f"{root}/{name}")
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

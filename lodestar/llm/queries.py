@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from lodestar.llm import embeddings, kneser_ney, lm, minhash, mixing, packing, rules, substring, toxicity, warc
+from lodestar.llm import (conversations, embeddings, kneser_ney, lm, merkle, minhash, mixing, neighbours, packing, rules,
+                          substring, toxicity, warc)
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
@@ -15,6 +16,9 @@ QUERIES = {
     "op8_minhash": minhash.op8_minhash,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_substring": substring.op10_substring,
+    "op11_neighbours": neighbours.op11_neighbours,
+    "op12_conversations": conversations.op12_conversations,
+    "op13_merkle": merkle.op13_merkle,
 }
 
 ORACLES = {
@@ -22,4 +26,7 @@ ORACLES = {
     "op3_mix_sources": mixing.OP3_SQL,
     "op6_embedding_dedup": embeddings.OP6_SQL,
     "op10_substring": substring.OP10_SQL,
+    "op11_neighbours": neighbours.OP11_SQL,
+    "op12_conversations": conversations.OP12_SQL,
+    "op13_merkle": merkle.OP13_SQL,
 }
