@@ -32,6 +32,7 @@ from lodestar.sources.files import (
     read_csv,
     write_csv,
 )
+from lodestar.sources.split_csv import read_split_csv
 from lodestar.streaming.uploads import ingest_uploads
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -215,17 +216,42 @@ def q_assign_hash_ids(spark, sf_dir):
     return both.select(S.FACILITY_NAME, "pca_1", "pca_2", "pca_10", same.alias("is_reproduced"))
 
 
-def q_csv_ingest_quoted(spark, sf_dir):
-    """A survey file with an ignored text column full of commas, quotes and line breaks."""
-    root = _stage_root(spark, "csv-quoted")
+def _write_quoted_csv(spark, sf_dir, root: str) -> str:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     quoted = F.concat(F.lit('a "quoted", line\n'), F.col("text"))
     raw = docs.select(F.col("source").alias(S.FACILITY_COL), quoted.alias("comment"),
                       F.col("doc_id").alias("pca_1"), F.col("n_chars").alias("pca_2"))
-    path = write_csv(raw, f"{root}/pca_input_data")
+    return write_csv(raw, f"{root}/pca_input_data")
+
+
+def q_csv_ingest_quoted(spark, sf_dir):
+    """A survey file with an ignored text column full of commas, quotes and line breaks."""
+    root = _stage_root(spark, "csv-quoted")
+    path = _write_quoted_csv(spark, sf_dir, root)
     return S.ingest(spark, path, f"{root}/{S.INPUT_TABLE}").drop(S.ID_COL)
 
 
+def q_csv_ingest_split(spark, sf_dir):
+    """The same file cut into byte ranges of 1 MB, each read by its own task; the quoted text is kept and hashed."""
+    root = _stage_root(spark, "csv-split")
+    path = _write_quoted_csv(spark, sf_dir, root)
+    rows = read_split_csv(spark, path, f"{S.FACILITY_COL} string, comment string, pca_1 int, pca_2 int",
+                          f"{root}/stages", range_bytes=1 << 20)
+    return rows.select(F.col(S.FACILITY_COL).alias(S.FACILITY_NAME), F.sha2("comment", 256).alias("comment_sha256"),
+                       "pca_1", "pca_2")
+
+
+def q_csv_ingest_headers(spark, sf_dir):
+    """Survey files with other column orders and without an answer column, united by name into one table."""
+    root = _stage_root(spark, "csv-headers")
+    frame = Fixtures(spark, sf_dir).survey_csv_frame()
+    turned = [c for c in reversed(frame.columns) if c != S.FACILITY_COL] + [S.FACILITY_COL]
+    for k, columns in enumerate((frame.columns, turned, [c for c in turned if c != "pca_2"])):
+        write_csv(frame.where(F.col("pca_10") % 3 == k).select(*columns), f"{root}/uploads/part={k}")
+    out = S.ingest(spark, f"{root}/uploads/*", f"{root}/{S.INPUT_TABLE}", split=True)
+    return out.select(S.FACILITY_NAME, "pca_1", "pca_2", "pca_10")
+
+
 def q_csv_export_blanks(spark, sf_dir):
     """Values with blanks, quotes and line breaks through the CSV export and back."""
     root = _stage_root(spark, "csv-blanks")
@@ -299,6 +325,8 @@ QUERIES: dict[str, Query] = {
     "assign_ids": q_assign_ids,
     "assign_hash_ids": q_assign_hash_ids,
     "csv_ingest_quoted": q_csv_ingest_quoted,
+    "csv_ingest_split": q_csv_ingest_split,
+    "csv_ingest_headers": q_csv_ingest_headers,
     "csv_export_blanks": q_csv_export_blanks,
     "survey_join": q_survey_join,
     "survey_melt": q_survey_melt,
@@ -505,6 +533,11 @@ ORACLES: dict[str, str] = {
         "FROM survey_wide", "survey_wide"),
     "assign_hash_ids": _with(
         "SELECT facility_name, pca_1, pca_2, pca_10, TRUE AS is_reproduced FROM survey_wide", "survey_wide"),
+    "csv_ingest_split": "SELECT source AS facility_name, sha256('a \"quoted\", line' || chr(10) || text) AS comment_sha256, "
+                        "CAST(doc_id AS INT) AS pca_1, CAST(n_chars AS INT) AS pca_2 FROM documents",
+    "csv_ingest_headers": _with(
+        "SELECT facility_name, pca_1, CASE WHEN pca_10 % 3 <> 2 THEN pca_2 END AS pca_2, pca_10 FROM survey_wide",
+        "survey_wide"),
     "csv_ingest_quoted": "SELECT source AS facility_name, CAST(doc_id AS INT) AS pca_1, "
                          "CAST(n_chars AS INT) AS pca_2 FROM documents",
     "csv_export_blanks": "SELECT doc_id, '  ' || source || ' ' AS source, "

@@ -26,6 +26,7 @@ from lodestar.operators.sort import sort_within_partitions
 from lodestar.plans.warehouse import Reader, extract
 from lodestar.sources.files import materialize, read_csv, write_parquet
 from lodestar.sources.specs import TableSpec, cols
+from lodestar.sources.split_csv import read_split_csv
 
 # --------------------------------------------------------------------------
 # Dimension sources, join chain, column names and dataset names.
@@ -104,9 +105,15 @@ def prepare(raw: DataFrame, answer_type: DataType | str | None = None,
 
 def ingest(spark: SparkSession, csv_path: str, out_path: str,
            schema: StructType | str | None = None, answer_type: DataType | str | None = None,
-           multi_line: bool = True, id_mode: str = "random") -> DataFrame:
-    """Read the CSV, assign ids, write; check id uniqueness on the written data."""
-    raw = read_csv(spark, csv_path, schema, multi_line)
+           multi_line: bool = True, id_mode: str = "random", split: bool = False,
+           range_bytes: int | None = None) -> DataFrame:
+    """Read the CSV, assign ids, write; check id uniqueness on the written data.
+
+    ``split`` reads by byte ranges with quoted line breaks and headers united by name
+    (``read_split_csv``): for large files, and for files whose columns differ.
+    """
+    raw = (read_split_csv(spark, csv_path, schema, range_bytes=range_bytes) if split
+           else read_csv(spark, csv_path, schema, multi_line))
     out = materialize(spark, prepare(raw, answer_type, id_mode=id_mode), out_path)
     assert_unique(out, ID_COL)
     return out
