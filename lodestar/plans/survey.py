@@ -23,8 +23,9 @@ from lodestar.functions.patterns import ANSWER_PATTERN, matching_columns
 from lodestar.operators.joins import JoinStep, join_chain, small_enough
 from lodestar.operators.reshape import unpivot_values
 from lodestar.operators.sort import sort_within_partitions
-from lodestar.plans.warehouse import Reader, extract
-from lodestar.sources.files import materialize, read_csv, write_parquet
+from lodestar.plans.warehouse import Reader, Sources, extract_stages
+from lodestar.sources.files import materialize, read_csv
+from lodestar.sources.published import Ledger, files_fingerprint
 from lodestar.sources.specs import TableSpec, cols
 from lodestar.sources.split_csv import read_split_csv
 
@@ -112,13 +113,19 @@ def ingest(spark: SparkSession, csv_path: str, out_path: str,
     ``split`` reads by byte ranges with quoted line breaks and headers united by name
     (``read_split_csv``): for large files, and for files whose columns differ.
     """
-    raw = (read_split_csv(spark, csv_path, schema, range_bytes=range_bytes) if split
-           else read_csv(spark, csv_path, schema, multi_line))
+    raw = read_survey(spark, csv_path, schema, multi_line, split, range_bytes)
     out = materialize(spark, prepare(raw, answer_type, id_mode=id_mode), out_path)
     assert_unique(out, ID_COL)
     return out
 
 
+def read_survey(spark: SparkSession, csv_path: str, schema: StructType | str | None = None, multi_line: bool = True,
+                split: bool = False, range_bytes: int | None = None) -> DataFrame:
+    """The uploaded rows (A6), by Spark's reader or, with ``split``, by byte ranges."""
+    return (read_split_csv(spark, csv_path, schema, range_bytes=range_bytes) if split
+            else read_csv(spark, csv_path, schema, multi_line))
+
+
 def survey_join(tables: Mapping[str, DataFrame], base_unique: bool | None = None,
                 order: bool = False) -> DataFrame:
     """``pca`` x ``correction_sites`` x ``survey`` with set semantics.
@@ -183,20 +190,26 @@ def run_pipeline(spark: SparkSession, csv_path: str, dims_reader: Reader, root:
                  dims: Sequence[TableSpec] = SURVEY_SOURCES,
                  schema: StructType | str | None = None,
                  answer_type: DataType | str | None = None, multi_line: bool = True,
-                 id_mode: str = "random") -> dict[str, str]:
+                 id_mode: str = "random", split: bool = False, resume: bool = False,
+                 sources: Sources | None = None) -> dict[str, str]:
     """Ingest and extract -> join -> melt, each stage through parquet.
 
     The answers are range-partitioned by id before the join is written, and
-    each file of the long table is sorted inside.
+    each file of the long table is sorted inside. Outputs are replaced in one step and
+    ``resume`` skips finished stages, as in the warehouse pipeline; a survey file that changed is
+    ingested again. Returns the folder of the current version of every output.
     """
-    paths = {INPUT_TABLE: f"{root}/{INPUT_TABLE}"}
-    answers = ingest(spark, csv_path, paths[INPUT_TABLE], schema, answer_type, multi_line, id_mode)
-    tables = {SURVEY_BASE: answers, **extract(spark, dims, dims_reader, f"{root}/extract")}
-    for spec in dims:
-        paths[spec.name] = f"{root}/extract/{spec.name}"
-
-    joined = materialize(spark, survey_join(tables, base_unique=True, order=True),
-                         f"{root}/{JOIN_TABLE}")
-    paths[JOIN_TABLE] = f"{root}/{JOIN_TABLE}"
-    paths[FINAL_TABLE] = write_parquet(melt(joined, sort="local"), f"{root}/{FINAL_TABLE}")
-    return paths
+    ledger = Ledger(spark, root, resume)
+    settings = [str(schema), str(answer_type), multi_line, id_mode, split]
+    answers = ledger.stage(
+        INPUT_TABLE, [files_fingerprint(spark, [csv_path]), *settings],
+        lambda: prepare(read_survey(spark, csv_path, schema, multi_line, split), answer_type, id_mode=id_mode),
+        check=lambda rows: assert_unique(rows, ID_COL))
+    extracted = extract_stages(ledger, dims, dims_reader, sources)
+    tables = {SURVEY_BASE: answers.read(spark), **{name: v.read(spark) for name, v in extracted.items()}}
+    joined = ledger.stage(JOIN_TABLE, [repr(SURVEY_CHAIN), answers.fingerprint,
+                                       *[extracted[name].fingerprint for name in sorted(extracted)]],
+                          lambda: survey_join(tables, base_unique=True, order=True))
+    final = ledger.stage(FINAL_TABLE, [joined.fingerprint], lambda: melt(joined.read(spark), sort="local"))
+    made = {INPUT_TABLE: answers, **extracted, JOIN_TABLE: joined, FINAL_TABLE: final}
+    return {name: v.folder for name, v in made.items()}

@@ -27,7 +27,8 @@ from pyspark.sql.types import StructType
 from lodestar.operators.aggregate import group_count, having_more_than, is_empty
 from lodestar.operators.joins import JoinStep, chain_output_columns, join_chain
 from lodestar.operators.sort import sort_rows
-from lodestar.sources.files import materialize, write_csv, write_parquet
+from lodestar.sources.files import materialize, write_csv, write_parquet  # noqa: F401
+from lodestar.sources.published import Ledger, Version
 from lodestar.sources.specs import Col, TableSpec, cols
 
 log = logging.getLogger(__name__)
@@ -165,14 +166,31 @@ def extract(spark: SparkSession, specs: Iterable[TableSpec], reader: Reader,
     extracted at once, each as its own Spark job: a small dimension read by a
     single task no longer leaves the rest of the cluster waiting.
     """
-    specs = list(specs)
-
     def one(spec: TableSpec) -> tuple[str, DataFrame]:
         df = reader(spec).select(*spec.output_columns)
         return spec.name, materialize(spark, df, f"{out_root}/{spec.name}")
 
-    with ThreadPoolExecutor(max_workers=max(1, min(concurrent_jobs, len(specs) or 1))) as pool:
-        return dict(pool.map(one, specs))
+    return dict(_at_once(one, list(specs), concurrent_jobs))
+
+
+def _at_once(f: Callable, items: Sequence, concurrent_jobs: int) -> list:
+    with ThreadPoolExecutor(max_workers=max(1, min(concurrent_jobs, len(items) or 1))) as pool:
+        return list(pool.map(f, items))
+
+
+#: The fingerprint of the source a spec is read from (``files_fingerprint`` of its files, the name of a
+#: database snapshot); None if nothing is known of it.
+Sources = Callable[[TableSpec], "str | None"]
+
+
+def extract_stages(ledger: Ledger, specs: Iterable[TableSpec], reader: Reader, sources: Sources | None = None,
+                   concurrent_jobs: int = 4) -> dict[str, Version]:
+    """``extract`` as stages of a ledger: a table whose source and spec are unchanged is not read again."""
+    def one(spec: TableSpec) -> tuple[str, Version]:
+        return spec.name, ledger.stage(f"extract/{spec.name}", [repr(spec), sources(spec) if sources else None],
+                                       lambda: reader(spec).select(*spec.output_columns))
+
+    return dict(_at_once(one, list(specs), concurrent_jobs))
 
 
 #: Large source tables and the column their extraction is split on.
@@ -266,30 +284,31 @@ def check_settings(spark: SparkSession) -> list[str]:
 
 def run_pipeline(spark: SparkSession, reader: Reader, root: str,
                  specs: Sequence[TableSpec] = WAREHOUSE_SOURCES,
-                 year: int = DEFAULT_YEAR, concurrent_jobs: int = 4) -> dict[str, str]:
+                 year: int = DEFAULT_YEAR, concurrent_jobs: int = 4, resume: bool = False,
+                 sources: Sources | None = None) -> dict[str, str]:
     """Extract -> join -> flat selection -> normalized tables, via parquet.
 
-    Returns the dataset path of every output.
+    Every output replaces its dataset ``root/<name>`` in one step when it is
+    complete. With ``resume`` the stages that are finished, and whose sources
+    (``sources``) and settings are those of the finished run, are not run again.
+    Returns the folder of the current version of every output; ``read_published`` reads a
+    dataset by its name.
     """
     check_settings(spark)
-    paths: dict[str, str] = {}
-    tables = extract(spark, specs, reader, f"{root}/extract", concurrent_jobs)
-    for spec in specs:
-        paths[spec.name] = f"{root}/extract/{spec.name}"
-
-    joined = denormalize(tables)
-    schema = joined.schema
-    paths[JOIN_TABLE] = write_parquet(joined, f"{root}/{JOIN_TABLE}",
-                                      partition_by=("program_year",))
-    joined = read_joined(spark, paths[JOIN_TABLE], schema)
+    ledger = Ledger(spark, root, resume)
+    extracted = extract_stages(ledger, specs, reader, sources, concurrent_jobs)
+    tables = {name: v.read(spark) for name, v in extracted.items()}
+    join = ledger.stage(JOIN_TABLE, [WAREHOUSE_BASE, repr(WAREHOUSE_CHAIN),
+                                     *[extracted[name].fingerprint for name in sorted(extracted)]],
+                        lambda: denormalize(tables), ("program_year",))
+    joined = join.read(spark)
 
     # The flat and normalized tables only read the written wide table: publish
     # them as concurrent jobs.
-    outputs = {FLAT_TABLE: select_total(joined)}
+    outputs = {FLAT_TABLE: (FLAT_COLUMNS, lambda: select_total(joined))}
     for entity in NORMALIZED:
-        outputs[NORMALIZED_TABLE.format(entity)] = normalize(joined, entity, year)
-    with ThreadPoolExecutor(max_workers=concurrent_jobs) as pool:
-        done = pool.map(lambda kv: (kv[0], write_parquet(kv[1], f"{root}/{kv[0]}")),
-                        outputs.items())
-        paths.update(done)
-    return paths
+        outputs[NORMALIZED_TABLE.format(entity)] = (
+            (NORMALIZED[entity], NORMALIZED_ORDER.get(entity), year), lambda e=entity: normalize(joined, e, year))
+    done = _at_once(lambda kv: (kv[0], ledger.stage(kv[0], [kv[1][0], join.fingerprint], kv[1][1])),
+                    list(outputs.items()), concurrent_jobs)
+    return {name: v.folder for name, v in {**extracted, JOIN_TABLE: join, **dict(done)}.items()}
