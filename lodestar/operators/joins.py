@@ -9,7 +9,8 @@ left is an error, never silently suffixed.
 
 Set semantics. The jobs this library re-expresses take a full-row distinct
 after *every* join. No join here drops a column, so the distinct after each
-step and one distinct at the end give the same set of rows; the chain
+step and one distinct later give the same set of rows. ``unique_from`` names the
+step after which the frame becomes a set, while it is narrow; without it the chain
 applies one ``distinct()`` at the end. Two rewrites keep the intermediate bag
 from fanning out before that:
 
@@ -30,16 +31,18 @@ from the step's table (a snowflake arm, e.g. caregiver -> address and
 caregiver -> contact). The arm is joined first, at the size of the dimension,
 and the chain then joins the result once: ``(L ⟕ B) ⟕ C`` equals
 ``L ⟕ (B ⟕ C)`` when C's key comes from B, so the rows are the same while the
-wide chain frame is shuffled once instead of once per arm table.
+wide chain frame is shuffled once instead of once per arm table. If every table of a
+marked arm is known to be small, each is broadcast by itself and nothing is joined first.
 
 Broadcasts. A step may mark one side as expected small (``broadcast="left"``
 for a dimension-only prefix in front of a fact table, ``"right"`` for a small
-dimension). That side is broadcast only after counting it (one pass over the
-side, partial in its scan tasks) proves it has at most ``max_broadcast_rows`` rows and ``max_broadcast_bytes`` bytes of
-values; otherwise the join is left to Spark (a sort-merge join, with AQE
-splitting skewed partitions). All marked sides of a chain are counted in one
-job. Unmarked steps are
-left to Spark's own size estimate and AQE's runtime conversion.
+dimension). That side is broadcast only if it has at most ``max_broadcast_rows`` rows
+and ``max_broadcast_bytes`` bytes of values; otherwise the join is left to Spark (a
+sort-merge join, with AQE splitting skewed partitions). ``sizes`` (upper bounds of
+tables, from parquet footers, ``sources.sizes``) decides that without a job, through the chain: a
+join is bounded by the product of its sides. Marked sides that no size bounds are
+counted, all of a chain in one job (one pass over each, partial in its scan
+tasks). Unmarked steps are left to Spark's own size estimate and AQE's runtime conversion.
 
 Null keys never match. In a left join Spark hashes every null key to the same
 shuffle partition, so a frame where many rows lack the key (e.g. after an
@@ -54,14 +57,17 @@ to the final distinct, which needs no shuffle of its own.
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Callable, Collection, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, ByteType, IntegerType, ShortType, StringType
 
+from lodestar.sources.sizes import FIXED_WIDTH, OTHER_WIDTH, Sizes, TableSize, no_sizes
+
 _HOWS = ("inner", "left")
 _SIDES = (None, "left", "right")
 _NARROW_INT = (ByteType, IntegerType, ShortType)
@@ -72,10 +78,6 @@ _NULL_SPREAD = 1 << 16
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
 
-# Bytes per value of the fixed-width types (16 for any other type).
-_FIXED_WIDTH = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "date": 4, "float": 4,
-                "long": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8}
-
 
 @dataclass(frozen=True)
 class JoinStep:
@@ -128,7 +130,7 @@ def _value_bytes(df: DataFrame) -> Column:
         if isinstance(f.dataType, (StringType, BinaryType)):
             parts.append(F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)))
         else:
-            parts.append(F.lit(_FIXED_WIDTH.get(f.dataType.typeName(), 16)))
+            parts.append(F.lit(FIXED_WIDTH.get(f.dataType.typeName(), OTHER_WIDTH)))
     return sum(parts[1:], parts[0]) if parts else F.lit(0)
 
 
@@ -189,7 +191,8 @@ def join_chain(tables: Mapping[str, DataFrame], base: str, steps: Sequence[JoinS
                distinct_after: Collection[str] = (), unique_from: str | None = None,
                semi_for_key_only: bool = True, spread_null_keys: bool = True,
                max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-               max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+               max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+               sizes: Sizes = no_sizes) -> DataFrame:
     """Fold ``steps`` over ``tables[base]``; see the module docstring.
 
     ``dedup=False`` returns the bag (no distinct, no semi-join rewrite).
@@ -198,50 +201,89 @@ def join_chain(tables: Mapping[str, DataFrame], base: str, steps: Sequence[JoinS
     is narrow; the tables after it are deduplicated at their own size, joins of
     sets are sets, and the wide result needs no distinct.
 
-    The chain is built once with every marked side hinted for broadcast, and
-    the marked sides are then checked together in one job. Only if one of
-    them is too big is the chain built again, with that hint left out.
+    The chain is built once with every marked side hinted for broadcast. The
+    marked sides that ``sizes`` does not prove small are then counted together in
+    one job. Only if one of them is too big is the chain built again, with that
+    hint left out.
     """
     if unique_from is not None and unique_from not in [s.table for s in steps]:
         raise KeyError(f"no step {unique_from!r} in the chain")
     opts = dict(dedup=dedup, base_unique=base_unique, distinct_after=set(distinct_after),
                 unique_from=unique_from,
-                semi_for_key_only=semi_for_key_only, spread_null_keys=spread_null_keys)
-    marked: list[DataFrame] = []
+                semi_for_key_only=semi_for_key_only, spread_null_keys=spread_null_keys, sizes=sizes)
+    undecided: list[DataFrame] = []
+
+    def known_small(size: TableSize | None) -> bool:
+        return size is not None and size.fits(max_broadcast_rows, max_broadcast_bytes)
 
-    def optimistic(df: DataFrame) -> DataFrame:
-        marked.append(df)
+    def optimistic(df: DataFrame, size: Callable[[], TableSize | None]) -> DataFrame:
+        if not known_small(size()):
+            undecided.append(df)
         return F.broadcast(df)
 
-    chain = _fold(tables, base, steps, optimistic, **opts)
-    verdicts = small_enough(marked, max_broadcast_rows, max_broadcast_bytes)
+    chain = _fold(tables, base, steps, optimistic, known_small, **opts)
+    verdicts = small_enough(undecided, max_broadcast_rows, max_broadcast_bytes)
     if all(verdicts):
         return chain
     it = iter(verdicts)
-    return _fold(tables, base, steps, lambda df: F.broadcast(df) if next(it) else df, **opts)
+
+    def decided(df: DataFrame, size: Callable[[], TableSize | None]) -> DataFrame:
+        return F.broadcast(df) if known_small(size()) or next(it) else df
+
+    return _fold(tables, base, steps, decided, known_small, **opts)
+
+
+def _chain_size(sizes: Sizes, base: str, joined: Sequence[tuple[str, str]]) -> TableSize | None:
+    """A bound of ``base`` joined to tables in turn, each (table, how)."""
+    size = sizes(base)
+    for table, how in joined:
+        other = sizes(table) if how != "semi" else size
+        if size is None or other is None:
+            return None
+        size = size.joined(other, how)
+    return size
+
+
+def _all_small(step: JoinStep, sizes: Sizes, known_small: Callable[[TableSize | None], bool]) -> bool:
+    """Whether a marked arm is only left joins of tables that are each known to be small."""
+    return (step.broadcast == "right" and not any(s.branch or s.how != "left" for s in step.branch)
+            and all(known_small(sizes(s.table)) for s in (step, *step.branch)))
 
 
 def _fold(tables: Mapping[str, DataFrame], base: str, steps: Sequence[JoinStep],
-          hint: Callable[[DataFrame], DataFrame], *, dedup: bool, base_unique: bool,
+          hint: Callable[[DataFrame, Callable[[], TableSize | None]], DataFrame],
+          known_small: Callable[[TableSize | None], bool], *, dedup: bool, base_unique: bool,
           distinct_after: Collection[str], unique_from: str | None, semi_for_key_only: bool,
-          spread_null_keys: bool) -> DataFrame:
+          spread_null_keys: bool, sizes: Sizes) -> DataFrame:
     df = tables[base]
     order = list(df.columns)
     dedup_right = dedup and base_unique
     not_null: set[str] = set()
-    for step in steps:
+    joined: list[tuple[str, str]] = []
+    todo = deque(steps)
+    while todo:
+        step = todo.popleft()
         keys = list(step.on)
         _check_keys(df, keys, "left", step.table)
         right = tables[step.table]
+        arm: list[tuple[str, str]] = []
         if step.branch:
             arm_keys = {k for sub in step.branch for k in sub.on}
             shadowed = sorted(arm_keys & set(order))
             if shadowed:
                 raise ColumnCollisionError(
                     f"branch of {step.table!r} joins on {shadowed}, which the chain already has")
-            right = _fold(tables, step.table, step.branch, hint, dedup=False, base_unique=False,
+            if _all_small(step, sizes, known_small):
+                todo.extendleft(replace(s, branch=(), broadcast="right") for s in reversed((step, *step.branch)))
+                continue
+            right = _fold(tables, step.table, step.branch, hint, known_small, dedup=False, base_unique=False,
                           distinct_after=(), unique_from=None, semi_for_key_only=False,
-                          spread_null_keys=spread_null_keys)
+                          spread_null_keys=spread_null_keys, sizes=sizes)
+            arm = [(sub.table, sub.how) for sub in step.branch]
+
+        def right_size(table=step.table, arm=arm) -> TableSize | None:
+            return _chain_size(sizes, table, arm)
+
         _check_keys(right, keys, "right", step.table)
         extra = [c for c in right.columns if c not in keys]
         clash = [c for c in extra if c in order]
@@ -249,19 +291,21 @@ def _fold(tables: Mapping[str, DataFrame], base: str, steps: Sequence[JoinStep],
             raise ColumnCollisionError(f"joining {step.table!r} repeats columns {clash}")
 
         if step.broadcast == "left":
-            df = hint(df)
+            df = hint(df, lambda done=tuple(joined): _chain_size(sizes, base, done))
 
         if dedup and semi_for_key_only and step.how == "inner" and not extra:
             right = right.select(*keys).distinct()
             if step.broadcast == "right":
-                right = hint(right)
+                right = hint(right, right_size)
             df = df.join(right, keys, "left_semi").select(*order)
+            joined.append((step.table, "semi"))
         else:
             right = right.select(*keys, *extra)
             if dedup_right:
                 right = right.distinct()
             if step.broadcast == "right":
-                right = hint(right)
+                right = hint(right, right_size)
+            joined += [(step.table, step.how), *arm]
             if step.how == "left":
                 spread = spread_null_keys and not set(keys) <= not_null
                 df = left_join(df, right, keys, spread)

@@ -47,7 +47,8 @@ def _stage_root(spark: SparkSession, label: str) -> str:
 
 
 def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return W.denormalize(Fixtures(spark, sf_dir).tables())
+    fx = Fixtures(spark, sf_dir)
+    return W.denormalize(fx.tables(), sizes=fx.sizes())
 
 
 def _survey_answers(fx: Fixtures) -> DataFrame:
@@ -98,7 +99,7 @@ def q_filter_year(spark, sf_dir):
 
 def _pair(spark, sf_dir, left: str, step: JoinStep) -> DataFrame:
     fx = Fixtures(spark, sf_dir)
-    return join_chain({left: fx.table(left), step.table: fx.table(step.table)}, left, [step])
+    return join_chain({left: fx.table(left), step.table: fx.table(step.table)}, left, [step], sizes=fx.sizes())
 
 
 def q_join_inner_single(spark, sf_dir):
@@ -262,11 +263,13 @@ def q_csv_export_blanks(spark, sf_dir):
 
 
 def q_survey_join(spark, sf_dir):
-    return S.survey_join(_survey_tables(Fixtures(spark, sf_dir)))
+    fx = Fixtures(spark, sf_dir)
+    return S.survey_join(_survey_tables(fx), sizes=fx.sizes())
 
 
 def q_survey_melt(spark, sf_dir):
-    return S.melt_of_tables(_survey_tables(Fixtures(spark, sf_dir)))
+    fx = Fixtures(spark, sf_dir)
+    return S.melt_of_tables(_survey_tables(fx), sizes=fx.sizes())
 
 
 def q_warehouse_pipeline(spark, sf_dir):
@@ -382,6 +385,7 @@ FIXTURE_SQL: dict[str, str] = {
 }
 
 # The chain as the original jobs run it: a distinct after every join.
+# The reference order of the joins.
 _CHAIN_SQL = {
     "j1": "SELECT DISTINCT * FROM org JOIN orgprg USING (orgid)",
     "j2": "SELECT DISTINCT * FROM j1 JOIN prg USING (programid)",

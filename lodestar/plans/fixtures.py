@@ -15,6 +15,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lodestar.sources.sizes import Sizes, parquet_stats, size_of, sizes_of
 from lodestar.sources.specs import Col, TableSpec
 
 BENCHMARK_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
@@ -92,6 +93,7 @@ class Fixtures:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self._scans: dict[str, DataFrame] = {}
+        self._tables: dict[str, DataFrame] = {}
         self._sources: dict[str, Callable[[], DataFrame]] = {
             "lineitem_orders_customer": self._lineitem_orders_customer,
             "orders_customer_nation": self._orders_customer_nation,
@@ -123,12 +125,20 @@ class Fixtures:
         return spec.apply(self.source(spec.source))
 
     def table(self, name: str) -> DataFrame:
-        return self.read_spec(ALL_FIXTURES[name])
+        if name not in self._tables:
+            self._tables[name] = self.read_spec(ALL_FIXTURES[name])
+        return self._tables[name]
 
     def tables(self, names=None) -> dict[str, DataFrame]:
         names = names or [s.name for s in FIXTURE_WAREHOUSE]
         return {n: self.table(n) for n in names}
 
+    def sizes(self) -> Sizes:
+        """Upper bounds of the tables that come from one benchmark table each, from its parquet footers."""
+        stats = sizes_of({t: lambda t=t: parquet_stats(self.spark, f"{self.sf_dir}/{t}.parquet") for t in BENCHMARK_TABLES})
+        return sizes_of({s.name: lambda s=s: size_of(stats(s.source), self.table(s.name).schema, s)
+                         for s in ALL_FIXTURES.values()})
+
     def survey_csv_frame(self) -> DataFrame:
         """The uploaded survey file: the wide survey without the id, facility as FACILITY."""
         wide = self.table("survey_wide")

@@ -18,14 +18,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType, StructType
 
-from lodestar.functions.ids import assert_unique, assign_ids, id_stats
+from lodestar.functions.ids import assert_unique, assign_ids
 from lodestar.functions.patterns import ANSWER_PATTERN, matching_columns
-from lodestar.operators.joins import JoinStep, join_chain, small_enough
+from lodestar.operators.joins import (
+    DEFAULT_MAX_BROADCAST_BYTES,
+    DEFAULT_MAX_BROADCAST_ROWS,
+    JoinStep,
+    join_chain,
+    small_enough,
+)
 from lodestar.operators.reshape import unpivot_values
 from lodestar.operators.sort import sort_within_partitions
-from lodestar.plans.warehouse import Reader, Sources, extract_stages
+from lodestar.plans.warehouse import Reader, Sources, extract_stages, version_sizes
 from lodestar.sources.files import materialize, read_csv
 from lodestar.sources.published import Ledger, files_fingerprint
+from lodestar.sources.sizes import Sizes, no_sizes
 from lodestar.sources.specs import TableSpec, cols
 from lodestar.sources.split_csv import read_split_csv
 
@@ -127,27 +134,26 @@ def read_survey(spark: SparkSession, csv_path: str, schema: StructType | str | N
 
 
 def survey_join(tables: Mapping[str, DataFrame], base_unique: bool | None = None,
-                order: bool = False) -> DataFrame:
+                order: bool = False, sizes: Sizes = no_sizes) -> DataFrame:
     """``pca`` x ``correction_sites`` x ``survey`` with set semantics.
 
-    When the answers' ids are unique, the answer rows are a set, and joining
-    them to deduplicated dimensions gives a set again: only the (small)
-    dimensions are deduplicated and the joined frame - answers times surveys
-    per facility - needs no distinct. ``base_unique=True`` asserts that
-    (ids already checked, as in the pipeline); ``None`` checks it with one
-    aggregation over the answers; ``False`` always applies the final distinct.
+    When the answer rows are a set, joining them to deduplicated dimensions gives
+    a set again: only the (small) dimensions are deduplicated and the joined frame -
+    answers times surveys per facility - needs no distinct. ``base_unique=True``
+    asserts that (ids already checked, as in the pipeline); ``None`` makes the answers
+    a set first, while they are narrow; ``False`` applies the distinct to the joined rows.
 
     ``order`` range-partitions the answers by id before the joins, so broadcast
     joins hand on partitions in id order and the melt need not shuffle the
-    joined rows (``sort="local"``).
+    joined rows (``sort="local"``). Equal rows have equal ids and stand in one partition then,
+    so making them a set needs no shuffle of its own.
     """
+    answers = tables[SURVEY_BASE]
     if order:
-        answers = tables[SURVEY_BASE].repartitionByRange(F.col(ID_COL).asc_nulls_first())
-        tables = {**tables, SURVEY_BASE: answers}
+        answers = answers.repartitionByRange(F.col(ID_COL).asc_nulls_first())
     if base_unique is None:
-        stats = id_stats(tables[SURVEY_BASE], ID_COL).first()
-        base_unique = stats["n_rows"] == stats["n_distinct"]
-    return join_chain(tables, SURVEY_BASE, SURVEY_CHAIN, base_unique=base_unique)
+        answers, base_unique = answers.distinct(), True
+    return join_chain({**tables, SURVEY_BASE: answers}, SURVEY_BASE, SURVEY_CHAIN, base_unique=base_unique, sizes=sizes)
 
 
 def melt(joined: DataFrame, value_type: DataType | str | None = None,
@@ -174,16 +180,18 @@ def melt(joined: DataFrame, value_type: DataType | str | None = None,
     return long
 
 
-def melt_of_tables(tables: Mapping[str, DataFrame], base_unique: bool | None = None) -> DataFrame:
+def melt_of_tables(tables: Mapping[str, DataFrame], base_unique: bool | None = None, sizes: Sizes = no_sizes) -> DataFrame:
     """J14 and J15 in one go, in total order, shuffling the answers and not the joined rows.
 
     That holds while the dimensions can be broadcast; beyond the bound the
     joins shuffle, and the joined rows are range-partitioned instead.
     """
-    dims = [tables[s.table].distinct() for s in SURVEY_CHAIN]
-    if all(small_enough(dims)):
-        return melt(survey_join(tables, base_unique, order=True), sort="local")
-    return melt(survey_join(tables, base_unique))
+    known = [sizes(s.table) for s in SURVEY_CHAIN]
+    unknown = [tables[s.table].distinct() for s, size in zip(SURVEY_CHAIN, known, strict=True)
+               if size is None or not size.fits(DEFAULT_MAX_BROADCAST_ROWS, DEFAULT_MAX_BROADCAST_BYTES)]
+    if all(small_enough(unknown)):
+        return melt(survey_join(tables, base_unique, order=True, sizes=sizes), sort="local")
+    return melt(survey_join(tables, base_unique, sizes=sizes))
 
 
 def run_pipeline(spark: SparkSession, csv_path: str, dims_reader: Reader, root: str,
@@ -209,7 +217,7 @@ def run_pipeline(spark: SparkSession, csv_path: str, dims_reader: Reader, root:
     tables = {SURVEY_BASE: answers.read(spark), **{name: v.read(spark) for name, v in extracted.items()}}
     joined = ledger.stage(JOIN_TABLE, [repr(SURVEY_CHAIN), answers.fingerprint,
                                        *[extracted[name].fingerprint for name in sorted(extracted)]],
-                          lambda: survey_join(tables, base_unique=True, order=True))
+                          lambda: survey_join(tables, base_unique=True, order=True, sizes=version_sizes(spark, extracted)))
     final = ledger.stage(FINAL_TABLE, [joined.fingerprint], lambda: melt(joined.read(spark), sort="local"))
     made = {INPUT_TABLE: answers, **extracted, JOIN_TABLE: joined, FINAL_TABLE: final}
     return {name: v.folder for name, v in made.items()}

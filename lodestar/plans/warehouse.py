@@ -29,6 +29,7 @@ from lodestar.operators.joins import JoinStep, chain_output_columns, join_chain
 from lodestar.operators.sort import sort_rows
 from lodestar.sources.files import materialize, write_csv, write_parquet  # noqa: F401
 from lodestar.sources.published import Ledger, Version
+from lodestar.sources.sizes import Sizes, folder_size, sizes_of
 from lodestar.sources.specs import Col, TableSpec, cols
 
 log = logging.getLogger(__name__)
@@ -211,13 +212,19 @@ def denormalize(tables: Mapping[str, DataFrame], base: str = WAREHOUSE_BASE,
 
     The rows become a set after the child fact table is joined, when the frame
     is keys and two texts; the dimensions after it are deduplicated at their
-    own size, so the wide frame needs no distinct.
+    own size, so the wide frame needs no distinct. With the tables' ``sizes`` the
+    chain is built without a job.
     """
     if any(s.table == WAREHOUSE_SET_FROM for s in steps):
         kw.setdefault("unique_from", WAREHOUSE_SET_FROM)
     return join_chain(tables, base, steps, **kw)
 
 
+def version_sizes(spark: SparkSession, made: Mapping[str, Version]) -> Sizes:
+    """Sizes of published tables, from their footers."""
+    return sizes_of({name: lambda v=v: folder_size(spark, v.folder, v.schema) for name, v in made.items()})
+
+
 def select_total(joined: DataFrame) -> DataFrame:
     """Flat projection; duplicates are kept."""
     return joined.select(*FLAT_COLUMNS)
@@ -300,7 +307,7 @@ def run_pipeline(spark: SparkSession, reader: Reader, root: str,
     tables = {name: v.read(spark) for name, v in extracted.items()}
     join = ledger.stage(JOIN_TABLE, [WAREHOUSE_BASE, repr(WAREHOUSE_CHAIN),
                                      *[extracted[name].fingerprint for name in sorted(extracted)]],
-                        lambda: denormalize(tables), ("program_year",))
+                        lambda: denormalize(tables, sizes=version_sizes(spark, extracted)), ("program_year",))
     joined = join.read(spark)
 
     # The flat and normalized tables only read the written wide table: publish

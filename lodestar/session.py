@@ -10,10 +10,11 @@ On a cluster the deployment owns the session; jobs only take a
   ``applicationid`` and then on ``(childid, applicationid)``; with this off
   the second join reuses the first one's partitioning and only the new
   table is shuffled, not the wide chain frame;
-* ``forceOptimizeSkewedJoin`` on: the chain's final distinct reuses the last
-  join's partitioning, and by default AQE would then not split a hot join
-  key (splitting breaks that partitioning). Forced, AQE splits the hot key
-  and pays one extra shuffle only when it actually finds skew;
+* ``forceOptimizeSkewedJoin`` on: the distinct that makes the chain a set
+  (``unique_from``) reuses the partitioning of the fact joins before it, and by
+  default AQE would then not split a hot join key (splitting breaks that
+  partitioning). Forced, AQE splits the hot key and pays one extra shuffle only
+  when it actually finds skew;
 * the UI off.
 """
 
