@@ -12,24 +12,39 @@ import ctypes
 import sys
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.sources.files import ensure_checkpoint_dir, materialize
 
+_LIBC = ctypes.CDLL(None) if sys.platform == "linux" else None
+
+
 def return_large_blocks(least: int = 1 << 20) -> None:
     """Let this process give freed blocks of at least ``least`` bytes back to the system at once.
 
     By default glibc raises its limit to 32 MB after the first large free and
-    keeps smaller blocks, so Python workers, which live on between tasks,
-    would hold the largest arrays they ever had. Has no effect elsewhere.
+    keeps smaller blocks, and Arrow's own allocator keeps what it had, so Python
+    workers, which live on between tasks, would hold the largest arrays they
+    ever had. The first has no effect elsewhere.
     """
-    if sys.platform == "linux" and hasattr(libc := ctypes.CDLL(None), "mallopt"):
-        libc.mallopt(-3, least)  # M_MMAP_THRESHOLD
+    if hasattr(_LIBC, "mallopt"):
+        _LIBC.mallopt(-3, least)  # M_MMAP_THRESHOLD
+    pa.set_memory_pool(pa.system_memory_pool())
+
+
+def return_freed() -> None:
+    """Give back what this process has freed in small blocks; for the end of a task."""
+    if hasattr(_LIBC, "malloc_trim"):
+        _LIBC.malloc_trim(0)
 
 
 return_large_blocks()
 
+#: Bytes of an Arrow batch between Spark and Python in the stages of the operators.
+BATCH_BYTES = "4m"
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -50,24 +65,28 @@ def scratch(spark: SparkSession, label: str) -> str:
 
 
 @contextlib.contextmanager
-def shuffles_let_go(spark: SparkSession):
-    """Spark deletes the shuffle files of executions in this block when each is done.
-
-    Without it they stay until the driver happens to collect its garbage. For
-    executions whose result is written, so that nobody reads their shuffles again.
-    """
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "true")
+def _set(spark: SparkSession, **values: str):
+    """Runtime settings for the executions in this block (underscores stand for dots)."""
+    keys = {k.replace("_", "."): v for k, v in values.items()}
+    before = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def stage(spark: SparkSession, df: DataFrame, root: str, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts the lineage, survives lost executors."""
-    with shuffles_let_go(spark):
+    """Write ``df`` to the shared folder and read it back: cuts the lineage, survives lost executors.
+
+    Spark deletes the shuffle files when the stage is written, since nobody reads them again (by
+    default they stay until the driver happens to collect its garbage). Rows go to Python
+    in batches of a few megabytes.
+    """
+    with _set(spark, spark_sql_classic_shuffleDependency_fileCleanup_enabled="true",
+              spark_sql_execution_arrow_maxBytesPerBatch=BATCH_BYTES):
         return materialize(spark, df, f"{root}/{name}")
 
 

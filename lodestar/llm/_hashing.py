@@ -14,6 +14,8 @@ import numpy as np
 import pyarrow.compute as pc
 import xxhash
 
+from lodestar.llm._common import return_freed
+
 U64 = np.uint64
 _MASK = (1 << 64) - 1
 BASE = 0x9E3779B97F4A7C15 | 1
@@ -47,6 +49,7 @@ def slices(batches, column: str = "text", most: int = 1 << 22):
             end = int(np.searchsorted(size, (size[begin - 1] if begin else 0) + most)) + 1
             yield rb.slice(begin, end - begin)
             begin = end
+    return_freed()
 
 
 def pieces(text: bytes, most: int = 1 << 22):

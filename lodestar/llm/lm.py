@@ -13,7 +13,8 @@ Training, on the documents that are not held out:
    so no n-gram is left out and the filters grow with the corpus. Up to
    ``MAX_BROADCAST`` bytes in all they are broadcast. Beyond, the parts stay rows
    on the shared folder: texts are dealt to batches, a batch's distinct n-grams
-   go to their buckets, and the levels found there come back to the batch.
+   go to their buckets (six bytes each), and the levels found there come back to the batch in the
+   order asked (a byte each). Both ways probe the same filters and give the same scores.
 
 The model interpolates: ``P(w | h) = (c(h,w) - 0.75) / c(h) + (1 - r(h)) P1(w)``,
 where counts are quantised ones from the filter, r(h) is the share that the
@@ -93,6 +94,22 @@ def pairs(t: np.ndarray) -> np.ndarray:
 # ------------------------------------------------------------ Bloom filters
 
 
+def filter_keys(key: np.ndarray) -> np.ndarray:
+    """48 bits of each key, by which a bucket's part knows it; its bucket comes from all 64."""
+    return mix(key) >> U64(16)
+
+
+def packed(key: np.ndarray) -> np.ndarray:
+    """The filter keys as rows of six bytes."""
+    return filter_keys(key).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+
+
+def unpacked(data) -> np.ndarray:
+    """The filter keys of six bytes each."""
+    six = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return np.pad(six, ((0, 0), (0, 2))).view("<u8").ravel()
+
+
 def _bits(key: np.ndarray, q: int, size: int):
     """The PROBES bit numbers (below ``size``) of (key, level), one array after the other."""
     h = mix(key + U64(LEVELS * q & (1 << 64) - 1))
@@ -220,7 +237,7 @@ def _add_up(buckets: int):
         bucket, kind = key[0].as_py(), key[1].as_py()
         keys, counts = _total(table)
         q = level(counts)
-        bits, _ = fill(keys, q, bits_for(q, kind, buckets))
+        bits, _ = fill(filter_keys(keys), q, bits_for(q, kind, buckets))
         if kind == 0:
             return _added(0, bucket, keys, counts.astype(float), bits)
         first, taken = keys >> U64(32), MEANS[q] - DISCOUNT
@@ -232,7 +249,7 @@ def _add_up(buckets: int):
 def _shares(buckets: int):
     def f(key: tuple, table: pa.Table) -> pa.Table:
         keys, q = table.column("key").to_numpy().astype(U64), table.column("q").to_numpy().astype(np.int64)
-        bits, _ = fill(keys, q, bits_for(q, 2, buckets))
+        bits, _ = fill(filter_keys(keys), q, bits_for(q, 2, buckets))
         return pa.table({"bucket": pa.array([key[0].as_py()], pa.int32()),
                          "bits": pa.array([bits.tobytes()], pa.binary())})
     return f
@@ -251,7 +268,7 @@ class Model:
 
     def level(self, kind: int, key: np.ndarray) -> np.ndarray:
         bitmap, size = self.filters[kind]
-        return probe(np.frombuffer(bitmap, np.uint8), key, mix(key) % U64(self.buckets), size, MOST[kind])
+        return probe(np.frombuffer(bitmap, np.uint8), filter_keys(key), mix(key) % U64(self.buckets), size, MOST[kind])
 
     def head_counts(self, words: np.ndarray) -> np.ndarray:
         """Exact counts of the words in the head, -1 for others."""
@@ -406,16 +423,21 @@ def _number(batch_bytes: int):
     return f
 
 
-def _ask(buckets: int, batch_tokens: int):
-    """The distinct n-grams of batches, packed: rows (batch, bucket, kind, keys)."""
+def _asked(held: list[np.ndarray], buckets: int):
+    """(kind, distinct keys in order, their buckets, the order by bucket) of the n-grams of a batch."""
+    words = np.unique(np.concatenate(held))
+    for kind, keys in ((0, words), (1, np.unique(np.concatenate([pairs(t) for t in held]))),
+                       (2, np.unique(words >> U64(32)))):
+        b = (mix(keys) % U64(buckets)).astype(np.int64)
+        yield kind, keys, b, np.argsort(b, kind="stable")
+
+
+def _ask(buckets: int):
+    """The distinct n-grams of batches, packed: rows (batch, bucket, kind, keys), one a bucket and kind."""
     def flush(batch, held):
-        words = np.unique(np.concatenate(held))
         rows = []
-        for kind, keys in ((0, words), (1, np.unique(np.concatenate([pairs(t) for t in held]))),
-                           (2, np.unique(words >> U64(32)))):
-            b = (mix(keys) % U64(buckets)).astype(np.int64)
-            order = np.argsort(b, kind="stable")
-            b, keys = b[order], keys[order]
+        for kind, keys, b, order in _asked(held, buckets):
+            b, keys = b[order], packed(keys[order])
             cuts = np.flatnonzero(np.r_[True, b[1:] != b[:-1]])
             rows += [(batch, int(b[i]), kind, keys[i:j].tobytes()) for i, j in zip(cuts, np.r_[cuts[1:], len(b)])]
         return pa.RecordBatch.from_arrays(
@@ -423,49 +445,47 @@ def _ask(buckets: int, batch_tokens: int):
             ["batch", "bucket", "kind", "keys"])
 
     def f(batches):
-        batch, held, n = None, [], 0
+        batch, held = None, []
         for rb in slices(batches):
             for own, t in zip(rb.column("batch").to_pylist(), rb.column("text").cast(pa.large_binary())):
-                if held and (own != batch or n >= batch_tokens):
+                if held and own != batch:
                     yield flush(batch, held)
-                    held, n = [], 0
+                    held = []
                 batch = own
                 held.append(tokens(t.as_py()))
-                n += len(held[-1])
         if held:
             yield flush(batch, held)
     return f
 
 
 def _answer(asked: pa.Table, part: pa.Table) -> pa.Table:
-    """The levels of the keys asked of one bucket and kind."""
+    """The levels of the keys asked of one bucket and kind, in the order asked, a byte each."""
     levels = []
     bits = part.column("bits")[0].as_py() if part.num_rows else bytes(8)
     bitmap = np.frombuffer(bits, np.uint8)
     for kind, keys in zip(asked.column("kind").to_pylist(), asked.column("keys")):
-        key = np.frombuffer(keys.as_buffer(), U64)
+        key = unpacked(keys.as_buffer())
         q = probe(bitmap, key, np.zeros(len(key), np.int64), 8 * len(bitmap), MOST[kind])
         levels.append(q.astype(np.uint8).tobytes())
-    return pa.table([asked.column("batch"), asked.column("kind"), asked.column("keys"), pa.array(levels, pa.binary())],
-                    ["batch", "kind", "keys", "levels"])
+    return pa.table([asked.column("batch"), asked.column("kind"), asked.column("bucket"), pa.array(levels, pa.binary())],
+                    ["batch", "kind", "bucket", "levels"])
 
 
 def _score_batch(model):
     """A batch's texts and the levels of its n-grams to the columns of ``_score_texts``, id and held_out."""
     def f(rows: pa.Table, answers: pa.Table) -> pa.Table:
-        kinds, known = answers.column("kind").to_numpy(), {}
-        for kind in range(3):
-            own = answers.filter(pa.array(kinds == kind))
-            keys = np.frombuffer(b"".join(own.column("keys").to_pylist()), U64)
-            levels = np.frombuffer(b"".join(own.column("levels").to_pylist()), np.uint8)
-            keys, at = np.unique(keys, return_index=True)
-            known[kind] = keys, levels[at].astype(np.int64)
+        held = [tokens(t.as_py()) for t in rows.column("text").cast(pa.large_binary())]
+        given = {(k, b): q for k, b, q in zip(*(answers.column(c).to_pylist() for c in ("kind", "bucket", "levels")))}
+        known = {}
+        for kind, keys, b, order in _asked(held, model.value.buckets):
+            levels = np.empty(len(keys), np.int64)
+            levels[order] = np.frombuffer(b"".join(given[kind, k] for k in np.unique(b).tolist()), np.uint8)
+            known[kind] = keys, levels
 
         def find(kind: int, key: np.ndarray) -> np.ndarray:
             keys, levels = known[kind]
             return levels[np.searchsorted(keys, key)]
 
-        held = [tokens(t.as_py()) for t in rows.column("text").cast(pa.large_binary())]
         out = pa.Table.from_batches([_score_texts(model.value, rows.column("rid").to_pylist(), held, find)])
         return out.append_column("id", rows.column("id")).append_column("held_out", rows.column("held_out"))
     return f
@@ -512,9 +532,9 @@ def scored(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "t
             _number(4 * batch_tokens), f"rid long, id {kind}, held_out boolean, text string, batch long"),
             root, "batches")
         asked = dealt.select("batch", "text").mapInArrow(
-            _ask(model.buckets, batch_tokens), "batch long, bucket int, kind int, keys binary")
+            _ask(model.buckets), "batch long, bucket int, kind int, keys binary")
         answers = stage(spark, asked.groupBy("bucket", "kind").cogroup(filters.groupBy("bucket", "kind")).applyInArrow(
-            _answer, "batch long, kind int, keys binary, levels binary"), root, "levels")
+            _answer, "batch long, kind int, bucket int, levels binary"), root, "levels")
         base = (dealt.groupBy("batch").cogroup(answers.groupBy("batch"))
                 .applyInArrow(_score_batch(sent), schema))
     base = stage(spark, base, root, "scores")

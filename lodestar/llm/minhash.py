@@ -346,3 +346,26 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(docs).withColumnRenamed("id", "doc_id")
 
 
+OP8_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, row_number() OVER () AS rid,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+s AS (
+  SELECT DISTINCT rid, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+         ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS h
+  FROM w),
+n AS (SELECT rid, count(*) AS n FROM s GROUP BY rid),
+l AS (
+  SELECT a.rid AS u, b.rid AS v FROM s a JOIN s b ON a.h = b.h AND a.rid <> b.rid
+  JOIN n na ON na.rid = a.rid JOIN n nb ON nb.rid = b.rid
+  GROUP BY a.rid, b.rid, na.n, nb.n HAVING 100 * count(*) >= 75 * (na.n + nb.n - count(*))),
+r AS (
+  SELECT rid, doc_id AS c FROM w
+  UNION
+  SELECT l.v, r.c FROM r JOIN l ON l.u = r.rid),
+c AS (SELECT rid, min(c) AS c FROM r GROUP BY rid)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.c AS component_id, w.doc_id = c.c AS kept
+FROM w JOIN c ON c.rid = w.rid LEFT JOIN n ON n.rid = w.rid
+"""

@@ -41,7 +41,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm._common import scratch, stage
+from lodestar.llm._common import return_freed, scratch, stage
 
 CAPACITY = 2048
 #: A sequence of the first round stays closed if it is at least this full.
@@ -210,6 +210,7 @@ def _tokenise(path: str, end_id: int, capacity: int, keep_ids: bool):
                                                          pa.array(ids.view(np.int32))))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(cols, names)
+        return_freed()
     return f
 
 

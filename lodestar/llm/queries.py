@@ -25,6 +25,7 @@ ORACLES = {
     "op1_warc": warc.OP1_SQL,
     "op3_mix_sources": mixing.OP3_SQL,
     "op6_embedding_dedup": embeddings.OP6_SQL,
+    "op8_minhash": minhash.OP8_SQL,
     "op10_substring": substring.OP10_SQL,
     "op11_neighbours": neighbours.OP11_SQL,
     "op12_conversations": conversations.OP12_SQL,
