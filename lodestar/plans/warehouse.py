@@ -28,7 +28,7 @@ from lodestar.operators.aggregate import group_count, having_more_than, is_empty
 from lodestar.operators.joins import JoinStep, chain_output_columns, join_chain
 from lodestar.operators.sort import sort_rows
 from lodestar.sources.files import materialize, write_csv, write_parquet  # noqa: F401
-from lodestar.sources.published import Ledger, Version
+from lodestar.sources.published import Buckets, Ledger, Version
 from lodestar.sources.sizes import Sizes, folder_size, sizes_of
 from lodestar.sources.specs import Col, TableSpec, cols
 
@@ -185,11 +185,15 @@ Sources = Callable[[TableSpec], "str | None"]
 
 
 def extract_stages(ledger: Ledger, specs: Iterable[TableSpec], reader: Reader, sources: Sources | None = None,
-                   concurrent_jobs: int = 4) -> dict[str, Version]:
-    """``extract`` as stages of a ledger: a table whose source and spec are unchanged is not read again."""
+                   concurrent_jobs: int = 4, buckets: Mapping[str, Buckets] | None = None) -> dict[str, Version]:
+    """``extract`` as stages of a ledger: a table whose source and spec are unchanged is not read again.
+
+    ``buckets`` names tables whose rows are dealt to files by the hash of a column.
+    """
     def one(spec: TableSpec) -> tuple[str, Version]:
         return spec.name, ledger.stage(f"extract/{spec.name}", [repr(spec), sources(spec) if sources else None],
-                                       lambda: reader(spec).select(*spec.output_columns))
+                                       lambda: reader(spec).select(*spec.output_columns),
+                                       buckets=(buckets or {}).get(spec.name))
 
     return dict(_at_once(one, list(specs), concurrent_jobs))
 
@@ -292,18 +296,21 @@ def check_settings(spark: SparkSession) -> list[str]:
 def run_pipeline(spark: SparkSession, reader: Reader, root: str,
                  specs: Sequence[TableSpec] = WAREHOUSE_SOURCES,
                  year: int = DEFAULT_YEAR, concurrent_jobs: int = 4, resume: bool = False,
-                 sources: Sources | None = None) -> dict[str, str]:
+                 sources: Sources | None = None, fact_buckets: int | None = None) -> dict[str, str]:
     """Extract -> join -> flat selection -> normalized tables, via parquet.
 
     Every output replaces its dataset ``root/<name>`` in one step when it is
     complete. With ``resume`` the stages that are finished, and whose sources
     (``sources``) and settings are those of the finished run, are not run again.
+    ``fact_buckets`` writes the three fact tables in so many buckets of their common key,
+    so that the join, and every later join of these tables, does not shuffle them.
     Returns the folder of the current version of every output; ``read_published`` reads a
     dataset by its name.
     """
     check_settings(spark)
     ledger = Ledger(spark, root, resume)
-    extracted = extract_stages(ledger, specs, reader, sources, concurrent_jobs)
+    buckets = {t: Buckets(c, fact_buckets) for t, c in FACT_SPLITS.items()} if fact_buckets else None
+    extracted = extract_stages(ledger, specs, reader, sources, concurrent_jobs, buckets)
     tables = {name: v.read(spark) for name, v in extracted.items()}
     join = ledger.stage(JOIN_TABLE, [WAREHOUSE_BASE, repr(WAREHOUSE_CHAIN),
                                      *[extracted[name].fingerprint for name in sorted(extracted)]],

@@ -34,6 +34,36 @@ from lodestar.sources.files import write_parquet
 POINTER = "_current"
 
 
+@dataclass(frozen=True)
+class Buckets:
+    """How rows are dealt to files: by the hash of ``column``, sorted by it inside a file.
+
+    Datasets with equal buckets are joined on the column without a shuffle.
+    """
+
+    column: str
+    number: int
+
+    def write(self, df: DataFrame, folder: str) -> None:
+        """Write ``df`` with one file a bucket."""
+        table = _table_name(folder)
+        (df.repartition(self.number, self.column).write.format("parquet").mode("overwrite")
+         .bucketBy(self.number, self.column).sortBy(self.column).option("path", folder).saveAsTable(table))
+
+    def read(self, spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
+        """The rows as a table that knows its buckets; it is declared in the session, which starts no job."""
+        table = _table_name(folder)
+        if not spark.catalog.tableExists(table):
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+            spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY (`{self.column}`) "
+                      f"SORTED BY (`{self.column}`) INTO {self.number} BUCKETS LOCATION '{folder}'")
+        return spark.table(table)
+
+
+def _table_name(folder: str) -> str:
+    return "lodestar_" + hashlib.sha256(folder.encode()).hexdigest()[:24]
+
+
 @dataclass(frozen=True)
 class Version:
     """The current version of a dataset."""
@@ -42,6 +72,7 @@ class Version:
     name: str
     schema: StructType
     fingerprint: str | None
+    buckets: Buckets | None = None
 
     @property
     def folder(self) -> str:
@@ -53,6 +84,8 @@ class Version:
 
     def read(self, spark: SparkSession) -> DataFrame:
         """The rows, columns in the order they were written; starts no job."""
+        if self.buckets is not None:
+            return self.buckets.read(spark, self.folder, self.schema).select(*self.schema.fieldNames())
         return spark.read.schema(self.schema).parquet(self.folder).select(*self.schema.fieldNames())
 
 
@@ -122,24 +155,30 @@ def current(spark: SparkSession, path: str) -> Version | None:
     if text is None:
         return None
     entry = json.loads(text)
-    return Version(path, entry["version"], StructType.fromJson(entry["schema"]), entry["fingerprint"])
+    buckets = Buckets(*entry["buckets"]) if entry["buckets"] else None
+    return Version(path, entry["version"], StructType.fromJson(entry["schema"]), entry["fingerprint"], buckets)
 
 
 def publish(df: DataFrame, path: str, partition_by: Iterable[str] = (), fingerprint: str | None = None,
-            check: Callable[[DataFrame], object] | None = None) -> Version:
+            check: Callable[[DataFrame], object] | None = None, buckets: Buckets | None = None) -> Version:
     """Write ``df`` as the next version of the dataset at ``path`` and make it the current one in one step.
 
     ``check`` gets the written rows first; if it raises, the old version stays.
+    ``buckets`` deals the rows to files by hash instead of ``partition_by``.
     """
     spark, path = df.sparkSession, path.rstrip("/")
     before = current(spark, path)
     name = f"v-{before.number + 1 if before else 1:08d}-{uuid.uuid4().hex[:8]}"
-    write_parquet(df, f"{path}/{name}", partition_by)
-    made = Version(path, name, df.schema, fingerprint)
+    if buckets is not None:
+        buckets.write(df, f"{path}/{name}")
+    else:
+        write_parquet(df, f"{path}/{name}", partition_by)
+    made = Version(path, name, df.schema, fingerprint, buckets)
     if check is not None:
         check(made.read(spark))
     _replace_text(spark, f"{path}/{POINTER}", json.dumps(
-        {"version": name, "fingerprint": fingerprint, "schema": df.schema.jsonValue()}))
+        {"version": name, "fingerprint": fingerprint, "schema": df.schema.jsonValue(),
+         "buckets": [buckets.column, buckets.number] if buckets else None}))
     return made
 
 
@@ -203,16 +242,17 @@ class Ledger:
         self.spark, self.root, self.resume = spark, root.rstrip("/"), resume
 
     def stage(self, name: str, inputs: Sequence, build: Callable[[], DataFrame],
-              partition_by: Iterable[str] = (), check: Callable[[DataFrame], object] | None = None) -> Version:
+              partition_by: Iterable[str] = (), check: Callable[[DataFrame], object] | None = None,
+              buckets: Buckets | None = None) -> Version:
         """The finished stage ``name``; ``build`` is only called if its inputs changed or it was not finished.
 
         ``inputs`` are fingerprints and other JSON values that the rows depend on. If one is
         None, the stage runs every time.
         """
         parts = list(partition_by)
-        mark = fingerprint(name, parts, *inputs)
+        mark = fingerprint(name, parts, str(buckets), *inputs)
         if self.resume and mark is not None:
             done = current(self.spark, f"{self.root}/{name}")
             if done is not None and done.fingerprint == mark:
                 return done
-        return publish(build(), f"{self.root}/{name}", parts, mark, check)
+        return publish(build(), f"{self.root}/{name}", parts, mark, check, buckets)

@@ -163,3 +163,42 @@ def test_survey_goes_on_where_it_stopped(spark, workdir, monkeypatch):
     upload("b.csv", "pca_2,FACILITY\n5,T\n")
     run()
     assert P.read_published(spark, f"{workdir}/out/{S.FINAL_TABLE}").count() == 4
+
+
+def test_bucketed_facts_are_joined_without_a_shuffle(spark, workdir):
+    """Automatic broadcasts refused: no exchange under the two joins of the fact tables; the same rows."""
+    from lodestar.plans.fixtures import FIXTURE_WAREHOUSE, Fixtures
+    fx = Fixtures(spark, "/root/testdata/sf0.001")
+    ledger = P.Ledger(spark, workdir)
+    buckets = {t: P.Buckets(c, 8) for t, c in W.FACT_SPLITS.items()}
+    made = W.extract_stages(ledger, FIXTURE_WAREHOUSE, fx.read_spec, buckets=buckets)
+    assert P.current(spark, f"{workdir}/extract/inmapp").buckets == P.Buckets("applicationid", 8)
+    assert len(P.list_files(spark, [made["inmapp"].folder])) <= 8
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false",
+             "spark.sql.requireAllClusterKeysForCoPartition": "false"}
+    before = {k: spark.conf.get(k, None) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        df = W.denormalize({n: v.read(spark) for n, v in made.items()}, sizes=W.version_sizes(spark, made))
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        facts = [line for line in plan.splitlines() if "SortMergeJoin" in line and "applicationid" in line]
+        assert len(facts) == 2 and plan.count("Bucketed: true") == 3
+        moved = [line for line in plan.splitlines() if "Exchange hashpartitioning(applicationid" in line or "Exchange hashpartitioning(childid" in line and "applicationid" in line]
+        assert not moved, moved
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    want = W.denormalize(fx.tables())
+    assert df.columns == want.columns and sorted(map(repr, df.collect())) == sorted(map(repr, want.collect()))
+
+
+def test_bucketed_pipeline_is_replaced_and_resumed(spark, workdir):
+    db, root = Warehouse(spark, f"{workdir}/db"), f"{workdir}/out"
+    paths = W.run_pipeline(spark, db.read, root, resume=True, sources=db.source, fact_buckets=4)
+    children = P.read_published(spark, f"{root}/{W.NORMALIZED_TABLE.format('children')}")
+    assert sorted(map(tuple, children.collect()), key=repr) == [(20, "x", "y", 2023), (21, None, None, 2023)]
+    before = jobs(spark)
+    assert W.run_pipeline(spark, db.read, root, resume=True, sources=db.source, fact_buckets=4) == paths
+    assert jobs(spark) == before
+    assert W.run_pipeline(spark, db.read, root, resume=True, sources=db.source)["inmapp"] != paths["inmapp"]
