@@ -11,6 +11,8 @@ data back before checking or joining on the ids.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +20,9 @@ ID_PATTERN = r"^[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{
 
 _POSITION_BITS = 33  # monotonically_increasing_id: partition index above, position below
 
+#: Repeated hashes (8 bytes each) that are broadcast to the rows.
+MAX_BROADCAST_SUSPECTS = 1_000_000
+
 # Fixed values: (start, length) of the five hex groups of a UUID-shaped id.
 _UUID_GROUPS = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
 
@@ -42,6 +47,17 @@ def assign_ids(df: DataFrame, id_col: str = "participant_id", mode: str = "rando
     return df.withColumn(id_col, uuid_column())
 
 
+def row_hash(columns: Sequence[str]) -> Column:
+    """SHA-256 of a row's values."""
+    return F.sha2(F.to_json(F.struct(*columns)), 256)
+
+
+def hash_id(h: Column, occurrence: Column) -> Column:
+    """The UUID-shaped id of the row with this hash and occurrence number among identical rows."""
+    h = F.sha2(F.concat_ws(":", h, occurrence.cast("string")), 256)
+    return F.concat_ws("-", *[F.substring(h, start, n) for start, n in _UUID_GROUPS])
+
+
 def assign_hash_ids(df: DataFrame, id_col: str = "participant_id") -> DataFrame:
     """Append ``id_col``: SHA-256 of the row's values and its occurrence number, UUID-shaped.
 
@@ -59,7 +75,7 @@ def assign_hash_ids(df: DataFrame, id_col: str = "participant_id") -> DataFrame:
         raise ValueError(f"column {id_col!r} already exists")
     cols = df.columns
     mid = F.monotonically_increasing_id()
-    tagged = df.select(*cols, F.sha2(F.to_json(F.struct(*cols)), 256).alias("__h"),
+    tagged = df.select(*cols, row_hash(cols).alias("__h"),
                        F.shiftright(mid, _POSITION_BITS).alias("__part"))
     counts = tagged.groupBy("__h", "__part").agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.select(
@@ -71,9 +87,7 @@ def assign_hash_ids(df: DataFrame, id_col: str = "participant_id") -> DataFrame:
     # A left join and a check: should the input be partitioned differently in the two passes, rows
     # must not vanish silently.
     offset = F.coalesce("__off", F.raise_error(F.lit("the input changed its partitioning between passes")))
-    occurrence = (offset + F.col("__pos")).cast("string")
-    h = F.sha2(F.concat_ws(":", F.col("__h"), occurrence), 256)
-    shaped = F.concat_ws("-", *[F.substring(h, start, n) for start, n in _UUID_GROUPS])
+    shaped = hash_id(F.col("__h"), offset + F.col("__pos"))
     return numbered.join(offsets, ["__h", "__part"], "left").select(*cols, shaped.alias(id_col))
 
 
@@ -89,14 +103,38 @@ def id_stats(df: DataFrame, id_col: str = "participant_id") -> DataFrame:
     )
 
 
+def unique_counts(df: DataFrame, id_col: str = "participant_id",
+                  hash_of: Callable[[str], Column] = F.xxhash64) -> tuple[int, int]:
+    """The number of rows and of distinct ids (F3, F4), without shuffling the ids.
+
+    The first pass counts the rows of each 64-bit hash: 8 bytes and a number move
+    per row, after partial aggregation. Ids whose hash stands alone are distinct. Only rows whose
+    hash repeats - real repetitions and chance collisions - are compared
+    exactly, in a second pass that does not run if there are none. Their hashes
+    are broadcast while there are at most ``MAX_BROADCAST_SUSPECTS``.
+    """
+    ids = df.select(F.col(id_col).alias("id"))
+    h = F.when(F.col("id").isNotNull(), hash_of("id"))
+    groups = ids.groupBy(h.alias("h")).agg(F.count(F.lit(1)).alias("n"))
+    known = F.col("h").isNotNull()
+    n_rows, n_hashes, n_suspects = groups.agg(
+        F.coalesce(F.sum("n"), F.lit(0)), F.count_if(known), F.count_if(known & (F.col("n") > 1))).first()
+    if not n_suspects:
+        return int(n_rows), int(n_hashes)
+    suspects = groups.where(known & (F.col("n") > 1)).select("h")
+    if n_suspects <= MAX_BROADCAST_SUSPECTS:
+        suspects = F.broadcast(suspects)
+    exact = ids.withColumn("h", h).join(suspects, "h", "left_semi").agg(F.countDistinct("id")).first()[0]
+    return int(n_rows), int(n_hashes - n_suspects + exact)
+
+
 def assert_unique(df: DataFrame, id_col: str = "participant_id") -> int:
     """Raise ``IdCollisionError`` when an id repeats; return the row count.
 
-    Only the two counts reach the driver. A null id counts as a collision,
+    Only the counts reach the driver. A null id counts as a collision,
     since it cannot identify a row.
     """
-    row = id_stats(df, id_col).first()
-    n_rows, n_distinct = int(row["n_rows"]), int(row["n_distinct"])
+    n_rows, n_distinct = unique_counts(df, id_col)
     if n_rows != n_distinct:
         raise IdCollisionError(
             f"{id_col}: {n_rows} rows but {n_distinct} distinct non-null ids"

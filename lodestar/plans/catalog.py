@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.functions.ids import ID_PATTERN, assign_ids, id_stats
+from lodestar.functions.ids import ID_PATTERN, assign_ids, unique_counts
 from lodestar.operators.aggregate import distinct_rows, group_count
 from lodestar.operators.joins import JoinStep, join_chain, left_join
 from lodestar.operators.projection import cast_keys, select_by_pattern, select_columns
@@ -135,7 +135,8 @@ def q_group_count(spark, sf_dir):
 
 def q_id_uniqueness(spark, sf_dir):
     rows = assign_ids(Fixtures(spark, sf_dir).survey_csv_frame(), S.ID_COL)
-    return id_stats(materialize(spark, rows, f"{_stage_root(spark, 'ids')}/rows"), S.ID_COL)
+    counts = unique_counts(materialize(spark, rows, f"{_stage_root(spark, 'ids')}/rows"), S.ID_COL)
+    return spark.createDataFrame([counts], "n_rows long, n_distinct long")
 
 
 def q_denormalized_join(spark, sf_dir):
@@ -191,6 +192,19 @@ def q_survey_upload_stream(spark, sf_dir):
     return out.drop(S.ID_COL)
 
 
+def q_survey_upload_ids(spark, sf_dir):
+    """Reproducible ids of the pick-up, whose batches bring the rows in file order, against those of one batch job."""
+    fx = Fixtures(spark, sf_dir)
+    root = _stage_root(spark, "upload-ids")
+    write_csv(fx.survey_csv_frame().select(S.FACILITY_COL, "pca_1", "pca_2").repartition(4), f"{root}/upload")
+    out = ingest_uploads(spark, f"{root}/upload", f"{root}/{S.INPUT_TABLE}", checkpoint=f"{root}/checkpoint",
+                         files_per_batch=2, id_mode="hash")
+    one = S.ingest(spark, f"{root}/upload", f"{root}/one", id_mode="hash").select(
+        S.ID_COL, F.struct(S.FACILITY_NAME, "pca_1", "pca_2").alias("other"))
+    same = F.struct(S.FACILITY_NAME, "pca_1", "pca_2").eqNullSafe(F.col("other"))
+    return out.join(one, S.ID_COL, "left").select(S.FACILITY_NAME, "pca_1", "pca_2", same.alias("is_reproduced"))
+
+
 def q_assign_ids(spark, sf_dir):
     """Random ids on the written rows: their form, and whether each is the only one of its kind."""
     root = _stage_root(spark, "ids")
@@ -325,6 +339,7 @@ QUERIES: dict[str, Query] = {
     "csv_export": q_csv_export,
     "csv_ingest": q_csv_ingest,
     "survey_upload_stream": q_survey_upload_stream,
+    "survey_upload_ids": q_survey_upload_ids,
     "assign_ids": q_assign_ids,
     "assign_hash_ids": q_assign_hash_ids,
     "csv_ingest_quoted": q_csv_ingest_quoted,
@@ -519,6 +534,8 @@ ORACLES: dict[str, str] = {
     "csv_ingest": _with("SELECT facility_name, pca_1, pca_2, pca_10 FROM survey_wide", "survey_wide"),
     "survey_upload_stream": _with(
         "SELECT facility_name, pca_1, pca_2, pca_10 FROM survey_wide", "survey_wide"),
+    "survey_upload_ids": _with(
+        "SELECT facility_name, pca_1, pca_2, true AS is_reproduced FROM survey_wide", "survey_wide"),
     "survey_join": _with("SELECT * FROM survey_joined", "survey_joined"),
     "survey_melt": _with("SELECT * FROM survey_long", "survey_long"),
     "warehouse_pipeline": _with(

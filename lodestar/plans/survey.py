@@ -97,7 +97,8 @@ def prepare(raw: DataFrame, answer_type: DataType | str | None = None,
     are cast strictly (under ANSI mode) to ``answer_type``; with None, text
     answers get the one type that holds all of them (``common_type``) and
     typed ones stay. ``id_mode="hash"`` gives ids that a rerun over the same
-    file reproduces (see ``assign_hash_ids``).
+    file reproduces (see ``assign_hash_ids``); ``"given"`` takes those of the column
+    ``participant_id``.
     """
     answers = matching_columns(raw.columns, pattern)
     if FACILITY_COL not in raw.columns:
@@ -107,7 +108,8 @@ def prepare(raw: DataFrame, answer_type: DataType | str | None = None,
     def answer(c: str):
         return (F.col(c).cast(kind) if kind is not None else F.col(c)).alias(c)
 
-    return assign_ids(raw, ID_COL, id_mode).select(
+    rows = raw if id_mode == "given" else assign_ids(raw, ID_COL, id_mode)
+    return rows.select(
         ID_COL, F.col(FACILITY_COL).alias(FACILITY_NAME), *[answer(c) for c in answers])
 
 

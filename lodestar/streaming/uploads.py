@@ -13,6 +13,11 @@ Streaming query over the folder:
   retried after a failure rewrites only its own folder, so the output never
   holds the same answers twice, even though the ids are random;
 * the ids are read back and checked unique, over all batches;
+* with ``id_mode="hash"`` ids are reproducible: the query keeps, for each distinct
+  row (its SHA-256), how often it has come so far, so the next identical row gets the next
+  occurrence number whichever file or batch brings it. The same rows get the same set of ids
+  in any order of uploads, and the same as ``assign_hash_ids`` gives them in one batch. The state
+  lives in the checkpoint, a number a distinct row; a retried batch starts from the state before it;
 * every file's header is checked against the schema; a file with other columns
   or another order fails its batch and is named;
 * ``availableNow`` processes everything present and then stops, which is what
@@ -28,11 +33,16 @@ the one that holds all answers now in the folder.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import DataType, StringType, StructField, StructType
 
-from lodestar.functions.ids import assert_unique
+from lodestar.functions.ids import assert_unique, hash_id, row_hash
 from lodestar.functions.patterns import matching_columns
 from lodestar.plans.survey import ID_COL, answer_type_of, prepare
 from lodestar.sources.files import csv_options, path_exists, read_csv
@@ -53,20 +63,48 @@ def _answer_type(spark: SparkSession, upload_dir: str, out_path: str) -> DataTyp
     return answer_type_of(read_csv(spark, upload_dir))
 
 
+def _count_on(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """The rows of one hash with their occurrence numbers, which go on from the batches before."""
+    n = state.get[0] if state.exists else 0
+    for pdf in frames:
+        pdf["occurrence"] = range(n, n + len(pdf))
+        n += len(pdf)
+        yield pdf[["row", "occurrence"]].assign(row_hash=key[0])
+    state.update((n,))
+
+
+def with_hash_ids(stream: DataFrame) -> DataFrame:
+    """A stream's rows with reproducible ids, by occurrence numbers kept in the query's state."""
+    cols = stream.columns
+    rows = stream.select(row_hash(cols).alias("row_hash"), F.to_json(F.struct(*cols)).alias("row"))
+    numbered = rows.groupBy("row_hash").applyInPandasWithState(
+        _count_on, "row string, occurrence long, row_hash string", "n long", "append", GroupStateTimeout.NoTimeout)
+    return numbered.select(F.from_json("row", stream.schema).alias("r"),
+                           hash_id(F.col("row_hash"), F.col("occurrence")).alias(ID_COL)).select("r.*", ID_COL)
+
+
 def survey_upload_stream(spark: SparkSession, upload_dir: str, out_path: str,
                          schema: StructType, *, answer_type: DataType | str,
                          checkpoint: str | None = None, files_per_batch: int | None = None,
-                         processing_time: str | None = None) -> StreamingQuery:
-    """Start the pick-up query; returns the running ``StreamingQuery``."""
+                         processing_time: str | None = None, id_mode: str = "random") -> StreamingQuery:
+    """Start the pick-up query; returns the running ``StreamingQuery``.
+
+    The ``id_mode`` of a checkpoint is fixed by its first run.
+    """
+    if id_mode not in ("random", "hash"):
+        raise ValueError(f"id mode {id_mode!r} not in ('random', 'hash')")
     checkpoint = checkpoint or f"{out_path.rstrip('/')}_checkpoint"
     reader = csv_options(spark.readStream.schema(schema))
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     stream = reader.csv(upload_dir)
+    if id_mode == "hash":
+        stream = with_hash_ids(stream)
+    given = "given" if id_mode == "hash" else id_mode
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         target = f"{out_path}/{BATCH_DIR}={batch_id}"
-        prepare(batch, answer_type).write.mode("overwrite").parquet(target)
+        prepare(batch, answer_type, id_mode=given).write.mode("overwrite").parquet(target)
         assert_unique(batch.sparkSession.read.parquet(target), ID_COL)
 
     writer = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)

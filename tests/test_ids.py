@@ -76,3 +76,32 @@ def test_id_mode_validation(spark):
     df = spark.createDataFrame([("a",)], "FACILITY string")
     with pytest.raises(ValueError):
         assign_ids(df, mode="sequential")
+
+
+def test_unique_counts_are_exact_also_when_hashes_collide(spark):
+    from pyspark.sql import functions as F
+
+    from lodestar.functions.ids import id_stats, unique_counts
+    ids = [f"id-{i}" for i in range(500)] + ["id-3", "id-3", "id-77"] + [None, None]
+    df = spark.createDataFrame([(i,) for i in ids], "participant_id string").repartition(5)
+    want = tuple(id_stats(df).first())
+    assert want == (505, 500)
+    assert unique_counts(df) == want
+    for few in (F.length, lambda c: F.pmod(F.xxhash64(c), F.lit(40))):  # nearly every id is a suspect
+        assert unique_counts(df, hash_of=few) == want
+    assert unique_counts(df.where("participant_id IS NULL")) == (2, 0)
+    assert unique_counts(df.limit(0)) == (0, 0)
+
+
+def test_unique_ids_are_not_shuffled(spark):
+    """Without a repeated hash the second pass does not run."""
+    from pyspark.sql import functions as F
+
+    from lodestar.functions.ids import unique_counts
+    df = spark.range(2000).select(F.sha2(F.col("id").cast("string"), 256).alias("participant_id"))
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    assert unique_counts(df) == (2000, 2000)
+    few = len(tracker.getJobIdsForGroup(None)) - before
+    assert unique_counts(df.union(df.limit(1))) == (2001, 2000)
+    assert len(tracker.getJobIdsForGroup(None)) - before - few > few

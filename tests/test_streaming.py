@@ -64,3 +64,27 @@ def test_other_header_order_fails(spark, workdir):
         fh.write("FACILITY,pca_2,pca_1,pca_total\nSouth,2,1,0.5\n")
     with pytest.raises(Exception, match="(?i)header"):
         ingest_uploads(spark, up, f"{workdir}/answers", answer_type="int")
+
+
+def test_hash_ids_do_not_depend_on_the_order_of_uploads(spark, workdir):
+    """Identical rows in several files and batches: one set of ids, whatever comes first."""
+    from lodestar.plans import survey as S
+    files = {"a.csv": [("North", 1, 2, 9.5)] * 3 + [("South", None, 3, 1.0)],
+             "b.csv": [("North", 1, 2, 9.5)] * 2 + [("East", 4, None, 2.0)], "c.csv": [("South", None, 3, 1.0), ("West", 7, 7, 7)]}
+    found = []
+    for k, order in enumerate((("a.csv", "b.csv", "c.csv"), ("c.csv", "b.csv", "a.csv"))):
+        up, out = f"{workdir}/uploads{k}", f"{workdir}/answers{k}"
+        os.makedirs(up)
+        for name in order[:2]:
+            _upload(up, name, files[name])
+            ingest_uploads(spark, up, out, id_mode="hash", answer_type="int")
+        _upload(up, order[2], files[order[2]])
+        rows = ingest_uploads(spark, up, out, id_mode="hash", answer_type="int", files_per_batch=1)
+        assert rows.columns == ["participant_id", "facility_name", "pca_1", "pca_2"]
+        assert assert_unique(rows) == 9
+        found.append(sorted(map(repr, rows.collect())))
+    assert found[0] == found[1]
+    batch = S.ingest(spark, f"{workdir}/uploads0", f"{workdir}/batch", answer_type="int", id_mode="hash")
+    assert sorted(map(repr, batch.collect())) == found[0]
+    with pytest.raises(ValueError):
+        ingest_uploads(spark, f"{workdir}/uploads0", f"{workdir}/other", id_mode="sequential", answer_type="int")
