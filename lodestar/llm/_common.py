@@ -78,6 +78,16 @@ def _set(spark: SparkSession, **values: str):
             spark.conf.set(k, v)
 
 
+def few_files(df: DataFrame) -> DataFrame:
+    """``df`` in at most four partitions a core, merged without a shuffle, so that writing it makes few files.
+
+    A task that writes a file costs more than its rows where a partition is small (on file systems without
+    native permissions every file starts a process beside the executor); where partitions are
+    large there are far more than four a core only by choice, and merging them keeps all cores busy.
+    """
+    return df.coalesce(4 * max(1, df.sparkSession.sparkContext.defaultParallelism))
+
+
 def stage(spark: SparkSession, df: DataFrame, root: str, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage, survives lost executors.
 
@@ -87,7 +97,7 @@ def stage(spark: SparkSession, df: DataFrame, root: str, name: str) -> DataFrame
     """
     with _set(spark, spark_sql_classic_shuffleDependency_fileCleanup_enabled="true",
               spark_sql_execution_arrow_maxBytesPerBatch=BATCH_BYTES):
-        return materialize(spark, df, f"{root}/{name}")
+        return materialize(spark, few_files(df), f"{root}/{name}")
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

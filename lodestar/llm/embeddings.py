@@ -1,7 +1,7 @@
 """Near-duplicate embeddings by cross-polytope hashing (operator 6).
 
-1. Vectors with the same label and equal components are one node with a number
-   of copies, so a common vector is one row from here on.
+1. Vectors with the same label and equal components (by 128 bits of a hash) are one node with a
+   number of copies, so a common vector is one row from here on.
 2. A hash function is three rounds of random signs and a fast Hadamard
    transform; its value is the nearest vertex of the cross-polytope, the largest
    coordinate and its sign. A table joins two functions. A vector is at home in
@@ -75,10 +75,13 @@ def bucket_codes(x: np.ndarray, tables: int, seed: int = 6) -> np.ndarray:
 
 
 def _nodes(batches):
-    """(id, label, embedding) to (id, node, group, vector): node null if the vector links with nothing."""
+    """(id, label, embedding) to (id, hash, check, group, vector): all null if the vector links with nothing.
+
+    ``hash`` and ``check`` are 128 bits of the label and the components, by which vectors are equal.
+    """
     for rb in batches:
         n = rb.num_rows
-        node, group, vector = [None] * n, [None] * n, [None] * n
+        node, check, group, vector = [None] * n, [None] * n, [None] * n, [None] * n
         emb = rb.column("embedding")
         lens = np.asarray(pc.fill_null(pc.list_value_length(emb), 0))
         has_label = np.asarray(pc.is_valid(rb.column("label")))
@@ -92,11 +95,12 @@ def _nodes(batches):
                 blob = v.tobytes()
                 g = xxhash.xxh3_64_intdigest(f"{d}:{labels[i]}")
                 group[i] = g - (1 << 63)
-                node[i] = xxhash.xxh3_64_intdigest(blob, seed=g) - (1 << 63)
+                both = xxhash.xxh3_128_intdigest(blob, seed=g)
+                node[i], check[i] = (both >> 64) - (1 << 63), (both & (1 << 64) - 1) - (1 << 63)
                 vector[i] = blob
         yield pa.RecordBatch.from_arrays(
-            [rb.column("id"), pa.array(node, pa.int64()), pa.array(group, pa.int64()),
-             pa.array(vector, pa.binary())], ["id", "node", "group", "vector"])
+            [rb.column("id"), *(pa.array(x, pa.int64()) for x in (node, check, group)),
+             pa.array(vector, pa.binary())], ["id", "hash", "check", "group", "vector"])
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -191,10 +195,10 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
                         F.col(vector_col).alias("embedding"))
     kind = given.schema["id"].dataType.simpleString()
     signed = stage(spark, given.mapInArrow(
-        _nodes, f"id {kind}, node long, group long, vector binary"), root, "signed")
-    nodes = stage(spark, signed.where("node IS NOT NULL").groupBy("node").agg(
+        _nodes, f"id {kind}, hash long, check long, group long, vector binary"), root, "signed")
+    nodes = stage(spark, signed.where("hash IS NOT NULL").groupBy("hash", "check").agg(
         F.first("group").alias("group"), F.first("vector").alias("vector"), F.count("*").alias("copies"),
-        F.min("id").alias("least")), root, "nodes")
+        F.min("id").alias("least")).withColumn("node", F.monotonically_increasing_id()), root, "nodes")
 
     keys = stage(spark, nodes.select("node", "group", "vector").mapInArrow(
         _keys(tables), "bucket long, tab int, node long, home boolean"), root, "keys")
@@ -214,14 +218,14 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "emb
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))
     edges = found.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v")).distinct()
     labels = stage(spark, components(spark, edges, root), root, "labels")
-    joined = (nodes.select("node", "copies", "least").join(labels, "node", "left")
+    joined = (nodes.select("node", "hash", "check", "copies", "least").join(labels, "node", "left")
               .withColumn("component", F.coalesce("component", "node")))
     least = joined.groupBy("component").agg(F.min("least").alias("component_id"))
     final = (joined.join(least, "component").join(counts, "node", "left")
-             .select("node", "component_id",
+             .select("hash", "check", "component_id",
                      (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
-    out = signed.select("id", "node").join(final, "node", "left")
-    own = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id"))
+    out = signed.select("id", "hash", "check").join(final, ["hash", "check"], "left")
+    own = F.when(F.col("hash").isNull(), F.col("id")).otherwise(F.col("component_id"))
     return out.select("id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                       own.alias("component_id"), F.col("id").eqNullSafe(own).alias("kept"))
 

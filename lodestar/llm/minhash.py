@@ -26,7 +26,7 @@ sequence as one shingle; very long texts are hashed in parts; rows that repeat
 a doc_id with another text are linked by their texts only, and all rows of a
 component with its smallest id are ``kept`` (``deduplicated`` keeps one of
 them); a row with a null id takes the smallest id of its component (null if
-there is none) and is ``kept`` only then (``deduplicated`` keeps it always); an
+there is none) and is ``kept`` only then (``deduplicated`` drops it like any other row); an
 empty table gives an empty result; other columns are ignored by
 ``near_duplicates`` and passed through by ``deduplicated``. Ids must be of an orderable type.
 """
@@ -46,8 +46,10 @@ from lodestar.llm.components import components
 
 #: Nodes (8 bytes each) up to which the list of texts to verify is broadcast.
 MAX_BROADCAST_NODES = 1_000_000
-#: Rows of a block, of outsiders or of members, in the comparison inside a bucket.
+#: Rows of a block, of outsiders or of members, in the comparison inside a bucket, and shingles
+#: (8 bytes each) of their sets: blocks are dealt by hash so that both stay near these.
 BLOCK = 1024
+BLOCK_SHINGLES = 1 << 20
 
 
 def shingles(text: bytes | None, width: int) -> np.ndarray:
@@ -183,6 +185,15 @@ def _verify(percent: int):
     return f
 
 
+def weighted(here: DataFrame, most: int) -> DataFrame:
+    """``n_out`` and ``size`` as ``_dealt`` counts blocks, raised where the sets of a block would hold over ``most`` shingles.
+
+    ``w_out`` and ``w_all`` are the shingles of the bucket's outsiders and of all its members.
+    """
+    return here.withColumns({c: F.greatest(F.col(c), F.ceil(F.col(w) / most * BLOCK).cast("long"))
+                             for c, w in (("n_out", "w_out"), ("size", "w_all"))})
+
+
 def _dealt(here: DataFrame) -> DataFrame:
     """Members of open buckets dealt to (bucket, bl, br): a block of outsiders (``left``) and one of members.
 
@@ -263,7 +274,7 @@ def _roots(texts: DataFrame, width: int = 5, percent: int = 75, bands: int = 32,
     signed = stage(spark, texts.mapInArrow(
         _sign(width, n), f"id {id_type}, n long, node long, sig binary"), root, "signed")
     nodes = stage(spark, signed.where("node IS NOT NULL").groupBy("node")
-                  .agg(F.first("sig").alias("sig")), root, "nodes")
+                  .agg(F.first("sig").alias("sig"), F.first("n").alias("n")), root, "nodes")
     bucket = nodes.mapInArrow(_bands(bands, rows), "bucket long, node long")
     firsts = (bucket.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("first"),
                                            F.bit_xor(F.xxhash64("node")).alias("print"))
@@ -299,9 +310,12 @@ def _roots(texts: DataFrame, width: int = 5, percent: int = 75, bands: int = 32,
             .join(heads, "first", "left")
             .withColumn("comp", F.coalesce("comp", "node"))
             .withColumn("out", F.col("comp") != F.coalesce("first_comp", "first")))
-    open_ = here.groupBy("bucket").agg(F.count_if("out").alias("n_out")).where("n_out > 0")
-    here = stage(spark, here.join(open_, "bucket"), root, "open")
-    met = stage(spark, _dealt(here).join(nodes, "node").groupBy("bucket", "bl", "br")
+    here = here.join(nodes.select("node", "n"), "node")
+    open_ = here.groupBy("bucket").agg(
+        F.count_if("out").alias("n_out"), F.sum(F.when(F.col("out"), F.col("n"))).alias("w_out"),
+        F.sum("n").alias("w_all")).where("n_out > 0")
+    here = stage(spark, weighted(here.join(open_, "bucket"), BLOCK_SHINGLES).drop("n", "w_out", "w_all"), root, "open")
+    met = stage(spark, _dealt(here).join(nodes.select("node", "sig"), "node").groupBy("bucket", "bl", "br")
                 .applyInArrow(_meet(least, batch, n), MET), root, "open-met")
     sets = sets_of(met.select("node").distinct(), "open")
     more = (met.join(sets, "node").groupBy("bucket", "bl", "br")
@@ -327,15 +341,16 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row of each component (of those with its smallest id, the first), columns as in ``docs``.
 
     Rows go one by one, so another text under the id of a dropped row stays.
-    Rows with a null id stay.
+    A row with a null id goes if its component has another one; of a component whose ids are
+    all null the first row stays.
     """
     spark, row = docs.sparkSession, fresh(docs, "row")
     numbered = stage(spark, docs.withColumn(row, F.monotonically_increasing_id()), scratch(spark, "dedup"), "rows")
     roots = _roots(numbered.select(F.col(row).alias("id"), F.col(text_col).alias("text")), **options)
-    own = numbered.select(F.col(row).alias("id"), F.col(id_col).alias("own")).where("own IS NOT NULL")
+    own = numbered.select(F.col(row).alias("id"), F.col(id_col).alias("own"))
     found = stage(spark, roots.where("component IS NOT NULL").select("id", "component").join(own, "id"),
                   scratch(spark, "dedup"), "found")
-    first = found.groupBy("component").agg(F.min(F.struct("own", "id")).alias("first"))
+    first = found.groupBy("component").agg(F.min(F.struct(F.col("own").isNull().alias("last"), "own", "id")).alias("first"))
     gone = (found.join(first, "component").where(F.col("id") != F.col("first.id"))
             .select(F.col("id").alias(row)))
     return numbered.join(gone, row, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

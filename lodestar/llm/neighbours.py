@@ -8,8 +8,8 @@ without that coordinate.
 1. Rows with equal components are one node with its smallest ids. Nodes are
    ordered by the signs of random projections, numbered in that order and dealt
    into blocks of at most ``BLOCK`` neighbouring ones. A node's number holds its block.
-2. Start of the graph: the nearest ``degree`` nodes of each node's own block, and
-   of its blocks in two more such orders, so that the blocks are connected.
+2. Start of the graph: the nearest ``degree`` nodes of each node's own group of blocks, and
+   of its groups in two more such orders, so that the groups are connected.
 3. NN-descent, rounds of Spark joins: every node deals a sample of its new and old neighbours,
    and of the nodes it is a neighbour of, to its block; the vectors that a block
    needs are joined to it once; a block compares the neighbours of each of its
@@ -24,9 +24,9 @@ without that coordinate.
 5. The beam is scored on the original vectors in double precision, in the order of
    the components, and expanded to rows.
 
-A task holds one block: at most 2048 nodes' samples, or 128 queries' candidates,
-and the vectors these name. Every row is in the index; nothing is fitted to a sample but the graph
-itself. With at most ``BLOCK`` different vectors of a length there is one block, the start of the graph is
+A task holds one block: 256 nodes' samples, a group of 2048 nodes, or 128 queries' candidates,
+and the vectors these name. Every row is in the index; nothing is fitted to a sample. With at
+most ``BLOCK * GROUP`` different vectors of a length there is one group, the start of the graph is
 exact and so is the result; beyond that recall is measured (README, tests).
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components and rows with a null id
@@ -48,7 +48,9 @@ from lodestar.llm._common import scratch, stage
 from lodestar.llm._hashing import U64, mix
 from lodestar.llm._rank import ranked
 
-BLOCK = 2048
+#: Nodes of a block, and blocks next to each other whose nodes are compared with each other for the start.
+BLOCK = 256
+GROUP = 8
 QUERY_BLOCK = 128
 #: Bits of a node's number below its block.
 _LOCAL = 12
@@ -151,7 +153,7 @@ def _renewed(df: DataFrame) -> DataFrame:
 
 
 def _nearest(degree: int):
-    """The nodes of one block to each node's ``degree`` nearest ones in it."""
+    """The nodes of one group to each node's ``degree`` nearest ones in it."""
     def f(table: pa.Table) -> pa.Table:
         node, x = _column(table, "node"), _matrix(table.column("vector"))
         k = min(degree, len(node) - 1)
@@ -457,7 +459,7 @@ def search(spark: SparkSession, links: DataFrame, nodes: DataFrame, starts: Data
 
 
 def nearest_neighbours(rows: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 20,
-                       degree: int = 40, sample: int = 20, beam: int = 112) -> DataFrame:
+                       degree: int = 40, sample: int = 16, beam: int = 112) -> DataFrame:
     """(query_id, rank, id, score) of the ``k`` nearest rows found for each row where ``is_query`` (a condition on "id") holds."""
     spark = rows.sparkSession
     root = scratch(spark, "neighbours")
@@ -474,10 +476,12 @@ def nearest_neighbours(rows: DataFrame, is_query, id_col: str = "vec_id", vector
     block, local = _dealt(F.col("pos"), F.col("group_rows"), BLOCK)
     nodes = stage(spark, ranked(spark, placed, "dim", in_order[0], root, "order0").withColumn("node", F.shiftleft(
         F.shiftleft(F.col("dim").cast("long"), _BLOCKS - _LOCAL).bitwiseOR(block), _LOCAL).bitwiseOR(local)), root, "nodes")
-    orders = [nodes.select(_block("node").alias("block"), "node", "vector")]
+    group = lambda b: F.shiftleft(F.col("dim").cast("long"), _BLOCKS).bitwiseOR(b)
+    among, _ = _dealt(F.col("pos"), F.col("group_rows"), BLOCK * GROUP)
+    orders = [nodes.select(group(among).alias("block"), "node", "vector")]
     for i in range(1, ORDERS):
         narrow = ranked(spark, nodes.select("dim", "node", "vector", f"code{i}", f"finer{i}"), "dim", in_order[i], root, f"order{i}")
-        orders.append(narrow.select(F.shiftleft(F.col("dim").cast("long"), _BLOCKS).bitwiseOR(block).alias("block"), "node", "vector"))
+        orders.append(narrow.select(group(among).alias("block"), "node", "vector"))
     net = graph(spark, nodes, orders, root, degree, sample)
 
     edges = stage(spark, net.select("node", "ids").mapInArrow(_explode_ids, "u long, v long"), root, "edges")

@@ -174,6 +174,24 @@ def chain(cands: DataFrame, root: str) -> DataFrame:
     return marked.join(reach, ["file", "head"], "left_semi")
 
 
+def _owned(segs: DataFrame) -> DataFrame:
+    """The segments that lie in a record, with the ``start`` and ``succ`` of the last one that starts at or before them.
+
+    ``start`` and ``succ`` are given where a record starts. Inside a byte range a window finds the last
+    start; what a range begins with belongs to the last start of the ranges before it, which
+    a window over one row a range finds. So no task reads a whole file.
+    """
+    record = F.when(F.col("start").isNotNull(), F.struct("start", "succ"))
+    inside = Window.partitionBy("file", "blk").orderBy("off")
+    before = Window.partitionBy("file").orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)
+    lasts = segs.groupBy("file", "blk").agg(F.max(record).alias("last"))
+    carried = lasts.select("file", "blk", F.last("last", True).over(before).alias("carried"))
+    own = F.coalesce(F.last(record, True).over(inside), F.col("carried"))
+    return (segs.join(carried, ["file", "blk"]).withColumn("own", own)
+            .select("file", "off", F.col("own.start").alias("start"), F.col("own.succ").alias("succ"), "value")
+            .where(F.col("off") < F.col("succ")))
+
+
 def read_warc(spark: SparkSession, path: str, root: str, payloads: bool = True) -> DataFrame:
     """The records below ``path``: (file, off, record_type, record_id, refers_to, target_uri, digest,
     http_length, stored_bytes, stored_digest[, payload]).
@@ -202,11 +220,7 @@ def read_warc(spark: SparkSession, path: str, root: str, payloads: bool = True)
         again = _segments(spark, path).join(files, "file", "left_semi")
         again = _offsets(again.withColumn("len", F.octet_length("value").cast("long"))).where("off >= 0")
         starts = again.join(split.withColumn("start", F.col("off")), ["file", "off"], "left")
-        upto = Window.partitionBy("file").orderBy("off")
-        parts = (starts.select("file", "off", "start", "succ", "value")
-                 .withColumn("start", F.last("start", True).over(upto))
-                 .withColumn("succ", F.last("succ", True).over(upto))
-                 .where(F.col("off") < F.col("succ")))
+        parts = _owned(starts.select("file", "blk", "off", "start", "succ", "value"))
         whole = (parts.groupBy("file", "start")
                  .agg(F.array_sort(F.collect_list(F.struct("off", "value"))).alias("parts"))
                  .select("file", F.col("start").alias("off"),

@@ -5,6 +5,8 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from lodestar.llm import minhash
 from lodestar.llm.components import components
 from lodestar.llm._common import scratch
@@ -98,7 +100,7 @@ def test_deduplicated_keeps_columns_and_clean_documents(spark):
     out = minhash.deduplicated(docs)
     assert out.columns == docs.columns
     ids = sorted((r["doc_id"] for r in out.collect()), key=str)
-    assert ids == sorted([1, 2, 3, None, None, 4, 6, 9, 10, 11, 12], key=str)
+    assert ids == sorted([1, 2, 3, None, 4, 6, 9, 10, 11, 12], key=str)  # the copy with a null id goes
 
 
 def test_deduplicated_drops_rows_not_ids(spark):
@@ -135,3 +137,25 @@ def test_connected_components(spark, edges):
     for a, b in edges:
         up.join(a, b)
     assert got == {x: up.find(x) for e in edges for x in e if e[0] != e[1] or x in got}
+
+
+def test_one_row_stays_of_copies_without_ids(spark):
+    rows = [(None, numbered(50)), (None, numbered(50)), (None, numbered(30, "q")), (3, None), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(r) for r in minhash.deduplicated(docs).collect()]
+    assert sorted(kept, key=str) == sorted([(None, numbered(50)), (None, numbered(30, "q")), (3, None), (None, None)], key=str)
+
+
+def test_blocks_of_large_sets_are_smaller(spark):
+    """512 sets of 20,000 shingles in one bucket: no pair of blocks holds much more than its share."""
+    here = spark.range(1, 513).selectExpr("1L AS bucket", "512L AS size", "256L AS n_out", "id * 7919 AS node", "id AS comp",
+                                          "id % 2 = 0 AS out", "20000L AS n", "256 * 20000L AS w_out", "512 * 20000L AS w_all")
+    most = 1 << 20
+    blocks = minhash._dealt(minhash.weighted(here, most).drop("n", "w_out", "w_all"))
+    sizes = [r["count"] * 20_000 for r in blocks.groupBy("bl", "br", "left").count().collect()]
+    assert sum(sizes) >= 10 * 512 * 20_000 and max(sizes) <= 1.7 * most
+    met = {(r["bl"], r["br"]) for r in blocks.collect()}
+    for left, right in ((a, b) for a in range(5) for b in range(10)):
+        assert (left, right) in met  # every outsider meets every member
+    small = minhash.weighted(here.withColumns({"w_out": F.lit(256), "w_all": F.lit(512)}), most).first()
+    assert (small["n_out"], small["size"]) == (256, 512)
