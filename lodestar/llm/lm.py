@@ -130,7 +130,7 @@ def fill(key: np.ndarray, q: np.ndarray, size: int) -> tuple[np.ndarray, np.ndar
     least = int(np.argmax(items <= room)) if (items <= room).any() else len(items)
     kept = q >= max(least, 1)
     bits = np.zeros(size, bool)
-    k, q = key[kept], q[kept]
+    k, q = filter_keys(key[kept]), q[kept]
     for j in range(1, int(q.max(initial=0)) + 1):
         for at in _bits(k[q >= j], j, size):
             bits[at] = True
@@ -143,6 +143,12 @@ def probe(bitmap: np.ndarray, key: np.ndarray, part: np.ndarray, size: int | np.
 
     All parts have ``size`` bits, or part i has ``size[i]``.
     """
+    return probe_filter_keys(bitmap, filter_keys(key), part, size, most)
+
+
+def probe_filter_keys(bitmap: np.ndarray, key: np.ndarray, part: np.ndarray, size: int | np.ndarray,
+                      most: int = 109) -> np.ndarray:
+    """``probe`` for filter keys."""
     out = np.zeros(len(key), np.int64)
     alive = np.arange(len(key))
     part = part.astype(np.int64)
@@ -237,7 +243,7 @@ def _add_up(buckets: int):
         bucket, kind = key[0].as_py(), key[1].as_py()
         keys, counts = _total(table)
         q = level(counts)
-        bits, _ = fill(filter_keys(keys), q, bits_for(q, kind, buckets))
+        bits, _ = fill(keys, q, bits_for(q, kind, buckets))
         if kind == 0:
             return _added(0, bucket, keys, counts.astype(float), bits)
         first, taken = keys >> U64(32), MEANS[q] - DISCOUNT
@@ -249,7 +255,7 @@ def _add_up(buckets: int):
 def _shares(buckets: int):
     def f(key: tuple, table: pa.Table) -> pa.Table:
         keys, q = table.column("key").to_numpy().astype(U64), table.column("q").to_numpy().astype(np.int64)
-        bits, _ = fill(filter_keys(keys), q, bits_for(q, 2, buckets))
+        bits, _ = fill(keys, q, bits_for(q, 2, buckets))
         return pa.table({"bucket": pa.array([key[0].as_py()], pa.int32()),
                          "bits": pa.array([bits.tobytes()], pa.binary())})
     return f
@@ -268,7 +274,7 @@ class Model:
 
     def level(self, kind: int, key: np.ndarray) -> np.ndarray:
         bitmap, size = self.filters[kind]
-        return probe(np.frombuffer(bitmap, np.uint8), filter_keys(key), mix(key) % U64(self.buckets), size, MOST[kind])
+        return probe(np.frombuffer(bitmap, np.uint8), key, mix(key) % U64(self.buckets), size, MOST[kind])
 
     def head_counts(self, words: np.ndarray) -> np.ndarray:
         """Exact counts of the words in the head, -1 for others."""
@@ -465,7 +471,7 @@ def _answer(asked: pa.Table, part: pa.Table) -> pa.Table:
     bitmap = np.frombuffer(bits, np.uint8)
     for kind, keys in zip(asked.column("kind").to_pylist(), asked.column("keys")):
         key = unpacked(keys.as_buffer())
-        q = probe(bitmap, key, np.zeros(len(key), np.int64), 8 * len(bitmap), MOST[kind])
+        q = probe_filter_keys(bitmap, key, np.zeros(len(key), np.int64), 8 * len(bitmap), MOST[kind])
         levels.append(q.astype(np.uint8).tobytes())
     return pa.table([asked.column("batch"), asked.column("kind"), asked.column("bucket"), pa.array(levels, pa.binary())],
                     ["batch", "kind", "bucket", "levels"])
