@@ -118,3 +118,48 @@ def test_empty(spark):
     assert lm.scored(no_docs(spark), F.lit(False)).collect() == []
     only = lm.scored(edge_docs(spark), F.lit(True)).collect()  # nothing to learn from
     assert {r["train_tokens"] for r in only} == {0} and {r["n_known"] for r in only} == {0}
+
+
+def exact_scores(train_texts, texts):
+    """The model's log10 probabilities from exact quantised counts, in plain Python, without filters."""
+    import math
+    from collections import Counter, defaultdict
+    end = "\n"
+
+    def stream(t):
+        return [end, *words(t, lower=True), end]
+    one, two = Counter(), Counter()
+    for t in train_texts:
+        s = stream(t)
+        one.update(s[1:])
+        two.update(zip(s, s[1:], strict=False))
+    mean = lambda c: lm.MEANS[lm.level(np.array([c]))[0]] if c else 0.0
+    top = {w: lm.BASE ** lm.level(np.array([c]))[0] for w, c in one.items()}
+    mass, taken = sum(mean(c) for c in one.values()), defaultdict(float)
+    for (a, _), c in two.items():
+        taken[a] += mean(c) - lm.DISCOUNT
+    out = []
+    for t in texts:
+        total, s = 0.0, stream(t)
+        for a, b in zip(s, s[1:], strict=False):
+            p1 = (mean(one[b]) + 0.1) / (mass + 0.1 * (len(one) + 1))
+            share = min(math.ceil(lm.SHARES * taken[a] / top[a]), lm.SHARES) / lm.SHARES if a in top else 0.0
+            p2 = (mean(two[a, b]) - lm.DISCOUNT) / top[a] if two[a, b] else 0.0
+            if share == 1:
+                p2 *= 1 - 1 / lm.SHARES
+            total += math.log10(min(p2 + max(1 - share, 1 / lm.SHARES) * p1, 1.0))
+        out.append(total)
+    return out
+
+
+@pytest.mark.parametrize("max_broadcast", [lm.MAX_BROADCAST, 0])
+def test_scores_are_those_of_exact_quantised_counts(spark, max_broadcast):
+    """Broadcast filters and filters asked by bucket against plain counts; filters of this size hold few false members."""
+    rng = np.random.default_rng(7)
+    texts = [" ".join(f"w{int(x)}" for x in rng.zipf(1.4, rng.integers(0, 300)) if x < 5000) for _ in range(200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    rows = lm.scored(docs, F.col("doc_id") % 5 == 0, max_broadcast=max_broadcast).collect()
+    got = {r["id"]: r["score"] for r in rows}
+    want = exact_scores([t for i, t in enumerate(texts) if i % 5], texts)
+    off = [abs(got[i] - w) for i, w in enumerate(want)]
+    assert sum(x > 1e-6 for x in off) <= 4 and max(off) < 3
