@@ -465,14 +465,23 @@ def _ask(buckets: int):
 
 
 def _answer(asked: pa.Table, part: pa.Table) -> pa.Table:
-    """The levels of the keys asked of one bucket and kind, in the order asked, a byte each."""
+    """The levels of the keys asked of one bucket and kind, in the order asked, a byte each.
+
+    The keys of many batches are probed at once: a bucket is asked a little by each batch.
+    """
     levels = []
     bits = part.column("bits")[0].as_py() if part.num_rows else bytes(8)
     bitmap = np.frombuffer(bits, np.uint8)
-    for kind, keys in zip(asked.column("kind").to_pylist(), asked.column("keys")):
-        key = unpacked(keys.as_buffer())
-        q = probe_filter_keys(bitmap, key, np.zeros(len(key), np.int64), 8 * len(bitmap), MOST[kind])
-        levels.append(q.astype(np.uint8).tobytes())
+    most = MOST[asked.column("kind")[0].as_py()] if asked.num_rows else 0  # a bucket may be asked nothing
+    each = asked.column("keys").to_pylist()
+    ends = np.cumsum([len(k) // 6 for k in each])
+    begin = 0
+    while begin < len(each):
+        end = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + (1 << 20), "right")))
+        key = unpacked(b"".join(each[begin:end]))
+        q = probe_filter_keys(bitmap, key, np.zeros(len(key), np.int64), 8 * len(bitmap), most).astype(np.uint8)
+        levels += [x.tobytes() for x in np.split(q, (ends[begin:end - 1] - (ends[begin - 1] if begin else 0)))]
+        begin = end
     return pa.table([asked.column("batch"), asked.column("kind"), asked.column("bucket"), pa.array(levels, pa.binary())],
                     ["batch", "kind", "bucket", "levels"])
 
