@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm._common import fresh, scratch, shuffle_partitions, stage
+from lodestar.llm._common import few_files, fresh, scratch, shuffle_partitions, stage
 from lodestar.llm._hashing import BASE, BASE2, U64, mix, rolling, slices, word_hashes
 
 #: Bytes of the table of intervals up to which it is broadcast to the documents.
@@ -260,7 +260,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return remove_repeats(docs, carry=["doc_id"], text=False)
+    return few_files(remove_repeats(docs, carry=["doc_id"], text=False))
 
 
 OP10_SQL = r"""

@@ -57,3 +57,18 @@ def test_empty(spark):
 def test_query_against_sql(spark):
     n, _, problems = compare(spark, duck_with(SF), "op10", substring.op10_substring, substring.OP10_SQL, SF)
     assert n and not problems
+
+
+def test_query_gives_few_partitions(spark, tmp_path):
+    files = 5 * spark.sparkContext.defaultParallelism
+    rows = spark.createDataFrame([(i, "one two") for i in range(4 * files)], "doc_id long, text string")
+    rows.repartition(files).write.parquet(f"{tmp_path}/documents.parquet")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")  # a file a partition
+    try:
+        done = substring.op10_substring(spark, str(tmp_path))
+        assert spark.read.parquet(f"{tmp_path}/documents.parquet").rdd.getNumPartitions() > 4 * files // 5
+        assert done.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
+        assert done.count() == 4 * files
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
