@@ -86,6 +86,27 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U64(31))
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """The distinct values in order, by a sort (numpy's ``unique`` alone uses a slower hash table)."""
+    x = np.sort(x)
+    return x[np.r_[True, x[1:] != x[:-1]]] if len(x) else x
+
+
+def placed(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values in order, and the place there of each value."""
+    order = np.argsort(x)
+    ordered = x[order]
+    new = np.r_[True, ordered[1:] != ordered[:-1]] if len(x) else np.empty(0, bool)
+    which = np.empty(len(x), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return ordered[new], which
+
+
+def bucket_of(key: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each key, in a type that numpy sorts by radix if it is narrow."""
+    return (mix(key) % U64(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.int64)
+
+
 @functools.lru_cache(maxsize=4)
 def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     inverse = pow(base, -1, 1 << 64)

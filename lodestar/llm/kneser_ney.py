@@ -1,28 +1,32 @@
 """Quality classifier: perplexity under a Kneser-Ney model of trusted text (operator 4).
 
-An interpolated modified Kneser-Ney trigram model. Trusted text is a bounded
-sample, at most ``max_docs`` trusted documents and ``max_bytes`` of text in the
-order of a hash of the id, so the model has a bound whatever the corpus. A
-document gives at most its first ``max_bytes / 256`` characters (16,384), so no
-long text ends the sample. Its
-trigram counts are sharded by hash and joined with the sums of their contexts;
-lower orders count distinct left neighbours. The three discounts of each order
-come from the counts of counts.
-
-The model's weights (16 bytes an n-gram, a few hundred thousand n-grams) are
-broadcast as shards, one per leading bits of the hash; each document's n-grams
-are joined with them in its own task, so nothing of the corpus is shuffled. A
-document's mean negative log10 probability, drawn towards the median of its
-language as if by ``prior_tokens`` more tokens, is compared with its language's
-threshold: the ``quantile`` of the trusted documents outside the sample, plus
-``margin``. One in ``HELD`` trusted ids, by a hash, is never in the sample, so
-there are such documents at every size. A language with fewer than ``least``
-of them takes the threshold of all together, and without any (a handful of
-trusted ids) everything is kept.
+An interpolated modified Kneser-Ney trigram model of the whole texts of all trusted
+documents but those held out for the thresholds (one in ``HELD`` trusted ids, by a hash).
+
+1. Tasks count the trigrams of batches of text and send them, packed, to buckets by the hash of the
+   context; a bucket adds them up. Pairs are counted by their distinct trigrams, dealt by their
+   first words, and words by their distinct pairs. The three discounts of each order come
+   from the counts of counts.
+2. Counts of at most ``MAX_BROADCAST`` bytes are made weights in the driver and broadcast; each task
+   looks its documents' n-grams up. Larger counts are joined by bucket: a batch's distinct
+   trigrams, pairs and words go to their buckets (six bytes each), and their counts and the sums of
+   the counts under them come back in the order asked. Rows go through in at most ``PORTIONS``
+   portions, so that only the n-grams of one are on disk at a time. Both ways give the same
+   probabilities.
+3. A document's mean negative log10 probability, drawn towards the median of its
+   language as if by ``prior_tokens`` more tokens, is compared with its language's
+   threshold: the ``quantile`` of the trusted documents held out, plus
+   ``margin``. A language with fewer than ``least`` of them takes the threshold of
+   all together, and without any (a handful of trusted ids) everything is kept.
+
+A task holds a batch (about ``BATCH_TEXT`` bytes of text), or a bucket with what a portion asks of it; all pairs that
+begin with one word are in one bucket, at most one for each word of the vocabulary.
+A batch is named by its first row's number, so where counts are joined by bucket the input should be a
+table or written stage, which reads the same way each time.
 
 Defined cases: null and empty texts are one end token; null languages are a
 language; null ids are never trusted; rows that repeat are judged alike, and
-an id's largest text is fitted; very long texts are scored on their own; without trusted text all perplexities are
+an id's largest text is fitted; very long texts are a batch of their own; without trusted text all perplexities are
 null and all rows kept; an empty table gives an empty result; other columns
 are ignored by ``judged``.
 """
@@ -31,18 +35,31 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm._common import hash_sample, scratch, small, stage
-from lodestar.llm._hashing import U64, mix
+from lodestar.llm._common import scratch, shuffle_partitions, small, stage
+from lodestar.llm._hashing import U64, bucket_of, mix, placed
 from lodestar.llm.packing import text_slices, word_codes
 
-END = U64(xxhash.xxh3_64_intdigest(b"\n"))
+#: Words are known by the upper 48 bits of their hash.
+KNOWN = U64((1 << 64) - (1 << 16))
+END = U64(xxhash.xxh3_64_intdigest(b"\n")) & KNOWN
 SHARD_BITS = 16
 #: One in so many trusted ids is kept out of the fit, for the thresholds.
 HELD = 5
+#: Most trusted ids that are broadcast.
+MAX_IDS = 2_000_000
+#: Bytes of counts up to which the weights are broadcast.
+MAX_BROADCAST = 24 << 20
+#: Bytes of text of a batch whose n-grams are asked together, and of a portion, of which there are at most PORTIONS.
+BATCH_TEXT = 4 << 20
+PORTION = 32 << 20
+PORTIONS = 8
+_COUNTED = "bucket int, keys binary, counts binary"
+_PART = "bucket int, kind int, keys binary, counts binary"
 
 
 def join2(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -56,7 +73,7 @@ def token_stream(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     A text is its words and the end; the end also stands before the first word.
     """
     words, code, bounds = word_codes(texts)
-    hashes = np.r_[np.array([xxhash.xxh3_64_intdigest(w) for w in words], U64), END]
+    hashes = np.r_[np.array([xxhash.xxh3_64_intdigest(w) for w in words], U64) & KNOWN, END]
     n = np.diff(bounds) + 1
     doc = np.repeat(np.arange(len(n)), n)
     token = np.full(n.sum(), len(words), np.int64)
@@ -64,32 +81,173 @@ def token_stream(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     return hashes, token, np.r_[len(words), token[:-1]], doc
 
 
-def _trigrams(batches):
-    for rb in batches:
-        for b, e, texts in text_slices(rb.column("text")):
-            h, t, p, doc = token_stream(texts)
-            first = np.r_[True, doc[1:] != doc[:-1]]
-            w3, w2 = h[t], h[p]
-            w1 = np.where(first, END, np.r_[END, w2[:-1]])
-            left, right = join2(w1, w2), join2(w2, w3)
-            yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (
-                join2(left, w3), left, right, w2, w3)], ["gram", "context", "suffix", "w2", "w3"])
-
-
-def _weights(grams: DataFrame, root: str, name: str) -> tuple[DataFrame, DataFrame]:
-    """From (gram, context, c, ...): the grams with ``alpha``, and (context, gamma)."""
-    spark = grams.sparkSession
-    n1, n2, n3, n4 = grams.agg(*[F.count_if(F.col("c") == i) for i in (1, 2, 3, 4)]).first()
+def _grams(h: np.ndarray, token: np.ndarray, before: np.ndarray, doc: np.ndarray):
+    """(first token of a text, the three words) of each token of ``token_stream``."""
+    first = np.r_[True, doc[1:] != doc[:-1]]
+    w3, w2 = h[token], h[before]
+    return first, np.where(first, END, np.r_[END, w2[:-1]]), w2, w3
+
+
+# ----------------------------------------------------------------- counting
+
+
+def _six(x: np.ndarray) -> np.ndarray:
+    """The upper 48 bits of each value, as rows of six bytes."""
+    return (x >> U64(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+
+
+def _from_six(data: bytes) -> np.ndarray:
+    """Values of six bytes each, their lower bits 0."""
+    six = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    out = np.zeros((len(six), 8), np.uint8)
+    out[:, 2:] = six
+    return out.view("<u8").ravel()
+
+
+def _packed(w: np.ndarray) -> bytes:
+    """N-grams (a row each) as the number of their words, the words, and their places there, first words first."""
+    words, at = placed(w.T.ravel())
+    narrow = np.uint16 if len(words) <= 1 << 16 else np.uint32
+    return np.uint32(len(words)).tobytes() + _six(words).tobytes() + at.astype(narrow).tobytes()
+
+
+def _unpacked(blobs: list, width: int) -> np.ndarray:
+    """The n-grams of packed ones."""
+    out = [np.empty((0, width), U64)]
+    for blob in blobs:
+        n = int(np.frombuffer(blob, np.uint32, 1)[0])
+        at = np.frombuffer(blob, np.uint16 if n <= 1 << 16 else np.uint32, offset=4 + 6 * n)
+        out.append(_from_six(blob[4:4 + 6 * n])[at].reshape(width, -1).T)
+    return np.concatenate(out)
+
+
+def _context(w: np.ndarray) -> np.ndarray:
+    """What the n-grams ``w`` (a row each) are counted under: all words but the last."""
+    return join2(w[:, 0], w[:, 1]) if w.shape[1] == 3 else w[:, 0] if w.shape[1] == 2 else np.zeros(len(w), U64)
+
+
+def _key(w: np.ndarray) -> np.ndarray:
+    return w[:, 0] if w.shape[1] == 1 else join2(_context(w), w[:, -1])
+
+
+def _begins(x: np.ndarray) -> np.ndarray:
+    """Where the runs of equal values begin."""
+    return np.flatnonzero(np.r_[True, x[1:] != x[:-1]]) if len(x) else np.empty(0, np.int64)
+
+
+def _added(w: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct n-grams of ``w`` and their summed counts."""
+    key = _key(w)
+    order = np.argsort(key)
+    at = _begins(key[order])
+    return w[order[at]], np.add.reduceat(counts[order], at) if len(at) else counts
+
+
+def _runs(bucket: np.ndarray):
+    """(order by bucket, [(bucket, begin, end)] in it)."""
+    order = np.argsort(bucket, kind="stable")
+    b = bucket[order]
+    at = _begins(b)
+    return order, [(int(b[i]), int(i), int(j)) for i, j in zip(at, np.r_[at[1:], len(b)].astype(int))]
+
+
+def _batch(rows: list, names: list[str], types: list) -> pa.RecordBatch:
+    cols = list(zip(*rows)) if rows else [()] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names)
+
+
+def _counts_by(w: np.ndarray, counts: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Packed n-grams with counts, dealt by what they are counted under (words: by the word)."""
+    order, runs = _runs(bucket_of(_context(w) if w.shape[1] > 1 else w[:, 0], buckets))
+    w, counts = w[order], counts[order].astype(np.uint32)
+    return _batch([(b, _packed(w[i:j]), counts[i:j].tobytes()) for b, i, j in runs],
+                  ["bucket", "keys", "counts"], [pa.int32(), pa.binary(), pa.binary()])
+
+
+def _trigrams(buckets: int):
+    def f(batches):
+        for rb in batches:
+            for b, e, texts in text_slices(rb.column("text")):
+                w = np.stack(_grams(*token_stream(texts))[1:], 1)
+                yield _counts_by(*_added(w, np.ones(len(w), np.int64)), buckets)
+    return f
+
+
+def _shorter(width: int, buckets: int):
+    """Counted n-grams to theirs without the first word, each counted once."""
+    def f(batches):
+        for rb in batches:
+            for keys in rb.column("keys"):
+                w = _unpacked([keys.as_py()], width)[:, 1:]
+                yield _counts_by(*_added(w, np.ones(len(w), np.int64)), buckets)
+    return f
+
+
+def _add_up(width: int):
+    """One bucket's packed counts, added up, in the order of what they are counted under."""
+    def f(table: pa.Table) -> pa.Table:
+        w, c = _added(_unpacked(table.column("keys").to_pylist(), width),
+                      np.frombuffer(b"".join(table.column("counts").to_pylist()), np.uint32).astype(np.int64))
+        order = np.argsort(_context(w), kind="stable")
+        w, c = w[order], c[order]
+        n = [int((c == i).sum()) for i in (1, 2, 3, 4)]
+        return pa.table({"bucket": table.column("bucket").slice(0, 1), "keys": [_packed(w)],
+                         "counts": [c.astype(np.uint32).tobytes()], **{f"n{i}": [v] for i, v in enumerate(n, 1)},
+                         "grams": [len(c)], "total": [int(c.sum())]})
+    return f
+
+
+def _counted(sent: DataFrame, width: int, root: str, name: str) -> DataFrame:
+    longs = "".join(f", {c} long" for c in ("n1", "n2", "n3", "n4", "grams", "total"))
+    return stage(sent.sparkSession, sent.groupBy("bucket").applyInArrow(_add_up(width), _COUNTED + longs), root, name)
+
+
+def _discounts(counted: DataFrame) -> list[float]:
+    n1, n2, n3, n4 = counted.agg(*[F.coalesce(F.sum(f"n{i}"), F.lit(0)) for i in (1, 2, 3, 4)]).first()
     y = n1 / (n1 + 2 * n2) if n1 else 0.5
-    d = [min(max(v, 0.0), i) for i, v in enumerate((
+    return [min(max(v, 0.0), i) for i, v in enumerate((
         1 - 2 * y * n2 / n1 if n1 else 0.5, 2 - 3 * y * n3 / n2 if n2 else 1.0,
         3 - 4 * y * n4 / n3 if n3 else 1.5), 1)]
-    off = F.when(F.col("c") == 1, d[0]).when(F.col("c") == 2, d[1]).otherwise(d[2])
-    sums = stage(spark, grams.groupBy("context").agg(
-        F.sum("c").alias("total"), (F.sum(off) / F.sum("c")).alias("gamma")), root, f"{name}-contexts")
-    alpha = grams.join(sums.select("context", "total"), "context").withColumn(
-        "alpha", (F.col("c") - off) / F.col("total"))
-    return alpha, sums.select("context", "gamma")
+
+
+def _off(c: np.ndarray, d: list[float]) -> np.ndarray:
+    """The discount of each count."""
+    return np.r_[0.0, d][np.minimum(c, 3)]
+
+
+def _totals(context: np.ndarray, c: np.ndarray):
+    """Of ordered contexts: (where each begins, sum of counts, number of ones, of twos, of n-grams)."""
+    at = _begins(context)
+    n = [c, c == 1, c == 2, np.ones(len(c), np.int64)]
+    return at, [np.add.reduceat(x.astype(np.int64), at) if len(at) else np.empty(0, np.int64) for x in n]
+
+
+def _gamma(total, n1, n2, n, d: list[float]) -> np.ndarray:
+    """The mass that a context leaves to the lower order; 1 where it was not seen."""
+    return np.where(total > 0, (d[0] * n1 + d[1] * n2 + d[2] * (n - n1 - n2)) / np.maximum(total, 1), 1.0)
+
+
+class Counts:
+    """The counted trigrams, pairs (by distinct words before them) and words (by distinct pairs), and their discounts."""
+
+    def __init__(self, texts: DataFrame, root: str):
+        spark = texts.sparkSession
+        self.buckets = 4 * shuffle_partitions(spark)
+        sent = texts.select("text").mapInArrow(_trigrams(self.buckets), _COUNTED)
+        self.triples = _counted(sent, 3, root, "triples")
+        self.pairs = _counted(self.triples.select("keys").mapInArrow(_shorter(3, self.buckets), _COUNTED), 2, root, "pairs")
+        self.words = _counted(self.pairs.select("keys").mapInArrow(_shorter(2, self.buckets), _COUNTED), 1, root, "words")
+        self.d1, self.d2, self.d3 = map(_discounts, (self.words, self.pairs, self.triples))
+        self.total, self.n, n1, n2 = self.words.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("total", "grams", "n1", "n2")]).first()
+        self.floor = float(_gamma(self.total, n1, n2, self.n, self.d1)) / (self.n + 1)
+
+    def size(self) -> int:
+        """Bytes of the packed counts."""
+        return sum(t.agg(F.coalesce(F.sum(F.octet_length("keys") + F.octet_length("counts")), F.lit(0))).first()[0]
+                   for t in (self.triples, self.pairs, self.words))
+
+
+# --------------------------------------------------- weights in one place
 
 
 class Shards:
@@ -147,31 +305,39 @@ class Model:
 
 
 def train(texts: DataFrame, root: str) -> Model | None:
-    """The model of the ``text`` column (a bounded table), or None if there is none."""
-    spark = texts.sparkSession
-    found = texts.mapInArrow(_trigrams, "gram long, context long, suffix long, w2 long, w3 long")
-    triples = stage(spark, found.groupBy("gram").agg(
-        F.count("*").alias("c"), *[F.first(c).alias(c) for c in ("context", "suffix", "w2", "w3")]), root, "triples")
-    alpha3, gamma3 = _weights(triples, root, "triples")
-    pairs = stage(spark, triples.groupBy("suffix").agg(
-        F.count("*").alias("c"), F.first("w2").alias("context"), F.first("w3").alias("word"))
-        .withColumnRenamed("suffix", "gram"), root, "pairs")
-    alpha2, gamma2 = _weights(pairs, root, "pairs")
-    words = stage(spark, pairs.groupBy("word").agg(F.count("*").alias("c"))
-                  .select(F.col("word").alias("gram"), F.lit(0).alias("context"), "c"), root, "words")
-    alpha1, gamma1 = _weights(words, root, "words")
-    rest = gamma1.first()
-    if rest is None:
+    """The model of the ``text`` column (few texts), or None if there is none."""
+    return _model(Counts(texts, root))
+
+
+def _model(counts: Counts) -> Model | None:
+    """The weights of counts that one place can hold."""
+    def weights(counted: DataFrame, width: int, d: list[float]):
+        """(key, alpha) of the n-grams and (key, gamma) of what they are counted under."""
+        rows = counted.select("keys", "counts").toArrow()
+        w = _unpacked(rows.column("keys").to_pylist(), width)
+        c = np.frombuffer(b"".join(rows.column("counts").to_pylist()), np.uint32).astype(np.int64)
+        context = _context(w)
+        order = np.argsort(context, kind="stable")
+        w, c, context = w[order], c[order], context[order]
+        at, totals = _totals(context, c)
+        total = np.repeat(totals[0], np.diff(np.r_[at, len(c)]))
+        return _key(w), (c - _off(c, d)) / total, context[at], _gamma(*totals, d)
+
+    def both(keys, alpha, contexts, gamma) -> Shards:
+        every = np.sort(np.r_[keys, contexts])
+        every = every[_begins(every)]
+        values = np.zeros(len(every)), np.ones(len(every))
+        values[0][np.searchsorted(every, keys)] = alpha
+        values[1][np.searchsorted(every, contexts)] = gamma
+        return Shards(every, *values)
+
+    if not counts.n:
         return None
-    # Arrow tables: the numbers come to the driver as arrays, not as rows
-    both = lambda alpha, gamma: (
-        alpha.select("gram", "alpha").join(gamma.withColumnRenamed("context", "gram"), "gram", "full")
-        .select("gram", F.coalesce("alpha", F.lit(0.0)).cast("float").alias("alpha"),
-                F.coalesce("gamma", F.lit(1.0)).cast("float").alias("gamma")).toArrow())
-    shards = lambda t: Shards(*[t.column(i).to_numpy() for i in range(t.num_columns)])
-    word = both(alpha1, gamma2)
-    triple = alpha3.select("gram", F.col("alpha").cast("float").alias("alpha")).toArrow()
-    return Model(shards(word), shards(both(alpha2, gamma3)), shards(triple), rest["gamma"] / (len(word) + 1))
+    key1, alpha1, _, _ = weights(counts.words, 1, counts.d1)
+    key2, alpha2, context2, gamma2 = weights(counts.pairs, 2, counts.d2)
+    key3, alpha3, context3, gamma3 = weights(counts.triples, 3, counts.d3)
+    return Model(both(key1, alpha1, context2, gamma2), both(key2, alpha2, context3, gamma3), Shards(key3, alpha3),
+                 counts.floor)
 
 
 def _score(model):
@@ -191,38 +357,218 @@ def _score(model):
     return f
 
 
+# ------------------------------------------------ counts joined by bucket
+
+
+def _facts(kind: int, width: int, d_buckets: int):
+    """Counted n-grams to what is looked up: rows (bucket, kind, keys, counts).
+
+    Kind 3: counts of trigrams, dealt by their contexts; 2 and 1: counts of pairs and words; 12 and 11: sum of
+    counts, ones, twos and n-grams under a pair or word.
+    """
+    def f(batches):
+        for rb in batches:
+            rows = []
+            for bucket, keys, counts in zip(*(rb.column(c).to_pylist() for c in ("bucket", "keys", "counts"))):
+                w, c = _unpacked([keys], width), np.frombuffer(counts, np.uint32).astype(np.int64)
+                context, key = _context(w), _six(_key(w))
+                if width == 2:
+                    order, runs = _runs(bucket_of(_key(w), d_buckets))
+                    key, few = key[order], c[order].astype(np.uint32)
+                    rows += [(b, kind, key[i:j].tobytes(), few[i:j].tobytes()) for b, i, j in runs]
+                else:
+                    rows.append((bucket, kind, key.tobytes(), counts))
+                if width > 1:
+                    at, totals = _totals(context, c)
+                    rows.append((bucket, 9 + width, _six(context[at]).tobytes(),
+                                 np.stack(totals).astype(np.uint32).tobytes()))
+            yield _batch(rows, ["bucket", "kind", "keys", "counts"], [pa.int32(), pa.int32(), pa.binary(), pa.binary()])
+    return f
+
+
+def _batched(batches, batch_bytes: int):
+    """Each batch of texts with the number of its first row, cut by text alone: the same in every pass over the rows."""
+    held, first, n = [], None, 0
+    for rb in batches:
+        size = np.asarray(pc.fill_null(pc.binary_length(rb.column("text")), 0)).astype(np.int64) + 8
+        begin = 0
+        while begin < rb.num_rows:
+            end = min(begin + int(np.searchsorted(np.cumsum(size[begin:]), batch_bytes - n)) + 1, rb.num_rows)
+            first = rb.column("rid")[begin].as_py() if first is None else first
+            held.append(rb.slice(begin, end - begin))
+            n += int(size[begin:end].sum())
+            begin = end
+            if n >= batch_bytes:
+                yield first, held
+                held, first, n = [], None, 0
+    if held:
+        yield first, held
+
+
+def _asked(texts: pa.Array, buckets: int):
+    """The token stream of a batch, and (kind, distinct keys, their buckets, the key of each n-gram)."""
+    h, token, before, doc = token_stream(texts)
+    first, w1, w2, w3 = _grams(h, token, before, doc)
+    left, right = join2(w1, w2), join2(w2, w3)
+    triple, which = placed(join2(left, w3))
+    context = np.empty(len(triple), U64)
+    context[which] = left
+    pair, pair_of = placed(np.r_[right, join2(np.full(1, END), np.full(1, END))])
+    asks = [(3, triple, bucket_of(context, buckets), which), (2, pair, bucket_of(pair, buckets), pair_of),
+            (1, h, bucket_of(h, buckets), None)]
+    return (token, before, doc, first), asks
+
+
+def _texts(held: list) -> pa.Array:
+    return next(t for _, _, t in text_slices(pa.concat_arrays([rb.column("text") for rb in held]), 1 << 62))
+
+
+def _ask(buckets: int, batch_bytes: int):
+    """Rows (rid, text) to the distinct n-grams of batches: rows (batch, bucket, kind, keys), one a bucket and kind."""
+    def f(batches):
+        for batch, held in _batched(batches, batch_bytes):
+            rows = []
+            for kind, keys, bucket, _ in _asked(_texts(held), buckets)[1]:
+                order, runs = _runs(bucket)
+                six = _six(keys[order])
+                rows += [(batch, b, kind, six[i:j].tobytes()) for b, i, j in runs]
+            yield _batch(rows, ["batch", "bucket", "kind", "keys"], [pa.int64(), pa.int32(), pa.int32(), pa.binary()])
+    return f
+
+
+def _answer(asked: pa.Table, facts: pa.Table) -> pa.Table:
+    """The counts of the n-grams asked of one bucket, in the order asked: 1 for trigrams, 5 for pairs and words."""
+    kinds = np.asarray(facts.column("kind"))
+    known = {}
+    for kind in np.unique(kinds).tolist():
+        own = facts.filter(pa.array(kinds == kind))
+        key = _from_six(b"".join(own.column("keys").to_pylist()))
+        per = 4 if kind > 10 else 1
+        value = np.concatenate([np.frombuffer(c, np.uint32).reshape(per, -1)
+                                for c in own.column("counts").to_pylist()], 1)
+        order = np.argsort(key)
+        known[kind] = key[order], value[:, order]
+
+    def find(kind: int, keys: np.ndarray) -> np.ndarray:
+        per = 4 if kind > 10 else 1
+        key, value = known.get(kind, (np.empty(0, U64), None))
+        if not len(key):
+            return np.zeros((per, len(keys)), np.uint32)
+        at = np.minimum(np.searchsorted(key, keys), len(key) - 1)
+        return np.where(key[at] == keys, value[:, at], np.uint32(0))
+
+    out = []
+    for kind, keys in zip(asked.column("kind").to_pylist(), asked.column("keys").to_pylist()):
+        keys = _from_six(keys)
+        found = [find(kind, keys)] + ([find(kind + 10, keys)] if kind < 3 else [])
+        out.append(np.concatenate(found).astype(np.uint32).tobytes())
+    return pa.table([asked.column("batch"), asked.column("kind"), asked.column("bucket"), pa.array(out, pa.binary())],
+                    ["batch", "kind", "bucket", "counts"])
+
+
+def _numbered(batch_bytes: int):
+    """The rows with the number of their batch."""
+    def f(batches):
+        for batch, held in _batched(batches, batch_bytes):
+            for rb in held:
+                yield pa.RecordBatch.from_arrays([*rb.columns, pa.array([batch] * rb.num_rows, pa.int64())],
+                                                 [*rb.schema.names, "batch"])
+    return f
+
+
+def _score_batch(buckets: int, d1, d2, d3, total1: int, floor: float):
+    """A batch's texts and the counts of its n-grams to (id, lang, n_tokens, neg_log10)."""
+    def f(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        rows = rows.sort_by("rid").combine_chunks()  # as they were asked
+        (token, before, doc, first), asks = _asked(_texts(rows.to_batches()), buckets)
+        given = {(k, b): c for k, b, c in zip(*(answers.column(c).to_pylist() for c in ("kind", "bucket", "counts")))}
+        counts = {}
+        for kind, keys, bucket, which in asks:
+            per = 1 if kind == 3 else 5
+            order, runs = _runs(bucket)
+            counts[kind] = np.empty((per, len(keys)), np.int64)
+            counts[kind][:, order] = np.concatenate(
+                [np.frombuffer(given[kind, b], np.uint32).reshape(per, -1) for b, _, _ in runs], 1)
+        (_, _, _, triple_of), (_, _, _, pair_of), _ = asks
+        c1, *under1 = counts[1]
+        p1 = (c1 - _off(c1, d1)) / max(total1, 1) + floor
+        g2 = _gamma(*under1, d2)
+        c2, *under2 = counts[2]
+        g3 = _gamma(*under2, d3)
+        right = pair_of[:-1]
+        left = np.where(first, pair_of[-1], np.r_[-1, right[:-1]])
+        c = c2[right]
+        p2 = (c - _off(c, d2)) / np.maximum(under1[0][before], 1) + g2[before] * p1[token]
+        c = counts[3][0][triple_of]
+        p3 = (c - _off(c, d3)) / np.maximum(under2[0][left], 1) + g3[left] * p2
+        log = np.log10(np.minimum(p3, 1.0))
+        n = np.bincount(doc, minlength=rows.num_rows)
+        return pa.table([rows.column("id"), rows.column("lang"), pa.array(n),
+                         pa.array(-np.bincount(doc, weights=log, minlength=rows.num_rows))],
+                        ["id", "lang", "n_tokens", "neg_log10"])
+    return f
+
+
+def _scored_by_bucket(rows: DataFrame, counts: Counts, root: str, schema: str) -> DataFrame:
+    """The scores of all rows, in portions, so that the n-grams of few documents are on disk at a time."""
+    spark = rows.sparkSession
+    n = counts.buckets
+    pick = ["bucket", "keys", "counts"]
+    facts = (counts.triples.select(pick).mapInArrow(_facts(3, 3, n), _PART)
+             .union(counts.pairs.select(pick).mapInArrow(_facts(2, 2, n), _PART))
+             .union(counts.words.select(pick).mapInArrow(_facts(1, 1, n), _PART)))
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    portions = max(1, min(PORTIONS, -(-size // PORTION)))
+    keyed = rows.select(F.monotonically_increasing_id().alias("rid"), "id", "lang", "text")
+    kind = rows.schema["id"].dataType.simpleString()
+    out = None
+    for k in range(portions):
+        part = keyed.where(F.col("rid") % portions == k)
+        asked = part.select("rid", "text").mapInArrow(
+            _ask(n, BATCH_TEXT), "batch long, bucket int, kind int, keys binary")
+        answers = asked.groupBy("bucket").cogroup(facts.groupBy("bucket")).applyInArrow(
+            _answer, "batch long, kind int, bucket int, counts binary")
+        dealt = part.mapInArrow(_numbered(BATCH_TEXT), f"rid long, id {kind}, lang string, text string, batch long")
+        done = stage(spark, dealt.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(
+            _score_batch(n, counts.d1, counts.d2, counts.d3, counts.total, counts.floor), schema), root, f"scores{k}")
+        out = done if out is None else out.union(done)
+    return out
+
+
 def judged(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-           lang_col: str = "lang", max_docs: int = 3000, max_bytes: int = 4 << 20, quantile: float = 0.99,
+           lang_col: str = "lang", max_bytes: int = MAX_BROADCAST, quantile: float = 0.99,
            margin: float = 0.3, least: int = 50, prior_tokens: int = 20) -> DataFrame:
     """(id, n_tokens, perplexity, threshold, kept), a row per row of ``docs``; ``trusted`` has one column of ids.
 
-    ``threshold`` and ``margin`` are on log10 of the perplexity as compared.
+    ``threshold`` and ``margin`` are on log10 of the perplexity as compared; counts of more than
+    ``max_bytes`` are joined by bucket.
     """
     spark = docs.sparkSession
     root = scratch(spark, "kneser-ney")
-    ids = trusted.toDF("id").where("id IS NOT NULL").distinct()
     held = F.pmod(F.xxhash64(F.lit("held out"), "id"), F.lit(HELD)) == 0
-    top = hash_sample(ids.where(~held), max_docs)
+    ids = stage(spark, trusted.toDF("id").where("id IS NOT NULL").distinct().withColumn("held", held), root, "ids")
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"),
                        F.col(text_col).cast("string").alias("text"))
-    begin = F.coalesce(F.max(F.left("text", F.lit(max(max_bytes // 256, 1)))), F.lit(""))
-    texts = stage(spark, rows.join(F.broadcast(top), "id").groupBy("id").agg(begin.alias("text")), root, "texts")
-    sizes = texts.select("id", F.octet_length("text").alias("bytes"))
-    so_far = F.sum("bytes").over(Window.orderBy(F.xxhash64("id"), "id"))  # at most max_docs rows
-    fit = stage(spark, sizes.withColumn("sum", so_far).where(F.col("sum") <= max_bytes).select("id"), root, "fit")
-    model = train(texts.join(F.broadcast(fit), "id", "left_semi").select("text"), root)
-    sent = spark.sparkContext.broadcast(model)
+    fit = rows.join(small(ids.where(~F.col("held")), MAX_IDS), "id", "left_semi").select("id", "text")
+    again = stage(spark, fit.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id"), root, "again")
+    again = small(again, MAX_IDS)
+    largest = fit.join(again, "id", "left_semi").groupBy("id").agg(F.max("text").alias("text"))
+    counts = Counts(fit.join(again, "id", "left_anti").select("text").union(largest.select("text")), root)
 
     kind = rows.schema["id"].dataType.simpleString()
-    scores = stage(spark, rows.mapInArrow(
-        _score(sent), f"id {kind}, lang string, n_tokens long, neg_log10 double"), root, "scores")
+    schema = f"id {kind}, lang string, n_tokens long, neg_log10 double"
+    if counts.size() <= max_bytes:
+        sent = spark.sparkContext.broadcast(_model(counts))
+        scores = stage(spark, rows.mapInArrow(_score(sent), schema), root, "scores")
+    else:
+        scores = _scored_by_bucket(rows, counts, root, schema)
     mean = F.col("neg_log10") / F.col("n_tokens")
     middle = scores.groupBy("lang").agg(F.percentile_approx(mean, 0.5, 10_000).alias("middle"))
     middle = small(stage(spark, middle, root, "middle"), 10_000)
     drawn = (scores.alias("s").join(middle.alias("m"), F.col("s.lang").eqNullSafe(F.col("m.lang")))
              .select("s.*", ((F.col("neg_log10") + prior_tokens * F.col("middle"))
                              / (F.col("n_tokens") + prior_tokens)).alias("drawn")))
-    good = (drawn.join(ids, "id", "left_semi").join(fit, "id", "left_anti"))
+    good = drawn.join(small(ids.where("held"), MAX_IDS), "id", "left_semi")
     cut = F.percentile_approx("drawn", quantile, 10_000) + margin
     everywhere = good.agg(cut.alias("cut")).first()["cut"]
     own = good.groupBy("lang").agg(cut.alias("cut"), F.count("*").alias("n")).where(F.col("n") >= least)

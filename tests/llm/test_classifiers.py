@@ -115,3 +115,37 @@ def test_kneser_ney_defined_cases(spark):
     some = kn.judged(docs, spark.createDataFrame([(6,), (None,), (9,), (9,), (12,)], "i long")).collect()
     assert len(some) == docs.count() and all(r["perplexity"] > 1 for r in some)
     assert kn.judged(no_docs(spark), spark.createDataFrame([(6,)], "i long")).collect() == []
+
+
+def test_kneser_ney_learns_from_all_trusted_text(spark):
+    # more trusted ids than any sample held, one of them long: each repeats its own words, so all are alike
+    rows = [(i, "en", f"a{i} b{i} a{i} b{i}") for i in range(4200)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    held = F.pmod(F.xxhash64(F.lit("held out"), "doc_id"), F.lit(kn.HELD)) == 0
+    got = kn.judged(docs, docs.select("doc_id")).withColumnRenamed("id", "doc_id").withColumn("held", held).collect()
+    seen = [r["perplexity"] for r in got if not r["held"]]
+    assert len(seen) > 3000 and max(seen) == pytest.approx(min(seen), rel=1e-6)
+    assert min(r["perplexity"] for r in got if r["held"]) > 2 * max(seen)
+
+
+def test_kneser_ney_learns_from_the_end_of_a_long_text(spark):
+    held = F.pmod(F.xxhash64(F.lit("held out"), "id"), F.lit(kn.HELD)) == 0
+    first, other = [r["id"] for r in spark.range(50).where(~held).orderBy("id").limit(2).collect()]
+    docs = spark.createDataFrame([(first, "en", "x " * 20_000 + "the end of it"), (other, "en", "q r"),
+                                  (100, "en", "the end of it"), (101, "en", "not a word there")],
+                                 "doc_id long, lang string, text string")
+    got = {r["id"]: r["perplexity"] for r in kn.judged(docs, docs.where("doc_id < 50").select("doc_id")).collect()}
+    assert got[100] < got[101] / 2
+
+
+@pytest.mark.parametrize("portion", [1 << 25, 1 << 17])
+def test_kneser_ney_counts_joined_by_bucket(spark, monkeypatch, portion):
+    monkeypatch.setattr(kn, "PORTION", portion)
+    monkeypatch.setattr(kn, "BATCH_TEXT", 1 << 16)
+    docs = edge_docs(spark, False).select("doc_id", "lang", "text").union(sf_docs(spark).selectExpr("doc_id + 100", "lang", "text"))
+    trusted = docs.where("doc_id % 3 != 0").select("doc_id")
+    rows = [sorted(((r["id"] or -1, r["n_tokens"], r["perplexity"], r["kept"])
+                    for r in kn.judged(docs, trusted, max_bytes=n).collect())) for n in (kn.MAX_BROADCAST, 0)]
+    assert len(rows[0]) == len(rows[1]) == docs.count()
+    for a, b in zip(*rows):
+        assert a[:2] == b[:2] and a[2] == pytest.approx(b[2], rel=1e-5) and a[3] == b[3]
