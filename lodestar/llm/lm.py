@@ -13,7 +13,7 @@ Training, on the documents that are not held out:
    so no n-gram is left out and the filters grow with the corpus. Up to
    ``MAX_BROADCAST`` bytes in all they are broadcast. Beyond, the parts stay rows
    on the shared folder: texts are dealt to batches, a batch's distinct n-grams
-   go to their buckets (six bytes each), and the levels found there come back to the batch in the
+   go to their buckets (five or six bytes each), and the levels found there come back to the batch in the
    order asked (a byte each). Both ways probe the same filters and give the same scores.
 
 The model interpolates: ``P(w | h) = (c(h,w) - 0.75) / c(h) + (1 - r(h)) P1(w)``,
@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from lodestar.llm._common import scratch, shuffle_partitions, stage
-from lodestar.llm._hashing import U64, mix, slices, word_hashes
+from lodestar.llm._hashing import U64, bucket_of, distinct, mix, placed, slices, word_hashes
 
 END = U64(xxhash.xxh3_64_intdigest(b"\n"))
 BASE = 1.5
@@ -99,15 +99,20 @@ def filter_keys(key: np.ndarray) -> np.ndarray:
     return mix(key) >> U64(16)
 
 
-def packed(key: np.ndarray) -> np.ndarray:
-    """The filter keys as rows of six bytes."""
-    return filter_keys(key).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+def packed(key: np.ndarray) -> bytes:
+    """Ascending filter keys as gaps of five bytes, or of six if a gap is larger; the first byte says which."""
+    gaps = np.diff(key, prepend=U64(0))
+    size = 5 if gaps.max(initial=0) < 1 << 40 else 6
+    return bytes([size]) + gaps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size].tobytes()
 
 
-def unpacked(data) -> np.ndarray:
-    """The filter keys of six bytes each."""
-    six = np.frombuffer(data, np.uint8).reshape(-1, 6)
-    return np.pad(six, ((0, 0), (0, 2))).view("<u8").ravel()
+def unpacked(data: bytes) -> np.ndarray:
+    """The filter keys of packed ones."""
+    size = data[0]
+    gaps = np.frombuffer(data, np.uint8, offset=1).reshape(-1, size)
+    out = np.zeros((len(gaps), 8), np.uint8)
+    out[:, :size] = gaps
+    return np.cumsum(out.view("<u8").ravel(), dtype=U64)
 
 
 def _bits(key: np.ndarray, q: int, size: int):
@@ -177,12 +182,13 @@ def probe_filter_keys(bitmap: np.ndarray, key: np.ndarray, part: np.ndarray, siz
 
 def _deal(kind: int, keys: np.ndarray, counts: np.ndarray, buckets: int):
     """Packed rows (bucket, kind, keys counted once, other keys, their counts)."""
-    b = (mix(keys) % U64(buckets)).astype(np.int64)
-    order = np.lexsort((counts, b))
+    b = bucket_of(keys, buckets)
+    order = np.argsort(counts > 1, kind="stable")
+    order = order[np.argsort(b[order], kind="stable")]
     b, keys, counts = b[order], keys[order], counts[order]
     cuts = np.flatnonzero(np.r_[True, b[1:] != b[:-1]]) if len(b) else []
     for i, j in zip(cuts, np.r_[cuts[1:], len(b)].astype(int) if len(cuts) else []):
-        one = i + int(np.searchsorted(counts[i:j], 2))
+        one = i + int((counts[i:j] == 1).sum())
         yield (int(b[i]), kind, keys[i:one].tobytes(), keys[one:j].tobytes(),
                counts[one:j].astype(np.uint32).tobytes())
 
@@ -288,11 +294,11 @@ class Model:
         ``find`` gives the levels of keys of a kind; by default they are probed in the broadcast filters.
         """
         find = find or self.level
-        words, w = np.unique(t, return_inverse=True)
+        words, w = placed(t)
         q = find(0, words)
         p1 = (MEANS[q] + 0.1) / (self.mass + 0.1 * (self.v + 1))
         r = find(2, words >> U64(32)) / SHARES
-        keys, inverse = np.unique(pairs(t), return_inverse=True)
+        keys, inverse = placed(pairs(t))
         c = MEANS[find(1, keys)][inverse]
         a, b = w[:-1], w[1:]
         seen = (q[a] > 0) & (c > 0)
@@ -376,7 +382,7 @@ def _score_texts(m: Model, rids: list, held: list, find=None) -> pa.RecordBatch:
     flat = np.concatenate([held[0], *(t[1:] for t in held[1:])])
     score = np.add.reduceat(m.log10(flat, find), starts)
     doc, tok = np.repeat(np.arange(len(held)), n), flat[1:]
-    words, inverse = np.unique(tok, return_inverse=True)
+    words, inverse = placed(tok)
     c = m.head_counts(words)
     log = np.where(c >= 0, np.log10((np.maximum(c, 0) + 0.1) / (m.n + 0.1 * (m.v + 1))), 0.0)
     base = np.add.reduceat(log[inverse], starts)
@@ -430,22 +436,23 @@ def _number(batch_bytes: int):
 
 
 def _asked(held: list[np.ndarray], buckets: int):
-    """(kind, distinct keys in order, their buckets, the order by bucket) of the n-grams of a batch."""
-    words = np.unique(np.concatenate(held))
-    for kind, keys in ((0, words), (1, np.unique(np.concatenate([pairs(t) for t in held]))),
-                       (2, np.unique(words >> U64(32)))):
-        b = (mix(keys) % U64(buckets)).astype(np.int64)
-        yield kind, keys, b, np.argsort(b, kind="stable")
+    """Of the n-grams of a batch: (kind, distinct keys, their filter keys, buckets and order by bucket and filter key)."""
+    words = distinct(np.concatenate(held))
+    for kind, keys in ((0, words), (1, distinct(np.concatenate([pairs(t) for t in held]))),
+                       (2, distinct(words >> U64(32)))):
+        b, own = bucket_of(keys, buckets), filter_keys(keys)
+        order = np.argsort(own)
+        yield kind, keys, own, b, order[np.argsort(b[order], kind="stable")]
 
 
 def _ask(buckets: int):
     """The distinct n-grams of batches, packed: rows (batch, bucket, kind, keys), one a bucket and kind."""
     def flush(batch, held):
         rows = []
-        for kind, keys, b, order in _asked(held, buckets):
-            b, keys = b[order], packed(keys[order])
+        for kind, _, own, b, order in _asked(held, buckets):
+            b, own = b[order], own[order]
             cuts = np.flatnonzero(np.r_[True, b[1:] != b[:-1]])
-            rows += [(batch, int(b[i]), kind, keys[i:j].tobytes()) for i, j in zip(cuts, np.r_[cuts[1:], len(b)])]
+            rows += [(batch, int(b[i]), kind, packed(own[i:j])) for i, j in zip(cuts, np.r_[cuts[1:], len(b)])]
         return pa.RecordBatch.from_arrays(
             [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int32(), pa.binary()))],
             ["batch", "bucket", "kind", "keys"])
@@ -467,21 +474,27 @@ def _ask(buckets: int):
 def _answer(asked: pa.Table, part: pa.Table) -> pa.Table:
     """The levels of the keys asked of one bucket and kind, in the order asked, a byte each.
 
-    The keys of many batches are probed at once: a bucket is asked a little by each batch.
+    The keys of many batches are probed at once, each once: a bucket is asked a little by each batch.
     """
     levels = []
     bits = part.column("bits")[0].as_py() if part.num_rows else bytes(8)
     bitmap = np.frombuffer(bits, np.uint8)
     most = MOST[asked.column("kind")[0].as_py()] if asked.num_rows else 0  # a bucket may be asked nothing
-    each = asked.column("keys").to_pylist()
-    ends = np.cumsum([len(k) // 6 for k in each])
-    begin = 0
-    while begin < len(each):
-        end = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + (1 << 20), "right")))
-        key = unpacked(b"".join(each[begin:end]))
+    held, n = [], 0
+
+    def flush():
+        key, which = placed(np.concatenate(held))
         q = probe_filter_keys(bitmap, key, np.zeros(len(key), np.int64), 8 * len(bitmap), most).astype(np.uint8)
-        levels += [x.tobytes() for x in np.split(q, (ends[begin:end - 1] - (ends[begin - 1] if begin else 0)))]
-        begin = end
+        levels.extend(x.tobytes() for x in np.split(q[which], np.cumsum([len(k) for k in held])[:-1]))
+
+    for keys in asked.column("keys"):
+        held.append(unpacked(keys.as_py()))
+        n += len(held[-1])
+        if n >= 1 << 20:
+            flush()
+            held, n = [], 0
+    if held:
+        flush()
     return pa.table([asked.column("batch"), asked.column("kind"), asked.column("bucket"), pa.array(levels, pa.binary())],
                     ["batch", "kind", "bucket", "levels"])
 
@@ -492,9 +505,10 @@ def _score_batch(model):
         held = [tokens(t.as_py()) for t in rows.column("text").cast(pa.large_binary())]
         given = {(k, b): q for k, b, q in zip(*(answers.column(c).to_pylist() for c in ("kind", "bucket", "levels")))}
         known = {}
-        for kind, keys, b, order in _asked(held, model.value.buckets):
+        for kind, keys, _, b, order in _asked(held, model.value.buckets):
             levels = np.empty(len(keys), np.int64)
-            levels[order] = np.frombuffer(b"".join(given[kind, k] for k in np.unique(b).tolist()), np.uint8)
+            own = np.flatnonzero(np.bincount(b)).tolist()
+            levels[order] = np.frombuffer(b"".join(given[kind, k] for k in own), np.uint8)
             known[kind] = keys, levels
 
         def find(kind: int, key: np.ndarray) -> np.ndarray:

@@ -163,3 +163,16 @@ def test_scores_are_those_of_exact_quantised_counts(spark, max_broadcast):
     want = exact_scores([t for i, t in enumerate(texts) if i % 5], texts)
     off = [abs(got[i] - w) for i, w in enumerate(want)]
     assert sum(x > 1e-6 for x in off) <= 4 and max(off) < 3
+
+
+def test_keys_travel_as_gaps_and_are_probed_once(monkeypatch):
+    keys = np.unique(np.random.default_rng(5).integers(0, 1 << 48, 5000).astype(np.uint64))
+    for some, most in ((keys, 5), (keys[::1000], 6), (np.array([3, 3, (1 << 48) - 1], np.uint64), 6)):
+        assert len(lm.packed(some)) <= 1 + most * len(some)
+        assert (lm.unpacked(lm.packed(some)) == some).all()
+    probed = []
+    real = lm.probe_filter_keys
+    monkeypatch.setattr(lm, "probe_filter_keys", lambda b, k, *a: probed.append(len(k)) or real(b, k, *a))
+    asked = lm.pa.table({"batch": [1, 2, 3], "bucket": [0] * 3, "kind": [1] * 3, "keys": [lm.packed(keys)] * 3})
+    got = lm._answer(asked, lm.pa.table({"bits": [bytes(range(256)) * 8]})).column("levels").to_pylist()
+    assert probed == [len(keys)] and got[0] == got[1] == got[2] and len(got[0]) == len(keys)
