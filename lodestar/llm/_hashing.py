@@ -1,7 +1,6 @@
 """Word and window hashes in numpy, for use inside tasks.
 
-A word is hashed once to 64 random bits (a bounded cache holds the common
-ones). A window of ``width`` words has the Rabin-Karp value
+A word is hashed to 64 random bits. A window of ``width`` words has the Rabin-Karp value
 ``sum(h[i + j] * B**(width - 1 - j)) mod 2**64``; with B odd, powers of B have
 inverses, so all windows of a text come from one running sum.
 """
@@ -22,19 +21,10 @@ BASE = 0x9E3779B97F4A7C15 | 1
 BASE2 = 0xC2B2AE3D27D4EB4F | 1
 
 
-class WordHashes(dict):
-    """Word to 64-bit hash; emptied when it holds ``limit`` words, so its memory is bounded."""
+class WordHashes:
+    """Word to 64-bit hash. Nothing is kept: in text with many rare words a look-up costs more than hashing again."""
 
-    def __init__(self, limit: int = 200_000):
-        super().__init__()
-        self.limit = limit
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        h = xxhash.xxh3_64_intdigest(word)
-        self[word] = h
-        return h
+    __getitem__ = staticmethod(xxhash.xxh3_64_intdigest)
 
 
 WORD_HASHES = WordHashes()

@@ -91,6 +91,19 @@ def pairs(t: np.ndarray) -> np.ndarray:
     return (t[:-1] >> U64(32) << U64(32)) | (t[1:] >> U64(32))
 
 
+def _joined(held: list[np.ndarray]) -> np.ndarray:
+    """Token sequences joined at their ends: the end of a text is the token before the next one's first word."""
+    return np.concatenate([held[0], *(t[1:] for t in held[1:])])
+
+
+def ngrams(t: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Of a token sequence: its distinct words, pairs and contexts in order, and the place of each token, pair and word there."""
+    words, w = placed(t)
+    contexts = words >> U64(32)
+    new = np.r_[True, contexts[1:] != contexts[:-1]]
+    return [(words, w), placed(pairs(t)), (contexts[new], np.cumsum(new) - 1)]
+
+
 # ------------------------------------------------------------ Bloom filters
 
 
@@ -196,8 +209,9 @@ def _deal(kind: int, keys: np.ndarray, counts: np.ndarray, buckets: int):
 def _count(buckets: int, batch_tokens: int):
     def flush(held):
         rows = []
-        for kind, arrays in ((0, [t[1:] for t in held]), (1, [pairs(t) for t in held])):
-            rows += _deal(kind, *np.unique(np.concatenate(arrays), return_counts=True), buckets)
+        t = _joined(held)
+        for kind, keys in ((0, t[1:]), (1, pairs(t))):
+            rows += _deal(kind, *np.unique(keys, return_counts=True), buckets)
         cols = list(zip(*rows))
         return pa.RecordBatch.from_arrays(
             [pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int32()),
@@ -224,7 +238,7 @@ def _total(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.uint32)
     keys = np.r_[ones, keys]
     counts = np.r_[np.ones(len(ones), np.int64), counts.astype(np.int64)]
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys, counts = keys[order], counts[order]
     at = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.empty(0, np.int64)
     return keys[at], np.add.reduceat(counts, at) if len(at) else counts
@@ -236,10 +250,11 @@ ADDED = "kind int, bucket int, key long, value double, bits binary"
 def _added(kind, bucket, keys, values, bits) -> pa.Table:
     """Rows (key, value) of one kind, and one row with the bucket's filter part."""
     n = len(keys)
-    return pa.table({"kind": pa.array([kind] * n + [kind + 10], pa.int32()),
-                     "bucket": pa.array([bucket] * (n + 1), pa.int32()),
-                     "key": pa.array([*keys.view(np.int64).tolist(), None], pa.int64()),
-                     "value": pa.array([*values.tolist(), None], pa.float64()),
+    last = np.arange(n + 1) == n
+    return pa.table({"kind": pa.array(np.where(last, kind + 10, kind), pa.int32()),
+                     "bucket": pa.array(np.full(n + 1, bucket), pa.int32()),
+                     "key": pa.array(np.append(keys.view(np.int64), 0), mask=last),
+                     "value": pa.array(np.append(values, 0.0), mask=last),
                      "bits": pa.array([None] * n + [bits.tobytes()], pa.binary())})
 
 
@@ -288,18 +303,18 @@ class Model:
         at = np.minimum(np.searchsorted(keys, words), max(len(keys) - 1, 0))
         return np.where(keys[at] == words, counts[at], -1) if len(keys) else np.full(len(words), -1)
 
-    def log10(self, t: np.ndarray, find=None) -> np.ndarray:
-        """log10 P of each token after the first of a token sequence (texts joined at their ends).
+    def log10(self, t: np.ndarray) -> np.ndarray:
+        """log10 P of each token after the first of a token sequence (texts joined at their ends)."""
+        grams = ngrams(t)
+        return self.log10_of(grams, [self.level(kind, keys) for kind, (keys, _) in enumerate(grams)])
 
-        ``find`` gives the levels of keys of a kind; by default they are probed in the broadcast filters.
-        """
-        find = find or self.level
-        words, w = placed(t)
-        q = find(0, words)
+    def log10_of(self, grams: list[tuple[np.ndarray, np.ndarray]], levels: list[np.ndarray]) -> np.ndarray:
+        """``log10`` of a sequence's ``ngrams`` and the levels of its distinct words, pairs and contexts."""
+        (_, w), (_, inverse), (_, context) = grams
+        q = levels[0]
         p1 = (MEANS[q] + 0.1) / (self.mass + 0.1 * (self.v + 1))
-        r = find(2, words >> U64(32)) / SHARES
-        keys, inverse = placed(pairs(t))
-        c = MEANS[find(1, keys)][inverse]
+        r = levels[2][context] / SHARES
+        c = MEANS[levels[1]][inverse]
         a, b = w[:-1], w[1:]
         seen = (q[a] > 0) & (c > 0)
         p2 = np.where(seen, (c - DISCOUNT) / TOPS[q[a]], 0.0)
@@ -321,7 +336,7 @@ def _train(texts: DataFrame, root: str, head: int, batch_tokens: int,
     Beyond ``max_broadcast`` bytes of parts the model has no filters.
     """
     spark = texts.sparkSession
-    buckets = 4 * shuffle_partitions(spark)
+    buckets = min(4 * shuffle_partitions(spark), 1 << 16)  # a bucket's number has 16 bits beside a key
     sent = texts.select("text").mapInArrow(_count(buckets, batch_tokens), SENT)
     added = stage(spark, sent.groupBy("bucket", "kind").applyInArrow(_add_up(buckets), ADDED), root, "added")
     vocab = added.where("kind = 0").select(F.col("key").alias("h"), F.col("value").cast("long").alias("c"))
@@ -374,15 +389,18 @@ def _bucket_of(buckets: int):
 NAMES = ["rid", "n_tokens", "n_head", "base_head", "score", "words", "times"]
 
 
-def _score_texts(m: Model, rids: list, held: list, find=None) -> pa.RecordBatch:
-    """Scores, the base score of head words, and the other words with their numbers, of token sequences."""
+def _score_texts(m: Model, rids: list, held: list, levels=None) -> pa.RecordBatch:
+    """Scores, the base score of head words, and the other words with their numbers, of token sequences.
+
+    ``levels`` gives the levels of their ``ngrams``; by default they are probed in the broadcast filters.
+    """
     n = np.array([len(t) - 1 for t in held])
     starts = np.cumsum(n) - n
-    # the end of a text is the token before the next one's first word
-    flat = np.concatenate([held[0], *(t[1:] for t in held[1:])])
-    score = np.add.reduceat(m.log10(flat, find), starts)
-    doc, tok = np.repeat(np.arange(len(held)), n), flat[1:]
-    words, inverse = placed(tok)
+    grams = ngrams(_joined(held))
+    found = [*levels(grams)] if levels else [m.level(kind, keys) for kind, (keys, _) in enumerate(grams)]
+    score = np.add.reduceat(m.log10_of(grams, found), starts)
+    doc = np.repeat(np.arange(len(held)), n)
+    words, inverse = grams[0][0], grams[0][1][1:]
     c = m.head_counts(words)
     log = np.where(c >= 0, np.log10((np.maximum(c, 0) + 0.1) / (m.n + 0.1 * (m.v + 1))), 0.0)
     base = np.add.reduceat(log[inverse], starts)
@@ -435,22 +453,20 @@ def _number(batch_bytes: int):
     return f
 
 
-def _asked(held: list[np.ndarray], buckets: int):
-    """Of the n-grams of a batch: (kind, distinct keys, their filter keys, buckets and order by bucket and filter key)."""
-    words = distinct(np.concatenate(held))
-    for kind, keys in ((0, words), (1, distinct(np.concatenate([pairs(t) for t in held]))),
-                       (2, distinct(words >> U64(32)))):
-        b, own = bucket_of(keys, buckets), filter_keys(keys)
-        order = np.argsort(own)
-        yield kind, keys, own, b, order[np.argsort(b[order], kind="stable")]
+def _dealt(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """Buckets (16 bits) above filter keys (48 bits): in this order keys are asked, so one sort gives both."""
+    return bucket_of(keys, buckets).astype(U64) << U64(48) | filter_keys(keys)
 
 
 def _ask(buckets: int):
     """The distinct n-grams of batches, packed: rows (batch, bucket, kind, keys), one a bucket and kind."""
     def flush(batch, held):
         rows = []
-        for kind, _, own, b, order in _asked(held, buckets):
-            b, own = b[order], own[order]
+        t = _joined(held)
+        words = distinct(t)
+        for kind, keys in enumerate((words, distinct(pairs(t)), distinct(words >> U64(32)))):
+            keys = np.sort(_dealt(keys, buckets))
+            b, own = keys >> U64(48), keys & U64((1 << 48) - 1)
             cuts = np.flatnonzero(np.r_[True, b[1:] != b[:-1]])
             rows += [(batch, int(b[i]), kind, packed(own[i:j])) for i, j in zip(cuts, np.r_[cuts[1:], len(b)])]
         return pa.RecordBatch.from_arrays(
@@ -504,18 +520,17 @@ def _score_batch(model):
     def f(rows: pa.Table, answers: pa.Table) -> pa.Table:
         held = [tokens(t.as_py()) for t in rows.column("text").cast(pa.large_binary())]
         given = {(k, b): q for k, b, q in zip(*(answers.column(c).to_pylist() for c in ("kind", "bucket", "levels")))}
-        known = {}
-        for kind, keys, _, b, order in _asked(held, model.value.buckets):
-            levels = np.empty(len(keys), np.int64)
-            own = np.flatnonzero(np.bincount(b)).tolist()
-            levels[order] = np.frombuffer(b"".join(given[kind, k] for k in own), np.uint8)
-            known[kind] = keys, levels
-
-        def find(kind: int, key: np.ndarray) -> np.ndarray:
-            keys, levels = known[kind]
-            return levels[np.searchsorted(keys, key)]
-
-        out = pa.Table.from_batches([_score_texts(model.value, rows.column("rid").to_pylist(), held, find)])
+
+        def levels(grams):
+            for kind, (keys, _) in enumerate(grams):
+                dealt = _dealt(keys, model.value.buckets)
+                order = np.argsort(dealt)
+                own = distinct(dealt[order] >> U64(48)).tolist()
+                out = np.empty(len(keys), np.int64)
+                out[order] = np.frombuffer(b"".join(given[kind, b] for b in own), np.uint8)
+                yield out
+
+        out = pa.Table.from_batches([_score_texts(model.value, rows.column("rid").to_pylist(), held, levels)])
         return out.append_column("id", rows.column("id")).append_column("held_out", rows.column("held_out"))
     return f
 

@@ -176,3 +176,24 @@ def test_keys_travel_as_gaps_and_are_probed_once(monkeypatch):
     asked = lm.pa.table({"batch": [1, 2, 3], "bucket": [0] * 3, "kind": [1] * 3, "keys": [lm.packed(keys)] * 3})
     got = lm._answer(asked, lm.pa.table({"bits": [bytes(range(256)) * 8]})).column("levels").to_pylist()
     assert probed == [len(keys)] and got[0] == got[1] == got[2] and len(got[0]) == len(keys)
+
+
+def test_asked_and_answered_keys_are_in_one_order():
+    """What a batch asks is what it sorts its answers by: buckets, then filter keys, one sort for both."""
+    held = [lm.tokens(t) for t in (b"a b a c", None, b"b c d " * 40)]
+    asked = lm._ask(7)([lm.pa.RecordBatch.from_pydict({"batch": [1] * 3, "text": ["a b a c", None, "b c d " * 40]})])
+    rows = [r for rb in asked for r in rb.to_pylist()]
+    grams = lm.ngrams(lm._joined(held))
+    assert [len(k) for k, _ in grams[:2]] == [5, 11]
+    for kind, (keys, at) in enumerate(grams):
+        want = sorted((int(b), int(f)) for b, f in zip(lm.bucket_of(keys, 7), lm.filter_keys(keys)))
+        assert [(r["bucket"], int(f)) for r in rows if r["kind"] == kind for f in lm.unpacked(r["keys"])] == want
+    assert (grams[2][0][grams[2][1]] == grams[0][0] >> U64(32)).all()
+
+
+def test_words_are_hashed_without_a_table():
+    """Rare words cost one hash: nothing is kept between texts, and the values are those of the library."""
+    text = " ".join(f"W{i}" for i in range(3000)).encode()
+    want = [lm.xxhash.xxh3_64_intdigest(w.lower()) for w in text.split()]
+    assert lm.word_hashes(text, lower=True).tolist() == want
+    assert not hasattr(WORD_HASHES, "__len__")
