@@ -18,14 +18,15 @@ without that coordinate.
    rounds end when few neighbours change. Reverse neighbours are thinned by the
    node's in-degree, a partial aggregate, so hubs stay small.
 4. Search: a query begins at its own node and keeps its ``beam`` nearest nodes found. Every
-   round the nearest ones that are not yet expanded are joined to their links and
-   the vectors of those are joined to the block of queries, until all of the beam
-   are expanded.
+   round the nearest ones that are not yet expanded are joined to their links. Those that the query
+   has not met go, a list with the query's vector, to the groups of blocks that hold them and come back with their
+   nearness, until all of the beam are expanded. So a query asks a group once a round, however many
+   nodes it wants there, and vectors of nodes do not travel to queries. A group that is asked much answers in parts.
 5. The beam is scored on the original vectors in double precision, in the order of
    the components, and expanded to rows.
 
-A task holds one block: 256 nodes' samples, a group of 2048 nodes, or 128 queries' candidates,
-and the vectors these name. Every row is in the index; nothing is fitted to a sample. With at
+A task holds one block: 128 nodes' samples and the vectors these name, a group of 2048 nodes with about 16 MB
+of asks, or 128 queries' candidates. Every row is in the index; nothing is fitted to a sample. With at
 most ``BLOCK * GROUP`` different vectors of a length there is one group, the start of the graph is
 exact and so is the result; beyond that recall is measured (README, tests).
 
@@ -49,13 +50,17 @@ from lodestar.llm._hashing import U64, mix
 from lodestar.llm._rank import ranked
 
 #: Nodes of a block, and blocks next to each other whose nodes are compared with each other for the start.
-BLOCK = 256
-GROUP = 8
+BLOCK = 128
+GROUP = 16
 QUERY_BLOCK = 128
+#: Bytes of what queries ask of a group that are answered together, about.
+ASK_BYTES = 16 << 20
 #: Bits of a node's number below its block.
 _LOCAL = 12
 #: Bits of a block's number below the vector length.
 _BLOCKS = 34
+#: Bits of a node's number below its area: ``GROUP`` blocks next to each other, which answer queries together.
+_AREA = _LOCAL + (GROUP - 1).bit_length()
 #: Orders of the nodes that the graph starts from.
 ORDERS = 3
 #: Rounds of NN-descent at most; they end earlier when fewer than ``STILL`` of the neighbours changed.
@@ -365,37 +370,58 @@ def _frontier(batches):
         yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (b, q, c)], ["qblock", "query", "node"])
 
 
+_ASKS = "area long, qblock long, query long, vector binary, ids binary"
+
+
+def _wanted(states: pa.Table, links: pa.Table) -> pa.Table:
+    """The beams of one block of queries and the links of what they expand: what each query has not met, a row an area."""
+    found: dict[int, list] = {}
+    for query, ids in zip(links.column("query").to_pylist(), links.column("ids").to_pylist(), strict=True):
+        found.setdefault(query, []).append(_i64(ids))
+    rows = []
+    for qblock, query, vector, seen in zip(*[states.column(c).to_pylist() for c in ("qblock", "query", "vector", "seen")], strict=True):
+        new = np.setdiff1d(np.concatenate(found.get(query, [np.empty(0, np.int64)])), _i64(seen))
+        area = new >> _AREA
+        begins = np.flatnonzero(np.r_[len(new) > 0, area[1:] != area[:-1]])
+        rows += [(int(area[b]), qblock, query, vector, new[b:e].tobytes())
+                 for b, e in zip(begins, np.r_[begins[1:], len(new)], strict=False)]
+    cols = list(zip(*rows, strict=True)) if rows else [()] * 5
+    return pa.table([pa.array(c, t) for c, t in zip(cols, (*[pa.int64()] * 3, *[pa.binary()] * 2), strict=True)],
+                    ["area", "qblock", "query", "vector", "ids"])
+
+
+def _near(asks: pa.Table, nodes: pa.Table) -> pa.Table:
+    """The nearness of the nodes asked of one area, a list for each row asked."""
+    if not asks.num_rows:  # a part may be asked nothing
+        return pa.table([pa.array([], t) for t in (*[pa.int64()] * 2, *[pa.binary()] * 2)], ["qblock", "query", "ids", "sims"])
+    known, x = _column(nodes, "node"), _matrix(nodes.column("vector"))
+    order = np.argsort(known)
+    lists = asks.column("ids").to_pylist()
+    n = np.array([len(ids) // 8 for ids in lists])
+    at = order[np.searchsorted(known[order], _i64(b"".join(lists)))]
+    q, row = _matrix(asks.column("vector")), np.repeat(np.arange(len(n)), n)
+    s = np.concatenate([np.einsum("ij,ij->i", x[at[b:b + (1 << 16)], :-1], q[row[b:b + (1 << 16)], :-1])
+                        for b in range(0, len(at), 1 << 16)])
+    sims = [v.tobytes() for v in np.split(s, np.cumsum(n)[:-1])]
+    return pa.table([asks.column("qblock"), asks.column("query"), asks.column("ids"), pa.array(sims, pa.binary())],
+                    ["qblock", "query", "ids", "sims"])
+
+
 def _advance(beam: int):
-    """The beams of one block of queries, the links of what they expand, and the vectors named: the next beams."""
-    def f(rows: pa.Table, supply: pa.Table) -> pa.Table:
-        states = rows.filter(pc.is_valid(rows.column("vector")))
-        links = rows.filter(pc.is_null(rows.column("vector")))
-        known = _column(supply, "v")
-        order = np.argsort(known)
-        known = known[order]
-        vectors = supply.column("vector")
+    """The beams of one block of queries and the nodes that they asked for, with their nearness: the next beams."""
+    def f(states: pa.Table, answers: pa.Table) -> pa.Table:
         found: dict[int, list] = {}
-        for query, ids in zip(links.column("query").to_pylist(), links.column("ids").to_pylist(), strict=True):
-            found.setdefault(query, []).append(_i64(ids))
-        taken: dict[int, np.ndarray] = {}  # matrix by length, rows in the order of ``known``
-        width = np.array([len(vectors[int(i)].as_py()) for i in order[:1]])
-        if len(width):
-            values = [vectors[int(i)].as_py() for i in order]
-            sizes = np.array([len(v) for v in values])
-            for w in np.unique(sizes).tolist():
-                taken[w] = (np.cumsum(sizes == w) - 1, _f32(b"".join(v for v in values if len(v) == w)).reshape(-1, w // 4))
+        for query, ids, sims in zip(*[answers.column(c).to_pylist() for c in ("query", "ids", "sims")], strict=True):
+            found.setdefault(query, []).append((ids, sims))
         out = {c: [] for c in _ARRAYS}
         open_ = []
-        for query, vector, *arrays in zip(*[states.column(c).to_pylist() for c in ("query", "vector", *_ARRAYS)], strict=True):
+        for query, *arrays in zip(*[states.column(c).to_pylist() for c in ("query", *_ARRAYS)], strict=True):
             ids, sims, done, seen = (np.frombuffer(a, t) for a, t in zip(arrays, (np.int64, np.float32, bool, np.int64), strict=True))
             todo = np.flatnonzero(~done)[:EXPAND]
             done = done.copy()
             done[todo] = True
-            new = np.setdiff1d(np.concatenate(found.get(query, [np.empty(0, np.int64)])), seen)
-            if len(new):
-                place, x = taken[len(vector)]
-                q = _f32(vector)[:-1]
-                s = x[place[np.searchsorted(known, new)], :-1] @ q
+            if query in found:
+                new, s = (np.frombuffer(b"".join(v), t) for v, t in zip(zip(*found[query]), (np.int64, np.float32), strict=True))
                 seen = np.union1d(seen, new)
                 ids, sims, done = np.r_[ids, new], np.r_[sims, s], np.r_[done, np.zeros(len(new), bool)]
                 top = np.lexsort((ids, -sims))[:beam]
@@ -438,16 +464,23 @@ def search(spark: SparkSession, links: DataFrame, nodes: DataFrame, starts: Data
     state = stage(spark, queries.select(F.floor(F.col("pos") / QUERY_BLOCK).cast("long").alias("qblock"), F.col("node").alias("query"))
                   .join(nodes.select(F.col("node").alias("query"), "exact", "vector"), "query")
                   .select("qblock", "query", "exact", "vector").mapInArrow(_begin, _STATE), root, "beams0")
+    area = nodes.select(F.shiftright("node", _AREA).alias("area"), "node", "vector")
     step = 0
     while state.where("open > 0").limit(1).count():
         step += 1
-        asked = state.where("open > 0").mapInArrow(_frontier, "qblock long, query long, node long")
-        named = stage(spark, asked.join(links, "node").select("qblock", "query", "ids"), root, f"named{step}")
-        supply = (named.select(F.col("qblock").alias("node"), "ids").mapInArrow(_explode_ids, "u long, v long").distinct()
-                  .join(nodes.select(F.col("node").alias("v"), "vector"), "v").select(F.col("u").alias("qblock"), "v", "vector"))
-        rows = state.unionByName(named, allowMissingColumns=True)
-        state = stage(spark, rows.groupBy("qblock").cogroup(_renewed(supply).groupBy("qblock"))
-                      .applyInArrow(_advance(beam), _STATE), root, f"beams{step}")
+        open_ = state.where("open > 0")
+        named = (open_.mapInArrow(_frontier, "qblock long, query long, node long").join(links, "node")
+                 .select("qblock", "query", "ids"))
+        asks = stage(spark, open_.groupBy("qblock").cogroup(_renewed(named).groupBy("qblock")).applyInArrow(_wanted, _ASKS),
+                     root, f"asks{step}")
+        size = F.sum(F.octet_length("vector") + F.octet_length("ids"))
+        parts = stage(spark, asks.groupBy("area").agg(F.ceil(size / ASK_BYTES).cast("int").alias("parts")), root, f"parts{step}")
+        split = asks.join(parts, "area").withColumn("part", F.pmod(F.xxhash64("query"), F.col("parts")).cast("int"))
+        supply = area.join(parts, "area").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        answers = split.groupBy("area", "part").cogroup(_renewed(supply).groupBy("area", "part")).applyInArrow(
+            _near, "qblock long, query long, ids binary, sims binary")
+        state = stage(spark, state.groupBy("qblock").cogroup(answers.groupBy("qblock")).applyInArrow(_advance(beam), _STATE),
+                      root, f"beams{step}")
     pairs = state.select(F.col("qblock").alias("node"), "ids").mapInArrow(_explode_ids, "u long, v long").distinct()
     supply = (pairs.join(nodes.select(F.col("node").alias("v"), "exact", F.col("ids").alias("rows")), "v")
               .select(F.col("u").alias("qblock"), "v", "exact", "rows"))

@@ -64,3 +64,25 @@ def test_blocks_are_even(spark, rows, size):
         sizes.setdefault(r["b"], []).append(r["l"])
     assert all(sorted(v) == list(range(len(v))) and len(v) <= size for v in sizes.values())
     assert max(map(len, sizes.values())) - min(map(len, sizes.values())) <= 1
+
+
+def test_queries_go_to_the_vectors_and_ask_for_each_once(spark, monkeypatch):
+    """A search round joins no vectors to blocks of queries: a query asks a group of nodes once, and never for a node it has met."""
+    rng = np.random.default_rng(8)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.standard_normal((2600, 12)))]
+    written, real = {}, N.stage
+
+    def stage(session, df, root, name):
+        written[name] = real(session, df, root, name)
+        return written[name]
+
+    monkeypatch.setattr(N, "stage", stage)
+    whole = got(N.nearest_neighbours(table(spark, rows), F.col("id") % 20 == 0))
+    asks = [r for name, df in written.items() if name.startswith("asks") for r in df.withColumn("step", F.lit(name)).collect()]
+    assert asks and len({(r["step"], r["query"], r["area"]) for r in asks}) == len(asks)
+    asked = [(r["query"], int(i)) for r in asks for i in np.frombuffer(r["ids"], np.int64)]
+    assert len(set(asked)) == len(asked) and all(q != i for q, i in asked)
+    assert {r["parts"] for name, df in written.items() if name.startswith("parts") for r in df.collect()} == {1}
+    monkeypatch.setattr(N, "ASK_BYTES", 1 << 12)  # groups that are asked much answer in parts, to the same result
+    assert got(N.nearest_neighbours(table(spark, rows), F.col("id") % 20 == 0)) == whole
+    assert max(r["parts"] for name, df in written.items() if name.startswith("parts") for r in df.collect()) > 1
