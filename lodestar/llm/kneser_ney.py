@@ -40,8 +40,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm._common import scratch, shuffle_partitions, small, stage
-from lodestar.llm._hashing import U64, bucket_of, mix, placed
+from lodestar.llm._common import return_freed, scratch, shuffle_partitions, small, stage
+from lodestar.llm._hashing import BASE, U64, _powers, bucket_of, distinct, mix, placed
 from lodestar.llm.packing import text_slices, word_codes
 
 #: Words are known by the upper 48 bits of their hash.
@@ -54,10 +54,15 @@ HELD = 5
 MAX_IDS = 2_000_000
 #: Bytes of counts up to which the weights are broadcast.
 MAX_BROADCAST = 24 << 20
-#: Bytes of text of a batch whose n-grams are asked together, and of a portion, of which there are at most PORTIONS.
-BATCH_TEXT = 4 << 20
+#: Bytes of counts that a byte of text makes at most, nearly.
+COUNTS_A_BYTE = 2.5
+#: Bytes of text of a batch whose trigrams are sent together, and of a portion, of which there are at most PORTIONS.
+BATCH_TEXT = 8 << 20
 PORTION = 32 << 20
-PORTIONS = 8
+PORTIONS = 6
+#: Bytes of text whose trigrams a bucket holds, and of text that is looked at for frequent words.
+BUCKET_TEXT = 8 << 20
+SEEN = 16 << 20
 _COUNTED = "bucket int, keys binary, counts binary"
 _PART = "bucket int, kind int, keys binary, counts binary"
 
@@ -241,11 +246,6 @@ class Counts:
         self.total, self.n, n1, n2 = self.words.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("total", "grams", "n1", "n2")]).first()
         self.floor = float(_gamma(self.total, n1, n2, self.n, self.d1)) / (self.n + 1)
 
-    def size(self) -> int:
-        """Bytes of the packed counts."""
-        return sum(t.agg(F.coalesce(F.sum(F.octet_length("keys") + F.octet_length("counts")), F.lit(0))).first()[0]
-                   for t in (self.triples, self.pairs, self.words))
-
 
 # --------------------------------------------------- weights in one place
 
@@ -357,182 +357,383 @@ def _score(model):
     return f
 
 
-# ------------------------------------------------ counts joined by bucket
+# ------------------------------------------------ larger models, bucket by bucket
+
+
+_SPACE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+#: A random value of each byte, for hashing.
+_BYTE = np.array([xxhash.xxh3_64_intdigest(bytes([i]), 4) for i in range(256)], U64)
+#: Longer words are hashed one by one; the others in pieces of about so many bytes.
+_LONG, _PIECE = 1 << 12, 1 << 15
+#: Tokens whose buckets are found at once.
+_STEP = 1 << 15
+_DEALT = "bucket int, first long, keys binary, tokens binary, fit binary"
+
+
+def word_stream(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of the word at each place, first place of each text) of large strings without nulls, by array work alone."""
+    if not len(texts):
+        return np.empty(0, U64), np.zeros(1, np.int64)
+    _, offsets, data = texts.buffers()
+    at = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    data = np.frombuffer(data, np.uint8)[at[0]:at[-1]] if data is not None else np.empty(0, np.uint8)
+    at = at - at[0]
+    inside = np.r_[False, ~_SPACE[data], False]
+    apart = inside[1:] != inside[:-1]  # between a byte and the one before, beginning and end included
+    edge = at[1:-1]
+    edge = edge[inside[edge] & inside[edge + 1]]  # a word up to the end of a text and another from the beginning of the next
+    ends = np.flatnonzero(apart)
+    ends = np.sort(np.r_[ends, edge, edge]) if len(edge) else ends
+    begin, end = ends[::2], ends[1::2]
+    out = np.empty(len(begin), U64)
+    up, down = _powers(BASE, 2 * (_PIECE + _LONG))
+    long = np.flatnonzero(end - begin > _LONG)
+    for i in long:
+        out[i] = xxhash.xxh3_64_intdigest(data[begin[i]:end[i]].tobytes())
+    for i, j in zip(np.r_[0, long + 1], np.r_[long, len(begin)]):  # words between long ones
+        while i < j:
+            to = max(min(int(np.searchsorted(end, begin[i] + _PIECE, "right")), j), i + 1)
+            x, y = begin[i:to] - begin[i], end[i:to] - begin[i]
+            sums = np.zeros(y[-1] + 1, U64)
+            np.cumsum(_BYTE[data[begin[i]:end[to - 1]]] * up[:y[-1]], out=sums[1:])
+            out[i:to] = mix((sums[y] - sums[x]) * down[x])
+            i = to
+    return out & KNOWN, np.searchsorted(begin, at)
+
+
+def _line(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(END, END, then the hash of each token of all texts; where each text's tokens begin, and where the last ones end)."""
+    h, bounds = word_stream(texts)
+    n = np.diff(bounds)
+    line = np.full(len(h) + len(n) + 2, END, U64)
+    line[np.arange(2, len(h) + 2) + np.repeat(np.arange(len(n)), n)] = h
+    return line, bounds + np.arange(len(bounds))
+
+
+def _grams_at(line: np.ndarray, begins: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """The n-grams, a row each, that end at the tokens ``own`` (ascending); the end stands before the first word."""
+    w = np.stack([line[own], line[own + 1], line[own + 2]], 1)
+    at = np.searchsorted(own, begins)  # the first of them at or after the beginning of each text
+    there = at < len(own)
+    at, begins = at[there], begins[there]
+    w[at[own[at] == begins], 0] = END
+    return w
+
+
+class Deal:
+    """Where trigrams go: to the bucket of their middle word; a frequent one has several, dealt by the word before."""
+
+    def __init__(self, buckets: int, frequent: dict[int, int]):
+        self.buckets = buckets
+        words = sorted(frequent)
+        self.words = np.array(words, U64)
+        self.split = np.array([frequent[x] for x in words], np.int64)
+
+    def place(self, w2: np.ndarray) -> np.ndarray:
+        """The place of each word among the frequent ones, or -1."""
+        if not len(self.words):
+            return np.full(len(w2), -1)
+        at = np.minimum(np.searchsorted(self.words, w2), len(self.words) - 1)
+        return np.where(self.words[at] == w2, at, -1)
+
+    def bucket(self, w1: np.ndarray, w2: np.ndarray) -> np.ndarray:
+        """The bucket of each trigram."""
+        b = bucket_of(w2, self.buckets).astype(np.int64)
+        at = self.place(w2)
+        own = np.flatnonzero(at >= 0)
+        more = (mix(w1[own] * U64(BASE)) % self.split[at[own]].astype(U64)).astype(np.int64)
+        b[own] = (b[own] + more) % self.buckets
+        return b
+
+    def chosen(self, line: np.ndarray, begins: np.ndarray, portion: int, portions: int) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens of a portion of the buckets, and their buckets; by steps that fit a processor's cache."""
+        own, buckets = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for i in range(0, len(line) - 2, _STEP):
+            j = min(i + _STEP, len(line) - 2)
+            w1 = line[i:j].copy()
+            w1[begins[np.searchsorted(begins, i):np.searchsorted(begins, j)] - i] = END
+            b = self.bucket(w1, line[i + 1:j + 1])
+            at = np.flatnonzero(b % portions == portion) if portions > 1 else np.arange(j - i)
+            own.append(at + i)
+            buckets.append(b[at])
+        narrow = np.uint16 if self.buckets <= 1 << 16 else np.int64
+        return np.concatenate(own), np.concatenate(buckets).astype(narrow)
+
+
+def _frequent(batches):
+    """Words of at least one in 20,000 tokens of a batch: (word, count, tokens of the batch with the first of them)."""
+    for rb in batches:
+        for _, _, texts in text_slices(rb.column("text")):
+            w2 = np.sort(_line(texts)[0][1:-1])
+            at = _begins(w2)
+            n = np.diff(np.r_[at, len(w2)])
+            some = n * 20_000 >= len(w2)
+            tokens = np.zeros(some.sum(), np.int64)
+            tokens[:1] = len(w2)
+            yield pa.RecordBatch.from_arrays([pa.array(w2[at[some]].view(np.int64)), pa.array(n[some]), pa.array(tokens)],
+                                             ["word", "n", "tokens"])
+
+
+def deal_for(rows: DataFrame, size: int, buckets: int) -> Deal:
+    """The deal over ``buckets``, with frequent words found in about ``SEEN`` bytes of the rows (it moves no result)."""
+    some = rows.where(F.col("rid") % max(1, size // SEEN) == 0).select("text")
+    found = some.mapInArrow(_frequent, "word long, n long, tokens long").groupBy("word").agg(
+        F.sum("n").alias("n"), F.sum("tokens").alias("tokens")).toArrow()
+    word, n = (np.asarray(found.column(c)).astype(np.int64) for c in ("word", "n"))
+    load = n / max(int(np.asarray(found.column("tokens")).sum()), 1) * buckets
+    own = load > 0.5
+    split = np.minimum(np.ceil(2 * load[own]), buckets).astype(int)
+    return Deal(buckets, dict(zip(word[own].view(U64).tolist(), split.tolist())))
+
+
+def _sent(deal: Deal, portion: int, portions: int):
+    """Rows (rid, text, fit) to the trigrams of batches in the buckets of a portion: rows of ``_DEALT``."""
+    def f(batches):
+        for first, held in _batched(batches, BATCH_TEXT):
+            fit = np.packbits(np.concatenate([np.asarray(rb.column("fit"), bool) for rb in held])).tobytes()
+            parts, n = [], 0
+            for b, e, texts in text_slices(pa.concat_arrays([rb.column("text") for rb in held])):
+                line, bounds = _line(texts)
+                at, bucket = deal.chosen(line, bounds[:-1], portion, portions)
+                parts.append((_grams_at(line, bounds[:-1], at), np.searchsorted(bounds, at, "right") - 1 + b, bucket))
+                n = e
+            w, doc, bucket = (np.concatenate(x) for x in zip(*parts))
+            order, runs = _runs(bucket)
+            w, doc = w[order], doc[order]
+            yield _batch([(b, first, _packed(w[i:j]), np.bincount(doc[i:j], minlength=n).astype(np.uint32).tobytes(),
+                           fit) for b, i, j in runs], ["bucket", "first", "keys", "tokens", "fit"],
+                         [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()])
+    return f
 
 
-def _facts(kind: int, width: int, d_buckets: int):
-    """Counted n-grams to what is looked up: rows (bucket, kind, keys, counts).
+def _four(c: np.ndarray) -> list[int]:
+    return [int((c == i).sum()) for i in (1, 2, 3, 4)]
 
-    Kind 3: counts of trigrams, dealt by their contexts; 2 and 1: counts of pairs and words; 12 and 11: sum of
-    counts, ones, twos and n-grams under a pair or word.
-    """
-    def f(batches):
-        for rb in batches:
-            rows = []
-            for bucket, keys, counts in zip(*(rb.column(c).to_pylist() for c in ("bucket", "keys", "counts"))):
-                w, c = _unpacked([keys], width), np.frombuffer(counts, np.uint32).astype(np.int64)
-                context, key = _context(w), _six(_key(w))
-                if width == 2:
-                    order, runs = _runs(bucket_of(_key(w), d_buckets))
-                    key, few = key[order], c[order].astype(np.uint32)
-                    rows += [(b, kind, key[i:j].tobytes(), few[i:j].tobytes()) for b, i, j in runs]
-                else:
-                    rows.append((bucket, kind, key.tobytes(), counts))
-                if width > 1:
-                    at, totals = _totals(context, c)
-                    rows.append((bucket, 9 + width, _six(context[at]).tobytes(),
-                                 np.stack(totals).astype(np.uint32).tobytes()))
-            yield _batch(rows, ["bucket", "kind", "keys", "counts"], [pa.int32(), pa.int32(), pa.binary(), pa.binary()])
+
+def _tallied(deal: Deal, buckets: int):
+    """One bucket's trigrams to counts of counts (kinds 3 and 20), partial counts of words (1) and of pairs begun by frequent words (2)."""
+    def f(table: pa.Table) -> pa.Table:
+        w = _unpacked(table.column("keys").to_pylist(), 3)
+        w, c = _added(w, np.ones(len(w), np.int64))
+        pair, c2 = _added(w[:, 1:], np.ones(len(w), np.int64))
+        few = deal.place(pair[:, 0]) < 0
+        word, c1 = _added(pair[few][:, 1:], np.ones(few.sum(), np.int64))
+        rows = [(3, 0, b"", b"", *_four(c)), (20, 0, b"", b"", *_four(c2[few]))]
+        for kind, x, n in ((1, word, c1), (2, pair[~few], c2[~few])):
+            order, runs = _runs(bucket_of(_key(x), buckets))
+            x, n = x[order], n[order].astype(np.uint32)
+            rows += [(kind, b, _packed(x[i:j]), n[i:j].tobytes(), 0, 0, 0, 0) for b, i, j in runs]
+        cols = list(zip(*rows))
+        return pa.table([pa.array(v, t) for v, t in zip(cols, [pa.int32(), pa.int32(), pa.binary(), pa.binary()] + [pa.int64()] * 4)],
+                        ["kind", "bucket", "keys", "counts", "n1", "n2", "n3", "n4"])
     return f
 
 
-def _batched(batches, batch_bytes: int):
-    """Each batch of texts with the number of its first row, cut by text alone: the same in every pass over the rows."""
-    held, first, n = [], None, 0
+def _under(batches):
+    """Counted pairs to (word, sum of counts, ones, twos, n-grams) of their first words."""
     for rb in batches:
-        size = np.asarray(pc.fill_null(pc.binary_length(rb.column("text")), 0)).astype(np.int64) + 8
-        begin = 0
-        while begin < rb.num_rows:
-            end = min(begin + int(np.searchsorted(np.cumsum(size[begin:]), batch_bytes - n)) + 1, rb.num_rows)
-            first = rb.column("rid")[begin].as_py() if first is None else first
-            held.append(rb.slice(begin, end - begin))
-            n += int(size[begin:end].sum())
-            begin = end
-            if n >= batch_bytes:
-                yield first, held
-                held, first, n = [], None, 0
-    if held:
-        yield first, held
+        for keys, counts in zip(rb.column("keys").to_pylist(), rb.column("counts").to_pylist()):
+            w, c = _unpacked([keys], 2), np.frombuffer(counts, np.uint32).astype(np.int64)
+            order = np.argsort(w[:, 0])
+            first, c = w[order, 0], c[order]
+            at, totals = _totals(first, c)
+            yield pa.RecordBatch.from_arrays([pa.array(first[at].view(np.int64)), *map(pa.array, totals)],
+                                             ["word", "total", "n1", "n2", "n"])
 
 
-def _asked(texts: pa.Array, buckets: int):
-    """The token stream of a batch, and (kind, distinct keys, their buckets, the key of each n-gram)."""
-    h, token, before, doc = token_stream(texts)
-    first, w1, w2, w3 = _grams(h, token, before, doc)
-    left, right = join2(w1, w2), join2(w2, w3)
-    triple, which = placed(join2(left, w3))
-    context = np.empty(len(triple), U64)
-    context[which] = left
-    pair, pair_of = placed(np.r_[right, join2(np.full(1, END), np.full(1, END))])
-    asks = [(3, triple, bucket_of(context, buckets), which), (2, pair, bucket_of(pair, buckets), pair_of),
-            (1, h, bucket_of(h, buckets), None)]
-    return (token, before, doc, first), asks
+class Totals:
+    """Discounts, counted words and counted pairs of frequent words of the fitted trigrams; the trigrams are not kept."""
 
-
-def _texts(held: list) -> pa.Array:
-    return next(t for _, _, t in text_slices(pa.concat_arrays([rb.column("text") for rb in held]), 1 << 62))
+    def __init__(self, texts: DataFrame, deal: Deal, portions: int, root: str):
+        spark = texts.sparkSession
+        n = 4 * shuffle_partitions(spark)
+        tally = None
+        for k in range(portions):
+            sent = texts.mapInArrow(_sent(deal, k, portions), _DEALT).select("bucket", "keys")
+            part = stage(spark, sent.groupBy("bucket").applyInArrow(
+                _tallied(deal, n), "kind int, bucket int, keys binary, counts binary, n1 long, n2 long, n3 long, n4 long"),
+                root, f"tally{k}")
+            tally = part if tally is None else tally.union(part)
+        pick = ["bucket", "keys", "counts"]
+        self.pairs = _counted(tally.where("kind = 2").select(pick), 2, root, "pairs")
+        self.words = _counted(tally.where("kind = 1").select(pick).union(
+            self.pairs.select("keys").mapInArrow(_shorter(2, n), _COUNTED)), 1, root, "words")
+        fours = ["n1", "n2", "n3", "n4"]
+        self.d1, self.d2, self.d3 = map(_discounts, (
+            self.words, tally.where("kind = 20").select(fours).union(self.pairs.select(fours)), tally.where("kind = 3")))
+        self.total, self.n, n1, n2 = self.words.agg(
+            *[F.coalesce(F.sum(c), F.lit(0)) for c in ("total", "grams", "n1", "n2")]).first()
+        self.floor = float(_gamma(self.total, n1, n2, self.n, self.d1)) / (self.n + 1)
+        under = {r["word"]: r for r in self.pairs.mapInArrow(
+            _under, "word long, total long, n1 long, n2 long, n long").groupBy("word").agg(
+            *[F.sum(c).alias(c) for c in ("total", "n1", "n2", "n")]).collect()}  # a row a frequent word
+        self.under = np.array([[under[x][c] if x in under else 0 for c in ("total", "n1", "n2", "n")]
+                               for x in deal.words.view(np.int64).tolist()], np.int64).reshape(-1, 4).T
 
 
-def _ask(buckets: int, batch_bytes: int):
-    """Rows (rid, text) to the distinct n-grams of batches: rows (batch, bucket, kind, keys), one a bucket and kind."""
+def _facts(kind: int, buckets: int):
+    """Counted pairs (kind 2) or words (1) to what is looked up: rows (bucket, kind, keys of six bytes, counts)."""
     def f(batches):
-        for batch, held in _batched(batches, batch_bytes):
-            rows = []
-            for kind, keys, bucket, _ in _asked(_texts(held), buckets)[1]:
-                order, runs = _runs(bucket)
-                six = _six(keys[order])
-                rows += [(batch, b, kind, six[i:j].tobytes()) for b, i, j in runs]
-            yield _batch(rows, ["batch", "bucket", "kind", "keys"], [pa.int64(), pa.int32(), pa.int32(), pa.binary()])
+        for rb in batches:
+            for keys, counts in zip(rb.column("keys").to_pylist(), rb.column("counts").to_pylist()):
+                key, c = _key(_unpacked([keys], kind)) & KNOWN, np.frombuffer(counts, np.uint32)
+                order, runs = _runs(bucket_of(key, buckets))
+                key, c = _six(key[order]), c[order]
+                yield _batch([(b, kind, key[i:j].tobytes(), c[i:j].tobytes()) for b, i, j in runs],
+                             ["bucket", "kind", "keys", "counts"], [pa.int32(), pa.int32(), pa.binary(), pa.binary()])
     return f
 
 
-def _answer(asked: pa.Table, facts: pa.Table) -> pa.Table:
-    """The counts of the n-grams asked of one bucket, in the order asked: 1 for trigrams, 5 for pairs and words."""
+def _wanted(deal: Deal, buckets: int):
+    """The words and the pairs begun by frequent words whose counts a bucket of trigrams needs."""
+    def f(table: pa.Table) -> pa.Table:
+        w = _unpacked(table.column("keys").to_pylist(), 3)
+        rows, to = [], table.column("bucket")[0].as_py()
+        for kind, key in ((1, w[:, 2]), (2, join2(w[:, 1], w[:, 2])[deal.place(w[:, 1]) >= 0] & KNOWN)):
+            key = distinct(key)
+            order, runs = _runs(bucket_of(key, buckets))
+            six = _six(key[order])
+            rows += [(b, to, kind, six[i:j].tobytes()) for b, i, j in runs]
+        return pa.Table.from_batches([_batch(rows, ["bucket", "to", "kind", "keys"],
+                                             [pa.int32(), pa.int32(), pa.int32(), pa.binary()])])
+    return f
+
+
+def _given(wanted: pa.Table, facts: pa.Table) -> pa.Table:
+    """The counts that are wanted of one bucket of counts: those above 0."""
+    known, rows = {}, []
     kinds = np.asarray(facts.column("kind"))
-    known = {}
-    for kind in np.unique(kinds).tolist():
+    for kind in (1, 2):
         own = facts.filter(pa.array(kinds == kind))
         key = _from_six(b"".join(own.column("keys").to_pylist()))
-        per = 4 if kind > 10 else 1
-        value = np.concatenate([np.frombuffer(c, np.uint32).reshape(per, -1)
-                                for c in own.column("counts").to_pylist()], 1)
         order = np.argsort(key)
-        known[kind] = key[order], value[:, order]
-
-    def find(kind: int, keys: np.ndarray) -> np.ndarray:
-        per = 4 if kind > 10 else 1
-        key, value = known.get(kind, (np.empty(0, U64), None))
+        known[kind] = key[order], np.frombuffer(b"".join(own.column("counts").to_pylist()), np.uint32)[order]
+    for to, kind, keys in zip(*(wanted.column(c).to_pylist() for c in ("to", "kind", "keys"))):
+        key, count = known[kind]
+        if len(key):
+            keys = _from_six(keys)
+            at = np.minimum(np.searchsorted(key, keys), len(key) - 1)
+            hit = key[at] == keys
+            rows.append((to, kind, _six(keys[hit]).tobytes(), count[at[hit]].tobytes()))
+    return pa.Table.from_batches([_batch(rows, ["bucket", "kind", "keys", "counts"],
+                                         [pa.int32(), pa.int32(), pa.binary(), pa.binary()])])
+
+
+def _summed(deal: Deal, d1, d2, d3, total1: int, floor: float, under: np.ndarray):
+    """One bucket's trigrams and the counts given to it to each batch's sums: rows (first, tokens, neg_log10), a value a text."""
+    def look(given: pa.Table, kind: int, keys: np.ndarray) -> np.ndarray:
+        own = given.filter(pa.array(np.asarray(given.column("kind")) == kind))
+        key = _from_six(b"".join(own.column("keys").to_pylist()))
+        count = np.frombuffer(b"".join(own.column("counts").to_pylist()), np.uint32).astype(np.int64)
         if not len(key):
-            return np.zeros((per, len(keys)), np.uint32)
+            return np.zeros(len(keys), np.int64)
+        order = np.argsort(key)
+        key, count = key[order], count[order]
         at = np.minimum(np.searchsorted(key, keys), len(key) - 1)
-        return np.where(key[at] == keys, value[:, at], np.uint32(0))
+        return np.where(key[at] == keys, count[at], 0)
+
+    def f(table: pa.Table, given: pa.Table) -> pa.Table:
+        tokens = [np.frombuffer(x, np.uint32) for x in table.column("tokens").to_pylist()]
+        fit = [np.unpackbits(np.frombuffer(x, np.uint8), count=len(t)).astype(bool)
+               for x, t in zip(table.column("fit").to_pylist(), tokens)]
+        texts = np.cumsum([0] + [len(t) for t in tokens])
+        n = np.concatenate(tokens)
+        w = _unpacked(table.column("keys").to_pylist(), 3)
+        triple, which = placed(_key(w))
+        one = np.empty(len(triple), np.int64)
+        one[which] = np.arange(len(w))
+        w = w[one]  # a row a distinct trigram
+        c3 = np.bincount(which[np.repeat(np.concatenate(fit), n)], minlength=len(w))
+        seen = c3 > 0
+        context, of3 = placed(_context(w))
+        totals = lambda of, c, size: [np.bincount(of, minlength=size, weights=x).astype(np.int64)
+                                      for x in (c, c == 1, c == 2, c > 0)]
+        under3 = totals(of3, c3, len(context))
+        pair, of2 = placed(join2(w[:, 1], w[:, 2]))
+        one = np.empty(len(pair), np.int64)
+        one[of2] = np.arange(len(w))
+        second, last = w[one, 1], w[one, 2]
+        c2 = np.bincount(of2[seen], minlength=len(pair))
+        word, of1 = placed(second)
+        under2 = totals(of1, c2, len(word))
+        place = deal.place(word)
+        many = place >= 0
+        if many.any():
+            c2 = np.where(many[of1], look(given, 2, pair & KNOWN), c2)
+            for x, y in zip(under2, under):
+                x[many] = y[place[many]]
+        c1 = look(given, 1, last)
+        p1 = (c1 - _off(c1, d1)) / max(total1, 1) + floor
+        p2 = (c2 - _off(c2, d2)) / np.maximum(under2[0], 1)[of1] + _gamma(*under2, d2)[of1] * p1
+        p3 = (c3 - _off(c3, d3)) / np.maximum(under3[0], 1)[of3] + _gamma(*under3, d3)[of3] * p2[of2]
+        log = np.log10(np.minimum(p3, 1.0))[which]
+        sums = -np.bincount(np.repeat(np.arange(len(n)), n), weights=log, minlength=len(n))
+        rows = [(first, n[i:j].tobytes(), sums[i:j].tobytes())
+                for first, i, j in zip(table.column("first").to_pylist(), texts, texts[1:]) if first >= 0]
+        return pa.Table.from_batches([_batch(rows, ["first", "tokens", "neg_log10"], [pa.int64(), pa.binary(), pa.binary()])])
+    return f
 
-    out = []
-    for kind, keys in zip(asked.column("kind").to_pylist(), asked.column("keys").to_pylist()):
-        keys = _from_six(keys)
-        found = [find(kind, keys)] + ([find(kind + 10, keys)] if kind < 3 else [])
-        out.append(np.concatenate(found).astype(np.uint32).tobytes())
-    return pa.table([asked.column("batch"), asked.column("kind"), asked.column("bucket"), pa.array(out, pa.binary())],
-                    ["batch", "kind", "bucket", "counts"])
 
+def _gathered(table: pa.Table) -> pa.Table:
+    """A batch's sums of all buckets of a portion, added up: rows (rid, n_tokens, neg_log10)."""
+    n = sum(np.frombuffer(x, np.uint32).astype(np.int64) for x in table.column("tokens").to_pylist())
+    total = sum(np.frombuffer(x, np.float64) for x in table.column("neg_log10").to_pylist())
+    return pa.table([pa.array(table.column("first")[0].as_py() + np.arange(len(n))), pa.array(n), pa.array(total)],
+                    ["rid", "n_tokens", "neg_log10"])
 
-def _numbered(batch_bytes: int):
-    """The rows with the number of their batch."""
-    def f(batches):
-        for batch, held in _batched(batches, batch_bytes):
-            for rb in held:
-                yield pa.RecordBatch.from_arrays([*rb.columns, pa.array([batch] * rb.num_rows, pa.int64())],
-                                                 [*rb.schema.names, "batch"])
-    return f
 
+def _batched(batches, batch_bytes: int):
+    """Each batch of rows (of about ``batch_bytes`` of text) with the number of its first one."""
+    held, n = [], 0
+    for rb in batches:
+        size = np.asarray(pc.fill_null(pc.binary_length(rb.column("text")), 0)).astype(np.int64) + 8
+        begin = 0
+        while begin < rb.num_rows:
+            end = min(begin + int(np.searchsorted(np.cumsum(size[begin:]), batch_bytes - n)) + 1, rb.num_rows)
+            held.append(rb.slice(begin, end - begin))
+            n += int(size[begin:end].sum())
+            begin = end
+            if n >= batch_bytes:
+                yield held[0].column("rid")[0].as_py(), held
+                held, n = [], 0
+    if held:
+        yield held[0].column("rid")[0].as_py(), held
+    return_freed()
 
-def _score_batch(buckets: int, d1, d2, d3, total1: int, floor: float):
-    """A batch's texts and the counts of its n-grams to (id, lang, n_tokens, neg_log10)."""
-    def f(rows: pa.Table, answers: pa.Table) -> pa.Table:
-        rows = rows.sort_by("rid").combine_chunks()  # as they were asked
-        (token, before, doc, first), asks = _asked(_texts(rows.to_batches()), buckets)
-        given = {(k, b): c for k, b, c in zip(*(answers.column(c).to_pylist() for c in ("kind", "bucket", "counts")))}
-        counts = {}
-        for kind, keys, bucket, which in asks:
-            per = 1 if kind == 3 else 5
-            order, runs = _runs(bucket)
-            counts[kind] = np.empty((per, len(keys)), np.int64)
-            counts[kind][:, order] = np.concatenate(
-                [np.frombuffer(given[kind, b], np.uint32).reshape(per, -1) for b, _, _ in runs], 1)
-        (_, _, _, triple_of), (_, _, _, pair_of), _ = asks
-        c1, *under1 = counts[1]
-        p1 = (c1 - _off(c1, d1)) / max(total1, 1) + floor
-        g2 = _gamma(*under1, d2)
-        c2, *under2 = counts[2]
-        g3 = _gamma(*under2, d3)
-        right = pair_of[:-1]
-        left = np.where(first, pair_of[-1], np.r_[-1, right[:-1]])
-        c = c2[right]
-        p2 = (c - _off(c, d2)) / np.maximum(under1[0][before], 1) + g2[before] * p1[token]
-        c = counts[3][0][triple_of]
-        p3 = (c - _off(c, d3)) / np.maximum(under2[0][left], 1) + g3[left] * p2
-        log = np.log10(np.minimum(p3, 1.0))
-        n = np.bincount(doc, minlength=rows.num_rows)
-        return pa.table([rows.column("id"), rows.column("lang"), pa.array(n),
-                         pa.array(-np.bincount(doc, weights=log, minlength=rows.num_rows))],
-                        ["id", "lang", "n_tokens", "neg_log10"])
-    return f
 
+def _scored_by_bucket(rows: DataFrame, trained: DataFrame, once: DataFrame, root: str, max_ids: int) -> DataFrame:
+    """The scores of all rows under the model of the texts of the ids ``trained`` and of the texts ``once``.
 
-def _scored_by_bucket(rows: DataFrame, counts: Counts, root: str, schema: str) -> DataFrame:
-    """The scores of all rows, in portions, so that the n-grams of few documents are on disk at a time."""
+    Trigrams are counted twice, first for the discounts and the counts of words, then with those of all rows,
+    in portions of the buckets, so that no count of a trigram is ever written and the trigrams of few buckets are on
+    disk at a time.
+    """
     spark = rows.sparkSession
-    n = counts.buckets
-    pick = ["bucket", "keys", "counts"]
-    facts = (counts.triples.select(pick).mapInArrow(_facts(3, 3, n), _PART)
-             .union(counts.pairs.select(pick).mapInArrow(_facts(2, 2, n), _PART))
-             .union(counts.words.select(pick).mapInArrow(_facts(1, 1, n), _PART)))
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     portions = max(1, min(PORTIONS, -(-size // PORTION)))
-    keyed = rows.select(F.monotonically_increasing_id().alias("rid"), "id", "lang", "text")
-    kind = rows.schema["id"].dataType.simpleString()
+    parts = shuffle_partitions(spark)
+    keyed = rows.withColumn("rid", F.monotonically_increasing_id())
+    texts = keyed.join(small(trained.withColumn("fit", F.lit(True)), max_ids), "id", "left").select(
+        "rid", "text", F.coalesce("fit", F.lit(False)).alias("fit"))
+    once = once.select(F.lit(-1).cast("long").alias("rid"), "text", F.lit(True).alias("fit"))
+    deal = deal_for(keyed, size, portions * max(parts, -(-size // (portions * BUCKET_TEXT))))
+    counts = Totals(texts.where("fit").union(once), deal, min(portions, 2), root)
+    facts = stage(spark, counts.words.select("keys", "counts").mapInArrow(_facts(1, parts), _PART).union(
+                      counts.pairs.select("keys", "counts").mapInArrow(_facts(2, parts), _PART)), root, "facts")
     out = None
     for k in range(portions):
-        part = keyed.where(F.col("rid") % portions == k)
-        asked = part.select("rid", "text").mapInArrow(
-            _ask(n, BATCH_TEXT), "batch long, bucket int, kind int, keys binary")
-        answers = asked.groupBy("bucket").cogroup(facts.groupBy("bucket")).applyInArrow(
-            _answer, "batch long, kind int, bucket int, counts binary")
-        dealt = part.mapInArrow(_numbered(BATCH_TEXT), f"rid long, id {kind}, lang string, text string, batch long")
-        done = stage(spark, dealt.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(
-            _score_batch(n, counts.d1, counts.d2, counts.d3, counts.total, counts.floor), schema), root, f"scores{k}")
+        sent = texts.union(once).mapInArrow(_sent(deal, k, portions), _DEALT).repartition(parts, "bucket")
+        wanted = sent.groupBy("bucket").applyInArrow(_wanted(deal, parts), "bucket int, to int, kind int, keys binary")
+        given = wanted.groupBy("bucket").cogroup(facts.groupBy("bucket")).applyInArrow(_given, _PART)
+        sums = sent.groupBy("bucket").cogroup(given.groupBy("bucket")).applyInArrow(
+            _summed(deal, counts.d1, counts.d2, counts.d3, counts.total, counts.floor, counts.under),
+            "first long, tokens binary, neg_log10 binary")
+        done = stage(spark, sums.groupBy("first").applyInArrow(_gathered, "rid long, n_tokens long, neg_log10 double"),
+                     root, f"sums{k}")
         out = done if out is None else out.union(done)
-    return out
+    out = out.groupBy("rid").agg(F.sum("n_tokens").alias("n_tokens"), F.sum("neg_log10").alias("neg_log10"))
+    return stage(spark, keyed.select("rid", "id", "lang").join(out, "rid").select("id", "lang", "n_tokens", "neg_log10"),
+                 root, "scores")
 
 
 def judged(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -553,15 +754,17 @@ def judged(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col
     again = stage(spark, fit.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id"), root, "again")
     again = small(again, MAX_IDS)
     largest = fit.join(again, "id", "left_semi").groupBy("id").agg(F.max("text").alias("text"))
-    counts = Counts(fit.join(again, "id", "left_anti").select("text").union(largest.select("text")), root)
+    texts = fit.join(again, "id", "left_anti").select("text").union(largest.select("text"))
+    read = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count("*")).first()
 
     kind = rows.schema["id"].dataType.simpleString()
     schema = f"id {kind}, lang string, n_tokens long, neg_log10 double"
-    if counts.size() <= max_bytes:
-        sent = spark.sparkContext.broadcast(_model(counts))
+    if read[0] * COUNTS_A_BYTE <= max_bytes or not read[1]:
+        sent = spark.sparkContext.broadcast(_model(Counts(texts, root)))
         scores = stage(spark, rows.mapInArrow(_score(sent), schema), root, "scores")
     else:
-        scores = _scored_by_bucket(rows, counts, root, schema)
+        trained = stage(spark, ids.where(~F.col("held")).select("id").join(again, "id", "left_anti"), root, "trained")
+        scores = _scored_by_bucket(rows, trained, largest.select("text"), root, MAX_IDS)
     mean = F.col("neg_log10") / F.col("n_tokens")
     middle = scores.groupBy("lang").agg(F.percentile_approx(mean, 0.5, 10_000).alias("middle"))
     middle = small(stage(spark, middle, root, "middle"), 10_000)
