@@ -3,26 +3,28 @@
 An interpolated modified Kneser-Ney trigram model of the whole texts of all trusted
 documents but those held out for the thresholds (one in ``HELD`` trusted ids, by a hash).
 
-1. Tasks count the trigrams of batches of text and send them, packed, to buckets by the hash of the
-   context; a bucket adds them up. Pairs are counted by their distinct trigrams, dealt by their
-   first words, and words by their distinct pairs. The three discounts of each order come
-   from the counts of counts.
-2. Counts of at most ``MAX_BROADCAST`` bytes are made weights in the driver and broadcast; each task
-   looks its documents' n-grams up. Larger counts are joined by bucket: a batch's distinct
-   trigrams, pairs and words go to their buckets (six bytes each), and their counts and the sums of
-   the counts under them come back in the order asked. Rows go through in at most ``PORTIONS``
-   portions, so that only the n-grams of one are on disk at a time. Both ways give the same
-   probabilities.
+1. Counts that come to at most ``MAX_BROADCAST`` bytes (estimated from the text): tasks count the trigrams of batches of
+   text and send them, packed, to buckets by the hash of the context; a bucket adds them up. Pairs are counted by their
+   distinct trigrams, dealt by their first words, and words by their distinct pairs. The three discounts of each
+   order come from the counts of counts. The weights are made in the driver and broadcast; each task looks its
+   documents' n-grams up.
+2. Larger counts stay in buckets. Trigrams go to the bucket of their middle word, where their counts, those of their contexts
+   and the pairs of their last two words meet; a frequent middle word has several buckets, dealt by the word before,
+   and the counts of its pairs are summed apart. A first pass over the trusted text gives the discounts, the counts of
+   words and those pairs. A second one sends the trigrams of all texts, trusted ones marked, at most
+   ``PORTIONS`` portions of the buckets after each other, so that no trigram's count is written and
+   only a portion is on disk; a bucket asks for the counts of its words and frequent words' pairs and returns
+   each text's sum of log10 probabilities. Both ways give the same probabilities.
 3. A document's mean negative log10 probability, drawn towards the median of its
    language as if by ``prior_tokens`` more tokens, is compared with its language's
    threshold: the ``quantile`` of the trusted documents held out, plus
    ``margin``. A language with fewer than ``least`` of them takes the threshold of
    all together, and without any (a handful of trusted ids) everything is kept.
 
-A task holds a batch (about ``BATCH_TEXT`` bytes of text), or a bucket with what a portion asks of it; all pairs that
-begin with one word are in one bucket, at most one for each word of the vocabulary.
-A batch is named by its first row's number, so where counts are joined by bucket the input should be a
-table or written stage, which reads the same way each time.
+A task holds a batch (about ``BATCH_TEXT`` bytes of text), or a bucket (the trigrams of about ``BUCKET_TEXT`` bytes of
+text); all pairs that begin with one frequent word are counted in one bucket, at most one for each word of the vocabulary,
+and all trigrams with the same first two words are in one bucket.
+Rows are numbered, so for counts in buckets the input should be a table or written stage, which reads the same way each time.
 
 Defined cases: null and empty texts are one end token; null languages are a
 language; null ids are never trusted; rows that repeat are judged alike, and
@@ -60,8 +62,9 @@ COUNTS_A_BYTE = 2.5
 BATCH_TEXT = 8 << 20
 PORTION = 32 << 20
 PORTIONS = 6
-#: Bytes of text whose trigrams a bucket holds, and of text that is looked at for frequent words.
+#: Bytes of text whose trigrams a bucket holds, whose words one holds, and of text that is looked at for frequent words.
 BUCKET_TEXT = 8 << 20
+WORDS_TEXT = 32 << 20
 SEEN = 16 << 20
 _COUNTED = "bucket int, keys binary, counts binary"
 _PART = "bucket int, kind int, keys binary, counts binary"
@@ -365,8 +368,8 @@ _SPACE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
 _BYTE = np.array([xxhash.xxh3_64_intdigest(bytes([i]), 4) for i in range(256)], U64)
 #: Longer words are hashed one by one; the others in pieces of about so many bytes.
 _LONG, _PIECE = 1 << 12, 1 << 15
-#: Tokens whose buckets are found at once.
-_STEP = 1 << 15
+#: Tokens whose buckets are found at once, and bytes of text whose words are: arrays of a few hundred KB.
+_STEP, _SLICE = 1 << 15, 1 << 18
 _DEALT = "bucket int, first long, keys binary, tokens binary, fit binary"
 
 
@@ -380,7 +383,7 @@ def word_stream(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     at = at - at[0]
     inside = np.r_[False, ~_SPACE[data], False]
     apart = inside[1:] != inside[:-1]  # between a byte and the one before, beginning and end included
-    edge = at[1:-1]
+    edge = at[1:-1][at[1:-1] > at[:-2]]  # once where texts between are empty
     edge = edge[inside[edge] & inside[edge + 1]]  # a word up to the end of a text and another from the beginning of the next
     ends = np.flatnonzero(apart)
     ends = np.sort(np.r_[ends, edge, edge]) if len(edge) else ends
@@ -492,7 +495,7 @@ def _sent(deal: Deal, portion: int, portions: int):
         for first, held in _batched(batches, BATCH_TEXT):
             fit = np.packbits(np.concatenate([np.asarray(rb.column("fit"), bool) for rb in held])).tobytes()
             parts, n = [], 0
-            for b, e, texts in text_slices(pa.concat_arrays([rb.column("text") for rb in held])):
+            for b, e, texts in text_slices(pa.concat_arrays([rb.column("text") for rb in held]), _SLICE):
                 line, bounds = _line(texts)
                 at, bucket = deal.chosen(line, bounds[:-1], portion, portions)
                 parts.append((_grams_at(line, bounds[:-1], at), np.searchsorted(bounds, at, "right") - 1 + b, bucket))
@@ -544,9 +547,8 @@ def _under(batches):
 class Totals:
     """Discounts, counted words and counted pairs of frequent words of the fitted trigrams; the trigrams are not kept."""
 
-    def __init__(self, texts: DataFrame, deal: Deal, portions: int, root: str):
+    def __init__(self, texts: DataFrame, deal: Deal, portions: int, n: int, root: str):
         spark = texts.sparkSession
-        n = 4 * shuffle_partitions(spark)
         tally = None
         for k in range(portions):
             sent = texts.mapInArrow(_sent(deal, k, portions), _DEALT).select("bucket", "keys")
@@ -632,6 +634,13 @@ def _summed(deal: Deal, d1, d2, d3, total1: int, floor: float, under: np.ndarray
         at = np.minimum(np.searchsorted(key, keys), len(key) - 1)
         return np.where(key[at] == keys, count[at], 0)
 
+    def totals(of: np.ndarray, c: np.ndarray, size: int) -> list[np.ndarray]:
+        """As ``_totals``, of the contexts ``of``."""
+        seen = np.flatnonzero(c)
+        of, c = of[seen], c[seen]
+        return [np.bincount(of, weights=c, minlength=size).astype(np.int64)] + [
+            np.bincount(x, minlength=size) for x in (of[c == 1], of[c == 2], of)]
+
     def f(table: pa.Table, given: pa.Table) -> pa.Table:
         tokens = [np.frombuffer(x, np.uint32) for x in table.column("tokens").to_pylist()]
         fit = [np.unpackbits(np.frombuffer(x, np.uint8), count=len(t)).astype(bool)
@@ -646,8 +655,6 @@ def _summed(deal: Deal, d1, d2, d3, total1: int, floor: float, under: np.ndarray
         c3 = np.bincount(which[np.repeat(np.concatenate(fit), n)], minlength=len(w))
         seen = c3 > 0
         context, of3 = placed(_context(w))
-        totals = lambda of, c, size: [np.bincount(of, minlength=size, weights=x).astype(np.int64)
-                                      for x in (c, c == 1, c == 2, c > 0)]
         under3 = totals(of3, c3, len(context))
         pair, of2 = placed(join2(w[:, 1], w[:, 2]))
         one = np.empty(len(pair), np.int64)
@@ -701,29 +708,28 @@ def _batched(batches, batch_bytes: int):
     return_freed()
 
 
-def _scored_by_bucket(rows: DataFrame, trained: DataFrame, once: DataFrame, root: str, max_ids: int) -> DataFrame:
-    """The scores of all rows under the model of the texts of the ids ``trained`` and of the texts ``once``.
+def _scored_by_bucket(rows: DataFrame, trained: DataFrame, once: DataFrame, size: int, root: str) -> DataFrame:
+    """The scores of all rows (``size`` bytes of text) under the model of the texts of the ids ``trained`` and of ``once``.
 
     Trigrams are counted twice, first for the discounts and the counts of words, then with those of all rows,
     in portions of the buckets, so that no count of a trigram is ever written and the trigrams of few buckets are on
     disk at a time.
     """
     spark = rows.sparkSession
-    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     portions = max(1, min(PORTIONS, -(-size // PORTION)))
-    parts = shuffle_partitions(spark)
+    parts, n = shuffle_partitions(spark), max(1, -(-size // WORDS_TEXT))
     keyed = rows.withColumn("rid", F.monotonically_increasing_id())
-    texts = keyed.join(small(trained.withColumn("fit", F.lit(True)), max_ids), "id", "left").select(
+    texts = keyed.join(small(trained.withColumn("fit", F.lit(True)), MAX_IDS), "id", "left").select(
         "rid", "text", F.coalesce("fit", F.lit(False)).alias("fit"))
     once = once.select(F.lit(-1).cast("long").alias("rid"), "text", F.lit(True).alias("fit"))
     deal = deal_for(keyed, size, portions * max(parts, -(-size // (portions * BUCKET_TEXT))))
-    counts = Totals(texts.where("fit").union(once), deal, min(portions, 2), root)
-    facts = stage(spark, counts.words.select("keys", "counts").mapInArrow(_facts(1, parts), _PART).union(
-                      counts.pairs.select("keys", "counts").mapInArrow(_facts(2, parts), _PART)), root, "facts")
+    counts = Totals(texts.where("fit").union(once), deal, min(portions, 2), n, root)
+    facts = stage(spark, counts.words.select("keys", "counts").mapInArrow(_facts(1, n), _PART).union(
+                      counts.pairs.select("keys", "counts").mapInArrow(_facts(2, n), _PART)), root, "facts")
     out = None
     for k in range(portions):
         sent = texts.union(once).mapInArrow(_sent(deal, k, portions), _DEALT).repartition(parts, "bucket")
-        wanted = sent.groupBy("bucket").applyInArrow(_wanted(deal, parts), "bucket int, to int, kind int, keys binary")
+        wanted = sent.groupBy("bucket").applyInArrow(_wanted(deal, n), "bucket int, to int, kind int, keys binary")
         given = wanted.groupBy("bucket").cogroup(facts.groupBy("bucket")).applyInArrow(_given, _PART)
         sums = sent.groupBy("bucket").cogroup(given.groupBy("bucket")).applyInArrow(
             _summed(deal, counts.d1, counts.d2, counts.d3, counts.total, counts.floor, counts.under),
@@ -741,8 +747,8 @@ def judged(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col
            margin: float = 0.3, least: int = 50, prior_tokens: int = 20) -> DataFrame:
     """(id, n_tokens, perplexity, threshold, kept), a row per row of ``docs``; ``trusted`` has one column of ids.
 
-    ``threshold`` and ``margin`` are on log10 of the perplexity as compared; counts of more than
-    ``max_bytes`` are joined by bucket.
+    ``threshold`` and ``margin`` are on log10 of the perplexity as compared; counts of more than about
+    ``max_bytes`` stay in buckets.
     """
     spark = docs.sparkSession
     root = scratch(spark, "kneser-ney")
@@ -755,16 +761,18 @@ def judged(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col
     again = small(again, MAX_IDS)
     largest = fit.join(again, "id", "left_semi").groupBy("id").agg(F.max("text").alias("text"))
     texts = fit.join(again, "id", "left_anti").select("text").union(largest.select("text"))
-    read = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count("*")).first()
+    size, read, n = rows.join(small(ids.where(~F.col("held")), MAX_IDS), "id", "left").agg(
+        *[F.coalesce(F.sum(F.octet_length("text") * x), F.lit(0)) for x in (F.lit(1), F.col("held").isNotNull().cast("long"))],
+        F.count("held")).first()
 
     kind = rows.schema["id"].dataType.simpleString()
     schema = f"id {kind}, lang string, n_tokens long, neg_log10 double"
-    if read[0] * COUNTS_A_BYTE <= max_bytes or not read[1]:
+    if read * COUNTS_A_BYTE <= max_bytes or not n:
         sent = spark.sparkContext.broadcast(_model(Counts(texts, root)))
         scores = stage(spark, rows.mapInArrow(_score(sent), schema), root, "scores")
     else:
         trained = stage(spark, ids.where(~F.col("held")).select("id").join(again, "id", "left_anti"), root, "trained")
-        scores = _scored_by_bucket(rows, trained, largest.select("text"), root, MAX_IDS)
+        scores = _scored_by_bucket(rows, trained, largest.select("text"), size, root)
     mean = F.col("neg_log10") / F.col("n_tokens")
     middle = scores.groupBy("lang").agg(F.percentile_approx(mean, 0.5, 10_000).alias("middle"))
     middle = small(stage(spark, middle, root, "middle"), 10_000)

@@ -149,3 +149,31 @@ def test_kneser_ney_counts_joined_by_bucket(spark, monkeypatch, portion):
     assert len(rows[0]) == len(rows[1]) == docs.count()
     for a, b in zip(*rows):
         assert a[:2] == b[:2] and a[2] == pytest.approx(b[2], rel=1e-5) and a[3] == b[3]
+
+
+def test_kneser_ney_words_of_a_line():
+    texts = ["ab c", "", "x  y ", "a", "b", " \t\n\v\f\r", "é\tab c", "ab", "q" * 9000 + " ab " + "r" * 40_000 + "\nab", "ab"]
+    h, bounds = kn.word_stream(pa.array(texts, pa.large_string()))
+    words = [w for t in texts for w in t.encode().split()]
+    assert bounds.tolist() == np.cumsum([0] + [len(t.encode().split()) for t in texts]).tolist()
+    assert len(set(zip(words, h.tolist()))) == len(set(words)) == len(set(h.tolist()))
+
+
+def test_kneser_ney_large_counts_are_not_written(spark, monkeypatch, tmp_path):
+    # a frequent word has several buckets, texts of one id are fitted once; written counts of trigrams are what took too much disk
+    monkeypatch.setattr(kn, "scratch", lambda spark, label: f"{tmp_path}/{label}-{len(list(tmp_path.iterdir()))}")
+    monkeypatch.setattr(kn, "PORTION", 1 << 14)
+    monkeypatch.setattr(kn, "BUCKET_TEXT", 1 << 12)
+    deals = []
+    find = kn.deal_for
+    monkeypatch.setattr(kn, "deal_for", lambda *a: deals.append(find(*a)) or deals[-1])
+    rng = np.random.default_rng(7)
+    rows = [(i % 190, "en", " ".join("the" if k < 30 else f"w{k}" for k in rng.integers(0, 90, 60))) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    trusted = docs.where("doc_id % 3 != 0").select("doc_id")
+    few, many = [sorted((r["id"], r["n_tokens"], r["perplexity"]) for r in kn.judged(docs, trusted, max_bytes=n).collect())
+                 for n in (kn.MAX_BROADCAST, 0)]
+    assert [r[:2] for r in few] == [r[:2] for r in many] and len(few) == len(rows)
+    assert [r[2] for r in many] == pytest.approx([r[2] for r in few], rel=1e-5)
+    assert deals[0].split.max() > 1
+    assert not list(tmp_path.glob("*-1/triples")) and list(tmp_path.glob("*-1/sums5"))
