@@ -162,7 +162,7 @@ def test_kneser_ney_words_of_a_line():
 def test_kneser_ney_large_counts_are_not_written(spark, monkeypatch, tmp_path):
     # a frequent word has several buckets, texts of one id are fitted once; written counts of trigrams are what took too much disk
     monkeypatch.setattr(kn, "scratch", lambda spark, label: f"{tmp_path}/{label}-{len(list(tmp_path.iterdir()))}")
-    monkeypatch.setattr(kn, "PORTION", 1 << 14)
+    monkeypatch.setattr(kn, "PORTION", 1 << 12)
     monkeypatch.setattr(kn, "BUCKET_TEXT", 1 << 12)
     deals = []
     find = kn.deal_for
